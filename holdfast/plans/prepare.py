@@ -20,6 +20,7 @@ from holdfast.session import stage
 from holdfast.sources.files import coerce_numbers, map_yes_no
 from holdfast.sources.slices import first_rows
 
+_SPLIT = "_split"
 FIT_SCOPES = ("train", "all")
 STEPS = ("imputer", "outliers", "encoder", "scaler", "binner")
 
@@ -39,6 +40,7 @@ class PrepareSettings:
     val_share: float = settings.VALIDATION_SHARE
     stratify: bool = True
     seed: int = settings.SEED
+    hash_method: str = "xxhash64"
 
 
 class Preprocessor:
@@ -64,13 +66,31 @@ class Preprocessor:
     def clean(self, df: DataFrame) -> DataFrame:
         return map_yes_no(coerce_numbers(df, self.options.numbers), self.options.binary)
 
+    def fit(self, df: DataFrame) -> "Preprocessor":
+        """Fit every step on coerced rows, each on the output of the one before."""
+        self.fit_repairs(df)
+        return self.fit_encodings(self.repaired(df))
+
+    def fit_repairs(self, df: DataFrame) -> "Preprocessor":
+        self.imputer.fit(df)
+        self.outliers.fit(self.imputer.transform(df))
+        return self
+
+    def repaired(self, df: DataFrame) -> DataFrame:
+        return derive_features(self.outliers.transform(self.imputer.transform(df)), self.options.features)
+
+    def fit_encodings(self, df: DataFrame) -> "Preprocessor":
+        # Three fits scan these rows, so they are written once.
+        encoded = self.encoder.fit_transform(stage(df, "features"))
+        self.scaler.fit(encoded)
+        self.binner.fit(self.scaler.transform(encoded))
+        return self
+
     def transform(self, df: DataFrame, raw: bool = True) -> DataFrame:
         """All fitted steps in training order; ``raw`` includes the type coercions."""
         if not self.fitted:
             raise NotFittedError("fit the preprocessor before serving with it")
-        df = self.clean(df) if raw else df
-        df = self.outliers.transform(self.imputer.transform(df))
-        df = derive_features(df, self.options.features)
+        df = self.repaired(self.clean(df) if raw else df)
         return self.binner.transform(self.scaler.transform(self.encoder.transform(df)))
 
     def transform_prepared(self, df: DataFrame) -> DataFrame:
@@ -109,8 +129,8 @@ class Prepared:
 def prepare(raw: DataFrame, preprocessor: Preprocessor | None = None) -> Prepared:
     """Fit every step and return the three model-ready splits.
 
-    The rows before encoding are written once, since the split, three fits and
-    the result all scan them.
+    The cleaned rows are written once, since the split, the fits and the result
+    all scan them.
     """
     p = preprocessor or Preprocessor()
     o = p.options
@@ -120,28 +140,18 @@ def prepare(raw: DataFrame, preprocessor: Preprocessor | None = None) -> Prepare
     if o.limit_rows is not None:
         df = first_rows(df, o.order_key or o.key, o.limit_rows)
     df = stage(df, "cleaned")
-
-    def marked(rows: DataFrame) -> DataFrame:
-        return assign_split(rows, o.key, o.label, test_share=o.test_share, val_share=o.val_share,
-                            stratify=o.stratify, seed=o.seed, name="_split")
-
-    if o.fit_scope == "train":
-        df = marked(df)
-        known = df.where(F.col("_split") == "train")
-        p.imputer.fit(known)
-        p.outliers.fit(p.imputer.transform(known))
+    if o.fit_scope == "all":
+        p.fit_repairs(df)
+        # Outlier removal may drop rows, so the split follows it.
         df = p.outliers.transform(p.imputer.transform(df))
+    df = assign_split(df, o.key, o.label, test_share=o.test_share, val_share=o.val_share, stratify=o.stratify,
+                      seed=o.seed, method=o.hash_method, name=_SPLIT)
+    train = df.where(F.col(_SPLIT) == "train").drop(_SPLIT)
+    if o.fit_scope == "all":
+        df = derive_features(df, o.features)
+        p.fit_encodings(derive_features(train, o.features))
     else:
-        df = p.imputer.fit_transform(df)
-        df = p.outliers.fit_transform(df)
-        df = marked(df)
-    df = stage(derive_features(df, o.features), "features")
-    p.encoder.fit(df.where(F.col("_split") == "train").drop("_split"))
-    encoded = p.encoder.transform(df)
-    p.scaler.fit(encoded.where(F.col("_split") == "train"))
-    scaled = p.scaler.transform(encoded)
-    p.binner.fit(scaled.where(F.col("_split") == "train"))
-    done = p.binner.transform(scaled)
-    parts = [done.where(F.col("_split") == s).drop("_split") for s in settings.SPLITS]
-    return Prepared(*parts, p)
-
+        p.fit(train)
+        df = p.repaired(df)
+    done = p.binner.transform(p.scaler.transform(p.encoder.transform(df)))
+    return Prepared(*[done.where(F.col(_SPLIT) == s).drop(_SPLIT) for s in settings.SPLITS], p)
