@@ -104,45 +104,72 @@ def _blocks(cells: DataFrame, axis: str, size: int, slice_rows: int) -> DataFram
     return before.select(f"_{axis}", (start + (F.col("n") >= size).cast("int")).alias(f"b{axis}"))
 
 
+def _ties(weights: np.ndarray) -> float:
+    return float((weights * (weights - 1) / 2).sum())
+
+
+def _tau(balance: float, n: float, tied_x: float, tied_y: float) -> float | None:
+    pairs = n * (n - 1) / 2
+    scale = ((pairs - tied_x) * (pairs - tied_y)) ** 0.5
+    return balance / scale if scale else None
+
+
+def _whole_tau(pdf: pd.DataFrame) -> pd.DataFrame:
+    x, y, w = (pdf[c].to_numpy(float) for c in ("x", "y", "w"))
+    tau = _tau(pair_balance(x, y, w), w.sum(), _ties(pdf.groupby("x")["w"].sum().to_numpy(float)),
+               _ties(pdf.groupby("y")["w"].sum().to_numpy(float)))
+    return pd.DataFrame({"pair": [pdf["pair"].iat[0]], "r": [tau]})
+
+
 def _kendall(kept: DataFrame, columns: list[str], slice_rows: int, block_cells: int) -> DataFrame:
-    """tau-b. Pairs in different blocks on both axes are counted from block
-    totals; pairs that share a block are counted inside that block's task."""
-    spark = kept.sparkSession
-    everything = stage(kept.groupBy(*columns).agg(F.count("*").alias("w")), "cells")
-    out = []
-    for a, b in combinations(columns, 2):
-        cells = stage(everything.groupBy(column(a).alias("x"), column(b).alias("y")).agg(F.sum("w").alias("w")), "pair")
-        n_cells, n = cells.agg(F.count("*"), F.sum("w")).first()
-        if not n_cells:
-            out.append((a, b, None))
-            continue
-        size = max(block_cells, -(-n_cells // MAX_BLOCKS))
-        placed = cells
-        for axis in ("x", "y"):
-            blocks = _blocks(cells, axis, size, slice_rows)
-            placed = placed.join(blocks, F.col(axis) == F.col(f"_{axis}")).drop(f"_{axis}")
-        placed = stage(placed.select("x", "y", "w", "bx", "by"), "placed")
-
-        def inside(pdf: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame({"s": [pair_balance(pdf["u"].to_numpy(float), pdf["v"].to_numpy(float),
-                                                    pdf["w"].to_numpy(float))]})
-
-        # A block of one single value holds ties only (odd block numbers), so it is never gathered.
-        same_x = placed.where(F.col("bx") % 2 == 0).select(F.col("bx").alias("g"), F.col("x").alias("u"),
-                                                           F.col("y").alias("v"), "w")
-        same_y = (placed.where(F.col("by") % 2 == 0).groupBy("by", "bx", "y").agg(F.sum("w").alias("w"))
-                  .select(F.col("by").alias("g"), F.col("bx").cast("double").alias("u"), F.col("y").alias("v"), "w"))
-        balance = 0.0
-        for part in (same_x, same_y):
-            balance += part.groupBy("g").applyInPandas(inside, "s double").agg(F.sum("s")).first()[0] or 0.0
-        # At most MAX_BLOCKS blocks per axis: the block totals are a bounded table.
-        totals = placed.groupBy("bx", "by").agg(F.sum("w").alias("w")).toPandas()
-        balance += pair_balance(totals["bx"].to_numpy(float), totals["by"].to_numpy(float), totals["w"].to_numpy(float))
-        tied = []
-        for axis in ("x", "y"):
-            per = cells.groupBy(axis).agg(F.sum("w").cast("double").alias("t"))
-            tied.append(per.agg(F.sum(F.col("t") * (F.col("t") - 1) / 2)).first()[0])
-        pairs = n * (n - 1) / 2
-        scale = ((pairs - tied[0]) * (pairs - tied[1])) ** 0.5
-        out.append((a, b, balance / scale if scale else None))
-    return spark.createDataFrame(out, "x string, y string, r double")
+    """tau-b over the distinct (x, y) cells of each pair of columns.
+
+    A pair with few cells is one small group; a pair with many is cut into
+    blocks.
+    """
+    names = list(combinations(columns, 2))
+    entries = F.array(*[F.struct(F.lit(i).alias("pair"), column(a).alias("x"), column(b).alias("y"))
+                        for i, (a, b) in enumerate(names)])
+    rows = kept.groupBy(*columns).agg(F.count("*").alias("w"))
+    cells = stage(rows.select("w", F.inline(entries)).groupBy("pair", "x", "y").agg(F.sum("w").alias("w")), "cells")
+    sizes = {r["pair"]: r["count"] for r in cells.groupBy("pair").count().collect()}
+    few = [i for i, n in sizes.items() if n <= block_cells]
+    found = {r["pair"]: r["r"] for r in cells.where(F.col("pair").isin(few)).groupBy("pair")
+             .applyInPandas(_whole_tau, "pair int, r double").collect()}
+    for i, n in sizes.items():
+        if i not in found:
+            found[i] = _block_tau(cells.where(F.col("pair") == i).select("x", "y", "w"), n, slice_rows, block_cells)
+    out = [(a, b, found.get(i)) for i, (a, b) in enumerate(names)]
+    return kept.sparkSession.createDataFrame(out, "x string, y string, r double")
+
+
+def _block_tau(cells: DataFrame, n_cells: int, slice_rows: int, block_cells: int) -> float | None:
+    """Pairs in different blocks on both axes are counted from block totals;
+    pairs that share a block are counted inside that block's task."""
+    size = max(block_cells, -(-n_cells // MAX_BLOCKS))
+    placed = cells
+    for axis in ("x", "y"):
+        blocks = _blocks(cells, axis, size, slice_rows)
+        placed = placed.join(blocks, F.col(axis) == F.col(f"_{axis}")).drop(f"_{axis}")
+    placed = stage(placed.select("x", "y", "w", "bx", "by"), "placed")
+
+    def inside(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"s": [pair_balance(pdf["u"].to_numpy(float), pdf["v"].to_numpy(float),
+                                                pdf["w"].to_numpy(float))]})
+
+    # A block of one single value holds ties only (odd block numbers), so it is never gathered.
+    same_x = placed.where(F.col("bx") % 2 == 0).select(F.col("bx").alias("g"), F.col("x").alias("u"),
+                                                       F.col("y").alias("v"), "w")
+    same_y = (placed.where(F.col("by") % 2 == 0).groupBy("by", "bx", "y").agg(F.sum("w").alias("w"))
+              .select(F.col("by").alias("g"), F.col("bx").cast("double").alias("u"), F.col("y").alias("v"), "w"))
+    balance = 0.0
+    for part in (same_x, same_y):
+        balance += part.groupBy("g").applyInPandas(inside, "s double").agg(F.sum("s")).first()[0] or 0.0
+    # About MAX_BLOCKS blocks per axis at most: the block totals are a bounded table.
+    totals = placed.groupBy("bx", "by").agg(F.sum("w").alias("w")).toPandas()
+    balance += pair_balance(totals["bx"].to_numpy(float), totals["by"].to_numpy(float), totals["w"].to_numpy(float))
+    tied = []
+    for axis in ("x", "y"):
+        per = cells.groupBy(axis).agg(F.sum("w").cast("double").alias("t"))
+        tied.append(per.agg(F.sum(F.col("t") * (F.col("t") - 1) / 2)).first()[0])
+    return _tau(balance, cells.agg(F.sum("w")).first()[0], *tied)

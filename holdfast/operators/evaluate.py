@@ -117,14 +117,27 @@ def sweep(df: DataFrame, label: str, score: str, thresholds: list[float] | None
                                      + F.col("fn") * F.lit(float(fn_cost)))
 
 
+def best_thresholds(df: DataFrame, label: str, score: str, metrics: list[str],
+                    thresholds: list[float] | None = None, **costs) -> DataFrame:
+    """(metric, threshold, metric_value, f1, precision, recall): per metric the first threshold
+    with its highest value, all from one sweep."""
+    swept = sweep(df, label, score, thresholds, **costs)
+    row = F.struct("threshold", "f1", "precision", "recall")
+    best, entries = [], []
+    for i, metric in enumerate(metrics):
+        by = metric if metric in SWEEP_METRICS else "f1"
+        value = -F.col("total_cost") if by == "cost" else F.col(by)
+        best += [F.max_by(row, F.struct(value, -F.col("threshold"))).alias(f"r{i}"), F.max(value).alias(f"v{i}")]
+        entries.append(F.struct(F.lit(metric).alias("metric"), F.col(f"r{i}.threshold").alias("threshold"),
+                                F.col(f"v{i}").alias("metric_value"),
+                                *[F.col(f"r{i}.{c}").alias(c) for c in ("f1", "precision", "recall")]))
+    return swept.agg(*best).select(F.inline(F.array(*entries)))
+
+
 def best_threshold(df: DataFrame, label: str, score: str, metric: str = "f1",
                    thresholds: list[float] | None = None, **costs) -> DataFrame:
-    """One row: the first threshold with the highest metric, with f1, precision and recall."""
-    by = metric if metric in SWEEP_METRICS else "f1"
-    value = -F.col("total_cost") if by == "cost" else F.col(by)
-    return (sweep(df, label, score, thresholds, **costs).withColumn("metric_value", value)
-            .orderBy(F.desc("metric_value"), F.asc("threshold")).limit(1)
-            .select("threshold", "metric_value", "f1", "precision", "recall"))
+    """One row: threshold, metric_value, f1, precision, recall."""
+    return best_thresholds(df, label, score, [metric], thresholds, **costs).drop("metric")
 
 
 def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:

@@ -271,7 +271,8 @@ def knn_fill(df: DataFrame, donors: DataFrame, names: list[str], k: int, **limit
     source = df
     cell = F.array(*[number(df, n) for n in names])
     out = df.withColumn("_cell", cell)
-    for n in names:
+    gaps = df.agg(*[F.count_if(number(df, n).isNull()).alias(f"g{i}") for i, n in enumerate(names)]).first()
+    for n in [n for i, n in enumerate(names) if gaps[i]]:
         fills = knn_values(source, donors, names, n, k, **limits).withColumnRenamed("fill", "_fill")
         out = (out.join(fills, out["_cell"].eqNullSafe(fills["receiver"]), "left").drop("receiver")
                .withColumn(n, F.coalesce(number(out, n), F.col("_fill"))).drop("_fill"))
