@@ -10,11 +10,9 @@ from pyspark.sql import types as T
 
 from holdfast import settings
 
-# What counts as a number in text.
-NUMBER_PATTERN = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-INFINITY_PATTERN = r"^[+-]?(?i:inf|infinity)$"
+# Fixed value: what counts as a number in text, blanks around it allowed.
+NUMBER_PATTERN = r"^\s*[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
 
-NUMERIC_TYPES = (T.NumericType,)
 MISSING_TEXT = "nan"
 
 
@@ -59,8 +57,7 @@ def round_to(c: Column, digits: int) -> Column:
 
 def to_number(c: Column) -> Column:
     """Text to double; text that is not a plain number becomes null."""
-    text = F.regexp_replace(c, r"^\s+|\s+$", "")
-    return F.when(text.rlike(NUMBER_PATTERN) | text.rlike(INFINITY_PATTERN), text.try_cast("double"))
+    return F.when(c.rlike(NUMBER_PATTERN), c.try_cast("double"))
 
 
 def yes_no(c: Column) -> Column:

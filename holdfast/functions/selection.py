@@ -11,14 +11,15 @@ that fills a third of the table changes what a task or the driver must hold.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PERCENTILE_ROWS = 1_000_000
+PERCENTILE_ROWS = 100_000
 FETCH_VALUES = 50_000
-SKETCH_ACCURACY = 10_000
+COARSE, FINE = 5_000, 100_000
 
 
 @dataclass(frozen=True)
@@ -32,112 +33,132 @@ class Position:
 
 @dataclass
 class _Bracket:
+    """Values low..high (both included) of one target that hold the wanted ranks."""
+
     name: object
     ranks: list[int]
+    below: int
+    rows: int
+    distinct: int
     low: float | None = None
     high: float | None = None
-    below: int = 0
-    distinct: int = 0
-    slack: float = field(default=2.0 / SKETCH_ACCURACY)
-
-    def holds(self) -> Column:
-        hit = F.col("name") == F.lit(self.name)
-        if self.low is not None:
-            hit = hit & (F.col("value") >= F.lit(self.low))
-        if self.high is not None:
-            hit = hit & (F.col("value") <= F.lit(self.high))
-        return hit
+    accuracy: int = COARSE
+    slack: float = 2.0
+
+    def holds(self, targets: dict) -> Column:
+        value = targets[self.name]
+        if self.low is None:
+            return value.isNotNull()
+        return value.between(F.lit(self.low), F.lit(self.high))
 
     def settled(self, fetch_values: int) -> bool:
         return self.distinct <= fetch_values or (self.low is not None and self.low == self.high)
 
+    def probabilities(self) -> list[float]:
+        """Two sketch positions around each rank."""
+        reach = self.slack / self.accuracy
+        around = []
+        for r in self.ranks:
+            p = (r - self.below) / max(self.rows - 1, 1)
+            around += [max(p - reach, 0.0), min(p + reach, 1.0)]
+        return around
+
+    def narrowed(self, cuts: list) -> list["_Bracket"]:
+        """One bracket per group of overlapping sketch intervals."""
+        parts: list[_Bracket] = []
+        for k, r in enumerate(self.ranks):
+            low, high = cuts[2 * k], cuts[2 * k + 1]
+            if parts and low <= parts[-1].high:
+                parts[-1].high = max(high, parts[-1].high)
+                parts[-1].ranks.append(r)
+            else:
+                parts.append(_Bracket(self.name, [r], 0, 0, 0, low, high, self.accuracy, self.slack))
+        return parts
+
 
-def order_statistics(values: DataFrame, ranks: dict, rows: dict,
-                     fetch_values: int = FETCH_VALUES) -> dict:
-    """Values at zero-based positions of each named, sorted list.
+def order_statistics(df: DataFrame, targets: dict[object, Column], ranks: dict[object, list[int]],
+                     rows: dict[object, int], fetch_values: int = FETCH_VALUES) -> dict:
+    """Values at zero-based positions of each target's sorted values.
 
-    ``values`` has the columns ``name`` and ``value`` (no nulls, no NaN);
-    ``ranks`` gives the wanted positions and ``rows`` the row count per name.
-    Returns ``{(name, rank): Position}``.
+    ``rows`` is the number of values per target; nulls are not values, and NaN
+    must not occur.  Returns ``{(name, rank): Position}``.
     """
-    brackets = [_Bracket(name, sorted(set(wanted)), distinct=rows[name])
-                for name, wanted in ranks.items() if wanted]
-    for b in brackets:
-        if b.ranks[0] < 0 or b.ranks[-1] >= rows[b.name]:
-            raise IndexError(f"position outside the {rows[b.name]} rows of {b.name!r}")
-    inside = {id(b): rows[b.name] for b in brackets}
-    while any(not b.settled(fetch_values) for b in brackets):
-        brackets, inside = _narrow(values, brackets, inside, fetch_values)
-    return _fetch(values, brackets)
-
-
-def _narrow(values: DataFrame, brackets: list[_Bracket], inside: dict, fetch_values: int):
-    open_ones = [b for b in brackets if not b.settled(fetch_values)]
-    sketches = []
-    for b in open_ones:
-        probs = []
-        for r in b.ranks:
-            p = (r - b.below) / max(inside[id(b)] - 1, 1)
-            probs += [max(p - b.slack, 0.0), min(p + b.slack, 1.0)]
-        sketches.append(F.percentile_approx(F.when(b.holds(), F.col("value")), probs, SKETCH_ACCURACY))
-    row = values.agg(F.array().alias("none"), *[s.alias(f"s{i}") for i, s in enumerate(sketches)]).first()
-    proposed = []
-    for i, b in enumerate(open_ones):
-        cuts = row[f"s{i}"]
-        spans: list[_Bracket] = []
-        for k, r in enumerate(b.ranks):
-            low, high = cuts[2 * k], cuts[2 * k + 1]
-            if spans and low <= spans[-1].high:
-                spans[-1].high = max(high, spans[-1].high)
-                spans[-1].ranks.append(r)
-            else:
-                spans.append(_Bracket(b.name, [r], low, high, slack=b.slack))
-        proposed.append(spans)
+    brackets = []
+    for name, wanted in ranks.items():
+        if wanted and not 0 <= min(wanted) <= max(wanted) < rows[name]:
+            raise IndexError(f"position outside the {rows[name]} values of {name!r}")
+        if wanted:
+            fine = min(FINE, max(COARSE, 8 * rows[name] // max(fetch_values, 1)))
+            brackets.append(_Bracket(name, sorted(set(wanted)), 0, rows[name], rows[name], accuracy=fine))
+    return _settle(df, targets, brackets, fetch_values)
+
+
+def _settle(df: DataFrame, targets: dict, brackets: list[_Bracket], fetch_values: int) -> dict:
+    while wide := [b for b in brackets if not b.settled(fetch_values)]:
+        sketches = [F.percentile_approx(F.when(b.holds(targets), targets[b.name]), b.probabilities(), b.accuracy)
+                    .alias(f"s{i}") for i, b in enumerate(wide)]
+        row = df.agg(F.lit(0), *sketches).first()
+        steps = [(b, b.narrowed(row[f"s{i}"])) for i, b in enumerate(wide)]
+        brackets = [b for b in brackets if b.settled(fetch_values)]
+        brackets += _proven(df, targets, steps, fetch_values)
+    return _fetch(df, targets, brackets)
+
+
+def _proven(df: DataFrame, targets: dict, steps: list[tuple[_Bracket, list[_Bracket]]],
+                fetch_values: int) -> list[_Bracket]:
+    """Count rows below and inside each proposed bracket and keep what the counts prove."""
+    parts = [p for _, narrowed in steps for p in narrowed]
     counts = []
-    for i, spans in enumerate(proposed):
-        for j, s in enumerate(spans):
-            under = (F.col("name") == F.lit(s.name)) & (F.col("value") < F.lit(s.low))
-            counts += [F.count_if(under).alias(f"b{i}_{j}"), F.count_if(s.holds()).alias(f"n{i}_{j}"),
-                       F.approx_count_distinct(F.when(s.holds(), F.col("value"))).alias(f"d{i}_{j}")]
-    row = values.agg(*counts).first()
-    result = [b for b in brackets if b.settled(fetch_values)]
-    rows_inside = {id(b): inside[id(b)] for b in result}
-    for i, (b, spans) in enumerate(zip(open_ones, proposed)):
-        missed: list[int] = []
-        for j, s in enumerate(spans):
-            s.below, count = row[f"b{i}_{j}"], row[f"n{i}_{j}"]
-            s.distinct = min(row[f"d{i}_{j}"], count)
-            missed += [r for r in s.ranks if not s.below <= r < s.below + count]
-            s.ranks = [r for r in s.ranks if s.below <= r < s.below + count]
-            if s.ranks:
-                # A bracket that did not shrink needs a finer look next time.
-                s.slack = b.slack / 4 if count > inside[id(b)] * 0.9 else b.slack
-                result.append(s)
-                rows_inside[id(s)] = count
+    for i, p in enumerate(parts):
+        counts += [F.count_if(targets[p.name] < F.lit(p.low)).alias(f"b{i}"),
+                   F.count_if(p.holds(targets)).alias(f"n{i}")]
+    row = df.agg(*counts).first()
+    for i, p in enumerate(parts):
+        p.below, p.rows = row[f"b{i}"], row[f"n{i}"]
+        p.distinct = p.rows
+    crowded = [p for p in parts if not p.settled(fetch_values)]
+    if crowded:
+        row = df.agg(*[F.approx_count_distinct(F.when(p.holds(targets), targets[p.name])).alias(f"d{i}")
+                       for i, p in enumerate(crowded)]).first()
+        for i, p in enumerate(crowded):
+            p.distinct = min(row[f"d{i}"], p.rows)
+    kept = []
+    for wide, narrowed in steps:
+        missed = []
+        for p in narrowed:
+            inside = [r for r in p.ranks if p.below <= r < p.below + p.rows]
+            missed += [r for r in p.ranks if r not in inside]
+            if inside:
+                p.ranks = inside
+                if p.rows > wide.rows * 0.9:
+                    p.accuracy = min(p.accuracy * 4, FINE)
+                kept.append(p)
         if missed:
-            retry = _Bracket(b.name, missed, b.low, b.high, b.below, b.distinct, slack=b.slack * 8)
-            result.append(retry)
-            rows_inside[id(retry)] = inside[id(b)]
-    return result, rows_inside
-
-
-def _fetch(values: DataFrame, brackets: list[_Bracket]) -> dict:
-    wanted = F.lit(False)
-    for b in brackets:
-        wanted = wanted | b.holds()
-    found: dict = {}
-    for name, value, count in values.where(wanted).groupBy("name", "value").count().collect():
-        found.setdefault(name, []).append((value, count))
+            # The sketch was off by more than it promises: look again in a wider interval.
+            kept.append(_Bracket(wide.name, missed, wide.below, wide.rows, wide.distinct, wide.low, wide.high,
+                                 wide.accuracy, wide.slack * 8))
+    return kept
+
+
+def _fetch(df: DataFrame, targets: dict, brackets: list[_Bracket]) -> dict:
     out = {}
-    for name in found:
-        found[name].sort()
-    for b in brackets:
-        seen = b.below
-        ranks = iter(b.ranks)
-        rank = next(ranks, None)
-        for value, count in found[b.name]:
-            if (b.low is not None and value < b.low) or (b.high is not None and value > b.high):
-                continue
+    single = [b for b in brackets if b.low is not None and b.low == b.high]
+    for b in single:
+        out.update({(b.name, r): Position(b.low, b.below, b.rows) for r in b.ranks})
+    brackets = [b for b in brackets if b not in single]
+    if not brackets:
+        return out
+    hits = F.array(*[F.when(b.holds(targets), F.struct(F.lit(i).alias("bracket"), targets[b.name].alias("value")))
+                     for i, b in enumerate(brackets)])
+    found: dict[int, list] = {}
+    wanted = reduce(lambda a, b: a | b, [b.holds(targets) for b in brackets])
+    rows = (df.where(wanted).select(F.inline(F.array_compact(hits))).groupBy("bracket", "value").count().collect())
+    for bracket, value, count in rows:
+        found.setdefault(bracket, []).append((value, count))
+    for i, b in enumerate(brackets):
+        seen, ranks = b.below, iter(b.ranks)
+        rank = next(ranks)
+        for value, count in sorted(found[i]):
             while rank is not None and rank < seen + count:
                 out[(b.name, rank)] = Position(value, seen, count)
                 rank = next(ranks, None)
@@ -147,14 +168,6 @@ def _fetch(values: DataFrame, brackets: list[_Bracket]) -> dict:
     return out
 
 
-def long_values(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    """(name, value) rows of the given expressions, nulls left out."""
-    pairs = F.array(*[F.struct(F.lit(n).alias("name"), c.cast("double").alias("value"))
-                      for n, c in columns.items()])
-    return (df.select(F.explode(pairs).alias("p")).select("p.name", "p.value")
-            .where(F.col("value").isNotNull() & ~F.isnan("value")))
-
-
 def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: list[float],
                     small_rows: int = PERCENTILE_ROWS,
                     fetch_values: int = FETCH_VALUES) -> dict[str, list[float | None]]:
@@ -164,27 +177,35 @@ def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: list[float
     """
     if not columns:
         return {}
-    clean = {n: F.when(~F.isnan(c.cast("double")), c.cast("double")) for n, c in columns.items()}
-    names = list(clean)
-    counts = df.agg(*[F.count(clean[n]).alias(f"c{i}") for i, n in enumerate(names)]).first()
-    rows = {n: counts[i] for i, n in enumerate(names)}
+    names = list(columns)
+    values = {n: F.when(~F.isnan(columns[n].cast("double")), columns[n].cast("double")) for n in names}
+    reach = 2.0 / COARSE
+    around = [e for p in probs for e in (max(p - reach, 0.0), min(p + reach, 1.0))]
+    first = df.agg(*[F.count(values[n]).alias(f"c{i}") for i, n in enumerate(names)],
+                   *[F.percentile_approx(values[n], around, COARSE).alias(f"s{i}")
+                     for i, n in enumerate(names)]).first()
+    rows = {n: first[f"c{i}"] for i, n in enumerate(names)}
     if max(rows.values()) <= small_rows:
-        row = df.agg(*[F.percentile(clean[n], F.array(*[F.lit(p) for p in probs])).alias(f"q{i}")
+        row = df.agg(*[F.percentile(values[n], F.array(*[F.lit(float(p)) for p in probs])).alias(f"q{i}")
                        for i, n in enumerate(names)]).first()
         return {n: list(row[i]) if row[i] is not None else [None] * len(probs) for i, n in enumerate(names)}
-    filled = [n for n in names if rows[n]]
-    ranks = {}
-    for n in filled:
-        spots = [p * (rows[n] - 1) for p in probs]
-        ranks[n] = [math.floor(s) for s in spots] + [math.ceil(s) for s in spots]
-    found = order_statistics(long_values(df, {n: clean[n] for n in filled}), ranks, rows, fetch_values)
+    steps = []
+    for i, n in enumerate(names):
+        if rows[n]:
+            spots = [p * (rows[n] - 1) for p in probs]
+            ranks = sorted({r for s in spots for r in (math.floor(s), math.ceil(s))})
+            whole = _Bracket(n, ranks, 0, rows[n], rows[n])
+            cuts = dict(zip(probs, zip(first[f"s{i}"][::2], first[f"s{i}"][1::2])))
+            near = [min(probs, key=lambda p: abs(p * (rows[n] - 1) - r)) for r in ranks]
+            steps.append((whole, whole.narrowed([c for p in near for c in cuts[p]])))
+    found = _settle(df, values, _proven(df, values, steps, fetch_values), fetch_values)
     out: dict[str, list[float | None]] = {}
     for n in names:
-        if not rows[n]:
-            out[n] = [None] * len(probs)
-            continue
         out[n] = []
         for p in probs:
+            if not rows[n]:
+                out[n].append(None)
+                continue
             spot = p * (rows[n] - 1)
             low, high = found[(n, math.floor(spot))].value, found[(n, math.ceil(spot))].value
             out[n].append(low + (high - low) * (spot - math.floor(spot)))

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from holdfast.functions.expressions import number
 from holdfast.session import stage
 
-BROADCAST_POINTS = 5_000
+BROADCAST_POINTS = 20_000
 BOX_POINTS = 5_000
 MAX_BOXES = 4096
 QUERY_CHUNK = 20_000

@@ -15,17 +15,21 @@ from pyspark.sql import functions as F
 
 from holdfast import settings
 from holdfast.functions.expressions import column, hash_order
-from holdfast.functions.selection import FETCH_VALUES, order_statistics
+from holdfast.functions.selection import order_statistics
 
 MIN_ROWS = 10
+MAX_CLASSES = 1000
 _ALL = "all"
 
 
 def _classes(df: DataFrame, label: str | None) -> dict[str, int]:
     if label is None:
         return {_ALL: df.count()}
-    return {r["name"]: r["count"] for r in
-            df.groupBy(column(label).cast("string").alias("name")).count().collect()}
+    rows = (df.groupBy(column(label).cast("string").alias("name")).count()
+            .limit(MAX_CLASSES + 1).collect())
+    if len(rows) > MAX_CLASSES:
+        raise ValueError(f"{label!r} has more than {MAX_CLASSES} classes; it is no class label")
+    return {r["name"]: r["count"] for r in rows}
 
 
 def _hashed(df: DataFrame, key: str, label: str | None, seed: int, method: str) -> DataFrame:
@@ -39,7 +43,8 @@ def _at_most(df: DataFrame, key: str, label: str | None, seed: int, method: str,
     """For the i-th quota a condition that holds for exactly that many rows of each class."""
     hashed = _hashed(df, key, label, seed, method)
     ranks = {n: [q - 1 for q in qs if 0 < q < rows[n]] for n, qs in quotas.items()}
-    found = order_statistics(hashed.select("name", "value"), ranks, rows, FETCH_VALUES)
+    targets = {n: F.when(F.col("name") == F.lit(n), F.col("value")) for n in quotas}
+    found = order_statistics(hashed.select("name", "value"), targets, ranks, rows)
     value, own = hash_order(column(key), seed, method), column(key)
     name = F.lit(_ALL) if label is None else column(label).cast("string")
     conditions = []

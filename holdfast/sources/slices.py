@@ -15,8 +15,7 @@ def _border(df: DataFrame, key: str, n: int, fetch_values: int):
     rows = df.count()
     if n >= rows:
         return None
-    values = df.select(F.lit("key").alias("name"), column(key).alias("value"))
-    spot = order_statistics(values, {"key": [n - 1]}, {"key": rows}, fetch_values)[("key", n - 1)]
+    spot = order_statistics(df, {key: column(key)}, {key: [n - 1]}, {key: rows}, fetch_values)[(key, n - 1)]
     if spot.equal != 1:
         raise ValueError(f"{key!r} has to be unique to cut the table at row {n}")
     return spot.value

@@ -7,13 +7,21 @@ from pyspark.sql import functions as F
 
 from holdfast.functions.expressions import to_number, yes_no
 
-SERVICES = ["svc_urgent", "svc_high", "svc_medium", "svc_notspec", "svc_low", "internet_service"]
-YES_NO = ["svc_urgent", "svc_high", "svc_medium", "svc_notspec", "svc_low"]
-NUMERIC = ["tenure", "monthly_charges", "total_charges"]
+# Declared, so that opening a table starts no job to look at file footers.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def customer360(spark: SparkSession, folder: str) -> DataFrame:
