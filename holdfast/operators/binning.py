@@ -48,7 +48,7 @@ def _shorten(value: float, digits: int) -> float:
     fraction, whole = math.modf(value)
     if whole == 0:
         digits += -math.floor(math.log10(abs(fraction))) - 1
-    return round(value, digits)
+    return round(value * 10.0**digits) / 10.0**digits
 
 
 def interval_texts(edges: list[float]) -> list[str]:

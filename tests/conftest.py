@@ -52,7 +52,7 @@ def raw_rows(n=200, seed=42):
             "Contract": rnd.choices(["Month-to-month", "One year", "Two year"], [55, 25, 20])[0],
             "PaperlessBilling": rnd.choice(["Yes", "No"]),
             "PaymentMethod": rnd.choice(["Electronic check", "Mailed check", *settings.AUTO_PAYMENT_METHODS]),
-            "MonthlyCharges": round(monthly, 2), "TotalCharges": " " if i in blanks else str(total),
+            "MonthlyCharges": round(float(monthly), 2), "TotalCharges": " " if i in blanks else str(total),
             "Churn": "Yes" if rnd.random() < 0.26 else "No",
         })
     return rows
