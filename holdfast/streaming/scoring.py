@@ -43,7 +43,7 @@ class ModelScorer:
         return score_rows(df, preprocessor, model, metadata.get("features"), self.label, self.key)
 
 
-def batch_writer(score: Callable[[DataFrame], DataFrame], output: str, failed: str | None = None,
+def batch_writer(score: Callable[[DataFrame], DataFrame], output: str, failed: str,
                  numbered: bool = True) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function: score, relabel the tier, write one folder per batch.
 
@@ -62,8 +62,6 @@ def batch_writer(score: Callable[[DataFrame], DataFrame], output: str, failed: s
             rows.write.mode("overwrite").json(f"{output}/batch={index}")
         except Exception as error:  # noqa: BLE001 - the rows are kept with their error
             log.error("batch %s failed: %s", index, error)
-            if failed is None:
-                return
             kept = df.select(F.to_json(F.struct("*")).alias("row"), F.lit(str(error)[:2000]).alias("error"),
                              F.lit(index).alias("batch_index"))
             kept.write.mode("overwrite").json(f"{failed}/batch={index}")
@@ -79,8 +77,11 @@ def file_stream(spark: SparkSession, folder: str, schema: T.StructType, file_for
 
 def run_stream(stream: DataFrame, score: Callable[[DataFrame], DataFrame], output: str, checkpoint: str,
                failed: str | None = None, numbered: bool = True, once: bool = True) -> StreamingQuery:
-    """Start the scoring query; ``once`` takes what is available and ends."""
-    writer = (stream.writeStream.foreachBatch(batch_writer(score, output, failed, numbered))
+    """Start the scoring query; ``once`` takes what is available and ends.
+
+    Batches that fail are kept in ``failed``, by default beside the output.
+    """
+    writer = (stream.writeStream.foreachBatch(batch_writer(score, output, failed or f"{output}-failed", numbered))
               .option("checkpointLocation", checkpoint))
     if once:
         writer = writer.trigger(availableNow=True)
