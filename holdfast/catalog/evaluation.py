@@ -380,12 +380,11 @@ _CANDIDATES = {"long_tenure": "tenure / 100.0", "short_tenure": "(100 - tenure)
 def _candidate_table(spark, sf):
     """Validation metrics of simple one-column scores, one row per candidate."""
     base = customer_base(spark, sf).where(F.col("tenure").isNotNull())
-    rows = None
-    for position, (name, expr) in enumerate(_CANDIDATES.items()):
-        scored = base.select(F.col(LABEL).alias("label"), F.expr(expr).cast("double").alias("score"))
-        metrics = evaluate.evaluate(scored, "label", "score").select(
-            F.lit(position).alias("position"), F.lit(name).alias("model_name"), "roc_auc", "pr_auc", "f1")
-        rows = metrics if rows is None else rows.unionByName(metrics)
+    scored = base.select(LABEL, *[F.expr(e).cast("double").alias(n) for n, e in _CANDIDATES.items()])
+    metrics = evaluate.evaluate_scores(scored, LABEL, {n: n for n in _CANDIDATES})
+    place = F.array_position(F.array(*[F.lit(n) for n in _CANDIDATES]), F.col("name")) - 1
+    rows = metrics.select(place.cast("int").alias("position"), F.col("name").alias("model_name"), "roc_auc", "pr_auc",
+                          "f1")
     broken = spark.range(1).select(F.lit(9).alias("position"), F.lit("broken").alias("model_name"),
                                    F.lit(float("nan")).alias("roc_auc"), F.lit(None).cast("double").alias("pr_auc"),
                                    F.lit(0.0).alias("f1"))

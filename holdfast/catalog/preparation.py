@@ -13,7 +13,6 @@ from holdfast.functions.expressions import (
     high_risk_profile, label_number, label_text, service_active,
 )
 from holdfast.operators import binning, encode, features, impute, outliers, quality, scale
-from holdfast.operators.neighbours import knn_fill
 from holdfast.operators.models import feature_columns
 from holdfast.plans.score import scoring_rows
 from holdfast.sources import slices
@@ -284,12 +283,11 @@ def i3(spark, sf):
   AS total_charges FROM base b LEFT JOIN (SELECT customer_id, avg(y) AS fill FROM (
     SELECT r.customer_id, d.total_charges AS y, row_number() OVER (PARTITION BY r.customer_id ORDER BY
       (power(r.tenure - d.tenure, 2) + power(r.monthly_charges - d.monthly_charges, 2)) * 1.5, d.total_charges) AS k
-    FROM base r, base d WHERE r.total_charges IS NULL AND d.total_charges IS NOT NULL) WHERE k <= 5 GROUP BY customer_id
+    FROM base r, base d WHERE r.total_charges IS NULL AND d.total_charges IS NOT NULL AND r.tenure IS NOT NULL) WHERE k <= 5 GROUP BY customer_id
   ) k USING (customer_id), (SELECT avg(total_charges) AS m FROM base) m"""))
 def i4(spark, sf):
     base = customer_base(spark, sf).select("customer_id", *NUMERIC)
-    filled = knn_fill(base, base, NUMERIC, settings.NEIGHBOURS)
-    out = impute.MeanImputer(["total_charges"]).fit(base).transform(filled)
+    out = impute.KnnImputer(NUMERIC).fit_transform(base)
     return out.select("customer_id", fixed(F.col("total_charges"), 3).alias("total_charges"))
 
 

@@ -13,10 +13,10 @@ def elect_champion(results: DataFrame, metric: str = settings.CHAMPION_METRIC, o
     """The row with the highest metric; NaN is passed over and the first of equals wins."""
     value = column(metric).cast("double")
     best = results.where(value.isNotNull() & ~F.isnan(value)).orderBy(value.desc(), column(order).asc()).limit(1)
-    # One row per model: staging the winner here costs one small read.
-    if best.isEmpty():
+    rows = best.collect()
+    if not rows:
         raise RuntimeError(f"no model has a valid {metric!r}")
-    return best
+    return results.sparkSession.createDataFrame(rows, results.schema)
 
 
 def compare_models(results: DataFrame, metric: str = settings.CHAMPION_METRIC, order: str = "position") -> DataFrame:

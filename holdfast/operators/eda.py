@@ -45,13 +45,10 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 def rate_by(df: DataFrame, by: str, label: str) -> DataFrame:
     """(category, n, rate_pct, overall_pct), highest rate first."""
     y = number(df, label)
-    sums = (df.groupBy(column(by).alias("category"))
-            .agg(F.count(y).alias("n"), F.sum(y).alias("positives"), F.avg(y).alias("rate")))
-    every = Window.partitionBy()
-    overall = F.sum("positives").over(every) / F.sum("n").over(every) * 100
-    return (sums.withColumn("overall_pct", overall).where(F.col("category").isNotNull())
-            .select("category", "n", (F.col("rate") * 100).alias("rate_pct"), "overall_pct")
-            .orderBy(F.desc("rate_pct"), "category"))
+    overall = df.agg(F.avg(y) * 100).scalar()
+    return (df.where(column(by).isNotNull()).groupBy(column(by).alias("category"))
+            .agg(F.count(y).alias("n"), (F.avg(y) * 100).alias("rate_pct"))
+            .withColumn("overall_pct", overall).orderBy(F.desc("rate_pct"), "category"))
 
 
 def rate_pivot(df: DataFrame, rows: str, columns: str, label: str, values: list | None = None) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdfast import settings
 from holdfast.functions.expressions import column, is_floating, missing, present
 from holdfast.functions.ordering import row_numbers
 from holdfast.operators.base import FittedOperator, pick
+from holdfast.session import stage
 
 WIDE = 2000
 
@@ -75,14 +76,23 @@ def _typed(text: str, kind: str):
     return int(text) if kind in ("byte", "short", "integer", "long") else float(text)
 
 
-class LabelEncoder(FittedOperator):
-    """Position of the value's text in sorted order.
+class _LookupEncoder(FittedOperator):
+    """Encoders whose state is a (name, word, ...) table of any size.
 
-    The dictionary is a table and the lookup a join, so it may have any size:
-    the planner broadcasts a small dictionary, and a hot category on the data
-    side is split by the skew join.
+    The table is written once at fit time and the lookup is a join: the planner
+    broadcasts a small table, and a hot category on the data side is split by
+    the skew join.
     """
 
+    def look_up(self, df: DataFrame, name: str, word: Column, value: str) -> DataFrame:
+        words = self.tables["words"].where(F.col("name") == name).select(
+            F.col("word").alias("_word"), F.col(value).alias("_value"))
+        return df.withColumn("_text", word).join(words, F.col("_text") == F.col("_word"), "left")
+
+
+class LabelEncoder(_LookupEncoder):
+    """Position of the value's text in sorted order."""
+
     kind = "encode_label"
 
     def __init__(self, columns: list[str], unseen: str = "error"):
@@ -92,28 +102,34 @@ class LabelEncoder(FittedOperator):
 
     def learn(self, df: DataFrame) -> dict:
         names = present(df, self.options["columns"])
-        self.tables = {}
-        for n in names:
-            values = df.select(_text(df, n).alias("value")).distinct()
-            self.tables[n] = row_numbers(values, [F.asc("value")], "code").select(
-                "value", (F.col("code") - 1).alias("code"))
+        if not names:
+            return {"columns": []}
+        pairs = F.array(*[F.struct(F.lit(n).alias("name"), _text(df, n).alias("word")) for n in names])
+        words = stage(df.select(F.inline(pairs)).distinct(), "words")
+        sizes = {r["name"]: r["count"] for r in words.groupBy("name").count().collect()}
+        start, running = [], 0
+        for n in sorted(sizes):
+            start += [F.lit(n), F.lit(running)]
+            running += sizes[n]
+        first = F.element_at(F.create_map(*start), F.col("name")) if start else F.lit(0)
+        numbered = row_numbers(words, [F.asc("name"), F.asc("word")], "position", rows=running)
+        self.tables = {"words": stage(numbered.select("name", "word", (F.col("position") - 1 - first).alias("code")),
+                                      "codes")}
         return {"columns": names}
 
     def apply(self, df: DataFrame, state: dict) -> DataFrame:
-        names = present(df, state["columns"])
         order = df.columns
-        for n in names:
-            words = self.tables[n].select(F.col("value").alias("_word"), F.col("code").alias("_code"))
-            df = df.withColumn("_text", _text(df, n)).join(words, F.col("_text") == F.col("_word"), "left")
-            code = F.col("_code")
+        for n in present(df, state["columns"]):
+            df = self.look_up(df, n, _text(df, n), "code")
+            code = F.col("_value")
             if self.options["unseen"] == "error":
                 unseen = F.raise_error(F.concat(F.lit(f"unseen category in {n}: "), F.col("_text")))
                 code = F.when(code.isNull(), unseen.cast("bigint")).otherwise(code)
-            df = df.withColumn(n, code).drop("_text", "_word", "_code")
+            df = df.withColumn(n, code).drop("_text", "_word", "_value")
         return df.select(*[column(n) for n in order])
 
 
-class TargetEncoder(FittedOperator):
+class TargetEncoder(_LookupEncoder):
     """Mean of the target per category; unseen and missing get the overall mean."""
 
     kind = "encode_target"
@@ -127,16 +143,23 @@ class TargetEncoder(FittedOperator):
             raise ValueError("target encoding needs a target column")
         names = present(df, self.options["columns"])
         y = column(target).cast("double")
-        self.tables = {n: df.where(~missing(df, n)).groupBy(column(n).alias("value")).agg(F.avg(y).alias("mean"))
-                      for n in names}
-        return {"columns": names, "overall": df.agg(F.avg(y)).first()[0]}
+        overall = df.agg(F.avg(y)).first()[0]
+        if names:
+            pairs = F.array(*[F.struct(F.lit(n).alias("name"), self._word(df, n).alias("word")) for n in names])
+            means = (df.select(y.alias("_y"), F.inline(pairs)).where(F.col("word").isNotNull())
+                     .groupBy("name", "word").agg(F.avg("_y").alias("mean")))
+            self.tables = {"words": stage(means, "means")}
+        return {"columns": names, "overall": overall}
+
+    @staticmethod
+    def _word(df: DataFrame, name: str) -> Column:
+        return F.when(~missing(df, name), column(name).cast("string"))
 
     def apply(self, df: DataFrame, state: dict) -> DataFrame:
         order = df.columns
         for n in present(df, state["columns"]):
-            means = self.tables[n].select(F.col("value").alias("_value"), F.col("mean").alias("_mean"))
-            df = df.join(means, column(n) == F.col("_value"), "left")
-            df = df.withColumn(n, F.coalesce(F.col("_mean"), F.lit(state["overall"]))).drop("_value", "_mean")
+            df = self.look_up(df, n, self._word(df, n), "mean")
+            df = df.withColumn(n, F.coalesce(F.col("_value"), F.lit(state["overall"]))).drop("_text", "_word", "_value")
         return df.select(*[column(n) for n in order])
 
 

@@ -198,22 +198,60 @@ def pr_points(df: DataFrame, label: str, score: str, slice_rows: int = SLICE_ROW
     return points.unionByName(end)
 
 
-def evaluate(df: DataFrame, label: str, score: str, threshold: float = 0.5,
-             slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """One row with every metric at the threshold, roc_auc and pr_auc."""
-    ordered, p, n = curve(df, label, score, slice_rows)
+def _metrics(threshold: float, positives: Column, negatives: Column) -> list[Column]:
     hit = F.col("score") >= threshold
-    row = ordered.agg(F.sum(F.when(~hit, F.col("neg")).otherwise(0)).alias("tn"),
-                      F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"),
-                      F.sum(F.when(~hit, F.col("pos")).otherwise(0)).alias("fn"),
-                      F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
-                      _roc_auc(p, n).alias("roc_auc"), _average_precision(p).alias("pr_auc"))
-    return _rates(row).select(
-        F.lit(float(threshold)).alias("threshold"),
+    area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2))
+    gain = F.sum(F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp"))))
+    return [F.sum(F.when(~hit, F.col("neg")).otherwise(0)).alias("tn"),
+            F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"),
+            F.sum(F.when(~hit, F.col("pos")).otherwise(0)).alias("fn"),
+            F.sum(F.when(hit, F.col("pos")).otherwise(0)).alias("tp"),
+            (area / positives / negatives).alias("roc_auc"), (gain / positives).alias("pr_auc")]
+
+
+def evaluate_scores(df: DataFrame, label: str, scores: dict[str, str], threshold: float = 0.5,
+                    slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Per named score column one row with every metric at the threshold, roc_auc and pr_auc.
+
+    All scores share one pass: counts per (name, score), one running total over
+    all names, and each name's start taken off it.
+    """
+    pairs = F.array(*[F.struct(F.lit(n).alias("name"), column(c).cast("double").alias("score"))
+                      for n, c in scores.items()])
+    counts = (df.select(column(label).alias("_y"), F.inline(pairs)).where(F.col("score").isNotNull())
+              .groupBy("name", "score").agg(F.count_if(F.col("_y") == 1).alias("pos"),
+                                            F.count_if(F.col("_y") == 0).alias("neg")))
+    totals = {r["name"]: r for r in counts.groupBy("name").agg(
+        F.count("*").alias("rows"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).collect()}
+    lacking = [n for n in scores if n not in totals or not totals[n]["pos"] or not totals[n]["neg"]]
+    if lacking:
+        raise ValueError(f"both classes are needed to evaluate {lacking}")
+    ordered = running_totals(counts, [F.asc("name"), F.desc("score")], {"tp": "pos", "fp": "neg"}, slice_rows,
+                             sum(r["rows"] for r in totals.values()))
+    starts, p, n = [], [], []
+    pos = neg = 0
+    for name in sorted(totals):
+        starts += [F.lit(name), F.struct(F.lit(pos).alias("p"), F.lit(neg).alias("n"))]
+        pos, neg = pos + totals[name]["pos"], neg + totals[name]["neg"]
+        p += [F.lit(name), F.lit(float(totals[name]["pos"]))]
+        n += [F.lit(name), F.lit(float(totals[name]["neg"]))]
+    start = F.element_at(F.create_map(*starts), F.col("name"))
+    own = ordered.withColumns({"tp": F.col("tp") - start["p"], "fp": F.col("fp") - start["n"],
+                               "all_p": F.element_at(F.create_map(*p), F.col("name")),
+                               "all_n": F.element_at(F.create_map(*n), F.col("name"))})
+    rows = own.groupBy("name").agg(*_metrics(threshold, F.first("all_p"), F.first("all_n")))
+    return _rates(rows).select(
+        "name", F.lit(float(threshold)).alias("threshold"),
         safe_ratio(F.col("tp") + F.col("tn"), F.col("tp") + F.col("tn") + F.col("fp") + F.col("fn")).alias("accuracy"),
         "precision", "recall", "f1", "roc_auc", "pr_auc", "tn", "fp", "fn", "tp")
 
 
+def evaluate(df: DataFrame, label: str, score: str, threshold: float = 0.5,
+             slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """One row with every metric at the threshold, roc_auc and pr_auc."""
+    return evaluate_scores(df, label, {score: score}, threshold, slice_rows).drop("name")
+
+
 def calibration(df: DataFrame, label: str, score: str, bins: int = 10) -> DataFrame:
     """(bin, mean_score, positive_share, n) over equal right-closed bins; empty bins are left out."""
     edges = [float(e) for e in np.linspace(0.0, 1.0, bins + 1)[1:-1]]

@@ -10,6 +10,7 @@ from holdfast.functions.expressions import column, is_numeric, missing, number,
 from holdfast.functions.selection import exact_quantiles
 from holdfast.operators.base import FittedOperator, pick
 from holdfast.operators.neighbours import knn_fill
+from holdfast.session import stage
 
 
 def _fill(df: DataFrame, values: dict) -> DataFrame:
@@ -84,7 +85,7 @@ class KnnImputer(FittedOperator):
         names = present(df, self.options["columns"])
         means = MeanImputer(names).fit(df).state
         if len(names) > 1:
-            self.tables = {"donors": df.select(*[number(df, n).alias(n) for n in names])}
+            self.tables = {"donors": stage(df.select(*[number(df, n).alias(n) for n in names]), "donors")}
         return {"columns": names, "means": means}
 
     def apply(self, df: DataFrame, state: dict) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.functions.expressions import number
+from holdfast.functions.expressions import column, number
 from holdfast.session import stage
 
 BROADCAST_POINTS = 20_000
@@ -211,42 +211,41 @@ def _mask(columns: list[Column]) -> Column:
     return mask
 
 
-def knn_values(df: DataFrame, donors: DataFrame, names: list[str], target: str, k: int,
-               **limits) -> DataFrame:
-    """(receiver, fill): the mean target of the k nearest donors of each distinct receiver.
+def _cells(df: DataFrame, names: list[str]) -> DataFrame:
+    """(cell, mask): the row's values over ``names`` and which of them are there."""
+    parts = [F.col(f"c{i}") for i in range(len(names))]
+    return (df.select(*[number(df, n).alias(f"c{i}") for i, n in enumerate(names)])
+            .select(F.array(*parts).alias("cell"), _mask(parts).alias("mask")))
 
-    ``receiver`` is the array of the row's values over ``names``.  Distances
-    run over the columns both rows have, scaled up for the ones missing.
+
+def _masks(cells: DataFrame) -> list[int]:
+    return sorted(r["mask"] for r in cells.select("mask").distinct().collect())
+
+
+def _target_fills(receivers: DataFrame, receiver_masks: list[int], given: DataFrame, donor_masks: list[int],
+                  width: int, t: int, k: int, **limits) -> DataFrame | None:
+    """(receiver, fill) for column ``t``; None when no receiver shares a column with a donor.
+
+    Distances run over the columns both rows have, scaled up for the ones missing.
     """
-    t = names.index(target)
-    all_receivers = (df.select(*[number(df, n).alias(f"c{i}") for i, n in enumerate(names)])
-                     .where(F.col(f"c{t}").isNull()))
-    cells = [F.col(f"c{i}") for i in range(len(names))]
-    receivers = all_receivers.select(F.array(*cells).alias("qid"), _mask(cells).alias("mask")).distinct()
-    given = (donors.select(*[number(donors, n).alias(f"c{i}") for i, n in enumerate(names)])
-             .where(F.col(f"c{t}").isNotNull()))
-    given = given.select(F.array(*cells).alias("cell"), _mask(cells).alias("mask"))
-    receiver_masks = [r[0] for r in receivers.select("mask").distinct().collect()]
-    donor_masks = [r[0] for r in given.select("mask").distinct().collect()]
     found = None
     for rm, dm in [(r, d) for r in receiver_masks for d in donor_masks]:
-        shared = [i for i in range(len(names)) if i != t and rm >> i & 1 and dm >> i & 1]
-        if not shared:
+        shared = [i for i in range(width) if rm >> i & 1 and dm >> i & 1]
+        if not shared or rm >> t & 1 or not dm >> t & 1:
             continue
 
         def project(array, keep=shared):
             return F.array(*[F.col(array)[i] for i in keep])
 
-        queries = receivers.where(F.col("mask") == rm).select("qid", project("qid").alias("q"))
+        queries = receivers.where(F.col("mask") == rm).select(F.col("cell").alias("qid"), project("cell").alias("q"))
         # Of the donors at one spot only the k smallest targets can matter.
         spots = _smallest(given.where(F.col("mask") == dm)
                           .select(project("cell").alias("point"), F.col("cell")[t].alias("y")), k)
-        scale = len(names) / len(shared)
         near = nearest(queries, spots, len(shared), k, **limits).select(
-            "qid", (F.col("distance2") * scale).alias("d"), F.explode("payload").alias("y"))
+            "qid", (F.col("distance2") * (width / len(shared))).alias("d"), F.explode("payload").alias("y"))
         found = near if found is None else found.unionByName(near)
     if found is None:
-        return receivers.select(F.col("qid").alias("receiver"), F.lit(None).cast("double").alias("fill")).limit(0)
+        return None
     best = F.slice(F.array_sort(F.collect_list(F.struct("d", "y"))), 1, k)
     # At most k spots with k targets per pair of missing patterns reach this list.
     kept = found.groupBy("qid").agg(best.alias("b"))
@@ -266,15 +265,21 @@ def _smallest(rows: DataFrame, k: int) -> DataFrame:
 
 
 def knn_fill(df: DataFrame, donors: DataFrame, names: list[str], k: int, **limits) -> DataFrame:
-    """Fill the gaps of each column from its nearest donors; rows without any distance stay missing."""
-    order = df.columns
-    source = df
-    cell = F.array(*[number(df, n) for n in names])
-    out = df.withColumn("_cell", cell)
-    gaps = df.agg(*[F.count_if(number(df, n).isNull()).alias(f"g{i}") for i, n in enumerate(names)]).first()
-    for n in [n for i, n in enumerate(names) if gaps[i]]:
-        fills = knn_values(source, donors, names, n, k, **limits).withColumnRenamed("fill", "_fill")
-        out = (out.join(fills, out["_cell"].eqNullSafe(fills["receiver"]), "left").drop("receiver")
-               .withColumn(n, F.coalesce(number(out, n), F.col("_fill"))).drop("_fill"))
-    return out.select(*order)
+    """Fill the gaps of each column with the mean of its k nearest donors.
 
+    Equal receivers are looked up once.  Rows without any distance stay missing.
+    """
+    full = (1 << len(names)) - 1
+    receivers = stage(_cells(df, names).where(F.col("mask") != full).distinct(), "receivers")
+    receiver_masks = _masks(receivers)
+    given = _cells(donors, names)
+    donor_masks = _masks(given) if receiver_masks else []
+    order = df.columns
+    out = df.withColumn("_cell", F.array(*[number(df, n) for n in names]))
+    for t, n in enumerate(names):
+        fills = _target_fills(receivers, receiver_masks, given, donor_masks, len(names), t, k, **limits)
+        if fills is not None:
+            fills = fills.withColumnRenamed("fill", "_fill")
+            out = (out.join(fills, out["_cell"].eqNullSafe(fills["receiver"]), "left").drop("receiver")
+                   .withColumn(n, F.coalesce(number(out, n), F.col("_fill"))).drop("_fill"))
+    return out.select(*[column(c) for c in order])
