@@ -20,6 +20,10 @@ SCHEMAS = {
 }
 
 
+# The order priorities, by their leading digit.
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
@@ -34,22 +38,26 @@ def customer360(spark: SparkSession, folder: str) -> DataFrame:
     nation = read_table(spark, folder, "nation")
     orders = read_table(spark, folder, "orders")
 
-    def has(digit: str):
-        return F.max(F.col("o_orderpriority").startswith(digit))
-
+    # Only fixed-width values are aggregated: a text among them would turn the
+    # hash aggregate into a sort of all orders.
+    digit = F.ascii("o_orderpriority") - F.ascii(F.lit("0"))
     latest = orders.groupBy("o_custkey").agg(
         F.count("*").alias("n_orders"),
-        F.max_by(F.struct("o_orderdate", "o_totalprice", "o_orderpriority"), "o_orderkey").alias("last"),
+        F.max_by("o_orderdate", "o_orderkey").alias("ref_dt"),
+        F.max_by("o_totalprice", "o_orderkey").alias("last_price"),
+        F.max_by(digit, "o_orderkey").alias("last_digit"),
         F.max("o_orderdate").alias("last_dt"),
-        F.sum(F.when(F.col("o_orderpriority").startswith("1"),
-                     F.col("o_totalprice").cast("decimal(18,2)"))).alias("urgent_price"),
-        *[has(d).alias(f"p{d}") for d in "12345"],
+        F.sum(F.when(digit == 1, F.col("o_totalprice").cast("decimal(18,2)"))).alias("urgent_price"),
+        F.bit_or(F.expr("shiftleft(1, ascii(o_orderpriority) - ascii('0'))")).alias("digits"),
     )
+    last_priority = F.when(F.lit(False), F.lit(""))
+    for i, text in enumerate(PRIORITIES, 1):
+        last_priority = last_priority.when(F.col("last_digit") == i, F.lit(text))
 
-    def flag(digit: str):
-        return F.when(F.col(f"p{digit}"), "Yes").otherwise("No")
+    def flag(i: int):
+        return F.when(F.col("digits").bitwiseAND(1 << i) > 0, "Yes").otherwise("No")
 
-    ref = F.col("last.o_orderdate")
+    ref = F.col("ref_dt")
     balance = F.col("c_acctbal")
     cutoff = F.lit("2001-02-01 00:00:00").cast("timestamp_ntz")
     joined = (customer.join(nation, customer.c_nationkey == nation.n_nationkey)
@@ -59,15 +67,15 @@ def customer360(spark: SparkSession, folder: str) -> DataFrame:
         F.col("c_mktsegment").alias("segment"),
         F.col("n_name").alias("nation"),
         ((2001 - F.year(ref)) * 12 + (8 - F.month(ref))).alias("tenure"),
-        F.col("last.o_totalprice").alias("monthly_charges"),
+        F.col("last_price").alias("monthly_charges"),
         F.coalesce(F.col("urgent_price").cast("string"), F.lit(" ")).alias("total_charges"),
-        flag("1").alias("svc_urgent"), flag("2").alias("svc_high"), flag("3").alias("svc_medium"),
-        flag("4").alias("svc_notspec"), flag("5").alias("svc_low"),
+        flag(1).alias("svc_urgent"), flag(2).alias("svc_high"), flag(3).alias("svc_medium"),
+        flag(4).alias("svc_notspec"), flag(5).alias("svc_low"),
         F.when(F.col("n_orders") >= 14, "Fiber optic").when(F.col("n_orders") >= 8, "DSL")
         .otherwise("No").alias("internet_service"),
         F.when(balance >= 7000, "Two year").when(balance >= 4000, "One year")
         .otherwise("Month-to-month").alias("contract"),
-        F.col("last.o_orderpriority").alias("payment_method"),
+        last_priority.alias("payment_method"),
         F.when(F.col("last_dt").isNull() | (F.col("last_dt") < cutoff), "Yes").otherwise("No").alias("churn"),
     )
 
