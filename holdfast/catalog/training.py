@@ -92,12 +92,12 @@ def s8(spark, sf):
 
 def _prepared(spark, sf):
     done = prepare(customer360(spark, sf), preprocessor())
-    return {name: stage(df, name) for name, df in done.parts().items()}, done.preprocessor
+    return done.parts()
 
 
 def _fitted(spark, sf, name, params=None, class_weight=False):
     """Validation metrics of one preset on the prepared splits."""
-    parts, _ = _prepared(spark, sf)
+    parts = _prepared(spark, sf)
     features = models.feature_columns(parts["train"], LABEL, KEY)
     model = models.fit_model(parts["train"], name, features, LABEL, params, class_weight=class_weight)
     scored = models.with_score(parts["val"], model)
@@ -142,7 +142,7 @@ def m8(spark, sf):
 
 @query("m9_parameter_search")
 def m9(spark, sf):
-    parts, _ = _prepared(spark, sf)
+    parts = _prepared(spark, sf)
     task = search.Task("decision_tree", models.feature_columns(parts["train"], LABEL, KEY), LABEL, KEY, "none")
     params, score = search.search(parts["train"], task, SMALL_GRIDS["decision_tree"], folds=3)
     return spark.createDataFrame([(str(sorted(params.items())), score)], "params string, roc_auc double")
@@ -150,7 +150,7 @@ def m9(spark, sf):
 
 @query("m10_cross_validation")
 def m10(spark, sf):
-    parts, _ = _prepared(spark, sf)
+    parts = _prepared(spark, sf)
     task = search.Task("logistic_regression", models.feature_columns(parts["train"], LABEL, KEY), LABEL, KEY, "smote")
     scores = search.fold_scores(parts["train"], task, [{"C": 1.0, "max_iter": 50}], 3)[0]
     return spark.createDataFrame([(i, s) for i, s in enumerate(scores)], "fold int, roc_auc double")
@@ -158,7 +158,7 @@ def m10(spark, sf):
 
 @query("m14_training_run")
 def m14(spark, sf):
-    parts, _ = _prepared(spark, sf)
+    parts = _prepared(spark, sf)
     run = run_training(parts["train"], parts["val"], parts["test"], label=LABEL, key=KEY, models=list(SMALL_GRIDS),
                        grids=SMALL_GRIDS, imbalance="class_weight", draws=2, search_folds=2, folds=2)
     return run.results.withColumn("champion", F.col("model_name") == run.champion)
@@ -166,7 +166,7 @@ def m14(spark, sf):
 
 @query("v12_feature_importance")
 def v12(spark, sf):
-    parts, _ = _prepared(spark, sf)
+    parts = _prepared(spark, sf)
     features = models.feature_columns(parts["train"], LABEL, KEY)
     model = models.fit_model(parts["train"], "random_forest", features, LABEL, {"n_estimators": 20})
     return models.feature_importance(model, features, spark)
@@ -174,7 +174,7 @@ def v12(spark, sf):
 
 @query("v13_learning_curve")
 def v13(spark, sf):
-    parts, _ = _prepared(spark, sf)
+    parts = _prepared(spark, sf)
     task = search.Task("decision_tree", models.feature_columns(parts["train"], LABEL, KEY), LABEL, KEY, "none")
     return search.learning_curve(parts["train"], task, {"max_depth": 3}, steps=3, folds=2)
 
@@ -191,9 +191,8 @@ def _published(spark, sf):
     """A model store with one small champion, and the raw rows it was trained on."""
     raw = stage(customer360(spark, sf), "raw")
     done = prepare(raw, preprocessor())
-    train = stage(done.train, "train")
-    features = models.feature_columns(train, LABEL, KEY)
-    model = models.fit_model(train, "decision_tree", features, LABEL)
+    features = models.feature_columns(done.train, LABEL, KEY)
+    model = models.fit_model(done.train, "decision_tree", features, LABEL)
     store = artefacts.ModelStore(spark, scratch_path(spark, "store"))
     store.publish(done.preprocessor, model, {"model_name": "decision_tree", "features": features})
     return raw, store

@@ -129,8 +129,8 @@ class Prepared:
 def prepare(raw: DataFrame, preprocessor: Preprocessor | None = None) -> Prepared:
     """Fit every step and return the three model-ready splits.
 
-    The cleaned rows are written once, since the split, the fits and the result
-    all scan them.
+    The cleaned rows are written once, since the split and the fits scan them,
+    and so is the result, one folder per split, since every model fit scans it.
     """
     p = preprocessor or Preprocessor()
     o = p.options
@@ -153,5 +153,5 @@ def prepare(raw: DataFrame, preprocessor: Preprocessor | None = None) -> Prepare
     else:
         p.fit(train)
         df = p.repaired(df)
-    done = p.binner.transform(p.scaler.transform(p.encoder.transform(df)))
+    done = stage(p.binner.transform(p.scaler.transform(p.encoder.transform(df))), "prepared", by=_SPLIT)
     return Prepared(*[done.where(F.col(_SPLIT) == s).drop(_SPLIT) for s in settings.SPLITS], p)

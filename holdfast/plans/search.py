@@ -42,11 +42,11 @@ class Task:
             raise ValueError(f"unknown imbalance strategy {self.imbalance!r}; choose from {list(IMBALANCE)}")
 
     def balanced(self, train: DataFrame) -> DataFrame:
-        """Training rows, oversampled if asked for; written once because every fit scans them."""
+        """Training rows; oversampled ones are written once because every fit scans them."""
         rows = train.select(self.key, self.label, *self.features)
-        if self.imbalance == "smote":
-            rows = oversample(rows, self.key, self.label, self.features, self.neighbours, self.seed)
-        return stage(rows, "balanced")
+        if self.imbalance != "smote":
+            return rows
+        return stage(oversample(rows, self.key, self.label, self.features, self.neighbours, self.seed), "balanced")
 
     def fit(self, rows: DataFrame, params: dict | None) -> PipelineModel:
         return fit_model(rows, self.name, self.features, self.label, params, self.seed,

@@ -47,14 +47,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def stage(df: DataFrame, name: str = "stage", by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage of a frame that several later jobs scan.  The files stay
-    readable when executors are lost, and later scans prune columns.
+    readable when executors are lost, and later scans prune columns.  With
+    ``by`` there is one folder per value, so a filter on it reads only its own.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

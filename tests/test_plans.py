@@ -14,7 +14,7 @@ from holdfast.plans import search
 from holdfast.plans.prepare import Preprocessor, PrepareSettings, prepare
 from holdfast.plans.score import predict, score_rows
 from holdfast.plans.train import run_training
-from holdfast.session import scratch_path, shared_folder, stage
+from holdfast.session import scratch_path, shared_folder
 from holdfast.sources import artefacts, files
 from holdfast.streaming import scoring
 from tests.conftest import values
@@ -26,7 +26,7 @@ GRIDS = {"logistic_regression": {"C": [1.0], "max_iter": [20]}, "decision_tree":
 @pytest.fixture(scope="module")
 def prepared(spark, raw_df):
     done = prepare(raw_df, Preprocessor(PrepareSettings(fit_scope="all")))
-    return {n: stage(df, n) for n, df in done.parts().items()}, done.preprocessor
+    return done.parts(), done.preprocessor
 
 
 @pytest.fixture(scope="module")
