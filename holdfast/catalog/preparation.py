@@ -13,7 +13,7 @@ from holdfast.functions.expressions import (
     high_risk_profile, label_number, label_text, service_active,
 )
 from holdfast.operators import binning, encode, features, impute, outliers, quality, scale
-from holdfast.operators.models import feature_columns
+from holdfast.operators.models import aligned, feature_columns
 from holdfast.plans.score import scoring_rows
 from holdfast.sources import slices
 from holdfast.sources.files import coerce_numbers, map_yes_no
@@ -87,6 +87,12 @@ def p5(spark, sf):
     return scoring_rows(customer_base(spark, sf), "churn")
 
 
+@query("p6_aligned_features", on_base("SELECT total_charges, tenure, monthly_charges FROM base"))
+def p6(spark, sf):
+    base = customer_base(spark, sf)
+    return base.select(*aligned(base, ["total_charges", "tenure", "monthly_charges"]))
+
+
 @query("p8_high_risk_profile", on_base("""SELECT customer_id, CASE WHEN contract = 'Month-to-month'
   AND payment_method = '3-MEDIUM' AND tenure <= 12 THEN 1 ELSE 0 END AS high_risk FROM base"""))
 def p8(spark, sf):
@@ -291,6 +297,16 @@ def i4(spark, sf):
     return out.select("customer_id", fixed(F.col("total_charges"), 3).alias("total_charges"))
 
 
+@query("i5_handler", on_base(f"""SELECT customer_id, {sql_fixed("coalesce(total_charges, m)", 4)} AS total_charges,
+  coalesce(gap, s) AS segment FROM (SELECT *, CASE WHEN tenure > 6 THEN segment END AS gap FROM base),
+  (SELECT quantile_cont(total_charges, 0.5) AS m FROM base),
+  (SELECT segment AS s FROM base WHERE tenure > 6 GROUP BY segment ORDER BY count(*) DESC, segment LIMIT 1)"""))
+def i5(spark, sf):
+    gaps = customer_base(spark, sf).withColumn("segment", F.when(F.col("tenure") > 6, F.col("segment")))
+    out = impute.MissingValueHandler("median", ["total_charges"], ["segment"]).fit_transform(gaps)
+    return out.select("customer_id", fixed(F.col("total_charges"), 4).alias("total_charges"), "segment")
+
+
 # ---- outliers --------------------------------------------------------------------
 
 @query("o1_iqr_bounds", _count_sql("lineitem", LINE_NUMBERS, _iqr_sql))

@@ -8,26 +8,23 @@ from pyspark.sql import functions as F
 from holdfast.session import checkpointed
 
 SLICE_ROWS = 1_000_000
+MAX_SLICES = 10_000
 
 
 def _sliced(df: DataFrame, order: list[Column], rows: int, slice_rows: int) -> DataFrame:
     """Range-partitioned, sorted and fixed by a checkpoint, with the slice number."""
-    slices = -(-rows // slice_rows)
+    slices = min(-(-rows // slice_rows), MAX_SLICES)
     ordered = df.repartitionByRange(slices, *order).sortWithinPartitions(*order)
     return checkpointed(ordered).withColumn("_slice", F.spark_partition_id())
 
 
-def _offsets(per_slice: dict[int, float], ascending_slices: list[int]) -> dict[int, float]:
-    running, out = 0, {}
-    for s in ascending_slices:
-        out[s] = running
-        running += per_slice[s]
-    return out
-
-
-def _lookup(offsets: dict[int, float], kind: str) -> Column:
-    pairs = [F.lit(x) for s, o in offsets.items() for x in (s, o)]
-    return F.element_at(F.create_map(*pairs), F.col("_slice")).cast(kind)
+def _starts(per_slice: dict[int, int]) -> Column:
+    """What all slices before the row's own one add up to, as one constant array."""
+    starts, running = [], 0
+    for i in range(max(per_slice) + 1):
+        starts.append(running)
+        running += per_slice.get(i, 0)
+    return F.get(F.expr("array(" + ", ".join(f"{s}L" for s in starts) + ")"), F.col("_slice"))
 
 
 def row_numbers(df: DataFrame, order: list[Column], name: str = "row_number",
@@ -38,9 +35,8 @@ def row_numbers(df: DataFrame, order: list[Column], name: str = "row_number",
         return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     fixed = _sliced(df, order, rows, slice_rows)
     counts = {r["_slice"]: r["count"] for r in fixed.groupBy("_slice").count().collect()}
-    start = _lookup(_offsets(counts, sorted(counts)), "bigint")
     inside = F.monotonically_increasing_id() - F.shiftleft(F.col("_slice").cast("bigint"), 33)
-    return fixed.withColumn(name, start + inside + 1).drop("_slice")
+    return fixed.withColumn(name, _starts(counts) + inside + 1).drop("_slice")
 
 
 def running_totals(df: DataFrame, order: list[Column], totals: dict[str, str],
@@ -52,10 +48,8 @@ def running_totals(df: DataFrame, order: list[Column], totals: dict[str, str],
         return df.withColumns({new: F.sum(old).over(w) for new, old in totals.items()})
     fixed = _sliced(df, order, rows, slice_rows)
     sums = fixed.groupBy("_slice").agg(*[F.sum(old).alias(new) for new, old in totals.items()]).collect()
-    slices = sorted(r["_slice"] for r in sums)
     w = Window.partitionBy("_slice").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     added = {}
     for new, old in totals.items():
-        start = _lookup(_offsets({r["_slice"]: r[new] for r in sums}, slices), "bigint")
-        added[new] = F.sum(old).over(w) + start
+        added[new] = F.sum(old).over(w) + _starts({r["_slice"]: r[new] for r in sums})
     return fixed.withColumns(added).drop("_slice")

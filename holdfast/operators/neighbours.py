@@ -20,9 +20,10 @@ from holdfast.session import stage
 
 BROADCAST_POINTS = 20_000
 BOX_POINTS = 5_000
-MAX_BOXES = 4096
+MAX_BOXES = 16_384
+BOX_SAMPLE = 16
 QUERY_CHUNK = 20_000
-_BATCH = 512
+_DISTANCES = 4_000_000
 
 
 class Boxes:
@@ -31,6 +32,7 @@ class Boxes:
     def __init__(self, sample: np.ndarray, boxes: int):
         self.dim, self.at, self.low_child, self.high_child, self.box = [], [], [], [], []
         self.lows, self.highs = [], []
+        self.sample = sample
         width = sample.shape[1]
         self._grow(sample, max(1, len(sample) // max(boxes, 1)), np.full(width, -np.inf), np.full(width, np.inf))
         self.lows, self.highs = np.array(self.lows), np.array(self.highs)
@@ -87,8 +89,9 @@ def _closest(queries: np.ndarray, points: np.ndarray, first: np.ndarray, k: int)
 
     Ties are broken by the first payload entry.
     """
-    for start in range(0, len(queries), _BATCH):
-        block = queries[start:start + _BATCH]
+    step = max(1, _DISTANCES // max(len(points), 1))
+    for start in range(0, len(queries), step):
+        block = queries[start:start + step]
         distance = np.zeros((len(block), len(points)))
         for d in range(points.shape[1]):
             distance += (block[:, d, None] - points[None, :, d]) ** 2
@@ -140,8 +143,7 @@ def _nearest_in_boxes(queries, points, width, k, box_points, query_chunk, schema
     points, queries = stage(points, "points"), stage(queries, "queries")
     count = points.count()
     boxes = min(MAX_BOXES, -(-count // box_points))
-    wanted = boxes * 32
-    picked = points.select("point").orderBy(F.xxhash64("point")).limit(wanted).toPandas()
+    picked = points.select("point").orderBy(F.xxhash64("point")).limit(boxes * BOX_SAMPLE).toPandas()
     tree = spark.sparkContext.broadcast(Boxes(_matrix(picked["point"], width), boxes))
 
     def place(name):
@@ -170,7 +172,13 @@ def _nearest_in_boxes(queries, points, width, k, box_points, query_chunk, schema
 
     def spread(batches):
         for b in batches:
-            reach = tree.value.reached(_matrix(b["q"], width), b["radius2"].to_numpy())
+            q, radius = _matrix(b["q"], width), b["radius2"].to_numpy().copy()
+            alone = np.flatnonzero(np.isinf(radius))
+            if len(alone) and len(tree.value.sample) >= k:
+                # A box with too few points: the sample, part of the points, bounds the radius.
+                for i, _near, distance in _closest(q[alone], tree.value.sample, np.zeros(len(tree.value.sample)), k):
+                    radius[alone[i]] = distance[-1]
+            reach = tree.value.reached(q, radius)
             repeat = [len(r) for r in reach]
             yield pd.DataFrame({"qid": b["qid"].repeat(repeat), "q": b["q"].repeat(repeat),
                                 "box": np.concatenate(reach).astype("int64")})
@@ -193,15 +201,13 @@ def _nearest_in_boxes(queries, points, width, k, box_points, query_chunk, schema
 
 def _by_box(queries: DataFrame, points: DataFrame, query_chunk: int, fn, schema) -> DataFrame:
     """Cogroup by box; a box with many queries is split and its points repeated per part."""
-    counts = queries.groupBy("box").count().collect()
-    parts = {r["box"]: -(-r["count"] // query_chunk) for r in counts}
-    if not parts:
-        return queries.sparkSession.createDataFrame([], schema)
-    lookup = F.create_map(*[F.lit(int(x)) for item in parts.items() for x in item])
-    n = F.coalesce(F.element_at(lookup, F.col("box")), F.lit(0))
-    q = queries.withColumn("part", F.pmod(F.xxhash64("qid"), n).cast("int"))
-    p = points.where(n > 0).withColumn("part", F.explode(F.sequence(F.lit(0), (n - 1).cast("int"))))
-    return q.groupBy("box", "part").cogroup(p.groupBy("box", "part")).applyInPandas(fn, schema)
+    parts = queries.groupBy("box").agg(F.ceil(F.count("*") / query_chunk).cast("int").alias("parts"))
+    # One row per box, MAX_BOXES at most.
+    parts = F.broadcast(parts)
+    q = queries.join(parts, "box").withColumn("part", F.pmod(F.xxhash64("qid"), F.col("parts")).cast("int"))
+    p = points.join(parts, "box").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return (q.drop("parts").groupBy("box", "part")
+            .cogroup(p.drop("parts").groupBy("box", "part")).applyInPandas(fn, schema))
 
 
 def _mask(columns: list[Column]) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from holdfast import settings
@@ -132,3 +132,17 @@ def expectations(df: DataFrame, required: list[str], binary: list[str], label: s
     entries += [check(f"not_binary:{c}", F.col(f"b{i}"), F.col(f"b{i}") == 0) for i, c in enumerate(binary)]
     entries += [check(f"nulls:{c}", F.col(f"n{i}"), F.col(f"n{i}") == 0) for i, c in enumerate(never_null)]
     return _unpivot(df.agg(*stats), entries)
+
+
+def quality_report(df: DataFrame, label: str, key: str | None = None) -> dict[str, DataFrame]:
+    """The checks of a freshly read table: nulls, duplicates and the label rate."""
+    report = {"nulls": null_report(df), "duplicate_rows": duplicate_rows(df), "label": label_rate(df, label)}
+    if key is not None:
+        report["duplicate_keys"] = duplicate_keys(df, key)
+    return report
+
+
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """The frame and an observation of its row count, filled by whatever action runs it."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).alias("n_columns")), seen

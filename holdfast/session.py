@@ -8,9 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(app: str = "holdfast", cores: str = "*", shuffle_partitions: int = 8) -> SparkSession:
+def local_session(app: str = "holdfast", cores: str = "*", shuffle_partitions: int = 8,
+                  options: dict[str, str] | None = None) -> SparkSession:
     """A single-machine session for tests and benchmarks; clusters bring their own."""
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -21,8 +22,10 @@ def local_session(app: str = "holdfast", cores: str = "*", shuffle_partitions: i
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
     )
+    for key, value in (options or {}).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

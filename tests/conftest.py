@@ -14,7 +14,8 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("tests", "4", 4)
+    # Many short jobs: the quick compiler alone starts faster.
+    session = local_session("tests", "4", 4, {"spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1"})
     yield session
     session.stop()
 

@@ -45,6 +45,16 @@ def test_profile_and_label_rate(spark):
     assert (row["n_rows"], row["n_columns"], round(row["label_rate_pct"], 4)) == (3, 3, 66.6667)
 
 
+def test_report_and_observation(spark):
+    df = spark.createDataFrame([(1, 0.0), (1, 1.0), (2, None)], "k int, y double")
+    report = quality.quality_report(df, "y", "k")
+    assert set(report) == {"nulls", "duplicate_rows", "label", "duplicate_keys"}
+    assert report["label"].first()["label_rate_pct"] == 50.0 and report["duplicate_keys"].first()[0] == 1
+    watched, seen = quality.observed(df, "stage")
+    watched.where("k = 1").collect()
+    assert seen.get == {"n_rows": 3, "n_columns": 2}
+
+
 def test_describe_matches_pandas(spark):
     data = [float(v) for v in np.random.default_rng(3).normal(50, 20, 101)]
     got = quality.describe(frame(spark, "v", data), ["v", "absent"]).first().asDict()
@@ -302,15 +312,20 @@ DATASETS = {
 }
 
 
-@pytest.mark.parametrize("data", list(DATASETS))
 @pytest.mark.parametrize("strategy", ["quantile", "uniform"])
 @pytest.mark.parametrize("labels", [None, ["a", "b", "c", "d"], ["a"]])
-def test_bins_match_pandas(spark, data, strategy, labels):
-    train = DATASETS[data]
-    test = [*train[:10], min(train), max(train), max(train) + 1e6, min(train) - 1e6, None]
-    fitted = binning.FeatureBinner([binning.BinConfig("v", 4, strategy, labels)]).fit(frame(spark, "v", train))
-    got = column(fitted.transform(frame(spark, "v", test)), "v_bin")
-    assert got == pandas_bins(train, test, 4, strategy, labels)
+def test_bins_match_pandas(spark, strategy, labels):
+    def wide(columns):
+        """One column per data set, shorter ones filled up with nulls."""
+        n = max(len(v) for v in columns.values())
+        rows = list(zip(range(n), *[v + [None] * (n - len(v)) for v in columns.values()]))
+        return spark.createDataFrame(rows, "i int, " + ", ".join(f"{c} double" for c in columns))
+
+    tests = {c: [*v[:5], min(v), max(v), max(v) + 1e6, min(v) - 1e6, None] for c, v in DATASETS.items()}
+    fitted = binning.FeatureBinner([binning.BinConfig(c, 4, strategy, labels) for c in DATASETS]).fit(wide(DATASETS))
+    got = fitted.transform(wide(tests)).orderBy("i").collect()
+    for c, train in DATASETS.items():
+        assert [r[f"{c}_bin"] for r in got] == pandas_bins(train, tests[c], 4, strategy, labels)
 
 
 def test_binning_switch_and_absent_column(spark):
