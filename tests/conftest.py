@@ -15,7 +15,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     # Many short jobs: the quick compiler alone starts faster.
-    session = local_session("tests", "4", 4, {"spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1"})
+    session = local_session("tests", "4", 4, {"spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1 -XX:ReservedCodeCacheSize=240m"})
     yield session
     session.stop()
 

@@ -45,14 +45,11 @@ def test_profile_and_label_rate(spark):
     assert (row["n_rows"], row["n_columns"], round(row["label_rate_pct"], 4)) == (3, 3, 66.6667)
 
 
-def test_report_and_observation(spark):
+def test_quality_report(spark):
     df = spark.createDataFrame([(1, 0.0), (1, 1.0), (2, None)], "k int, y double")
     report = quality.quality_report(df, "y", "k")
     assert set(report) == {"nulls", "duplicate_rows", "label", "duplicate_keys"}
     assert report["label"].first()["label_rate_pct"] == 50.0 and report["duplicate_keys"].first()[0] == 1
-    watched, seen = quality.observed(df, "stage")
-    watched.where("k = 1").collect()
-    assert seen.get == {"n_rows": 3, "n_columns": 2}
 
 
 def test_describe_matches_pandas(spark):
