@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from holdfast import settings
 from holdfast.catalog import query
 from holdfast.catalog.common import (
-    CATEGORICAL, FEATURES, NUMERIC, YES_NO, fixed, on_base, on_raw, sql_fixed, sql_number, sql_yes_no,
+    FEATURES, NUMERIC, YES_NO, fixed, on_base, on_raw, sql_fixed, sql_number, sql_yes_no,
 )
 from holdfast.functions.expressions import (
     high_risk_profile, label_number, label_text, service_active,
