@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdfast.catalog import query
-from holdfast.llm.quality_rules import judge
+from holdfast.llm.bpe import encode_texts
+from holdfast.llm.quality_rules import STOP_WORDS, judge
+from holdfast.llm.secrets import KINDS, scan_secrets
+from holdfast.llm.token_files import crc32, read_tokens, write_tokens
+from holdfast.session import scratch_path
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,8 +46,6 @@ FROM b"""
 
 
 def _op8_sql() -> str:
-    from holdfast.llm.quality_rules import STOP_WORDS
-
     names = [*STOP_WORDS, *(w.capitalize() for w in STOP_WORDS)]
     return OP8_SQL.replace("{stop}", ", ".join(f"'{w}'" for w in names))
 
@@ -51,3 +55,43 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(documents(spark, sf_dir)).select(
         F.col("_row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
+
+
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file; the same on every machine that has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def _spans(secrets):
+    return F.array_join(F.transform(secrets, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
+
+
+@query("op1_secret_scan")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(documents(spark, sf_dir).select("doc_id", "text"))
+    kinds = F.transform("secrets", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    base = F.filter("secrets", lambda s: s["kind"].isin(KINDS))
+    return found.select("doc_id", *counts, F.sha2(_spans(base), 256).alias("base_sha256"),
+                        _spans(F.col("secrets")).alias("spans"))
+
+
+def _op2_row(c, ids: list[int]) -> dict:
+    return {"n_tokens": len(ids), "ids_sha256": sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+            "decoded_sha256": sha256(c.decode(ids).encode()).hexdigest()}
+
+
+@query("op2_bpe_round_trip")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode_texts(documents(spark, sf_dir).select("doc_id", "text"), vocabulary("word_bpe_49k.json"), into="out",
+                         finish=_op2_row, returns="struct<n_tokens:long,ids_sha256:string,decoded_sha256:string>")
+    return coded.select("doc_id", "out.*")
+
+
+@query("op3_token_files")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "tokens")
+    write_tokens(documents(spark, sf_dir), folder, vocabulary("byte_bpe_50k.json"))
+    return read_tokens(spark, folder, "ids_crc32", crc32, "long")
