@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from holdfast.catalog import query
 from holdfast.llm.bpe import encode_texts
+from holdfast.llm.knn import top_k
+from holdfast.llm.line_dedup import drop_boilerplate, host_of, html_lines
+from holdfast.llm.mixing import mix
 from holdfast.llm.quality_rules import STOP_WORDS, judge
 from holdfast.llm.secrets import KINDS, scan_secrets
 from holdfast.llm.token_files import crc32, read_tokens, write_tokens
@@ -95,3 +98,50 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "tokens")
     write_tokens(documents(spark, sf_dir), folder, vocabulary("byte_bpe_50k.json"))
     return read_tokens(spark, folder, "ids_crc32", crc32, "long")
+
+
+OP5_SQL = r"""
+WITH p AS (
+  SELECT page_id, lower(regexp_extract(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS host,
+         list_filter(list_transform(string_split_regex(
+           regexp_replace(coalesce(html, ''), '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', '', 'g'),
+           '(?:<[^>]*>|\n)+'), lambda x: trim(x, ' ')), lambda x: x <> '') AS lines
+  FROM pages),
+l AS (SELECT DISTINCT page_id, host, unnest(lines) AS line FROM p),
+n AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
+bad AS (SELECT l.host, line FROM l JOIN n ON n.host = l.host WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+        GROUP BY l.host, line, pages HAVING count(*) >= 5 AND count(*) > 0.2 * pages),
+b AS (SELECT host, list(line) AS bad FROM bad GROUP BY host),
+k AS (SELECT page_id, p.host, lines, CASE WHEN bad IS NULL THEN lines
+             ELSE list_filter(lines, lambda x: NOT list_contains(bad, x)) END AS kept FROM p LEFT JOIN b ON b.host = p.host)
+SELECT page_id, host, len(lines)::BIGINT AS n_lines, (len(lines) - len(kept))::BIGINT AS n_dropped_lines,
+       sha256(array_to_string(kept, chr(10))) AS text_sha256
+FROM k"""
+
+
+@query("op5_line_dedup", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html", host_of().alias("host"))
+    clean = drop_boilerplate(pages, F.col("host"), html_lines())
+    return clean.select("page_id", "host", "n_lines", "n_dropped_lines", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("op6_source_mixing")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix(documents(spark, sf_dir).select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+OP7_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS w
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.w, v.w) AS BIGINT) AS score
+      FROM v AS q JOIN v ON v.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10"""
+
+
+@query("op7_voronoi_top_k", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
