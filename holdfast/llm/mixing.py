@@ -105,8 +105,11 @@ def _flight(seed: int, level: int, blocks: dict[int, int]):
         rows = rows.sort_values("unit", ignore_index=True)
         order = list(range(len(rows)))
         rnd.shuffle(order)
-        size, p = rows["size"].tolist(), rows["p"].tolist()
-        out = fly(((i, size[i], p[i]) for i in order), rnd, blocks[key[0]] == 1)
+        size, p, land = rows["size"].tolist(), rows["p"].tolist(), blocks[key[0]] == 1
+        if land:
+            # The smallest documents come last, so what has to land weighs little.
+            order.sort(key=lambda i: -size[i])
+        out = fly(((i, size[i], p[i]) for i in order), rnd, land)
         return rows.assign(p=[out[i] for i in range(len(rows))])
 
     return flight

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from holdfast.catalog import query
 from holdfast.llm.bpe import encode_texts
+from holdfast.llm.importance import resample
 from holdfast.llm.knn import top_k
 from holdfast.llm.line_dedup import drop_boilerplate, host_of, html_lines
 from holdfast.llm.mixing import mix
@@ -145,3 +146,13 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 @query("op7_voronoi_top_k", OP7_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 100 == 0)
+
+
+@query("op9_importance_resampling")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    good = labels.where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0))
+    # As many documents are kept as the labels let expect good ones.
+    counts = labels.agg(F.count("quality").alias("n"), F.sum("quality").alias("good")).first()
+    share = counts["good"] / counts["n"] if counts["n"] else 1.0
+    return resample(documents(spark, sf_dir).select("doc_id", "text"), good.select("doc_id"), share)
