@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from holdfast.catalog import query
 from holdfast.llm.bpe import encode_texts
 from holdfast.llm.importance import resample
+from holdfast.llm.jaccard_join import near_duplicates
 from holdfast.llm.knn import top_k
 from holdfast.llm.line_dedup import drop_boilerplate, host_of, html_lines
 from holdfast.llm.mixing import mix
@@ -156,3 +157,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = labels.agg(F.count("quality").alias("n"), F.sum("quality").alias("good")).first()
     share = counts["good"] / counts["n"] if counts["n"] else 1.0
     return resample(documents(spark, sf_dir).select("doc_id", "text"), good.select("doc_id"), share)
+
+
+@query("op10_jaccard_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir))
