@@ -14,6 +14,7 @@ from holdfast.llm.jaccard_join import near_duplicates
 from holdfast.llm.knn import top_k
 from holdfast.llm.line_dedup import drop_boilerplate, host_of, html_lines
 from holdfast.llm.mixing import mix
+from holdfast.llm.passages import shared_passages
 from holdfast.llm.quality_rules import STOP_WORDS, judge
 from holdfast.llm.secrets import KINDS, scan_secrets
 from holdfast.llm.token_files import crc32, read_tokens, write_tokens
@@ -162,3 +163,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_jaccard_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
+
+
+@query("op4_shared_passages")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_passages(documents(spark, sf_dir))
