@@ -124,4 +124,6 @@ def judge(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) ->
 
 def keep_good(df: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``df`` that pass, with their own columns."""
-    return judge(df, text, rules).where("kept").select("_row.*")
+    # A filter on the verdict would be pushed below the measures and carry a copy of them all; one on a generated row stays.
+    row = F.explode_outer(F.when(F.col("kept"), F.array("_row"))).alias("_row")
+    return judge(df, text, rules).select(row).where("_row IS NOT NULL").select("_row.*")
