@@ -10,9 +10,10 @@
    ones are dealt into classes and indexed as combinations of k; a class with c
    shingles in the prefix accounts for ``c - k + 1`` misses, so prefixes extend
    until the classes together account for ``m + 1``.
-3. *Verify.*  In each index entry the members are tested against one hub; only
-   members of different components are tested further, so a group of thousands of
-   copies costs a test a member, not one a pair.
+3. *Verify.*  Each set is first tested against the one hub that it meets in most
+   index entries.  Then only members of an entry that are in different components
+   are tested, a bounded number of hubs a round, so a group of thousands of
+   copies costs a few tests a member, not one a pair.
 
 Equal sets are one node throughout.  Shingles and sets are known by 64-bit hashes.
 """
@@ -26,7 +27,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.llm.components import components
@@ -40,8 +41,8 @@ PERCENT, WORDS = 75, 5
 SKETCH = 1 / 3
 #: Shingles in more texts than these are indexed as combinations of two, and of three.
 FREQUENT = (20, 400)
-#: Words per class of frequent shingles, and members of an index entry whose pairs are all tested at once.
-PER_CLASS, ENTRY = 16, 32
+#: Words per class of frequent shingles, and members of an index entry that meet all others in one round.
+PER_CLASS, HUBS = 16, 64
 #: Bits of the filter that spares shuffling texts which dropped out; a fixed 2 MiB.
 FILTER_BITS = 1 << 24
 
@@ -186,24 +187,23 @@ def _links(entries: DataFrame, sets: DataFrame) -> DataFrame | None:
     edges = stage(_verified(best.select("a", F.col("id").alias("b")), sets), "edges")
     while True:
         linked = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        rows = rows.select("entry", "id").join(linked.withColumnRenamed("node", "id"), "id", "left").select(
-            "entry", "id", F.coalesce("root", "id").alias("root"))
+        sizes = linked.groupBy("root").agg(F.count("*").alias("size"))
+        rows = rows.select("entry", "id").join(linked.join(sizes, "root").withColumnRenamed("node", "id"), "id", "left").select(
+            "entry", "id", F.coalesce("root", "id").alias("root"), F.coalesce("size", F.lit(1)).alias("size"))
         # An entry whose members are all linked already has nothing left to test.
-        apart = rows.groupBy("entry").agg(F.min("id").alias("hub"), F.min_by("root", "id").alias("hub_root"),
-                                          F.count("*").alias("members"), F.min("root").alias("r0"),
-                                          F.max("root").alias("r1")).where("r0 <> r1").drop("r0", "r1")
+        apart = rows.groupBy("entry").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("entry")
         live = stage(rows.join(apart, "entry"), "entries")
         if live.isEmpty():
             return linked
-        few = live.where(F.col("members") <= ENTRY).groupBy("entry").agg(
-            F.array_sort(F.collect_list(F.struct("id", "root"))).alias("m"))
-        pairs = few.select(F.explode("m").alias("x"), "m").select("x", F.explode("m").alias("y")).where(
-            "x.id < y.id AND x.root <> y.root").select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-        many = live.where((F.col("members") > ENTRY) & (F.col("root") != F.col("hub_root")))
-        pairs = pairs.unionByName(many.select(F.col("hub").alias("a"), F.col("id").alias("b"))).distinct()
+        # Members of small components come first: once they are tested, what is left is mostly one component.
+        first = Window.partitionBy("entry").orderBy("size", "id")
+        hubs = stage(live.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= HUBS), "hubs")
+        hub = hubs.select("entry", F.struct("size", "id").alias("hub"), F.col("root").alias("hub_root"))
+        pairs = live.join(hub, "entry").where((F.col("root") != F.col("hub_root")) & (F.col("hub") < F.struct("size", "id")))
+        pairs = pairs.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
         edges = stage(edges.unionByName(_verified(pairs, sets)), "edges")
-        # Small entries are settled; in large ones the hub is, and the next member takes its place.
-        rows = live.where((F.col("members") > ENTRY) & (F.col("id") != F.col("hub"))).select("entry", "id")
+        # All pairs with a hub are settled, so hubs leave.
+        rows = live.join(hubs.select("entry", "id"), ["entry", "id"], "left_anti")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
