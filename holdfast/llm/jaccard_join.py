@@ -42,7 +42,9 @@ SKETCH = 1 / 3
 #: Shingles in more texts than these are indexed as combinations of two, and of three.
 FREQUENT = (20, 400)
 #: Words per class of frequent shingles, and members of an index entry that meet all others in one round.
-PER_CLASS, HUBS = 16, 64
+PER_CLASS, HUBS = 16, 512
+#: Rounds in which each set meets one hub only.
+LIGHT = 3
 #: Bits of the filter that spares shuffling texts which dropped out; a fixed 2 MiB.
 FILTER_BITS = 1 << 24
 
@@ -163,47 +165,81 @@ def _index(batches):
     for rows in batches:
         found = [signatures(n, [(r["df"], r["token"]) for r in shared]) for n, shared in zip(rows["n"], rows["shared"])]
         yield pd.DataFrame({"entry": np.array([e for s in found for e in s], np.int64),
-                            "id": np.repeat(rows["id"].to_numpy(np.int64), [len(s) for s in found])})
+                            "id": np.repeat(rows["id"].to_numpy(np.int64), [len(s) for s in found]),
+                            "n": np.repeat(rows["n"].to_numpy(np.int32), [len(s) for s in found]),
+                            "c": np.repeat(np.array([len(s) for s in rows["shared"]], np.int32), [len(s) for s in found])})
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` that are similar."""
+def _verified(pairs: DataFrame, sets: DataFrame, *also: str) -> DataFrame:
+    """The pairs ``a, b`` that are similar, with further columns of theirs."""
     left = sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
     # The set of the member travels to its hub; the hub's set joins it there.
     both = pairs.join(right, "b").join(left, "a")
     common = F.size(F.array_intersect("ta", "tb"))
-    return both.select("a", "b", common.alias("c"), (F.size("ta") + F.size("tb")).alias("s")).where(
-        100 * F.col("c") >= PERCENT * (F.col("s") - F.col("c"))).select("a", "b")
-
-
-def _links(entries: DataFrame, sets: DataFrame) -> DataFrame | None:
-    """Components ``id, root`` of the sets under all similar pairs that share an entry."""
-    counted = entries.groupBy("entry").agg(F.min("id").alias("hub"), F.count("*").alias("members")).where("members > 1")
-    rows = stage(entries.join(counted, "entry"), "entries")
-    # First each set against the hub that it meets most often: that settles groups of copies.
-    met = rows.where("id <> hub").groupBy("id", "hub").agg(F.count("*").alias("n"))
-    best = met.groupBy("id").agg(F.max_by("hub", F.struct("n", -F.col("hub"))).alias("a"))
-    edges = stage(_verified(best.select("a", F.col("id").alias("b")), sets), "edges")
+    return both.select("a", "b", *also, common.alias("c"), (F.size("ta") + F.size("tb")).alias("s")).where(
+        100 * F.col("c") >= PERCENT * (F.col("s") - F.col("c"))).select("a", "b", *also)
+
+
+def _possible(other: str) -> Column:
+    """Whether two sets of ``n`` shingles can be similar when ``c`` of them are in any other set at all."""
+    return (100 + PERCENT) * F.least(F.col("c"), F.col(f"{other}.c")) >= PERCENT * (F.col("n") + F.col(f"{other}.n"))
+
+
+def _grown(linked: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components after adding links between nodes; a component so far is a star around its root."""
+    edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    if linked is not None:
+        edges = edges.unionByName(linked.select(F.col("node").alias("u"), F.col("root").alias("v")))
+    return components(edges)
+
+
+def _apart(rows: DataFrame, linked: DataFrame | None) -> DataFrame:
+    """Members of the entries that still hold several components, with root and size of their own one."""
+    rows = rows.select("entry", "id", "n", "c", "degree")
+    if linked is None:
+        rows = rows.withColumns({"root": F.col("id"), "size": F.lit(1).cast("long")})
+    else:
+        sized = linked.join(linked.groupBy("root").agg(F.count("*").alias("size")), "root")
+        rows = rows.join(sized.withColumnRenamed("node", "id"), "id", "left").withColumns(
+            {"root": F.coalesce("root", "id"), "size": F.coalesce("size", F.lit(1))})
+    live = rows.groupBy("entry").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("entry")
+    return stage(rows.join(live, "entry"), "entries")
+
+
+def _links(entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """Components ``node, root`` of the sets under all similar pairs that share an entry."""
+    several = entries.groupBy("entry").agg(F.count("*").alias("n")).where("n > 1").select("entry")
+    met = stage(entries.join(several, "entry"), "entries")
+    rows = met.join(met.groupBy("id").agg(F.count("*").alias("degree")), "id")
+    linked = None
+    for turn in range(LIGHT):
+        rows = _apart(rows, linked)
+        # One test a set: against the member of a large component that it meets in most entries.
+        weight = F.struct("size", "degree" if turn == 0 else F.xxhash64("id", F.lit(turn)), "id")
+        hubs = rows.groupBy("entry").agg(F.max_by(F.struct("id", "root", "n", "c"), weight).alias("hub"))
+        tried = rows.join(hubs, "entry").where((F.col("root") != F.col("hub.root")) & _possible("hub")).groupBy(
+            "id", F.col("hub.id").alias("hub")).agg(
+            F.count("*").alias("n"))
+        best = tried.groupBy("id").agg(F.max_by("hub", F.struct("n", "hub")).alias("a"))
+        linked = _grown(linked, _verified(best.select("a", F.col("id").alias("b")), sets))
     while True:
-        linked = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        sizes = linked.groupBy("root").agg(F.count("*").alias("size"))
-        rows = rows.select("entry", "id").join(linked.join(sizes, "root").withColumnRenamed("node", "id"), "id", "left").select(
-            "entry", "id", F.coalesce("root", "id").alias("root"), F.coalesce("size", F.lit(1)).alias("size"))
         # An entry whose members are all linked already has nothing left to test.
-        apart = rows.groupBy("entry").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("entry")
-        live = stage(rows.join(apart, "entry"), "entries")
-        if live.isEmpty():
+        rows = _apart(rows, linked)
+        if rows.isEmpty():
             return linked
         # Members of small components come first: once they are tested, what is left is mostly one component.
         first = Window.partitionBy("entry").orderBy("size", "id")
-        hubs = stage(live.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= HUBS), "hubs")
-        hub = hubs.select("entry", F.struct("size", "id").alias("hub"), F.col("root").alias("hub_root"))
-        pairs = live.join(hub, "entry").where((F.col("root") != F.col("hub_root")) & (F.col("hub") < F.struct("size", "id")))
-        pairs = pairs.select(F.col("hub.id").alias("a"), F.col("id").alias("b")).distinct()
-        edges = stage(edges.unionByName(_verified(pairs, sets)), "edges")
+        hubs = stage(rows.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= HUBS), "hubs")
+        hub = hubs.select("entry", F.struct("size", "id", "root", "n", "c").alias("hub"))
+        pairs = rows.join(hub, "entry").where((F.col("root") != F.col("hub.root")) & _possible("hub") & (
+            F.struct("hub.size", "hub.id") < F.struct("size", "id")))
+        pairs = pairs.groupBy(F.col("hub.id").alias("a"), F.col("id").alias("b")).agg(
+            F.first("hub.root").alias("ra"), F.first("root").alias("rb"))
+        good = _verified(pairs, sets, "ra", "rb")
+        linked = _grown(linked, good.select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
         # All pairs with a hub are settled, so hubs leave.
-        rows = live.join(hubs.select("entry", "id"), ["entry", "id"], "left_anti")
+        rows = rows.join(hubs.select("entry", "id"), ["entry", "id"], "left_anti")
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
@@ -233,7 +269,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     each = sets.select("id", F.explode("tokens").alias("token"))
     df_of = stage(each.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "frequencies")
     shared = each.join(df_of, "token").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared"))
-    entries = shared.join(sets.select("id", F.size("tokens").alias("n")), "id").mapInPandas(_index, "entry long, id long")
+    entries = shared.join(sets.select("id", F.size("tokens").alias("n")), "id").mapInPandas(_index, "entry long, id long, n int, c int")
     linked = _links(stage(entries, "index"), sets)
 
     smallest = narrow.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("smallest"))
