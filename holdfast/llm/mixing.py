@@ -119,14 +119,15 @@ def sample(units: DataFrame, per_source: dict[int, int], seed: int = 0, block: i
     """``unit, copies`` (0 or 1) from ``unit, source, size, p``; ``per_source`` has the units of each source."""
     spark = units.sparkSession
     open_, parts, level = units, [], 0
+    if not per_source:
+        return spark.createDataFrame([], "unit string, copies int")
     while True:
         blocks = {k: -(-n // block) for k, n in per_source.items()}
-        table = F.create_map(*[F.lit(x) for kv in blocks.items() for x in kv]) if blocks else F.lit(None)
-        salt = F.pmod(F.xxhash64("unit", F.lit(seed), F.lit(level)), F.coalesce(F.get(F.map_values(
-            F.map_filter(table, lambda k, _: k == F.col("source"))), F.lit(0)), F.lit(1)).cast("long"))
-
-        flown = open_.withColumn("salt", salt).groupBy("source", "salt").applyInPandas(
-            _flight(seed, level, blocks), "unit string, source int, size long, p double, salt long").drop("salt")
+        table = spark.createDataFrame(list(blocks.items()), "source int, blocks int")
+        salt = F.pmod(F.xxhash64("unit", F.lit(seed), F.lit(level)), F.col("blocks").cast("long"))
+        flown = open_.join(table, "source").withColumn("salt", salt).drop("blocks").groupBy(
+            "source", "salt").applyInPandas(
+                _flight(seed, level, blocks), "unit string, source int, size long, p double, salt long").drop("salt")
         flown = stage(flown, "mix")
         settled = (F.col("p") < SETTLED) | (F.col("p") > 1 - SETTLED)
         parts.append(flown.where(settled))
@@ -138,8 +139,7 @@ def sample(units: DataFrame, per_source: dict[int, int], seed: int = 0, block: i
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.select("unit", F.round("p").cast("int").alias("copies")) if parts else spark.createDataFrame(
-        [], "unit string, copies int")
+    return out.select("unit", F.round("p").cast("int").alias("copies"))
 
 
 def mix(df: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
