@@ -10,26 +10,30 @@ from holdfast.functions.ordering import SLICE_ROWS, row_numbers
 from holdfast.functions.selection import FETCH_VALUES, order_statistics
 
 
-def _border(df: DataFrame, key: str, n: int, fetch_values: int):
-    """The n-th smallest key, or None when the table has at most n rows."""
-    rows = df.count()
-    if n >= rows:
-        return None
-    spot = order_statistics(df, {key: column(key)}, {key: [n - 1]}, {key: rows}, fetch_values)[(key, n - 1)]
-    if spot.equal != 1:
-        raise ValueError(f"{key!r} has to be unique to cut the table at row {n}")
-    return spot.value
+#: Whole numbers up to here are exact as doubles, which the search for a position works in.
+EXACT = 1 << 53
 
 
 def _cut(df: DataFrame, key: str, n: int, head: bool, fetch_values: int) -> DataFrame:
+    k = column(key)
     if n <= 0:
         return df.where(F.lit(False)) if head else df
     if is_numeric(df, key):
-        border = _border(df, key, n, fetch_values)
-        if border is None:
+        facts = df.agg(F.count("*").alias("rows"), F.count(k).alias("keys"), F.max(F.abs(k.cast("double"))).alias("most")).first()
+        rows, keys = facts["rows"], facts["keys"]
+        if n >= rows:
             return df if head else df.where(F.lit(False))
-        return df.where(column(key) <= F.lit(border)) if head else df.where(column(key) > F.lit(border))
-    numbered = row_numbers(df, [column(key).asc()], "_position")
+        if n > keys:
+            raise ValueError(f"{key!r} is null in {rows - keys} rows, which have no order to cut the table at row {n}")
+        if n == keys:
+            return df.where(k.isNotNull()) if head else df.where(k.isNull())
+        if facts["most"] < EXACT:
+            spot = order_statistics(df, {key: k}, {key: [n - 1]}, {key: keys}, fetch_values)[(key, n - 1)]
+            if spot.equal != 1:
+                raise ValueError(f"{key!r} has to be unique to cut the table at row {n}")
+            border = F.lit(spot.value)
+            return df.where(k <= border) if head else df.where((k > border) | k.isNull())
+    numbered = row_numbers(df, [k.asc_nulls_last()], "_position")
     test = F.col("_position") <= n if head else F.col("_position") > n
     return numbered.where(test).drop("_position")
 
@@ -38,7 +42,8 @@ def first_rows(df: DataFrame, key: str, n: int, fetch_values: int = FETCH_VALUES
     """The first ``n`` rows by ``key``.
 
     A numeric key becomes a filter on its n-th value, which reaches the scan;
-    nothing is sorted.  Other keys are numbered first.
+    nothing is sorted.  Other keys, and whole numbers beyond 2^53, are numbered
+    first.  Rows without a key come last; a cut between them is refused.
     """
     return _cut(df, key, n, True, fetch_values)
 

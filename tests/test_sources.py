@@ -127,3 +127,27 @@ def test_topic_reader_needs_the_connector(spark):
     schema = T.StructType([T.StructField("a", T.IntegerType())])
     with pytest.raises(Exception, match="(?i)kafka"):
         kafka.read_topic(spark, "127.0.0.1:1", "t", schema)
+
+
+def test_slices_with_null_and_large_keys(spark):
+    from holdfast.sources.slices import first_rows, rows_after
+
+    rows = [(i if i != 4 else None,) for i in range(10)]
+    df = spark.createDataFrame(rows, "k long")
+    assert first_rows(df, "k", 3).count() == 3 and rows_after(df, "k", 3).count() == 7
+    assert first_rows(df, "k", 9).count() == 9 and rows_after(df, "k", 9).count() == 1
+    large = spark.range(1 << 60, (1 << 60) + 3000).withColumnRenamed("id", "k")
+    for n in (1, 1500, 2999):
+        head = first_rows(large, "k", n)
+        assert head.agg({"k": "max"}).first()[0] == (1 << 60) + n - 1 and head.count() == n
+        assert rows_after(large, "k", n).count() == 3000 - n
+
+
+def test_cut_between_null_keys_is_refused(spark):
+    import pytest
+
+    from holdfast.sources.slices import first_rows
+
+    df = spark.createDataFrame([(1,), (None,), (None,)], "k long")
+    with pytest.raises(ValueError, match="null in 2 rows"):
+        first_rows(df, "k", 2)
