@@ -102,7 +102,7 @@ class Codec:
     def _chunk(self, chunk: str) -> bytes:
         # A word of letters, perhaps with marks behind it: one piece each.
         core = chunk.rstrip(MARKS)
-        if (core[1:] if core[:1] == " " else core).isalpha() and PLAIN.fullmatch(core):
+        if (core[1:] if core[:1] == " " else core).isalpha() and (core.isascii() or PLAIN.fullmatch(core)):
             head = self.pieces[core.lower() if self.lower else core]
             return head + self.pieces[chunk[len(core):]] if len(core) < len(chunk) else head
         if not PLAIN.fullmatch(chunk) or any(s in chunk for s in self.special):
@@ -115,7 +115,9 @@ class Codec:
             return np.array(self._plain(text), self.dtype).tobytes()
         if self.cut == "space":
             return b"".join(map(self.chunks.__getitem__, text.split()))
-        first, *rest = BEFORE_WORD.split(text)
+        # Where each blank stands before a word, a plain split gives the same chunks.
+        blanks = any(x in text for x in ("  ", " \n", "\t", "\r", "\x0b", "\x0c")) or text.endswith(" ")
+        first, *rest = BEFORE_WORD.split(text) if blanks else text.split(" ")
         return self.chunks[first] + b"".join(map(self.spaced.__getitem__, rest))
 
     def decode(self, ids: list[int]) -> str:
