@@ -11,11 +11,12 @@ from __future__ import annotations
 import functools
 import json
 import re
+from struct import pack
 
 import numpy as np
 
-#: Chunks and pieces that one worker remembers before it starts afresh; some 150 MB.
-MEMORY = 400_000
+#: Chunks that one worker remembers before it starts afresh; some 150 MB.
+MEMORY = 800_000
 #: Marks that make one piece when they follow a word.
 MARKS = ".,;:!?#*$%&|<>()"
 
@@ -35,6 +36,11 @@ def _byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
+def _is_word(chunk: str) -> bool:
+    """Letters alone, all of them plain."""
+    return chunk.isalpha() and (chunk.isascii() or PLAIN.fullmatch(chunk) is not None)
+
+
 class _Memory(dict):
     def __init__(self, answer, most: int):
         super().__init__()
@@ -64,6 +70,7 @@ class Codec:
         self.shown = [self.library.id_to_token(i) for i in range(size)]
         self.decoder = spec["decoder"]
         self.letters = _byte_letters()
+        self.decimals = [str(i) for i in range(size)]
         self.special = [t["content"] for t in spec["added_tokens"]]
         self.lower, self.cut, pattern = self._splitting(spec)
         if self.cut:
@@ -72,7 +79,7 @@ class Codec:
             self.pattern = regex.compile(pattern)
             self.pieces = _Memory(self._piece, memory)
             self.chunks = _Memory(self._chunk, memory)
-            self.spaced = _Memory(lambda c: self._chunk(" " + c), memory)
+            self.spaced = _Memory(self._spaced, memory)
 
     def _splitting(self, spec: dict) -> tuple[bool, str, str]:
         """Lower case?, where chunks may be cut, the pattern of the pieces inside; no cut for other kinds of files."""
@@ -95,20 +102,41 @@ class Codec:
     def _plain(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
+    def _packed(self, ids: list[int]) -> bytes:
+        return pack(f"<{len(ids)}{self.dtype.char}", *ids)
+
+    def _letters_of(self, piece: str) -> str:
+        return "".join([self.letters[b] for b in piece.encode()])
+
     def _piece(self, piece: str) -> bytes:
-        shown = "".join([self.letters[b] for b in piece.encode()])
-        return np.array([t.id for t in self.library.model.tokenize(shown)], self.dtype).tobytes()
+        return self._packed([t.id for t in self.library.model.tokenize(self._letters_of(piece))])
+
+    def _word(self, word: str, before: str = "") -> bytes:
+        """Ids of a word of letters, with the printable letter of the blank before it; ASCII letters stand for themselves."""
+        shown = before + (word if word.isascii() else self._letters_of(word))
+        return self._packed([t.id for t in self.library.model.tokenize(shown)])
 
     def _chunk(self, chunk: str) -> bytes:
         # A word of letters, perhaps with marks behind it: one piece each.
+        if _is_word(chunk):
+            low = chunk.lower() if self.lower else chunk
+            return self._word(chunk) if low == chunk else self.chunks[low]
         core = chunk.rstrip(MARKS)
-        if (core[1:] if core[:1] == " " else core).isalpha() and (core.isascii() or PLAIN.fullmatch(core)):
-            head = self.pieces[core.lower() if self.lower else core]
-            return head + self.pieces[chunk[len(core):]] if len(core) < len(chunk) else head
+        if len(core) < len(chunk) and _is_word(core):
+            return self.chunks[core.lower() if self.lower else core] + self.pieces[chunk[len(core):]]
         if not PLAIN.fullmatch(chunk) or any(s in chunk for s in self.special):
-            return np.array(self._plain(chunk), self.dtype).tobytes()
+            return self._packed(self._plain(chunk))
         return b"".join(map(self.pieces.__getitem__, self.pattern.findall(chunk.lower() if self.lower else chunk)))
 
+    def _spaced(self, chunk: str) -> bytes:
+        """A chunk with a blank before it."""
+        if _is_word(chunk):
+            return self._word(chunk, self.letters[32])
+        core = chunk.rstrip(MARKS)
+        if len(core) < len(chunk) and _is_word(core):
+            return self.spaced[core] + self.pieces[chunk[len(core):]]
+        return self._chunk(" " + chunk)
+
     def encode(self, text: str) -> bytes:
         """The ids of a whole text, packed as unsigned integers of ``dtype``."""
         if not self.cut or RARE_SPACE.search(text):
@@ -126,6 +154,10 @@ class Codec:
             return " ".join(map(self.shown.__getitem__, ids))
         return self.library.decode(ids, skip_special_tokens=False)
 
+    def digits(self, ids: list[int]) -> str:
+        """The ids in decimal, joined by blanks."""
+        return " ".join(map(self.decimals.__getitem__, ids))
+
     def tokens(self, text: str) -> list[tuple[int, int, int]]:
         """Id, start and end (code points of ``text``) of each token, from the library."""
         found = self.library.encode(text, add_special_tokens=False)

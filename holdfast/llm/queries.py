@@ -85,7 +85,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _op2_row(c, ids: list[int]) -> dict:
-    return {"n_tokens": len(ids), "ids_sha256": sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+    return {"n_tokens": len(ids), "ids_sha256": sha256(c.digits(ids).encode()).hexdigest(),
             "decoded_sha256": sha256(c.decode(ids).encode()).hexdigest()}
 
 
