@@ -10,6 +10,9 @@
    ones are dealt into classes and indexed as combinations of k; a class with c
    shingles in the prefix accounts for ``c - k + 1`` misses, so prefixes extend
    until the classes together account for ``m + 1``.
+   Entries carry 256 parity bits of the set.  Each bit in which two sets differ is
+   a shingle that only one of them has, so pairs with too many such bits go before
+   any set travels; this loses nothing either.
 3. *Verify.*  Each set is first tested against the one hub that it meets in most
    index entries.  Then only members of an entry that are in different components
    are tested, a bounded number of hubs a round, so a group of thousands of
@@ -44,7 +47,9 @@ FREQUENT = (20, 400)
 #: Words per class of frequent shingles, and members of an index entry that meet all others in one round.
 PER_CLASS, HUBS = 16, 512
 #: Rounds in which each set meets one hub only.
-LIGHT = 3
+LIGHT = 1
+#: Columns of parity bits, 64 each.
+PARITY = ("p0", "p1", "p2", "p3")
 #: Bits of the filter that spares shuffling texts which dropped out; a fixed 2 MiB.
 FILTER_BITS = 1 << 24
 
@@ -161,13 +166,22 @@ def signatures(n: int, shared: list[tuple[int, int]]) -> set[int]:
     return entries
 
 
+def _parity(tokens: list[int]) -> np.ndarray:
+    """Whether the number of shingles at each of 256 places is odd, as 64-bit integers."""
+    spots = np.array(tokens, np.int64) & (64 * len(PARITY) - 1)
+    return np.packbits(np.bincount(spots, minlength=64 * len(PARITY)) & 1).view(np.int64)
+
+
 def _index(batches):
     for rows in batches:
+        parity = np.array([_parity([r["token"] for r in shared]) for shared in rows["shared"]]).reshape(-1, len(PARITY))
         found = [signatures(n, [(r["df"], r["token"]) for r in shared]) for n, shared in zip(rows["n"], rows["shared"])]
+        often = [len(s) for s in found]
         yield pd.DataFrame({"entry": np.array([e for s in found for e in s], np.int64),
-                            "id": np.repeat(rows["id"].to_numpy(np.int64), [len(s) for s in found]),
-                            "n": np.repeat(rows["n"].to_numpy(np.int32), [len(s) for s in found]),
-                            "c": np.repeat(np.array([len(s) for s in rows["shared"]], np.int32), [len(s) for s in found])})
+                            "id": np.repeat(rows["id"].to_numpy(np.int64), often),
+                            "n": np.repeat(rows["n"].to_numpy(np.int32), often),
+                            "c": np.repeat(np.array([len(s) for s in rows["shared"]], np.int32), often),
+                            **{p: np.repeat(parity[:, k], often) for k, p in enumerate(PARITY)}})
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, *also: str) -> DataFrame:
@@ -183,7 +197,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, *also: str) -> DataFrame:
 
 def _possible(other: str) -> Column:
     """Whether two sets of ``n`` shingles can be similar when ``c`` of them are in any other set at all."""
-    return (100 + PERCENT) * F.least(F.col("c"), F.col(f"{other}.c")) >= PERCENT * (F.col("n") + F.col(f"{other}.n"))
+    both, c = F.col("n") + F.col(f"{other}.n"), F.col(f"{other}.c")
+    apart = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"{other}.{p}"))) for p in PARITY), F.lit(0))
+    return ((100 + PERCENT) * F.least(F.col("c"), c) >= PERCENT * both) & (
+        (100 + PERCENT) * (F.col("c") + c - apart) >= 2 * PERCENT * both)
 
 
 def _grown(linked: DataFrame | None, links: DataFrame) -> DataFrame:
@@ -196,7 +213,7 @@ def _grown(linked: DataFrame | None, links: DataFrame) -> DataFrame:
 
 def _apart(rows: DataFrame, linked: DataFrame | None) -> DataFrame:
     """Members of the entries that still hold several components, with root and size of their own one."""
-    rows = rows.select("entry", "id", "n", "c", "degree")
+    rows = rows.select("entry", "id", "n", "c", *PARITY, "degree")
     if linked is None:
         rows = rows.withColumns({"root": F.col("id"), "size": F.lit(1).cast("long")})
     else:
@@ -217,7 +234,7 @@ def _links(entries: DataFrame, sets: DataFrame) -> DataFrame:
         rows = _apart(rows, linked)
         # One test a set: against the member of a large component that it meets in most entries.
         weight = F.struct("size", "degree" if turn == 0 else F.xxhash64("id", F.lit(turn)), "id")
-        hubs = rows.groupBy("entry").agg(F.max_by(F.struct("id", "root", "n", "c"), weight).alias("hub"))
+        hubs = rows.groupBy("entry").agg(F.max_by(F.struct("id", "root", "n", "c", *PARITY), weight).alias("hub"))
         tried = rows.join(hubs, "entry").where((F.col("root") != F.col("hub.root")) & _possible("hub")).groupBy(
             "id", F.col("hub.id").alias("hub")).agg(
             F.count("*").alias("n"))
@@ -231,7 +248,7 @@ def _links(entries: DataFrame, sets: DataFrame) -> DataFrame:
         # Members of small components come first: once they are tested, what is left is mostly one component.
         first = Window.partitionBy("entry").orderBy("size", "id")
         hubs = stage(rows.withColumn("nth", F.row_number().over(first)).where(F.col("nth") <= HUBS), "hubs")
-        hub = hubs.select("entry", F.struct("size", "id", "root", "n", "c").alias("hub"))
+        hub = hubs.select("entry", F.struct("size", "id", "root", "n", "c", *PARITY).alias("hub"))
         pairs = rows.join(hub, "entry").where((F.col("root") != F.col("hub.root")) & _possible("hub") & (
             F.struct("hub.size", "hub.id") < F.struct("size", "id")))
         pairs = pairs.groupBy(F.col("hub.id").alias("a"), F.col("id").alias("b")).agg(
@@ -269,7 +286,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     each = sets.select("id", F.explode("tokens").alias("token"))
     df_of = stage(each.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "frequencies")
     shared = each.join(df_of, "token").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("shared"))
-    entries = shared.join(sets.select("id", F.size("tokens").alias("n")), "id").mapInPandas(_index, "entry long, id long, n int, c int")
+    entries = shared.join(sets.select("id", F.size("tokens").alias("n")), "id").mapInPandas(_index, ", ".join(
+        ["entry long, id long, n int, c int", *(f"{p} long" for p in PARITY)]))
     linked = _links(stage(entries, "index"), sets)
 
     smallest = narrow.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("smallest"))
