@@ -69,35 +69,28 @@ def _signed(s: np.ndarray) -> np.ndarray:
     return s.view(np.int64)
 
 
-def _summaries(words: int):
-    limit = np.uint64(int(SKETCH * (1 << 64)))
-
-    def run(batches):
-        for batch in batches:
-            rows = []
-            for s in shingle_sets(batch.column(1), words):
-                n, low = len(s), int(np.searchsorted(s, limit))
-                rows.append((_node(s), n, least(n) - (n - low)))
-            node, n, needed = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(node, pa.int64()), pa.array(n, pa.int64()),
-                                              pa.array(needed, pa.int64())], ["doc_id", "node", "n", "needed"])
-
-    return run
+def _lists(sets: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *(len(s) for s in sets)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(_signed(np.concatenate([NONE, *sets]))))
 
 
-def _sketches(words: int):
+def _summaries(words: int):
+    """Node, size and sketch of each text, and how many shingles of the sketch have to be in other texts."""
     limit = np.uint64(int(SKETCH * (1 << 64)))
 
     def run(batches):
         for batch in batches:
             ids, step = batch.column(0), 512
             sets = shingle_sets(batch.column(1), words)
-            # A few hundred texts at a time keep the exploded rows small.
+            # A few hundred texts at a time keep the lists small.
             for a in range(0, len(ids), step):
-                part = [s[:np.searchsorted(s, limit)] for _, s in zip(range(step), sets)]
-                at = np.repeat(np.arange(a, a + len(part)), [len(s) for s in part])
+                part = [s for _, s in zip(range(step), sets)]
+                low = [s[:np.searchsorted(s, limit)] for s in part]
+                needed = [least(len(s)) - (len(s) - len(t)) for s, t in zip(part, low)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(_signed(np.concatenate([NONE, *part]))), ids.take(pa.array(at))], ["token", "doc_id"])
+                    [ids.slice(a, step), pa.array([_node(s) for s in part], pa.int64()),
+                     pa.array([len(s) for s in part], pa.int64()), pa.array(needed, pa.int64()), _lists(low)],
+                    ["doc_id", "node", "n", "needed", "sketch"])
 
     return run
 
@@ -115,7 +108,7 @@ def _sets(words: int, bits: np.ndarray):
                 sets = list(shingle_sets(part.column(1), words))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([_node(s) for s in sets], pa.int64()),
-                     pa.array([_signed(s) for s in sets], pa.list_(pa.int64()))], ["doc_id", "node", "tokens"])
+                     _lists(sets)], ["doc_id", "node", "tokens"])
 
     return run
 
@@ -269,8 +262,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     empty table gives no rows.
     """
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), text_of(text).alias("text"))
-    narrow = stage(docs.mapInArrow(_summaries(words), "doc_id long, node long, n long, needed long"), "summaries")
-    tokens = docs.mapInArrow(_sketches(words), "token long, doc_id long")
+    schema = "doc_id long, node long, n long, needed long, sketch array<long>"
+    narrow = stage(docs.mapInArrow(_summaries(words), schema), "summaries")
+    tokens = narrow.select(F.explode("sketch").alias("token"), "doc_id")
     counted = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
     found = stage(tokens.join(stage(counted, "shared"), "token").groupBy("doc_id").agg(F.count("*").alias("c")), "counts")
     left = narrow.alias("a").join(found.alias("b"), F.expr("a.doc_id <=> b.doc_id"), "left").where(
