@@ -46,8 +46,6 @@ SKETCH = 1 / 3
 FREQUENT = (20, 400)
 #: Words per class of frequent shingles, and members of an index entry that meet all others in one round.
 PER_CLASS, HUBS = 16, 512
-#: Rounds in which each set meets one hub only.
-LIGHT = 1
 #: Columns of parity bits, 64 each.
 PARITY = ("p0", "p1", "p2", "p3")
 #: Bits of the filter that spares shuffling texts which dropped out; a fixed 2 MiB.
@@ -204,15 +202,11 @@ def _grown(linked: DataFrame | None, links: DataFrame) -> DataFrame:
     return components(edges)
 
 
-def _apart(rows: DataFrame, linked: DataFrame | None) -> DataFrame:
+def _apart(rows: DataFrame, linked: DataFrame) -> DataFrame:
     """Members of the entries that still hold several components, with root and size of their own one."""
-    rows = rows.select("entry", "id", "n", "c", *PARITY, "degree")
-    if linked is None:
-        rows = rows.withColumns({"root": F.col("id"), "size": F.lit(1).cast("long")})
-    else:
-        sized = linked.join(linked.groupBy("root").agg(F.count("*").alias("size")), "root")
-        rows = rows.join(sized.withColumnRenamed("node", "id"), "id", "left").withColumns(
-            {"root": F.coalesce("root", "id"), "size": F.coalesce("size", F.lit(1))})
+    sized = linked.join(linked.groupBy("root").agg(F.count("*").alias("size")), "root").withColumnRenamed("node", "id")
+    rows = rows.select("entry", "id", "n", "c", *PARITY).join(sized, "id", "left").withColumns(
+        {"root": F.coalesce("root", "id"), "size": F.coalesce("size", F.lit(1))})
     live = rows.groupBy("entry").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("entry")
     return stage(rows.join(live, "entry"), "entries")
 
@@ -221,18 +215,13 @@ def _links(entries: DataFrame, sets: DataFrame) -> DataFrame:
     """Components ``node, root`` of the sets under all similar pairs that share an entry."""
     several = entries.groupBy("entry").agg(F.count("*").alias("n")).where("n > 1").select("entry")
     met = stage(entries.join(several, "entry"), "entries")
-    rows = met.join(met.groupBy("id").agg(F.count("*").alias("degree")), "id")
-    linked = None
-    for turn in range(LIGHT):
-        rows = _apart(rows, linked)
-        # One test a set: against the member of a large component that it meets in most entries.
-        weight = F.struct("size", "degree" if turn == 0 else F.xxhash64("id", F.lit(turn)), "id")
-        hubs = rows.groupBy("entry").agg(F.max_by(F.struct("id", "root", "n", "c", *PARITY), weight).alias("hub"))
-        tried = rows.join(hubs, "entry").where((F.col("root") != F.col("hub.root")) & _possible("hub")).groupBy(
-            "id", F.col("hub.id").alias("hub")).agg(
-            F.count("*").alias("n"))
-        best = tried.groupBy("id").agg(F.max_by("hub", F.struct("n", "hub")).alias("a"))
-        linked = _grown(linked, _verified(best.select("a", F.col("id").alias("b")), sets))
+    # One test a set first: against the member, itself in most entries, that it meets most often.
+    rows = stage(met.join(met.groupBy("id").agg(F.count("*").alias("degree")), "id"), "entries")
+    hubs = rows.groupBy("entry").agg(F.max_by(F.struct("id", "n", "c", *PARITY), F.struct("degree", "id")).alias("hub"))
+    tried = rows.join(hubs, "entry").where((F.col("id") != F.col("hub.id")) & _possible("hub")).groupBy(
+        "id", F.col("hub.id").alias("hub")).agg(F.count("*").alias("n"))
+    best = tried.groupBy("id").agg(F.max_by("hub", F.struct("n", "hub")).alias("a"))
+    linked = _grown(None, _verified(best.select("a", F.col("id").alias("b")), sets))
     while True:
         # An entry whose members are all linked already has nothing left to test.
         rows = _apart(rows, linked)
