@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdfast.llm.bpe import decode_ids, encode_texts
+from holdfast.llm.bpe import ROUND_TRIP, encode_texts, round_trip
 from holdfast.llm.jaccard_join import one_per_group
 from holdfast.llm.line_dedup import drop_boilerplate, text_lines
 from holdfast.llm.mixing import mix
@@ -41,10 +41,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document of the mix, and a digest of the text that they decode to."""
-    path = vocabulary("word_bpe_49k.json")
-    coded = decode_ids(encode_texts(docs, path), path)
-    return coded.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
-                        F.sha2("decoded", 256).alias("decoded_sha256"))
+    coded = encode_texts(docs, vocabulary("word_bpe_49k.json"), into="out", finish=round_trip, returns=ROUND_TRIP)
+    return coded.select("doc_id", "lang", "source", "out.n_tokens", "out.ids", "out.decoded_sha256")
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("jaccard_join", jaccard_join),
