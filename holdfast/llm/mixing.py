@@ -125,9 +125,10 @@ def sample(units: DataFrame, per_source: dict[int, int], seed: int = 0, block: i
         blocks = {k: -(-n // block) for k, n in per_source.items()}
         table = spark.createDataFrame(list(blocks.items()), "source int, blocks int")
         salt = F.pmod(F.xxhash64("unit", F.lit(seed), F.lit(level)), F.col("blocks").cast("long"))
-        flown = open_.join(table, "source").withColumn("salt", salt).drop("blocks").groupBy(
-            "source", "salt").applyInPandas(
-                _flight(seed, level, blocks), "unit string, source int, size long, p double, salt long").drop("salt")
+        salted = open_.join(F.broadcast(table) if len(blocks) <= 10_000 else table, "source").withColumn("salt", salt)
+        # Dealt by block, not by source alone, so the blocks of a hot source go to different tasks.
+        flown = salted.drop("blocks").repartition("source", "salt").groupBy("source", "salt").applyInPandas(
+            _flight(seed, level, blocks), "unit string, source int, size long, p double, salt long").drop("salt")
         flown = stage(flown, "mix")
         settled = (F.col("p") < SETTLED) | (F.col("p") > 1 - SETTLED)
         parts.append(flown.where(settled))
