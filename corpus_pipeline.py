@@ -23,8 +23,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Boilerplate lines of a source go; every document stays, with its new length."""
-    clean = drop_boilerplate(docs, F.col("source"), text_lines(), share=LINE_SHARE)
+    """Boilerplate lines of a source go; every document stays, with its new length.  Copies are left to the next stage."""
+    clean = drop_boilerplate(docs, F.col("source"), text_lines(), share=LINE_SHARE, leave_copies=True)
     return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 

@@ -6,6 +6,10 @@ a map-side combine, so a common line is one partial count a task.  A host has
 at most (lines per page / share) boilerplate lines, whatever its size; they
 travel as one array a host, and the texts are not shuffled unless that table is
 too large for the planner to broadcast.
+
+Copies of a page are not boilerplate.  Where they are to be left to a later
+stage, equal pages count as one, and a line that is found on pages with little
+other text stays on one of them, so near copies never lose their text everywhere.
 """
 
 from __future__ import annotations
@@ -18,6 +22,8 @@ from holdfast.session import stage
 
 #: A line goes when it is on more than this share of its host's pages, and on so many pages at least.
 SHARE, MIN_PAGES = 0.2, 5
+#: A page with more than this share of its text in frequent lines is a near copy rather than a page with boilerplate.
+COPY = 0.5
 
 #: Parts of a page that are not text, and what ends a line of text in HTML.
 HIDDEN = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
@@ -45,8 +51,27 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"))
 
 
+def _text(lines: Column) -> Column:
+    """Characters of the lines."""
+    return F.aggregate(lines, F.lit(0), lambda n, x: n + F.length(x))
+
+
+def _kept_once(pages: DataFrame, found: DataFrame, total: DataFrame, marked: Column, share: float, min_pages: int) -> DataFrame:
+    """Adds to frequent lines the page that keeps them, null where enough pages with other text have the line."""
+    table = found.groupBy("host").agg(F.collect_list("line").alias("often"))
+    rows = pages.withColumn("marked", marked).join(table, "host").withColumn(
+        "hits", F.filter("marked", lambda x: F.array_contains(F.col("often"), _key(x))))
+    copy = _text(F.col("hits")) > COPY * _text(F.col("marked"))
+    hits = rows.withColumn("copy", copy).select("host", "page", "copy", F.explode(F.transform("hits", _key)).alias("line"))
+    # One row a line and page first: a thousand copies of a page are one page.
+    each = hits.distinct().groupBy("host", "line").agg(
+        F.count_if(~F.col("copy")).alias("others"), F.min(F.when(F.col("copy"), F.col("page"))).alias("first"))
+    spread = (F.col("others") >= min_pages) & (F.col("others") > share * F.col("pages"))
+    return each.join(total, "host").select("host", "line", F.when(~spread, F.col("first")).alias("keeper"))
+
+
 def drop_boilerplate(df: DataFrame, host: Column, lines: Column, into: str = "text", share: float = SHARE,
-                     min_pages: int = MIN_PAGES) -> DataFrame:
+                     min_pages: int = MIN_PAGES, leave_copies: bool = False) -> DataFrame:
     """Puts the lines that stay, joined by line feeds, under ``into``; also ``n_lines`` and ``n_dropped_lines``.
 
     Each row is a page; repeated rows count as often as they occur.  A line
@@ -54,20 +79,44 @@ def drop_boilerplate(df: DataFrame, host: Column, lines: Column, into: str = "te
     one empty line; lines of white space always stay.  Every row comes back,
     with an empty text if all its lines go.  Columns of the frame that are named
     as the new ones are replaced, others pass through.
+
+    With ``leave_copies`` all rows of a host with the same lines are one page.  A
+    frequent line goes everywhere if enough pages have it beside more other text;
+    else it is the text of near copies, and the first of them (by hash) keeps it.
     """
-    names = {n: free_name(df, n) for n in ("host_key", "line_array", "bad_lines")}
-    host_key, line_array, bad = names.values()
+    names = {n: free_name(df, n) for n in ("host_key", "line_array", "bad_lines", "kept_lines", "page_key")}
+    host_key, line_array, bad, once, page_key = names.values()
     pages = df.withColumns({host_key: F.coalesce(host, F.lit("")), line_array: lines})
     marked = F.array_distinct(F.filter(line_array, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    on_pages = pages.select(F.col(host_key).alias("host"), F.explode(F.transform(marked, _key)).alias("line"))
+    if leave_copies:
+        pages = pages.withColumn(page_key, _key(F.col(line_array)))
+    else:
+        pages = pages.withColumn(page_key, F.lit(None).cast("struct<a:bigint,b:bigint>"))
+    host_page = [F.col(host_key).alias("host"), F.col(page_key).alias("page")]
+    on_pages = pages.select(*host_page, F.explode(F.transform(marked, _key)).alias("line"))
+    if leave_copies:
+        on_pages = on_pages.distinct()
     counts = on_pages.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    totals = df.select(F.coalesce(host, F.lit("")).alias("host")).groupBy("host").agg(F.count("*").alias("pages"))
-    found = counts.join(totals, "host").where(F.col("n") > share * F.col("pages"))
-    table = stage(found.groupBy("host").agg(F.collect_list("line").alias("lines")), "boilerplate")
-    table = table.select(F.col("host").alias(host_key), F.col("lines").alias(bad))
+    if leave_copies:
+        contents = pages.select(*host_page).distinct()
+    else:
+        contents = df.select(F.coalesce(host, F.lit("")).alias("host"))
+    totals = contents.groupBy("host").agg(F.count("*").alias("pages"))
+    found = counts.join(totals, "host").where(F.col("n") > share * F.col("pages")).select("host", "line")
+    if leave_copies:
+        found = _kept_once(pages.select(*host_page, line_array), stage(found, "frequent"), totals, marked, share, min_pages)
+    else:
+        found = found.withColumn("keeper", F.lit(None).cast("struct<a:bigint,b:bigint>"))
+    kept_line = F.when(F.col("keeper").isNotNull(), F.struct("line", "keeper"))
+    table = stage(found.groupBy("host").agg(F.collect_list("line").alias("lines"), F.collect_list(kept_line).alias("once")),
+                  "boilerplate")
+    table = table.select(F.col("host").alias(host_key), F.col("lines").alias(bad), F.col("once").alias(once))
     joined = pages.join(table, host_key, "left")
-    kept = F.when(F.col(bad).isNull(), F.col(line_array)).otherwise(
-        F.filter(line_array, lambda x: ~F.array_contains(F.col(bad), _key(x))))
+    goes = lambda x: F.array_contains(F.col(bad), _key(x))
+    if leave_copies:
+        goes = lambda x: F.array_contains(F.col(bad), _key(x)) & ~F.array_contains(
+            F.col(once), F.struct(_key(x).alias("line"), F.col(page_key).alias("keeper")))
+    kept = F.when(F.col(bad).isNull(), F.col(line_array)).otherwise(F.filter(line_array, lambda x: ~goes(x)))
     out = joined.withColumn(bad, kept)
     return out.withColumns({
         into: F.array_join(bad, "\n"), "n_lines": F.size(line_array).cast("long"),

@@ -34,3 +34,22 @@ def test_stages(spark, sf):
     good = seen["quality_rules"][0].join(clean, "doc_id").where(F.size(F.split("text", " ")) >= 40)
     kept = good.join(seen["quality_rules"][1].select("doc_id"), "doc_id", "left_semi").count()
     assert kept >= 0.99 * good.count()
+
+
+def _lines(i, n):
+    return [f"line {k} of text {i} with words {i}x{k} and {i}y{k} in it" for k in range(n)]
+
+
+def test_copies_keep_their_text(spark):
+    footer = "all rights of this site are reserved"
+    own = [(i, "\n".join([*_lines(i, 6), footer])) for i in range(60)]
+    exact = [(100 + i, "\n".join(_lines("copied", 8))) for i in range(30)]
+    near = [(200 + i, "\n".join([*_lines("near", 12), f"edition {i}"])) for i in range(30)]
+    rows = [(i, t, "en", "site", len(t)) for i, t in own + exact + near]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int")
+    clean = stage(corpus_pipeline.line_dedup(spark, docs, ""), "lines")
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.jaccard_join(spark, clean, "").collect()}
+    assert clean.count() == 120 and not any(footer in t for t in left.values())
+    assert all(left[i] == "\n".join(_lines(i, 6)) for i, _ in own)
+    assert [left[i] for i, _ in exact if i in left] == [exact[0][1]]
+    assert sum("\n".join(_lines("near", 12)) in t for t in left.values()) == 1
