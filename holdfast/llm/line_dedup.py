@@ -27,7 +27,8 @@ COPY = 0.5
 
 #: Parts of a page that are not text, and what ends a line of text in HTML.
 HIDDEN = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
-TAGS = r"(?:<[^>]*>|\n)+"
+#: One of them at a time: Java's expressions recurse once per repetition of a group.
+TAGS = r"<[^>]*>|\n"
 
 
 def text_lines(text: str = "text") -> Column:

@@ -173,6 +173,12 @@ def test_line_dedup(spark, none):
     assert line_dedup.drop_boilerplate(none, F.col("source"), line_dedup.text_lines()).count() == 0
 
 
+def test_pages_of_empty_cells(spark):
+    html = "<p>first</p>" + "<td></td>\n" * 100_000 + "\n" * 100_000 + "<p>last</p>"
+    lines = spark.createDataFrame([(html,)], "html string").select(line_dedup.html_lines().alias("lines"))
+    assert lines.first()["lines"] == ["first", "last"]
+
+
 def test_targets():
     assert mixing.targets([10, 100, 100], [5, 2, 1]) == pytest.approx([20, 196.6666667, 98.3333333])
     assert sum(mixing.targets([3, 1000, 7, 0], [5, 2, 1, 5])) == pytest.approx(1515)
