@@ -154,6 +154,32 @@ def test_passages(docs, none):
     assert passages.shared_passages(none).count() == 0
 
 
+def _fresh(rnd, n):
+    return [f"w{rnd.randrange(10 ** 9)}" for _ in range(n)]
+
+
+def test_passages_of_frequent_words(spark):
+    rnd, rows = random.Random(11), []
+    passage = _fresh(rnd, 60)
+    # Every five words in a row of the passage are in twenty other documents, which come first.
+    for i in range(20):
+        parts = list(range(0, 56))
+        rnd.shuffle(parts)
+        rows.append((i, " ".join(w for k in parts for w in [*passage[k:k + 5], *_fresh(rnd, 1)])))
+    rows += [(100 + i, " ".join([*_fresh(rnd, 40), *passage, *_fresh(rnd, 50)])) for i in range(2)]
+    base = _fresh(rnd, 60)
+    for i in range(200):
+        copy = [w if rnd.random() >= 0.05 else _fresh(rnd, 1)[0] for w in base]
+        rows.append((1000 + i, " ".join([*_fresh(rnd, 30), *copy, *_fresh(rnd, 30)])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = passages.shared_passages(df).collect()
+    hit = [r for r in found if (r["doc_id"], r["other_id"]) == (101, 100)]
+    assert [(r["start"], r["stop"], r["other_start"], r["other_stop"]) for r in hit] == [(40, 100, 40, 100)]
+    linked = {i for r in found for i in (r["doc_id"], r["other_id"]) if i >= 1000}
+    # Copies of copies differ in a tenth of their words; 198 of the 200 are found.
+    assert len(linked) >= 196 and len(found) < 200 * 60
+
+
 def test_chains_equal_brute_force():
     rnd = random.Random(2)
     for _ in range(40):
