@@ -180,6 +180,31 @@ def test_passages_of_frequent_words(spark):
     assert len(linked) >= 196 and len(found) < 200 * 60
 
 
+def test_passage_places():
+    rnd = np.random.default_rng(12)
+    p, *around = (rnd.integers(0, 2 ** 63, n).astype(np.uint64) for n in (60, 70, 80, 30, 90))
+    # A chance place of a shingle before the passage, and the passage twice in one text.
+    twice = np.concatenate([p[20:25], around[0], p, around[1], p])
+    once = np.concatenate([around[2], p, around[3]])
+    assert {x[:4] for x in passages.passages_of(twice, once)} == {(75, 135, 30, 90), (215, 275, 30, 90)}
+    word = np.zeros(9000, np.uint64)
+    assert len(passages.common_places(word, word)) < 3 * len(word)
+
+
+@pytest.mark.parametrize("rate, least", [(0.0, 1.0), (0.05, 0.98), (0.08, 0.95), (0.12, 0.9)])
+def test_recall_of_passages(rate, least):
+    found = 0
+    for t in range(300):
+        rnd = np.random.default_rng(t)
+        a, b = (rnd.integers(0, 2 ** 63, 230).astype(np.uint64) for _ in range(2))
+        changed = rnd.random(60) < rate
+        b[30:90] = np.where(changed, b[30:90], a[80:140])
+        common = np.intersect1d(passages.seeds(a), passages.seeds(b))
+        links = sum(passages.OF_LONG if x & np.uint64(1) else passages.OF_RARE for x in common)
+        found += links >= passages.LINKS and any(x[0] < 140 and x[1] > 80 for x in passages.passages_of(a, b))
+    assert found >= least * 300
+
+
 def test_chains_equal_brute_force():
     rnd = random.Random(2)
     for _ in range(40):
