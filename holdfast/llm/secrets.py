@@ -44,8 +44,11 @@ ALLOWED = (
     r"[A-Za-z]?[a-z]+",  # one long word
     r"[A-Z]+|[0-9]+",  # shouted words and plain numbers
     r"(?:[A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,4})(?:[-_/](?:[A-Za-z]?[a-z]+|[A-Z]+|[0-9]{1,4}))+",  # slugs, paths, names
-    r"(?i:.*(?:example|placeholder|your[-_]?(?:key|token|secret)|changeme).*)",  # samples in manuals
-    r"(?i:.*(?:abcdefghij|0123456789|qwertyuiop).*)",  # alphabets and keyboard rows
+)
+#: Words of samples; they allow what is within the width of a window of them, not the rest of a candidate.
+SAMPLES = (
+    r"(?i:example|placeholder|your[-_]?(?:key|token|secret)|changeme)",  # samples in manuals
+    r"(?i:abcdefghij|0123456789|qwertyuiop)",  # alphabets and keyboard rows
 )
 
 SCHEMA = "array<struct<kind:string,start:int,stop:int,value:string>>"
@@ -87,26 +90,41 @@ def hot_spans(run: str, window: int, bits: float) -> Iterator[tuple[int, int]]:
 class Scanner:
     """Finds the spans of one text, sorted by start and kind."""
 
-    def __init__(self, classes: tuple[CharacterClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED):
+    def __init__(self, classes: tuple[CharacterClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED,
+                 samples: tuple[str, ...] = SAMPLES):
         self.base = [(kind, re.compile(p), group, least) for kind, p, group, least in BASE]
         # A run below the least length fails anyway, so the expression may leave it out.
         self.base[2] = ("hex", re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}"), 0, 24)
         self.classes = [(c, re.compile(f"[{c.characters}]{{{c.window},}}")) for c in classes]
         self.allowed = re.compile("|".join(f"(?:{p})" for p in allowed)) if allowed else None
+        self.samples = re.compile("|".join(f"(?:{p})" for p in samples)) if samples else None
         self.order = {k: i for i, k in enumerate([*KINDS, *[c.kind for c in classes]])}
 
+    def spans(self, run: str, c: CharacterClass) -> Iterator[tuple[int, int]]:
+        """Hot spans of a candidate, without what is near a sample word."""
+        hot = list(hot_spans(run, c.window, c.bits))
+        near = [(m.start() - c.window, m.end() + c.window) for m in self.samples.finditer(run)] if hot and self.samples else []
+        for a, b in hot:
+            at = a
+            for start, stop in [*near, (b, b)]:
+                if at < min(start, b):
+                    # The text between is looked at anew; windows that reach into the left out part do not count.
+                    yield from ((at + x, at + y) for x, y in hot_spans(run[at:min(start, b)], c.window, c.bits))
+                at = max(at, stop)
+
     def __call__(self, text: str) -> list[tuple[str, int, int]]:
         found = [(kind, m.start(), m.end()) for kind, pattern, group, least in self.base
                  for m in pattern.finditer(text) if m.end(group) - m.start(group) >= least]
         for c, runs in self.classes:
             for m in runs.finditer(text):
                 if self.allowed is None or not self.allowed.fullmatch(m.group()):
-                    found += [(c.kind, m.start() + a, m.start() + b) for a, b in hot_spans(m.group(), c.window, c.bits)]
+                    found += [(c.kind, m.start() + a, m.start() + b) for a, b in self.spans(m.group(), c)]
         return sorted(found, key=lambda x: (x[1], self.order[x[0]]))
 
 
 def scan_secrets(df: DataFrame, text: str = "text", into: str = "secrets",
-                 classes: tuple[CharacterClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
+                 classes: tuple[CharacterClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED,
+                 samples: tuple[str, ...] = SAMPLES) -> DataFrame:
     """Adds an array of ``kind, start, stop, value`` (code points, stop excluded), sorted by start and kind.
 
     Base kinds are always reported; the allow-list suppresses entropy spans
@@ -119,7 +137,7 @@ def scan_secrets(df: DataFrame, text: str = "text", into: str = "secrets",
     @F.arrow_udf(SCHEMA)
     def find(texts: pa.Array) -> pa.Array:
         if not scanner:
-            scanner.append(Scanner(classes, allowed))
+            scanner.append(Scanner(classes, allowed, samples))
         rows = []
         for t in texts:
             t = t.as_py() or ""

@@ -101,6 +101,18 @@ def test_allow_list():
     assert scan("qwertyuiopASDFGHJKL1234567zxcvbnm") == []
 
 
+def test_sample_words_allow_only_what_is_near():
+    scan, key = secrets.Scanner(), "ghp_9aK2xQ7LmZ4vT8pRb3YcW6sNdF1eHgJ5"
+    assert scan("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY") == []
+    far = "v1/example/data/" + "plain/" * 800 + key
+    assert [far[a:b][-36:] for _, a, b in scan(far)] == [key]
+    rnd = random.Random(13)
+    # One hot span from end to end, with the sample word inside.
+    noise = ["".join(rnd.choices("ABCDEFGHJKLMNPQRSTUVWXYZabcdfghijkmnopqrstuvwxyz23456789", k=400)) for _ in range(2)]
+    spans = [(a, b) for _, a, b in scan(noise[0] + "example" + noise[1])]
+    assert sum(b - a for a, b in spans) > 700 and not any(a < 407 and b > 400 for a, b in spans)
+
+
 @pytest.mark.parametrize("path", [WORD, BYTE])
 def test_encode_and_decode(docs, none, path):
     library = Tokenizer.from_file(path)
