@@ -12,7 +12,8 @@ ends is the whole text.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import partial
 from hashlib import sha256
 
 import numpy as np
@@ -29,50 +30,57 @@ from holdfast.llm.text import free_name, text_of
 #: Characters of a leaf, and of each side of the first window at a join.
 LEAF, WINDOW = 32_768, 64
 
-Token = tuple[int, int, int]
+#: Leaves that one task joins before it meets the rest of a text; encoded leaves that leave a task at a time.
+BLOCK, AT_ONCE = 64, 16
+
+#: Id, start and end of each token, one row a token; places are code points.
+Tokens = np.ndarray
 Finish = Callable[[Codec, list[int]], object]
 
 
-def _clean(tokens: list[Token], k: int) -> bool:
+def _clean(tokens: Tokens, k: int) -> bool:
     """Whether the token covers characters of its own."""
     _, a, b = tokens[k]
     return a < b and (k == 0 or tokens[k - 1][2] <= a) and (k + 1 == len(tokens) or b <= tokens[k + 1][1])
 
 
-def join(encode: Callable[[str], list[Token]], left: tuple[str, list[Token]], right: tuple[str, list[Token]],
-         window: int = WINDOW) -> tuple[str, list[Token]]:
+def _moved(tokens: Tokens, by: int) -> Tokens:
+    return tokens + np.array([0, by, by], np.int32)
+
+
+def join(encode: Callable[[str], Tokens], left: tuple[str, Tokens], right: tuple[str, Tokens],
+         window: int = WINDOW) -> tuple[str, Tokens]:
     """The tokens of two neighbouring texts as one text, from the tokens of each."""
     text, middle = left[0] + right[0], len(left[0])
-    after = [(i, a + middle, b + middle) for i, a, b in right[1]]
+    after = _moved(right[1], middle)
     while True:
         low, high = max(0, middle - window), min(len(text), middle + window)
-        inside = [(i, a + low, b + low) for i, a, b in encode(text[low:high])]
+        inside = _moved(encode(text[low:high]), low)
         if low == 0 and high == len(text):
             return text, inside
-        first = _agreement(left[1], inside, range(len(inside) - 1, -1, -1), low > 0)
-        last = _agreement(after, inside, range(len(inside)), high < len(text))
+        first = _agreement(left[1], inside, False, low, high) if low > 0 else (-1, -1)
+        last = _agreement(after, inside, True, low, high) if high < len(text) else (len(after), len(inside))
         if first is not None and last is not None and first[1] < last[1]:
-            return text, left[1][:first[0] + 1] + inside[first[1] + 1:last[1]] + after[last[0]:]
+            return text, np.concatenate([left[1][:first[0] + 1], inside[first[1] + 1:last[1]], after[last[0]:]])
         window *= 2
 
 
-def _agreement(side: list[Token], inside: list[Token], order: range, needed: bool) -> tuple[int, int] | None:
-    """Places in ``side`` and ``inside`` of a token that both have; a side that the window covers needs none."""
-    if not needed:
-        return (-1, -1) if order.step < 0 else (len(side), len(inside))
-    known = {t: k for k, t in enumerate(side) if _clean(side, k)}
-    for k in order:
-        if inside[k] in known and _clean(inside, k):
-            return known[inside[k]], k
+def _agreement(side: Tokens, inside: Tokens, forward: bool, low: int, high: int) -> tuple[int, int] | None:
+    """Places in ``side`` and ``inside`` of the first token, or the last one, that both have between two characters."""
+    near = np.flatnonzero((side[:, 1] >= low) & (side[:, 2] <= high))
+    known = {tuple(side[k].tolist()): k for k in near.tolist() if _clean(side, k)}
+    for k in range(len(inside)) if forward else range(len(inside) - 1, -1, -1):
+        if (at := known.get(tuple(inside[k].tolist()))) is not None and _clean(inside, k):
+            return at, k
     return None
 
 
-def concatenate(encode: Callable[[str], list[Token]], leaves: list[tuple[str, list[Token]]]) -> list[Token]:
+def concatenate(encode: Callable[[str], Tokens], leaves: list[tuple[str, Tokens]]) -> tuple[str, Tokens]:
     """Joins neighbours level by level."""
     while len(leaves) > 1:
         pairs = [leaves[k:k + 2] for k in range(0, len(leaves), 2)]
         leaves = [join(encode, *p) if len(p) == 2 else p[0] for p in pairs]
-    return leaves[0][1] if leaves else []
+    return leaves[0] if leaves else ("", np.zeros((0, 3), np.int32))
 
 
 def ids_of(_: Codec, ids: list[int]) -> np.ndarray:
@@ -89,6 +97,16 @@ def round_trip(c: Codec, ids: list[int]) -> dict[str, object]:
 ROUND_TRIP = "struct<n_tokens:long,ids:array<int>,decoded_sha256:string>"
 
 
+def encode_leaves(vocabulary: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with a ``leaf`` get its ``tokens``; a few leaves leave at a time, twelve bytes a token."""
+    c = codec(vocabulary)
+    for rows in batches:
+        for a in range(0, len(rows), AT_ONCE):
+            part = rows.slice(a, AT_ONCE)
+            found = [c.tokens(t.as_py()).tobytes() for t in part["leaf"]]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], [*part.schema.names, "tokens"])
+
+
 def encode_texts(df: DataFrame, vocabulary: str, text: str = "text", into: str = "ids", finish: Finish = ids_of,
                  returns: str = "array<int>", leaf: int = LEAF) -> DataFrame:
     """Adds the ids of each text under ``into``, or what ``finish(codec, ids)`` makes of them (of type ``returns``).
@@ -117,25 +135,27 @@ def encode_texts(df: DataFrame, vocabulary: str, text: str = "text", into: str =
             F.sequence(F.lit(0), F.floor((F.length("text") - 1) / leaf).cast("int")),
             lambda i: F.substring("text", i * leaf + 1, F.lit(leaf)))).alias("no", "leaf"))
 
-    def encode_leaves(batches):
-        c = codec(vocabulary)
-        for rows in batches:
-            found = [c.tokens(t) for t in rows["leaf"]]
-            yield rows.assign(ids=[[i for i, _, _ in f] for f in found], starts=[[a for _, a, _ in f] for f in found],
-                              stops=[[b for _, _, b in f] for f in found])
-
-    def join_leaves(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, c = rows.sort_values("no"), codec(vocabulary)
-        tokens = concatenate(c.tokens, [
-            (r.leaf, list(zip(map(int, r.ids), map(int, r.starts), map(int, r.stops)))) for r in rows.itertuples()])
-        return pd.DataFrame({"key": [rows["key"].iloc[0]], "out": [finish(c, [i for i, _, _ in tokens])]})
-
-    # Leaves of one text are dealt out to several tasks, then meet again at its key.
-    coded = leaves.repartition("key", "no").mapInPandas(
-        encode_leaves, "key string, no int, leaf string, ids array<int>, starts array<int>, stops array<int>")
-    joined = coded.groupBy("key").applyInPandas(join_leaves, f"key string, out {returns}")
-    joined = joined.select(F.col("key").alias(key), F.col("out").alias(into))
-    return short.unionByName(rest.join(joined, key).drop(key))
+    def joined(rows: pd.DataFrame) -> tuple[str, Tokens]:
+        rows = rows.sort_values("no")
+        return concatenate(codec(vocabulary).tokens, [
+            (t, np.frombuffer(x, np.int32).reshape(-1, 3)) for t, x in zip(rows["leaf"], rows["tokens"])])
+
+    def join_block(rows: pd.DataFrame) -> pd.DataFrame:
+        text, tokens = joined(rows)
+        return pd.DataFrame({"key": [rows["key"].iloc[0]], "no": [rows["no"].min() // BLOCK], "leaf": [text],
+                             "tokens": [tokens.tobytes()]})
+
+    def join_text(rows: pd.DataFrame) -> pd.DataFrame:
+        ids = joined(rows)[1][:, 0].tolist()
+        return pd.DataFrame({"key": [rows["key"].iloc[0]], "out": [finish(codec(vocabulary), ids)]})
+
+    # Leaves of one text are dealt out to several tasks, so are blocks of them; the blocks meet at the text's key.
+    form = "key string, no int, leaf string, tokens binary"
+    coded = leaves.repartition("key", "no").mapInArrow(partial(encode_leaves, vocabulary), form)
+    blocks = coded.groupBy("key", F.floor(F.col("no") / BLOCK)).applyInPandas(join_block, form)
+    texts = blocks.groupBy("key").applyInPandas(join_text, f"key string, out {returns}")
+    texts = texts.select(F.col("key").alias(key), F.col("out").alias(into))
+    return short.unionByName(rest.join(texts, key).drop(key))
 
 
 def decode_ids(df: DataFrame, vocabulary: str, ids: str = "ids", into: str = "decoded") -> DataFrame:

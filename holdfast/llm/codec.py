@@ -21,7 +21,7 @@ MEMORY = 800_000
 MARKS = ".,;:!?#*$%&|<>()"
 
 #: White space beyond the six ASCII characters; where a text has it, the library splits it.
-RARE_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0  -     　]")
+RARE_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Characters that the normalisers change by lower case alone.
 PLAIN = re.compile("[\x20-\x7e\n\xc0-\xff]+")
 #: A space in front of a word: the byte-level pattern always starts a piece there.
@@ -158,10 +158,13 @@ class Codec:
         """The ids in decimal, joined by blanks."""
         return " ".join(map(self.decimals.__getitem__, ids))
 
-    def tokens(self, text: str) -> list[tuple[int, int, int]]:
-        """Id, start and end (code points of ``text``) of each token, from the library."""
+    def tokens(self, text: str) -> np.ndarray:
+        """Id, start and end (code points of ``text``) of each token, one row a token, from the library."""
         found = self.library.encode(text, add_special_tokens=False)
-        return [(i, a, b) for i, (a, b) in zip(found.ids, found.offsets)]
+        out = np.empty((len(found.ids), 3), np.int32)
+        out[:, 0] = found.ids
+        out[:, 1:] = np.array(found.offsets, np.int32).reshape(-1, 2)
+        return out
 
 
 @functools.cache

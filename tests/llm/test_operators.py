@@ -133,8 +133,43 @@ def test_tree_concatenation_is_exact(path):
         cuts = sorted({0, len(text), *(rnd.randrange(len(text)) for _ in range(rnd.randint(1, 5)))})
         leaves = [(text[a:b], c.tokens(text[a:b])) for a, b in zip(cuts, cuts[1:])]
         want = c.tokens(text)
-        assert [t[0] for t in bpe.concatenate(c.tokens, leaves)] == [t[0] for t in want]
-        assert np.frombuffer(c.encode(text), c.dtype).tolist() == [t[0] for t in want]
+        assert bpe.concatenate(c.tokens, leaves)[1][:, 0].tolist() == want[:, 0].tolist()
+        assert np.frombuffer(c.encode(text), c.dtype).tolist() == want[:, 0].tolist()
+
+
+MEMORY_RUN = """
+import random, resource, sys
+import pyarrow as pa
+from holdfast.llm import bpe
+path, n = sys.argv[1], int(sys.argv[2])
+rnd = random.Random(1)
+vocab = ["".join(rnd.choices("abcdefghijklmnop", k=rnd.randint(1, 9))) for _ in range(500)]
+leaf = " ".join(rnd.choices(vocab, k=9000))[:bpe.LEAF]
+def batches():
+    for a in range(0, n, 500):
+        yield pa.RecordBatch.from_arrays([pa.array([leaf[k:] + leaf[:k] for k in range(min(500, n - a))])], ["leaf"])
+done = sum(len(b) for b in bpe.encode_leaves(path, batches()))
+print(done, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)
+"""
+
+
+def test_leaves_take_bounded_memory():
+    import subprocess
+    import sys
+
+    out = subprocess.run([sys.executable, "-c", MEMORY_RUN, WORD, "600"], capture_output=True, text=True, check=True).stdout
+    done, peak_mb = map(int, out.split())
+    assert done == 600 and peak_mb < 400
+
+
+def test_blocks_of_leaves(spark):
+    rnd, library = random.Random(8), Tokenizer.from_file(WORD)
+    vocab = ["".join(rnd.choices("abcdefghij", k=rnd.randint(1, 9))) for _ in range(300)]
+    texts = [" ".join(rnd.choices(vocab, k=9000)), "ab" * 9000, "wordwithoutblank" * 1500]
+    rows = bpe.encode_texts(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"), WORD,
+                            leaf=100).collect()
+    assert {r["doc_id"]: list(r["ids"]) for r in rows} == {
+        i: library.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts)}
 
 
 def test_token_files(spark, docs, none):
