@@ -33,6 +33,10 @@ _LOWER = _VALUES.copy()
 _LOWER[65:91] = _VALUES[97:123]
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes between terms: ASCII without letters and digits.  Bytes of other characters are all above.
+NO_TERM = np.zeros(256, bool)
+NO_TERM[:128] = True
+NO_TERM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = False
 _powers: list[np.ndarray] = []
 
 
@@ -66,13 +70,13 @@ def _chunks(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         first = last
 
 
-def words(texts: pa.Array, lower: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def words(texts: pa.Array, lower: bool, between: np.ndarray = _SPACE) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First text, hashes of all words of a stretch of texts, and where each text's words begin.
 
-    Words are parted by ASCII white space; ``lower`` takes A-Z as a-z.
+    Words are parted by the bytes ``between``, else by ASCII white space; ``lower`` takes A-Z as a-z.
     """
     for first, data, begin in _chunks(texts):
-        inside = ~_SPACE[data]
+        inside = ~between[data]
         start, stop = inside.copy(), inside.copy()
         start[1:] &= ~inside[:-1]
         stop[:-1] &= ~inside[1:]

@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 
 from holdfast.catalog import query
 from holdfast.llm.bpe import encode_texts
+from holdfast.llm.filter_audit import audit_documents
 from holdfast.llm.importance import resample
 from holdfast.llm.jaccard_join import near_duplicates
 from holdfast.llm.knn import top_k
+from holdfast.llm.lexical_search import lexical_search
 from holdfast.llm.line_dedup import drop_boilerplate, host_of, html_lines
 from holdfast.llm.mixing import mix
 from holdfast.llm.passages import shared_passages
 from holdfast.llm.quality_rules import STOP_WORDS, judge
 from holdfast.llm.secrets import KINDS, scan_secrets
 from holdfast.llm.token_files import crc32, read_tokens, write_tokens
+from holdfast.llm.url_rules import Rule, judge_urls
 from holdfast.session import scratch_path
 
 
@@ -168,3 +171,99 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_shared_passages")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shared_passages(documents(spark, sf_dir))
+
+
+#: Sites of the query, then patterns: pages of a shop or an account, copies of a page made for feeds, phones and sorting.
+SITES = [Rule("org/", "allow", True), Rule("example.org/es/", "block", True), Rule("example.org/en/1", "block", True),
+         Rule("com/fr/", "allow", True), Rule("com/de/", "block", True)]
+PATTERNS = [Rule("/wp-admin/", "block"), Rule("/wp-login.php", "block"), Rule("/cart/", "block"), Rule("/checkout/", "block"),
+            Rule("/login^", "block"), Rule("&sessionid=", "block"), Rule("^replytocom=", "block"), Rule("/robots.txt|", "allow"),
+            Rule("?utm_source=feed|", "block"), Rule("|http://m.", "block"), Rule("://blog.*/en/*.html|", "block"),
+            Rule("://m.*.net/fr/", "allow"), Rule("^page=*&ref=", "block"), Rule("|https://www.*/de/*#top|", "allow")]
+
+OP11_SQL = r"""
+WITH p AS (SELECT page_id, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS u,
+             translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+r AS (SELECT *, CASE
+        WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+        WHEN (host = 'example.org' OR ends_with(host, '.example.org')) AND starts_with(path, '/es/') THEN 'example.org/es/'
+        WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/fr/') THEN 'com/fr/'
+        WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/de/') THEN 'com/de/'
+        WHEN (host = 'org' OR ends_with(host, '.org')) AND starts_with(path, '/') THEN 'org/' END AS rule FROM p)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN ends_with(u, '/robots.txt') OR regexp_matches(u, '(?s)://m\..*\.net/fr/')
+       OR regexp_matches(u, '(?s)^https://www\..*/de/.*#top\z') THEN 'allow'
+  WHEN contains(u, '/wp-admin/') OR contains(u, '/wp-login.php') OR contains(u, '/cart/') OR contains(u, '/checkout/')
+       OR regexp_matches(u, '/login([^0-9a-z_.%-]|\z)') OR contains(u, '&sessionid=')
+       OR regexp_matches(u, '([^0-9a-z_.%-]|\z)replytocom=') OR ends_with(u, '?utm_source=feed')
+       OR starts_with(u, 'http://m.') OR regexp_matches(u, '(?s)://blog\..*/en/.*\.html\z')
+       OR regexp_matches(u, '(?s)([^0-9a-z_.%-]|\z)page=.*&ref=') THEN 'block'
+  ELSE 'allow' END AS verdict
+FROM r"""
+
+
+@query("op11_url_filters", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), ["page_id"], [*SITES, *PATTERNS])
+    return judged.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
+
+
+OP12_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+      FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+        CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+        || CASE WHEN first < w.doc_id THEN 'E' ELSE '' END AS mask
+      FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, mask),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT '' AS o UNION ALL SELECT o || x FROM orders JOIN letters ON NOT contains(o, x)),
+steps AS (SELECT o, step, substr(o, step, 1) AS x, substr(o, 1, step - 1) AS before
+          FROM (SELECT o, unnest(range(1, 6)) AS step FROM orders WHERE length(o) = 5)),
+m AS (SELECT part, o, step, x, n, good, toxic, contains(mask, x) AS fails, mask = x AS alone,
+             before <> '' AND mask <> '' AND regexp_matches(mask, '[' || before || '_]') AS gone FROM c CROSS JOIN steps),
+g AS (SELECT part, o, step, x, sum(CASE WHEN NOT gone AND NOT fails THEN n ELSE 0 END) AS kept,
+             sum(CASE WHEN NOT gone AND fails THEN n ELSE 0 END) AS removed,
+             sum(CASE WHEN gone AND fails THEN n ELSE 0 END) AS redundant, sum(CASE WHEN alone THEN n ELSE 0 END) AS unique_fails,
+             sum(CASE WHEN NOT gone AND fails THEN good ELSE 0 END) AS good_lost,
+             sum(CASE WHEN NOT gone AND fails THEN toxic ELSE 0 END) AS toxic_lost FROM m GROUP BY part, o, step, x)
+SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM g"""
+
+
+@query("op12_filter_audit", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+n AS (SELECT doc_id, terms, len(terms)::BIGINT AS n FROM d WHERE len(terms) > 0),
+total AS (SELECT count(*)::BIGINT AS N_docs, sum(n)::BIGINT AS L FROM n),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tf AS (SELECT doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM n)
+       WHERE term IN (SELECT term FROM q) GROUP BY doc_id, n, term),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(N_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+      FROM tf CROSS JOIN total GROUP BY term),
+s AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * N_docs) // L))))::BIGINT AS score
+      FROM q JOIN tf ON tf.term = q.term JOIN w ON w.term = q.term CROSS JOIN total GROUP BY item_id, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM r WHERE rank <= 50"""
+
+
+@query("op13_lexical_search", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
