@@ -38,6 +38,20 @@ Tokens = np.ndarray
 Finish = Callable[[Codec, list[int]], object]
 
 
+def packed(tokens: Tokens) -> bytes:
+    """Number of tokens, then ids, distances and lengths one after another, compressed; some two bytes a token."""
+    ids, start, stop = tokens.T
+    columns = np.concatenate([ids, start - np.concatenate([[0], stop[:-1]]), stop - start]).astype("<i4")
+    return len(tokens).to_bytes(8, "little") + pa.compress(columns.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> Tokens:
+    n = int.from_bytes(data[:8], "little")
+    ids, gap, length = np.frombuffer(pa.decompress(data[8:], 12 * n, codec="zstd", asbytes=True), "<i4").reshape(3, n)
+    stop = np.cumsum(gap + length)
+    return np.stack([ids, stop - length, stop], axis=1).astype(np.int32)
+
+
 def _clean(tokens: Tokens, k: int) -> bool:
     """Whether the token covers characters of its own."""
     _, a, b = tokens[k]
@@ -98,12 +112,12 @@ ROUND_TRIP = "struct<n_tokens:long,ids:array<int>,decoded_sha256:string>"
 
 
 def encode_leaves(vocabulary: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with a ``leaf`` get its ``tokens``; a few leaves leave at a time, twelve bytes a token."""
+    """Rows with a ``leaf`` get its ``tokens``; a few leaves leave at a time, packed."""
     c = codec(vocabulary)
     for rows in batches:
         for a in range(0, len(rows), AT_ONCE):
             part = rows.slice(a, AT_ONCE)
-            found = [c.tokens(t.as_py()).tobytes() for t in part["leaf"]]
+            found = [packed(c.tokens(t.as_py())) for t in part["leaf"]]
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(found, pa.binary())], [*part.schema.names, "tokens"])
 
 
@@ -138,12 +152,12 @@ def encode_texts(df: DataFrame, vocabulary: str, text: str = "text", into: str =
     def joined(rows: pd.DataFrame) -> tuple[str, Tokens]:
         rows = rows.sort_values("no")
         return concatenate(codec(vocabulary).tokens, [
-            (t, np.frombuffer(x, np.int32).reshape(-1, 3)) for t, x in zip(rows["leaf"], rows["tokens"])])
+            (t, unpacked(x)) for t, x in zip(rows["leaf"], rows["tokens"])])
 
     def join_block(rows: pd.DataFrame) -> pd.DataFrame:
         text, tokens = joined(rows)
         return pd.DataFrame({"key": [rows["key"].iloc[0]], "no": [rows["no"].min() // BLOCK], "leaf": [text],
-                             "tokens": [tokens.tobytes()]})
+                             "tokens": [packed(tokens)]})
 
     def join_text(rows: pd.DataFrame) -> pd.DataFrame:
         ids = joined(rows)[1][:, 0].tolist()

@@ -135,6 +135,7 @@ def test_tree_concatenation_is_exact(path):
         want = c.tokens(text)
         assert bpe.concatenate(c.tokens, leaves)[1][:, 0].tolist() == want[:, 0].tolist()
         assert np.frombuffer(c.encode(text), c.dtype).tolist() == want[:, 0].tolist()
+        assert np.array_equal(bpe.unpacked(bpe.packed(want)), want)
 
 
 MEMORY_RUN = """
