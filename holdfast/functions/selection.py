@@ -1,11 +1,19 @@
-"""Exact quantiles and order statistics with bounded state.
-
-``percentile`` keeps every distinct value in one buffer, so it only runs when
-the number of rows is known to be small.  Larger inputs are narrowed: bounded
-``percentile_approx`` sketches give a bracket around each wanted position,
-counting proves that the position lies inside, and the narrowing repeats until
-few distinct values are left in the bracket.  Neither many rows nor one value
-that fills a third of the table changes what a task or the driver must hold.
+"""Exact quantiles and order statistics of any number of groups of any size.
+
+Two scans of the input answer all groups at once:
+
+1. One bounded sketch per group gives its size and a bracket around each wanted
+   share of it.  Brackets are rows of a table and reach the values by a join on
+   the group.
+2. Values are counted by the stretch between the ends of brackets that they lie
+   in, and those inside a bracket also one by one: an end has a stretch of its
+   own, so a value that fills a third of a group is one row.
+
+What is left, about a thousandth of the values for each share, is written and
+summed up in order with ``running_totals``, so neither a task nor the driver
+holds a group.  The counts prove each answer: should a sketch have misled, the
+ranks that fell outside their bracket are looked for among all values of their
+group.
 """
 
 from __future__ import annotations
@@ -17,9 +25,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PERCENTILE_ROWS = 100_000
-FETCH_VALUES = 50_000
-COARSE, FINE = 5_000, 100_000
+from holdfast.functions.ordering import running_totals
+from holdfast.session import stage
+
+#: Fineness of a sketch, and the share of a group by which a bracket reaches beyond the wanted one on both sides.
+ACCURACY, REACH = 10_000, 0.0004
+#: Up to so many values a group needs no bracket; all of them are counted one by one.
+FEW = 10_000
 
 
 @dataclass(frozen=True)
@@ -31,182 +43,153 @@ class Position:
     equal: int
 
 
-@dataclass
-class _Bracket:
-    """Values low..high (both included) of one target that hold the wanted ranks."""
+def sketched(rows: DataFrame, shares: list[float], accuracy: int = ACCURACY, reach: float = REACH, few: int = FEW) -> DataFrame:
+    """``name, n, lows, highs`` of each group of ``rows(name, value)``: brackets around ``shares`` of it; nulls are not values.
 
-    name: object
-    ranks: list[int]
-    below: int
-    rows: int
-    distinct: int
-    low: float | None = None
-    high: float | None = None
-    accuracy: int = COARSE
-    slack: float = 2.0
-
-    def holds(self, targets: dict) -> Column:
-        value = targets[self.name]
-        if self.low is None:
-            return value.isNotNull()
-        return value.between(F.lit(self.low), F.lit(self.high))
-
-    def settled(self, fetch_values: int) -> bool:
-        return self.distinct <= fetch_values or (self.low is not None and self.low == self.high)
-
-    def probabilities(self) -> list[float]:
-        """Two sketch positions around each rank."""
-        reach = self.slack / self.accuracy
-        around = []
-        for r in self.ranks:
-            p = (r - self.below) / max(self.rows - 1, 1)
-            around += [max(p - reach, 0.0), min(p + reach, 1.0)]
-        return around
-
-    def narrowed(self, cuts: list) -> list["_Bracket"]:
-        """One bracket per group of overlapping sketch intervals."""
-        parts: list[_Bracket] = []
-        for k, r in enumerate(self.ranks):
-            low, high = cuts[2 * k], cuts[2 * k + 1]
-            if parts and low <= parts[-1].high:
-                parts[-1].high = max(high, parts[-1].high)
-                parts[-1].ranks.append(r)
-            else:
-                parts.append(_Bracket(self.name, [r], 0, 0, 0, low, high, self.accuracy, self.slack))
-        return parts
+    An end that lies beyond the group, and each end of a small group, is null: the bracket is open there.
+    """
+    found = rows.where("value IS NOT NULL").groupBy("name").agg(
+        F.count("*").alias("n"), F.percentile_approx("value", _ends(shares, reach), accuracy).alias("ends"))
+    return _bracketed(found, shares, reach, few)
+
+
+def _ends(shares: list[float], reach: float) -> list[float]:
+    return [min(max(p + d, 0.0), 1.0) for p in shares for d in (-reach, reach)]
+
+
+def _bracketed(found: DataFrame, shares: list[float], reach: float, few: int) -> DataFrame:
+    large = F.col("n") > few
+    lows = [F.when(large & F.lit(p - reach > 0), F.col("ends")[2 * i]) for i, p in enumerate(shares)]
+    highs = [F.when(large & F.lit(p + reach < 1), F.col("ends")[2 * i + 1]) for i, p in enumerate(shares)]
+    return found.select("name", "n", F.array(*lows).alias("lows"), F.array(*highs).alias("highs"))
+
+
+def _counted(rows: DataFrame, groups: DataFrame, shares: int, slices: int | None) -> DataFrame:
+    """``name, rank, value, below, equal``; the value is null where the rank lies outside its bracket."""
+    value = F.col("value")
+    low, high = ([F.col(c)[i] for i in range(shares)] for c in ("lows", "highs"))
+    # Rises with the value, and is the same for two values only if no end lies between them or on one of them.
+    stretch = reduce(lambda a, b: a + b, [F.coalesce((value > e).cast("int") + (value >= e).cast("int"), F.lit(0)) for e in [*low, *high]])
+    # Open ends hold everything; the ends themselves are inside as well.
+    inside = reduce(lambda a, b: a | b, [F.coalesce(value >= a, F.lit(True)) & F.coalesce(value <= b, F.lit(True)) for a, b in zip(low, high)])
+    met = rows.where("value IS NOT NULL").join(groups.select("name", "lows", "highs"), "name").select(
+        "name", stretch.alias("stretch"), F.when(inside, value).alias("value"))
+    counts = stage(met.groupBy("name", "stretch", "value").agg(F.count("*").alias("equal")), "counts")
+    summed = running_totals(counts, [F.col("stretch"), F.col("value")], {"upto": "equal"}, "name", slices)
+    below = F.col("upto") - F.col("equal")
+    hit = F.filter("ranks", lambda r: (r >= below) & (r < F.col("upto")))
+    return summed.join(groups.select("name", "ranks"), "name").select(
+        "name", F.explode(F.array_distinct(hit)).alias("rank"), "value", below.alias("below"), "equal")
+
+
+def _open(groups: DataFrame, kind: str) -> DataFrame:
+    """The same groups with one bracket, open at both ends."""
+    end = F.array(F.lit(None).cast(kind))
+    return groups.withColumns({"lows": end, "highs": end})
+
+
+def positions(rows: DataFrame, groups: DataFrame, shares: int, slices: int | None = None) -> DataFrame:
+    """``name, rank, value, below, equal`` of each wanted rank of each group.
+
+    ``rows`` has ``name`` (not null) and a numeric ``value`` (null: no value; no
+    NaN).  ``groups`` has the columns of ``sketched`` for that many ``shares``, and
+    ``ranks``, an array of zero-based positions below ``n`` near those shares.
+    """
+    found = stage(_counted(rows, groups.where(F.size("ranks") > 0), shares, slices), "positions")
+    missed = found.where("value IS NULL").groupBy("name").agg(F.collect_list("rank").alias("ranks"))
+    if not missed.isEmpty():
+        again = _counted(rows, _open(missed, rows.schema["value"].dataType.simpleString()), 1, slices)
+        found = stage(found.where("value IS NOT NULL").unionByName(again), "positions")
+    return found
+
+
+def _spots(n: Column, probs: list[float]) -> Column:
+    """The positions on both sides of each quantile, each once."""
+    every = [f(F.lit(float(p)) * (n - 1)).cast("bigint") for p in probs for f in (F.floor, F.ceil)]
+    return F.array_sort(F.array_distinct(F.array(*every)))
+
+
+def group_quantiles(rows: DataFrame, probs: list[float], slices: int | None = None) -> DataFrame:
+    """``name, n, quantiles``: linearly interpolated quantiles of each group of ``rows(name, value)`` that has values."""
+    values = rows.where("value IS NOT NULL").select("name", F.col("value").cast("double").alias("value"))
+    groups = stage(sketched(values, probs).withColumn("ranks", _spots(F.col("n"), probs)), "sketches")
+    found = positions(values, groups, len(probs), slices).groupBy("name").agg(
+        F.map_from_entries(F.collect_list(F.struct("rank", "value"))).alias("at"))
+
+    def quantile(p: float) -> Column:
+        spot = F.lit(float(p)) * (F.col("n") - 1)
+        low, high = F.floor(spot).cast("bigint"), F.ceil(spot).cast("bigint")
+        return F.element_at("at", low) + (F.element_at("at", high) - F.element_at("at", low)) * (spot - low)
+
+    return groups.select("name", "n").join(found, "name").select("name", "n", F.array(*map(quantile, probs)).alias("quantiles"))
+
+
+def _stacked(df: DataFrame, targets: dict[object, Column]) -> tuple[DataFrame, list]:
+    """One row per target and row; targets are known by their number."""
+    names = list(targets)
+    if len(names) == 1:
+        return df.select(F.lit("0").alias("name"), targets[names[0]].alias("value")), names
+    pairs = F.array(*[F.struct(F.lit(str(i)).alias("name"), targets[n].alias("value")) for i, n in enumerate(names)])
+    return df.select(F.inline(pairs)).where("value IS NOT NULL"), names
+
+
+def few_sketched(df: DataFrame, targets: list[Column], shares: list[float], accuracy: int = ACCURACY, reach: float = REACH,
+                 few: int = FEW) -> DataFrame:
+    """``sketched`` for a handful of expressions, known by their number, without a row for each of their values."""
+    sums = [a for i, t in enumerate(targets) for a in (
+        F.count(t).alias(f"n{i}"), F.percentile_approx(t, _ends(shares, reach), accuracy).alias(f"ends{i}"))]
+    entries = [F.struct(F.lit(str(i)).alias("name"), F.col(f"n{i}").alias("n"), F.col(f"ends{i}").alias("ends")) for i in range(len(targets))]
+    return _bracketed(df.agg(*sums).select(F.inline(F.array(*entries))).where("n > 0"), shares, reach, few)
+
+
+def _few_positions(stacked: DataFrame, groups: list[tuple], shares: int, slices: int | None) -> list:
+    """The rows of ``positions`` for a handful of groups, whose sketches are on the driver."""
+    kind = stacked.schema["value"].dataType.simpleString()
+    schema = f"name string, lows array<{kind}>, highs array<{kind}>, ranks array<bigint>"
+    found = _counted(stacked, stacked.sparkSession.createDataFrame(groups, schema), shares, slices).collect()
+    missed = {r["name"] for r in found if r["value"] is None}
+    if missed:
+        again = [(name, [None], [None], ranks) for name, _, _, ranks in groups if name in missed]
+        found = [r for r in found if r["name"] not in missed] + _few_positions(stacked, again, 1, slices)
+    return found
 
 
 def order_statistics(df: DataFrame, targets: dict[object, Column], ranks: dict[object, list[int]],
-                     rows: dict[object, int], fetch_values: int = FETCH_VALUES) -> dict:
+                     rows: dict[object, int], slices: int | None = None) -> dict:
     """Values at zero-based positions of each target's sorted values.
 
     ``rows`` is the number of values per target; nulls are not values, and NaN
     must not occur.  Returns ``{(name, rank): Position}``.
     """
-    brackets = []
     for name, wanted in ranks.items():
         if wanted and not 0 <= min(wanted) <= max(wanted) < rows[name]:
             raise IndexError(f"position outside the {rows[name]} values of {name!r}")
-        if wanted:
-            fine = min(FINE, max(COARSE, 8 * rows[name] // max(fetch_values, 1)))
-            brackets.append(_Bracket(name, sorted(set(wanted)), 0, rows[name], rows[name], accuracy=fine))
-    return _settle(df, targets, brackets, fetch_values)
-
-
-def _settle(df: DataFrame, targets: dict, brackets: list[_Bracket], fetch_values: int) -> dict:
-    while wide := [b for b in brackets if not b.settled(fetch_values)]:
-        sketches = [F.percentile_approx(F.when(b.holds(targets), targets[b.name]), b.probabilities(), b.accuracy)
-                    .alias(f"s{i}") for i, b in enumerate(wide)]
-        row = df.agg(F.lit(0), *sketches).first()
-        steps = [(b, b.narrowed(row[f"s{i}"])) for i, b in enumerate(wide)]
-        brackets = [b for b in brackets if b.settled(fetch_values)]
-        brackets += _proven(df, targets, steps, fetch_values)
-    return _fetch(df, targets, brackets)
-
-
-def _proven(df: DataFrame, targets: dict, steps: list[tuple[_Bracket, list[_Bracket]]],
-                fetch_values: int) -> list[_Bracket]:
-    """Count rows below and inside each proposed bracket and keep what the counts prove."""
-    parts = [p for _, narrowed in steps for p in narrowed]
-    counts = []
-    for i, p in enumerate(parts):
-        counts += [F.count_if(targets[p.name] < F.lit(p.low)).alias(f"b{i}"),
-                   F.count_if(p.holds(targets)).alias(f"n{i}")]
-    row = df.agg(*counts).first()
-    for i, p in enumerate(parts):
-        p.below, p.rows = row[f"b{i}"], row[f"n{i}"]
-        p.distinct = p.rows
-    crowded = [p for p in parts if not p.settled(fetch_values)]
-    if crowded:
-        row = df.agg(*[F.approx_count_distinct(F.when(p.holds(targets), targets[p.name])).alias(f"d{i}")
-                       for i, p in enumerate(crowded)]).first()
-        for i, p in enumerate(crowded):
-            p.distinct = min(row[f"d{i}"], p.rows)
-    kept = []
-    for wide, narrowed in steps:
-        missed = []
-        for p in narrowed:
-            inside = [r for r in p.ranks if p.below <= r < p.below + p.rows]
-            missed += [r for r in p.ranks if r not in inside]
-            if inside:
-                p.ranks = inside
-                if p.rows > wide.rows * 0.9:
-                    p.accuracy = min(p.accuracy * 4, FINE)
-                kept.append(p)
-        if missed:
-            # The sketch was off by more than it promises: look again in a wider interval.
-            kept.append(_Bracket(wide.name, missed, wide.below, wide.rows, wide.distinct, wide.low, wide.high,
-                                 wide.accuracy, wide.slack * 8))
-    return kept
-
-
-def _fetch(df: DataFrame, targets: dict, brackets: list[_Bracket]) -> dict:
-    out = {}
-    single = [b for b in brackets if b.low is not None and b.low == b.high]
-    for b in single:
-        out.update({(b.name, r): Position(b.low, b.below, b.rows) for r in b.ranks})
-    brackets = [b for b in brackets if b not in single]
-    if not brackets:
-        return out
-    hits = F.array(*[F.when(b.holds(targets), F.struct(F.lit(i).alias("bracket"), targets[b.name].alias("value")))
-                     for i, b in enumerate(brackets)])
-    found: dict[int, list] = {}
-    wanted = reduce(lambda a, b: a | b, [b.holds(targets) for b in brackets])
-    rows = (df.where(wanted).select(F.inline(F.array_compact(hits))).groupBy("bracket", "value").count().collect())
-    for bracket, value, count in rows:
-        found.setdefault(bracket, []).append((value, count))
-    for i, b in enumerate(brackets):
-        seen, ranks = b.below, iter(b.ranks)
-        rank = next(ranks)
-        for value, count in sorted(found[i]):
-            while rank is not None and rank < seen + count:
-                out[(b.name, rank)] = Position(value, seen, count)
-                rank = next(ranks, None)
-            seen += count
-            if rank is None:
-                break
-    return out
+    if not any(ranks.values()):
+        return {}
+    stacked, names = _stacked(df, {n: targets[n] for n, wanted in ranks.items() if wanted})
+    shares = sorted({r / max(rows[n] - 1, 1) for n in names for r in ranks[n]})
+    # A sketch and a few positions per target.
+    groups = [(r["name"], r["lows"], r["highs"], sorted(set(ranks[names[int(r["name"])]]))) for r in few_sketched(df, [targets[n] for n in names], shares).collect()]
+    return {(names[int(r["name"])], r["rank"]): Position(r["value"], r["below"], r["equal"])
+            for r in _few_positions(stacked, groups, len(shares), slices)}
 
 
 def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: list[float],
-                    small_rows: int = PERCENTILE_ROWS,
-                    fetch_values: int = FETCH_VALUES) -> dict[str, list[float | None]]:
+                    slices: int | None = None) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles of several expressions.
 
     An expression without values gives None for each probability.
     """
     if not columns:
         return {}
-    names = list(columns)
-    values = {n: F.when(~F.isnan(columns[n].cast("double")), columns[n].cast("double")) for n in names}
-    reach = 2.0 / COARSE
-    around = [e for p in probs for e in (max(p - reach, 0.0), min(p + reach, 1.0))]
-    first = df.agg(*[F.count(values[n]).alias(f"c{i}") for i, n in enumerate(names)],
-                   *[F.percentile_approx(values[n], around, COARSE).alias(f"s{i}")
-                     for i, n in enumerate(names)]).first()
-    rows = {n: first[f"c{i}"] for i, n in enumerate(names)}
-    if max(rows.values()) <= small_rows:
-        row = df.agg(*[F.percentile(values[n], F.array(*[F.lit(float(p)) for p in probs])).alias(f"q{i}")
-                       for i, n in enumerate(names)]).first()
-        return {n: list(row[i]) if row[i] is not None else [None] * len(probs) for i, n in enumerate(names)}
-    steps = []
-    for i, n in enumerate(names):
-        if rows[n]:
-            spots = [p * (rows[n] - 1) for p in probs]
-            ranks = sorted({r for s in spots for r in (math.floor(s), math.ceil(s))})
-            whole = _Bracket(n, ranks, 0, rows[n], rows[n])
-            cuts = dict(zip(probs, zip(first[f"s{i}"][::2], first[f"s{i}"][1::2])))
-            near = [min(probs, key=lambda p: abs(p * (rows[n] - 1) - r)) for r in ranks]
-            steps.append((whole, whole.narrowed([c for p in near for c in cuts[p]])))
-    found = _settle(df, values, _proven(df, values, steps, fetch_values), fetch_values)
-    out: dict[str, list[float | None]] = {}
-    for n in names:
-        out[n] = []
-        for p in probs:
-            if not rows[n]:
-                out[n].append(None)
-                continue
-            spot = p * (rows[n] - 1)
-            low, high = found[(n, math.floor(spot))].value, found[(n, math.ceil(spot))].value
-            out[n].append(low + (high - low) * (spot - math.floor(spot)))
+    values = {n: F.when(~F.isnan(c.cast("double")), c.cast("double")) for n, c in columns.items()}
+    stacked, names = _stacked(df, values)
+    spots = {r["name"]: (r, [p * (r["n"] - 1) for p in probs]) for r in few_sketched(df, list(values.values()), probs).collect()}
+    groups = [(name, r["lows"], r["highs"], sorted({k for s in at for k in (math.floor(s), math.ceil(s))}))
+              for name, (r, at) in spots.items()]
+    found = {(r["name"], r["rank"]): r["value"] for r in _few_positions(stacked, groups, len(probs), slices)} if groups else {}
+    out: dict[str, list[float | None]] = {n: [None] * len(probs) for n in names}
+    for name, (_, at) in spots.items():
+        ends = [(found[name, math.floor(s)], found[name, math.ceil(s)], s - math.floor(s)) for s in at]
+        out[names[int(name)]] = [low + (high - low) * part for low, high, part in ends]
     return out

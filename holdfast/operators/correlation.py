@@ -4,30 +4,24 @@ from __future__ import annotations
 
 from itertools import combinations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast.functions.expressions import column, number
-from holdfast.functions.ordering import SLICE_ROWS, running_totals
+from holdfast.functions.ordering import running_totals
 from holdfast.session import stage
 
-BLOCK_CELLS = 200_000
-MAX_BLOCKS = 1000
-
 
 def _complete(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(*[number(df, c).alias(c) for c in columns]).dropna()
 
 
-def correlation(df: DataFrame, columns: list[str], method: str = "spearman",
-                slice_rows: int = SLICE_ROWS, block_cells: int = BLOCK_CELLS) -> DataFrame:
+def correlation(df: DataFrame, columns: list[str], method: str = "spearman", slices: int | None = None) -> DataFrame:
     """(x, y, r) for every ordered pair of columns, the diagonal included."""
     methods = {"pearson": _pearson, "spearman": _spearman, "kendall": _kendall}
     if method not in methods:
         raise ValueError(f"unknown correlation method {method!r}; choose from {sorted(methods)}")
-    pairs = methods[method](_complete(df, columns), columns, slice_rows, block_cells)
+    pairs = methods[method](_complete(df, columns), columns, slices)
     both = pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y"), "r"))
     same = df.sparkSession.range(1).select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"), F.lit(1.0).alias("r")) for c in columns])))
@@ -47,22 +41,32 @@ def _long(row: DataFrame, columns: list[str]) -> DataFrame:
     return row.select(F.inline(F.array(*entries)))
 
 
-def _pearson(kept: DataFrame, columns: list[str], *_limits) -> DataFrame:
+def _pearson(kept: DataFrame, columns: list[str], _slices: int | None) -> DataFrame:
     return _long(kept.agg(*[F.corr(column(a), column(b)).alias(f"r{i}")
                             for i, (a, b) in enumerate(combinations(columns, 2))]), columns)
 
 
-def _spearman(kept: DataFrame, columns: list[str], slice_rows: int, _block_cells: int) -> DataFrame:
+def _ranked(cells: DataFrame, columns: list[str], slices: int | None) -> DataFrame:
+    """``name, v, n, upto, rank`` of each value: its rows, the rows up to it, and its number among the values of its column."""
+    values = F.array(*[F.struct(F.lit(str(i)).alias("name"), column(c).alias("v")) for i, c in enumerate(columns)])
+    counts = cells.select("w", F.inline(values)).groupBy("name", "v").agg(F.sum("w").alias("n")).withColumn("one", F.lit(1).cast("bigint"))
+    return stage(running_totals(stage(counts, "values"), [F.asc("v")], {"upto": "n", "rank": "one"}, "name", slices), "ranks")
+
+
+def _placed(cells: DataFrame, columns: list[str], ranks: DataFrame, field: str) -> DataFrame:
+    """Adds for the i-th column ``d{i}``, the ``field`` of its value's rank."""
+    for i, c in enumerate(columns):
+        mine = ranks.where(F.col("name") == str(i)).select(F.col("v").alias(f"v{i}"), F.col(field).alias(f"d{i}"))
+        cells = cells.join(mine, column(c) == F.col(f"v{i}")).drop(f"v{i}")
+    return cells
+
+
+def _spearman(kept: DataFrame, columns: list[str], slices: int | None) -> DataFrame:
     """Pearson of average ranks, from counts per distinct value and per distinct row."""
     cells = stage(kept.groupBy(*columns).agg(F.count("*").alias("w")), "cells")
     rows = cells.agg(F.sum("w")).first()[0] or 0
-    centre = (rows + 1) / 2
-    ranked = cells
-    for i, c in enumerate(columns):
-        counts = cells.groupBy(column(c).alias("v")).agg(F.sum("w").alias("n"))
-        ranks = running_totals(counts, [F.asc("v")], {"upto": "n"}, slice_rows).select(
-            F.col("v").alias(f"v{i}"), (F.col("upto") - (F.col("n") - 1) / 2 - centre).alias(f"d{i}"))
-        ranked = ranked.join(ranks, column(c) == F.col(f"v{i}"))
+    average = F.col("upto") - (F.col("n") - 1) / 2 - (rows + 1) / 2
+    ranked = _placed(cells, columns, _ranked(cells, columns, slices).withColumn("average", average), "average")
     sums = [F.sum(F.col("w") * F.col(f"d{i}") * F.col(f"d{i}")).alias(f"s{i}") for i in range(len(columns))]
     pairs = list(combinations(range(len(columns)), 2))
     sums += [F.sum(F.col("w") * F.col(f"d{i}") * F.col(f"d{j}")).alias(f"p{k}") for k, (i, j) in enumerate(pairs)]
@@ -71,105 +75,42 @@ def _spearman(kept: DataFrame, columns: list[str], slice_rows: int, _block_cells
                               .alias(f"r{k}") for k, (i, j) in enumerate(pairs)]), columns)
 
 
-def falling_weight(order: np.ndarray, weight: np.ndarray) -> float:
-    """Sum of w_i * w_j over positions i < j with order_i > order_j.
+def _kendall(kept: DataFrame, columns: list[str], slices: int | None) -> DataFrame:
+    """tau-b of each pair of columns, from the bits of the ranks.
 
-    Works bit by bit: two values first differ at one bit, and there the earlier
-    one has to hold the 1.
+    Two ranks of the second column first differ at one bit; above it they agree.
+    So the cells of each (bit, upper bits) are put in the order of the first
+    column, and running totals of the weight with a 0 and with a 1 at that bit
+    give the concordant and the discordant pairs: a 1 after a 0, and a 0 after a 1.
+    Cells with equal ranks in the first column are one row, so ties count as
+    neither.  All bits of all pairs are groups of one running total, which spreads
+    a group of any size over many tasks.
     """
-    value = np.unique(order, return_inverse=True)[1].astype(np.int64)
-    total = 0.0
-    for bit in range(int(value.max()).bit_length() if len(value) else 0):
-        prefix = value >> (bit + 1)
-        place = np.argsort(prefix, kind="stable")
-        group, one, w = prefix[place], (value[place] >> bit) & 1, weight[place].astype(float)
-        before = np.cumsum(w * one) - w * one
-        first = np.searchsorted(group, group, side="left")
-        total += float(((before - before[first]) * w * (1 - one)).sum())
-    return total
-
-
-def pair_balance(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> float:
-    """Weight of the concordant pairs minus the discordant ones; ties count as neither."""
-    rising = np.lexsort((-y, x))
-    falling = np.lexsort((y, x))
-    return falling_weight(-y[rising], w[rising]) - falling_weight(y[falling], w[falling])
-
-
-def _blocks(cells: DataFrame, axis: str, size: int, slice_rows: int) -> DataFrame:
-    """(value, block): about ``size`` cells per block in value order; a crowded value stands alone."""
-    counts = cells.groupBy(F.col(axis).alias(f"_{axis}")).agg(F.count("*").alias("n"))
-    before = running_totals(counts, [F.asc(f"_{axis}")], {"upto": "n"}, slice_rows)
-    start = F.floor((F.col("upto") - F.col("n")) / F.lit(size)) * 2
-    return before.select(f"_{axis}", (start + (F.col("n") >= size).cast("int")).alias(f"b{axis}"))
-
-
-def _ties(weights: np.ndarray) -> float:
-    return float((weights * (weights - 1) / 2).sum())
-
-
-def _tau(balance: float, n: float, tied_x: float, tied_y: float) -> float | None:
-    pairs = n * (n - 1) / 2
-    scale = ((pairs - tied_x) * (pairs - tied_y)) ** 0.5
-    return balance / scale if scale else None
-
-
-def _whole_tau(pdf: pd.DataFrame) -> pd.DataFrame:
-    x, y, w = (pdf[c].to_numpy(float) for c in ("x", "y", "w"))
-    tau = _tau(pair_balance(x, y, w), w.sum(), _ties(pdf.groupby("x")["w"].sum().to_numpy(float)),
-               _ties(pdf.groupby("y")["w"].sum().to_numpy(float)))
-    return pd.DataFrame({"pair": [pdf["pair"].iat[0]], "r": [tau]})
-
-
-def _kendall(kept: DataFrame, columns: list[str], slice_rows: int, block_cells: int) -> DataFrame:
-    """tau-b over the distinct (x, y) cells of each pair of columns.
-
-    A pair with few cells is one small group; a pair with many is cut into
-    blocks.
-    """
-    names = list(combinations(columns, 2))
-    entries = F.array(*[F.struct(F.lit(i).alias("pair"), column(a).alias("x"), column(b).alias("y"))
-                        for i, (a, b) in enumerate(names)])
-    rows = kept.groupBy(*columns).agg(F.count("*").alias("w"))
-    cells = stage(rows.select("w", F.inline(entries)).groupBy("pair", "x", "y").agg(F.sum("w").alias("w")), "cells")
-    sizes = {r["pair"]: r["count"] for r in cells.groupBy("pair").count().collect()}
-    few = [i for i, n in sizes.items() if n <= block_cells]
-    found = {r["pair"]: r["r"] for r in cells.where(F.col("pair").isin(few)).groupBy("pair")
-             .applyInPandas(_whole_tau, "pair int, r double").collect()}
-    for i, n in sizes.items():
-        if i not in found:
-            found[i] = _block_tau(cells.where(F.col("pair") == i).select("x", "y", "w"), n, slice_rows, block_cells)
-    out = [(a, b, found.get(i)) for i, (a, b) in enumerate(names)]
+    cells = stage(kept.groupBy(*columns).agg(F.count("*").alias("w")), "cells")
+    ranks = _ranked(cells, columns, slices)
+    per = {int(r["name"]): r for r in ranks.groupBy("name").agg(
+        F.max("rank").alias("values"), F.sum("n").cast("double").alias("rows"),
+        F.sum(F.col("n").cast("double") * (F.col("n") - 1) / 2).alias("tied")).collect()}
+    if not per:
+        return kept.sparkSession.createDataFrame([(a, b, None) for a, b in combinations(columns, 2)], "x string, y string, r double")
+    pairs = list(combinations(range(len(columns)), 2))
+    # The column with fewer values has fewer bits.
+    sides = [(i, j) if per[j]["values"] <= per[i]["values"] else (j, i) for i, j in pairs]
+    entries = F.array(*[F.struct(F.lit(k).alias("pair"), F.col(f"d{i}").alias("x"), F.col(f"d{j}").alias("y"),
+                                 F.lit(per[j]["values"].bit_length()).alias("bits")) for k, (i, j) in enumerate(sides)])
+    placed = _placed(cells, columns, ranks, "rank").select("w", F.inline(entries))
+    met = placed.groupBy("pair", "x", "y", "bits").agg(F.sum("w").alias("w"))
+    levels = met.select("pair", "x", "y", "w", F.explode(F.expr("sequence(0, bits - 1)")).alias("level"))
+    one = F.expr("shiftright(y, level) & 1")
+    counts = levels.groupBy("pair", F.expr("concat_ws(':', pair, level, shiftright(y, level + 1))").alias("group"), "x").agg(
+        F.sum(F.col("w") * one).alias("ones"), F.sum(F.col("w") * (1 - one)).alias("zeros"))
+    summed = running_totals(stage(counts, "bits"), [F.asc("x")], {"ones_upto": "ones", "zeros_upto": "zeros"}, "group", slices)
+    ones, zeros = F.col("ones").cast("double"), F.col("zeros").cast("double")
+    balance = (F.col("zeros_upto") - F.col("zeros")) * ones - (F.col("ones_upto") - F.col("ones")) * zeros
+    found = {r["pair"]: r["s"] for r in summed.groupBy("pair").agg(F.sum(balance).alias("s")).collect()}
+    out = []
+    for k, (i, j) in enumerate(pairs):
+        every = per[i]["rows"] * (per[i]["rows"] - 1) / 2
+        scale = ((every - per[i]["tied"]) * (every - per[j]["tied"])) ** 0.5
+        out.append((columns[i], columns[j], found.get(k, 0.0) / scale if scale else None))
     return kept.sparkSession.createDataFrame(out, "x string, y string, r double")
-
-
-def _block_tau(cells: DataFrame, n_cells: int, slice_rows: int, block_cells: int) -> float | None:
-    """Pairs in different blocks on both axes are counted from block totals;
-    pairs that share a block are counted inside that block's task."""
-    size = max(block_cells, -(-n_cells // MAX_BLOCKS))
-    placed = cells
-    for axis in ("x", "y"):
-        blocks = _blocks(cells, axis, size, slice_rows)
-        placed = placed.join(blocks, F.col(axis) == F.col(f"_{axis}")).drop(f"_{axis}")
-    placed = stage(placed.select("x", "y", "w", "bx", "by"), "placed")
-
-    def inside(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"s": [pair_balance(pdf["u"].to_numpy(float), pdf["v"].to_numpy(float),
-                                                pdf["w"].to_numpy(float))]})
-
-    # A block of one single value holds ties only (odd block numbers), so it is never gathered.
-    same_x = placed.where(F.col("bx") % 2 == 0).select(F.col("bx").alias("g"), F.col("x").alias("u"),
-                                                       F.col("y").alias("v"), "w")
-    same_y = (placed.where(F.col("by") % 2 == 0).groupBy("by", "bx", "y").agg(F.sum("w").alias("w"))
-              .select(F.col("by").alias("g"), F.col("bx").cast("double").alias("u"), F.col("y").alias("v"), "w"))
-    balance = 0.0
-    for part in (same_x, same_y):
-        balance += part.groupBy("g").applyInPandas(inside, "s double").agg(F.sum("s")).first()[0] or 0.0
-    # About MAX_BLOCKS blocks per axis at most: the block totals are a bounded table.
-    totals = placed.groupBy("bx", "by").agg(F.sum("w").alias("w")).toPandas()
-    balance += pair_balance(totals["bx"].to_numpy(float), totals["by"].to_numpy(float), totals["w"].to_numpy(float))
-    tied = []
-    for axis in ("x", "y"):
-        per = cells.groupBy(axis).agg(F.sum("w").cast("double").alias("t"))
-        tied.append(per.agg(F.sum(F.col("t") * (F.col("t") - 1) / 2)).first()[0])
-    return _tau(balance, cells.agg(F.sum("w")).first()[0], *tied)

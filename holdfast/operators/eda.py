@@ -6,21 +6,21 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast.functions.expressions import column, label_text, missing, number
-from holdfast.functions.selection import exact_quantiles
+from holdfast.functions.selection import exact_quantiles, group_quantiles
+from holdfast.session import stage
 
-MAX_GROUPS = 1000
+#: Parts of a group whose densities are added up by different tasks, and values that one step spreads over the grid.
+PARTS, AT_ONCE = 32, 4096
 
 
-def _groups(df: DataFrame, by: str) -> list:
-    """The distinct groups of a chart; a chart with thousands of groups is refused."""
-    rows = df.where(~missing(df, by)).select(column(by).alias("g")).distinct().limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError(f"{by!r} has more than {MAX_GROUPS} groups")
-    return sorted(r["g"] for r in rows)
+def _grouped(df: DataFrame, name: str, by: str) -> DataFrame:
+    """``category, name, value`` of the rows with both; ``name`` is the category as text."""
+    return df.where(~missing(df, by)).select(
+        column(by).alias("category"), column(by).cast("string").alias("name"), number(df, name).alias("value")).where("value IS NOT NULL")
 
 
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
@@ -51,9 +51,21 @@ def rate_by(df: DataFrame, by: str, label: str) -> DataFrame:
             .withColumn("overall_pct", overall).orderBy(F.desc("rate_pct"), "category"))
 
 
+def rates_by_two(df: DataFrame, rows: str, columns: str, label: str) -> DataFrame:
+    """(row, column, n, rate_pct): label rate in percent by two categories, of any number of values."""
+    return (df.where(column(rows).isNotNull() & ~missing(df, columns))
+            .groupBy(column(rows).alias("row"), column(columns).alias("column"))
+            .agg(F.count(number(df, label)).alias("n"), (F.avg(number(df, label)) * 100).alias("rate_pct")))
+
+
 def rate_pivot(df: DataFrame, rows: str, columns: str, label: str, values: list | None = None) -> DataFrame:
-    """Label rate in percent by two categories, the second one as columns."""
-    values = _groups(df, columns) if values is None else values
+    """Label rate in percent by two categories, the second one as columns.
+
+    Each of its values is a column, so the driver has to know them all; without
+    that, ``rates_by_two`` has the same rates as rows.
+    """
+    if values is None:
+        values = sorted(r[0] for r in df.where(~missing(df, columns)).select(column(columns)).distinct().collect())
     return (df.where(column(rows).isNotNull()).groupBy(column(rows).alias(rows)).pivot(columns, values)
             .agg(F.avg(number(df, label)) * 100))
 
@@ -82,85 +94,74 @@ def histogram(df: DataFrame, name: str, bins: int = 40) -> DataFrame:
         F.lit(median).alias("median"))
 
 
-def _per_group(df: DataFrame, name: str, by: str) -> tuple[list, dict[str, Column]]:
-    groups = _groups(df, by)
-    return groups, {str(i): F.when(column(by) == F.lit(g), number(df, name)) for i, g in enumerate(groups)}
-
-
 def box_stats(df: DataFrame, name: str, by: str, factor: float = 1.5) -> DataFrame:
-    """(category, n, q1, median, q3, whisker_low, whisker_high, n_fliers) per class."""
-    groups, parts = _per_group(df, name, by)
-    quartiles = exact_quantiles(df, parts, [0.25, 0.5, 0.75])
-    aggregates, entries = [], []
-    for i, g in enumerate(groups):
-        q1, q2, q3 = quartiles[str(i)]
-        if q1 is None:
-            continue
-        x, low, high = parts[str(i)], q1 - factor * (q3 - q1), q3 + factor * (q3 - q1)
-        aggregates += [F.count(x).alias(f"n{i}"), F.min(F.when(x >= low, x)).alias(f"a{i}"),
-                       F.max(F.when(x <= high, x)).alias(f"z{i}"), F.count_if((x < low) | (x > high)).alias(f"f{i}")]
-        entries.append(F.struct(
-            F.lit(g).alias("category"), F.col(f"n{i}").alias("n"), F.lit(q1).alias("q1"), F.lit(q2).alias("median"),
-            F.lit(q3).alias("q3"), F.least(F.col(f"a{i}"), F.lit(q1)).alias("whisker_low"),
-            F.greatest(F.col(f"z{i}"), F.lit(q3)).alias("whisker_high"), F.col(f"f{i}").alias("n_fliers")))
-    return df.agg(*aggregates).select(F.inline(F.array(*entries)))
+    """(category, n, q1, median, q3, whisker_low, whisker_high, n_fliers) per class, of any number of classes."""
+    rows = _grouped(df, name, by)
+    q = F.col("quantiles")
+    marks = group_quantiles(rows.select("name", "value"), [0.25, 0.5, 0.75]).select(
+        "name", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"))
+    x, reach = F.col("value"), factor * (F.col("q3") - F.col("q1"))
+    low, high = F.col("q1") - reach, F.col("q3") + reach
+    found = rows.join(marks, "name").groupBy("name", "q1", "median", "q3").agg(
+        F.min("category").alias("category"), F.count("*").alias("n"), F.min(F.when(x >= low, x)).alias("low"),
+        F.max(F.when(x <= high, x)).alias("high"), F.count_if((x < low) | (x > high)).alias("n_fliers"))
+    return found.select("category", "n", "q1", "median", "q3", F.least("low", "q1").alias("whisker_low"),
+                        F.greatest("high", "q3").alias("whisker_high"), "n_fliers")
 
 
 def kernel_density(df: DataFrame, name: str, by: str, points: int = 1000, margin: float = 0.5) -> DataFrame:
     """(category, i, x, density): Gaussian kernel, Scott's bandwidth, on an even grid per class.
 
     The grid reaches ``margin`` times the range beyond both ends.  Equal values
-    are counted first; each task then adds its values up into one density sum
-    per grid point, so no row is paired with the grid in a table.
+    are counted first; each task then adds up the values of one part of a class
+    after another into one density sum per grid point, so no row is paired with
+    the grid in a table and no task holds a class.
     """
-    groups = _groups(df, by)
-    x, kind = number(df, name), df.schema[by].dataType
-    known = df.where(x.isNotNull() & ~missing(df, by)).select(column(by).alias("category"), x.alias("x"))
-    stats = known.groupBy("category").agg(F.count("*").alias("n"), F.stddev_samp("x").alias("std"),
-                                          F.min("x").alias("low"), F.max("x").alias("high")).collect()
-    grids = {}
-    for r in stats:
-        if not r["std"]:
-            raise ValueError(f"{name!r} does not vary within {by} = {r['category']!r}")
-        reach = margin * (r["high"] - r["low"])
-        grid = np.linspace(r["low"] - reach, r["high"] + reach, points)
-        grids[r["category"]] = (grid, r["std"] * r["n"] ** -0.2, r["n"])
-    assert len(grids) <= len(groups)
+    rows = _grouped(df, name, by)
+    stats = stage(rows.groupBy("name").agg(
+        F.min("category").alias("category"), F.count("*").alias("n"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("least"), F.max("value").alias("most")), "classes")
+    flat = stats.where("std IS NULL OR std = 0").select("category").first()
+    if flat is not None:
+        raise ValueError(f"{name!r} does not vary within {by} = {flat[0]!r}")
+    reach = margin * (F.col("most") - F.col("least"))
+    grid = stats.select("name", "category", "n", (F.col("least") - reach).alias("first"),
+                        ((F.col("most") - F.col("least") + 2 * reach) / (points - 1)).alias("step"),
+                        (F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("width"))
+    counts = rows.groupBy("name", "value").agg(F.count("*").alias("w"))
+    part = F.pmod(F.xxhash64("value"), F.lit(PARTS)).cast("int")
+    placed = counts.join(grid.select("name", "first", "step", "width"), "name").withColumn("part", part)
+    dealt = placed.repartition("name", "part").sortWithinPartitions("name", "part").select(
+        "name", "value", "w", "first", "step", "width")
 
     def add_up(batches):
-        sums = {g: np.zeros(points) for g in grids}
+        """One row of sums for each class of the partition; classes come one after another."""
+        last, sums = None, None
         for batch in batches:
-            for g, part in batch.groupby("category"):
-                grid, width, _ = grids[g]
-                values, weights = part["x"].to_numpy(), part["count"].to_numpy(dtype=float)
-                for start in range(0, len(values), 4096):
-                    z = (grid[:, None] - values[None, start:start + 4096]) / width
-                    sums[g] += np.exp(-0.5 * z * z) @ weights[start:start + 4096]
-        for g, total in sums.items():
-            yield pd.DataFrame({"category": g, "i": np.arange(points), "part": total})
-
-    schema = f"category {kind.simpleString()}, i int, part double"
-    parts = known.groupBy("category", "x").count().mapInPandas(add_up, schema)
-    scale, position = F.when(F.lit(False), F.lit(0.0)), F.when(F.lit(False), F.lit(0.0))
-    for g, (grid, width, n) in grids.items():
-        mine = F.col("category") == F.lit(g)
-        scale = scale.when(mine, F.lit(n * width * math.sqrt(2 * math.pi)))
-        step = float(grid[-1] - grid[0]) / (points - 1)
-        position = position.when(mine, F.lit(float(grid[0])) + F.col("i") * F.lit(step))
-    return (parts.groupBy("category", "i").agg(F.sum("part").alias("total"))
-            .select("category", "i", position.alias("x"), (F.col("total") / scale).alias("density")))
+            for group, rows in batch.groupby("name", sort=False):
+                if group != last:
+                    if last is not None:
+                        yield pd.DataFrame({"name": [last], "sums": [sums]})
+                    last, sums = group, np.zeros(points)
+                at = rows["first"].iloc[0] + np.arange(points) * rows["step"].iloc[0]
+                values, weights = rows["value"].to_numpy(), rows["w"].to_numpy(dtype=float)
+                for k in range(0, len(values), AT_ONCE):
+                    z = (at[:, None] - values[None, k:k + AT_ONCE]) / rows["width"].iloc[0]
+                    sums += np.exp(-0.5 * z * z) @ weights[k:k + AT_ONCE]
+        if last is not None:
+            yield pd.DataFrame({"name": [last], "sums": [sums]})
+
+    sums = dealt.mapInPandas(add_up, "name string, sums array<double>")
+    total = sums.select("name", F.posexplode("sums").alias("i", "s")).groupBy("name", "i").agg(F.sum("s").alias("s"))
+    return total.join(grid, "name").select(
+        "category", "i", (F.col("first") + F.col("i") * F.col("step")).alias("x"),
+        (F.col("s") / (F.col("n") * F.col("width") * math.sqrt(2 * math.pi))).alias("density"))
 
 
 def violin_stats(df: DataFrame, name: str, by: str, points: int = 100) -> DataFrame:
     """(category, i, x, density, low, median, high): density between the extremes, with the median."""
-    groups, parts = _per_group(df, name, by)
-    marks = exact_quantiles(df, parts, [0.0, 0.5, 1.0])
+    rows, q = _grouped(df, name, by), F.col("quantiles")
+    marks = group_quantiles(rows.select("name", "value"), [0.0, 0.5, 1.0]).select(
+        F.col("name").alias("_name"), q[0].alias("low"), q[1].alias("median"), q[2].alias("high"))
     density = kernel_density(df, name, by, points, margin=0.0)
-    extra = {}
-    for k, field in enumerate(("low", "median", "high")):
-        value = F.when(F.lit(False), F.lit(0.0))
-        for i, g in enumerate(groups):
-            if marks[str(i)][k] is not None:
-                value = value.when(F.col("category") == F.lit(g), F.lit(marks[str(i)][k]))
-        extra[field] = value
-    return density.withColumns(extra)
+    return density.join(marks, F.col("category").cast("string") == F.col("_name")).drop("_name")

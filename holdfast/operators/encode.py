@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from holdfast import settings
 from holdfast.functions.expressions import column, is_floating, missing, present
-from holdfast.functions.ordering import row_numbers
+from holdfast.functions.ordering import running_totals
 from holdfast.operators.base import FittedOperator, pick
 from holdfast.session import stage
 
@@ -106,15 +106,8 @@ class LabelEncoder(_LookupEncoder):
             return {"columns": []}
         pairs = F.array(*[F.struct(F.lit(n).alias("name"), _text(df, n).alias("word")) for n in names])
         words = stage(df.select(F.inline(pairs)).distinct(), "words")
-        sizes = {r["name"]: r["count"] for r in words.groupBy("name").count().collect()}
-        start, running = [], 0
-        for n in sorted(sizes):
-            start += [F.lit(n), F.lit(running)]
-            running += sizes[n]
-        first = F.element_at(F.create_map(*start), F.col("name")) if start else F.lit(0)
-        numbered = row_numbers(words, [F.asc("name"), F.asc("word")], "position", rows=running)
-        self.tables = {"words": stage(numbered.select("name", "word", (F.col("position") - 1 - first).alias("code")),
-                                      "codes")}
+        numbered = running_totals(words.withColumn("one", F.lit(1)), [F.asc("word")], {"upto": "one"}, "name")
+        self.tables = {"words": stage(numbered.select("name", "word", (F.col("upto") - 1).alias("code")), "codes")}
         return {"columns": names}
 
     def apply(self, df: DataFrame, state: dict) -> DataFrame:

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from holdfast import settings
 from holdfast.functions.expressions import column, safe_ratio
-from holdfast.functions.ordering import SLICE_ROWS, running_totals
+from holdfast.functions.ordering import running_totals
+from holdfast.session import stage
 
 SWEEP_METRICS = ("f1", "recall", "precision", "cost")
 
@@ -146,13 +147,13 @@ def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
             .agg(F.count_if(column(label) == 1).alias("pos"), F.count_if(column(label) == 0).alias("neg")))
 
 
-def curve(df: DataFrame, label: str, score: str, slice_rows: int = SLICE_ROWS) -> tuple[DataFrame, int, int]:
+def curve(df: DataFrame, label: str, score: str, slices: int | None = None) -> tuple[DataFrame, int, int]:
     """((score, pos, neg, tp, fp) from the highest score down, all positives, all negatives)."""
-    counts = score_counts(df, label, score)
-    rows, positives, negatives = counts.agg(F.count("*"), F.sum("pos"), F.sum("neg")).first()
+    counts = stage(score_counts(df, label, score), "scores")
+    positives, negatives = counts.agg(F.sum("pos"), F.sum("neg")).first()
     if not positives or not negatives:
         raise ValueError("both classes are needed for a curve")
-    ordered = running_totals(counts, [F.desc("score")], {"tp": "pos", "fp": "neg"}, slice_rows, rows)
+    ordered = running_totals(counts, [F.desc("score")], {"tp": "pos", "fp": "neg"}, slices=slices)
     return ordered, positives, negatives
 
 
@@ -165,20 +166,20 @@ def _average_precision(positives: int) -> Column:
     return F.sum(F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp")))) / F.lit(float(positives))
 
 
-def roc_auc(df: DataFrame, label: str, score: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    ordered, p, n = curve(df, label, score, slice_rows)
+def roc_auc(df: DataFrame, label: str, score: str, slices: int | None = None) -> DataFrame:
+    ordered, p, n = curve(df, label, score, slices)
     return ordered.agg(_roc_auc(p, n).alias("roc_auc"))
 
 
-def average_precision(df: DataFrame, label: str, score: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def average_precision(df: DataFrame, label: str, score: str, slices: int | None = None) -> DataFrame:
     """Sum of precision times recall gain; no interpolation between points."""
-    ordered, p, _ = curve(df, label, score, slice_rows)
+    ordered, p, _ = curve(df, label, score, slices)
     return ordered.agg(_average_precision(p).alias("average_precision"))
 
 
-def roc_points(df: DataFrame, label: str, score: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def roc_points(df: DataFrame, label: str, score: str, slices: int | None = None) -> DataFrame:
     """(threshold, fpr, tpr) per distinct score, and the origin with an infinite threshold."""
-    ordered, p, n = curve(df, label, score, slice_rows)
+    ordered, p, n = curve(df, label, score, slices)
     points = ordered.select(F.col("score").alias("threshold"), (F.col("fp") / F.lit(float(n))).alias("fpr"),
                             (F.col("tp") / F.lit(float(p))).alias("tpr"))
     start = df.sparkSession.range(1).select(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
@@ -186,9 +187,9 @@ def roc_points(df: DataFrame, label: str, score: str, slice_rows: int = SLICE_RO
     return start.unionByName(points)
 
 
-def pr_points(df: DataFrame, label: str, score: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def pr_points(df: DataFrame, label: str, score: str, slices: int | None = None) -> DataFrame:
     """(threshold, precision, recall, base_rate) per distinct score, and the final (1, 0) point."""
-    ordered, p, n = curve(df, label, score, slice_rows)
+    ordered, p, n = curve(df, label, score, slices)
     base = F.lit(p / (p + n)).alias("base_rate")
     points = ordered.select(F.col("score").alias("threshold"),
                             (F.col("tp") / (F.col("tp") + F.col("fp"))).alias("precision"),
@@ -210,35 +211,28 @@ def _metrics(threshold: float, positives: Column, negatives: Column) -> list[Col
 
 
 def evaluate_scores(df: DataFrame, label: str, scores: dict[str, str], threshold: float = 0.5,
-                    slice_rows: int = SLICE_ROWS) -> DataFrame:
+                    slices: int | None = None) -> DataFrame:
     """Per named score column one row with every metric at the threshold, roc_auc and pr_auc.
 
-    All scores share one pass: counts per (name, score), one running total over
-    all names, and each name's start taken off it.
+    All scores share one pass: counts per (name, score), then running totals
+    that start afresh with each name.
     """
     pairs = F.array(*[F.struct(F.lit(n).alias("name"), column(c).cast("double").alias("score"))
                       for n, c in scores.items()])
-    counts = (df.select(column(label).alias("_y"), F.inline(pairs)).where(F.col("score").isNotNull())
-              .groupBy("name", "score").agg(F.count_if(F.col("_y") == 1).alias("pos"),
-                                            F.count_if(F.col("_y") == 0).alias("neg")))
-    totals = {r["name"]: r for r in counts.groupBy("name").agg(
-        F.count("*").alias("rows"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).collect()}
+    counts = stage(df.select(column(label).alias("_y"), F.inline(pairs)).where(F.col("score").isNotNull())
+                   .groupBy("name", "score").agg(F.count_if(F.col("_y") == 1).alias("pos"),
+                                                 F.count_if(F.col("_y") == 0).alias("neg")), "scores")
+    totals = {r["name"]: r for r in counts.groupBy("name").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")).collect()}
     lacking = [n for n in scores if n not in totals or not totals[n]["pos"] or not totals[n]["neg"]]
     if lacking:
         raise ValueError(f"both classes are needed to evaluate {lacking}")
-    ordered = running_totals(counts, [F.asc("name"), F.desc("score")], {"tp": "pos", "fp": "neg"}, slice_rows,
-                             sum(r["rows"] for r in totals.values()))
-    starts, p, n = [], [], []
-    pos = neg = 0
-    for name in sorted(totals):
-        starts += [F.lit(name), F.struct(F.lit(pos).alias("p"), F.lit(neg).alias("n"))]
-        pos, neg = pos + totals[name]["pos"], neg + totals[name]["neg"]
-        p += [F.lit(name), F.lit(float(totals[name]["pos"]))]
-        n += [F.lit(name), F.lit(float(totals[name]["neg"]))]
-    start = F.element_at(F.create_map(*starts), F.col("name"))
-    own = ordered.withColumns({"tp": F.col("tp") - start["p"], "fp": F.col("fp") - start["n"],
-                               "all_p": F.element_at(F.create_map(*p), F.col("name")),
-                               "all_n": F.element_at(F.create_map(*n), F.col("name"))})
+    ordered = running_totals(counts, [F.desc("score")], {"tp": "pos", "fp": "neg"}, "name", slices)
+
+    def whole(field: str) -> Column:
+        every = [x for n, r in totals.items() for x in (F.lit(n), F.lit(float(r[field])))]
+        return F.element_at(F.create_map(*every), F.col("name"))
+
+    own = ordered.withColumns({"all_p": whole("pos"), "all_n": whole("neg")})
     rows = own.groupBy("name").agg(*_metrics(threshold, F.first("all_p"), F.first("all_n")))
     return _rates(rows).select(
         "name", F.lit(float(threshold)).alias("threshold"),
@@ -247,9 +241,9 @@ def evaluate_scores(df: DataFrame, label: str, scores: dict[str, str], threshold
 
 
 def evaluate(df: DataFrame, label: str, score: str, threshold: float = 0.5,
-             slice_rows: int = SLICE_ROWS) -> DataFrame:
+             slices: int | None = None) -> DataFrame:
     """One row with every metric at the threshold, roc_auc and pr_auc."""
-    return evaluate_scores(df, label, {score: score}, threshold, slice_rows).drop("name")
+    return evaluate_scores(df, label, {score: score}, threshold, slices).drop("name")
 
 
 def calibration(df: DataFrame, label: str, score: str, bins: int = 10) -> DataFrame:

@@ -1,9 +1,10 @@
 """Exact, seeded splits, samples and folds.
 
-Rows are ordered by a seeded hash of their key.  The hash at each wanted
-position is found exactly, so membership becomes a comparison with a few
-literals: no row is shuffled, no class is sorted in one task, and the sizes
-are exact.
+Rows are ordered by a seeded hash of their key.  The hash at each wanted position
+of each class is found exactly (``functions.selection``) and kept in a table with
+one row per class, so membership is a comparison after a join with that table:
+no class is sorted in one task, any number of classes is served alike, and the
+sizes are exact.
 """
 
 from __future__ import annotations
@@ -15,88 +16,96 @@ from pyspark.sql import functions as F
 
 from holdfast import settings
 from holdfast.functions.expressions import column, hash_order
-from holdfast.functions.selection import order_statistics
+from holdfast.functions.ordering import row_numbers, running_totals
+from holdfast.functions.selection import positions, sketched
+from holdfast.session import stage
 
 MIN_ROWS = 10
-MAX_CLASSES = 1000
 _ALL = "all"
 
 
-def _classes(df: DataFrame, label: str | None) -> dict[str, int]:
-    if label is None:
-        return {_ALL: df.count()}
-    rows = (df.groupBy(column(label).cast("string").alias("name")).count()
-            .limit(MAX_CLASSES + 1).collect())
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{label!r} has more than {MAX_CLASSES} classes; it is no class label")
-    return {r["name"]: r["count"] for r in rows}
-
-
-def _hashed(df: DataFrame, key: str, label: str | None, seed: int, method: str) -> DataFrame:
-    name = F.lit(_ALL) if label is None else column(label).cast("string")
-    return df.select(name.alias("name"), hash_order(column(key), seed, method).alias("value"),
-                     column(key).alias("key"))
-
-
-def _at_most(df: DataFrame, key: str, label: str | None, seed: int, method: str,
-             quotas: dict[str, list[int]], rows: dict[str, int]) -> list[Column]:
-    """For the i-th quota a condition that holds for exactly that many rows of each class."""
-    hashed = _hashed(df, key, label, seed, method)
-    ranks = {n: [q - 1 for q in qs if 0 < q < rows[n]] for n, qs in quotas.items()}
-    targets = {n: F.when(F.col("name") == F.lit(n), F.col("value")) for n in quotas}
-    found = order_statistics(hashed.select("name", "value"), targets, ranks, rows)
-    value, own = hash_order(column(key), seed, method), column(key)
-    name = F.lit(_ALL) if label is None else column(label).cast("string")
-    conditions = []
-    for i in range(max(len(q) for q in quotas.values())):
-        hit: Column = F.lit(False)
-        for n, qs in quotas.items():
-            quota = qs[i]
-            if quota <= 0:
-                continue
-            if quota >= rows[n]:
-                hit = hit | (name == F.lit(n))
-                continue
-            spot = found[(n, quota - 1)]
-            wanted = quota - spot.below
-            test = value <= F.lit(spot.value)
-            if wanted < spot.equal:
-                # Several rows share the hash at the border: the key decides.
-                tied = (hashed.where((F.col("name") == F.lit(n)) & (F.col("value") == F.lit(spot.value)))
-                        .groupBy("key").count().orderBy("key").limit(wanted + 1).collect())
-                if sum(r["count"] for r in tied[:wanted]) != wanted:
-                    raise ValueError(f"{key!r} has to be unique for an exact split")
-                border = F.lit(tied[wanted - 1]["key"])
-                test = (value < F.lit(spot.value)) | ((value == F.lit(spot.value)) & (own <= border))
-            hit = hit | ((name == F.lit(n)) & test)
-        conditions.append(hit)
-    return conditions
-
-
-def class_quotas(counts: dict[str, int], size: int) -> dict[str, int]:
-    """``size`` rows shared out in proportion; largest remainder, then class order."""
-    rows = sum(counts.values())
-    exact = {n: c * size / rows for n, c in counts.items()}
-    quota = {n: math.floor(e) for n, e in exact.items()}
-    order = sorted(counts, key=lambda n: (-(exact[n] - quota[n]), n))
-    for n in order[: size - sum(quota.values())]:
-        quota[n] += 1
-    return quota
-
-
-def split_quotas(counts: dict[str, int], test_share: float, val_share: float) -> dict[str, tuple[int, int]]:
-    """(test rows, validation rows) per class.
+def _name(label: str | None) -> Column:
+    return F.lit(_ALL) if label is None else column(label).cast("string")
+
+
+def _classes(df: DataFrame, label: str | None) -> tuple[DataFrame, int, int]:
+    """``name, n`` of each class, all rows, and the rows of the smallest class."""
+    classes = stage(df.groupBy(_name(label).alias("name")).agg(F.count("*").alias("n")), "classes")
+    rows, least = classes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.min("n"), F.lit(0))).first()
+    return classes, rows, least
+
+
+def _borders(df: DataFrame, key: str, label: str | None, seed: int, method: str, quotas: DataFrame, shares: list[float]) -> DataFrame:
+    """``name, n, quotas, at``: for each quota of each class, by its last rank, the hash up to which rows count.
+
+    Where rows beyond the quota share that hash, ``key`` is the largest key that
+    still counts, else null.  ``quotas`` has ``name`` and ``quotas``, which are about these ``shares`` of each class.
+    """
+    rows = df.select(_name(label).alias("name"), hash_order(column(key), seed, method).alias("value"), column(key).alias("key"))
+    ranks = F.transform(F.filter("quotas", lambda q: (q > 0) & (q < F.col("n"))), lambda q: q - 1)
+    groups = stage(sketched(rows.select("name", "value"), shares).join(quotas, "name").withColumn("ranks", F.array_distinct(ranks)), "quotas")
+    found = positions(rows.select("name", "value"), groups, len(shares)).withColumn("wanted", F.col("rank") + 1 - F.col("below"))
+    kind = df.schema[key].dataType.simpleString()
+    tied = found.where("wanted < equal")
+    ends = found.where("wanted = equal").withColumn("key", F.lit(None).cast(kind))
+    if not tied.isEmpty():
+        # Several rows share the hash at the border: the key decides.
+        counts = rows.join(tied.select("name", "value", "rank", "wanted"), ["name", "value"]).groupBy(
+            F.concat_ws(":", "rank", "name").alias("border"), "name", "rank", "wanted", "key").agg(F.count("*").alias("c"))
+        upto = running_totals(stage(counts, "tied"), [F.asc("key")], {"upto": "c"}, "border")
+        inside = F.col("upto") <= F.col("wanted")
+        last = stage(upto.groupBy("name", "rank", "wanted").agg(
+            F.max(F.when(inside, F.col("key"))).alias("key"), F.max(F.when(inside, F.col("upto"))).alias("most")), "tied")
+        if not last.where("most IS NULL OR most <> wanted").isEmpty():
+            raise ValueError(f"{key!r} has to be unique for an exact split")
+        ends = ends.unionByName(tied.join(last.select("name", "rank", "key"), ["name", "rank"]))
+    at = ends.groupBy("name").agg(F.map_from_entries(F.collect_list(F.struct("rank", F.struct("value", "key")))).alias("at"))
+    return groups.select("name", "n", "quotas").join(at, "name", "left")
+
+
+def _within(quota: Column, n: Column, at: Column, value: Column, own: Column) -> Column:
+    """Whether a row is among the first ``quota`` of the ``n`` rows of its class."""
+    border = F.element_at(at, quota - 1)
+    tie = F.coalesce(own <= border["key"], F.lit(True))
+    inside = (value < border["value"]) | ((value == border["value"]) & tie)
+    return F.when(quota <= 0, False).when(quota >= n, True).otherwise(F.coalesce(inside, F.lit(False)))
+
+
+def _parted(df: DataFrame, key: str, label: str | None, seed: int, method: str, quotas: DataFrame, shares: list[float],
+            names: list, into: str) -> DataFrame:
+    """Adds the i-th of ``names`` where the i-th (rising) quota of the class is the first to hold the row, else the last name."""
+    borders = _borders(df, key, label, seed, method, quotas, shares).select(
+        F.col("name").alias("_class"), F.struct("n", "quotas", "at").alias("_border"))
+    met = df.join(borders, _name(label) == F.col("_class"), "left")
+    value, b = hash_order(column(key), seed, method), F.col("_border")
+    part = F.when(F.lit(False), F.lit(names[0]))
+    for i, name in enumerate(names[:-1]):
+        part = part.when(_within(F.get(b["quotas"], F.lit(i)), b["n"], b["at"], value, column(key)), F.lit(name))
+    return met.withColumn(into, part.otherwise(F.lit(names[-1]))).select(*[column(c) for c in df.columns if c != into], into)
+
+
+def shared_out(classes: DataFrame, counted: str, size: int, into: str) -> DataFrame:
+    """Adds to ``name`` and its count the class's part of ``size`` rows in proportion; largest remainder, then class order."""
+    rows = classes.agg(F.sum(counted)).scalar()
+    exact = F.col(counted).cast("double") * F.lit(float(size)) / rows.cast("double")
+    floors = classes.withColumn("_exact", exact).withColumn("_floor", F.floor("_exact").cast("bigint"))
+    spare = F.lit(size) - floors.agg(F.sum("_floor")).scalar()
+    numbered = row_numbers(floors, [(F.col("_exact") - F.col("_floor")).desc(), F.col("name").asc()], "_number")
+    return numbered.withColumn(into, F.col("_floor") + (F.col("_number") <= spare).cast("bigint")).drop("_exact", "_floor", "_number")
+
+
+def split_quotas(classes: DataFrame, rows: int, test_share: float, val_share: float) -> DataFrame:
+    """``name, test, val``: rows of each class in both parts.
 
     The test set is the rounded-up share of all rows, the validation set the
     rounded-up share of the rest; at each step the kept rows are shared out
     first and the split-off part is what remains of each class.
     """
-    rows = sum(counts.values())
     test = math.ceil(rows * test_share)
-    kept = class_quotas(counts, rows - test)
+    kept = shared_out(classes, "n", rows - test, "kept")
     val = math.ceil((rows - test) * val_share)
-    train = class_quotas(kept, rows - test - val)
-    return {n: (counts[n] - kept[n], kept[n] - train[n]) for n in counts}
+    train = shared_out(kept, "kept", rows - test - val, "train")
+    return train.select("name", (F.col("n") - F.col("kept")).alias("test"), (F.col("kept") - F.col("train")).alias("val"))
 
 
 def assign_split(df: DataFrame, key: str, label: str = settings.LABEL, *,
@@ -107,16 +116,15 @@ def assign_split(df: DataFrame, key: str, label: str = settings.LABEL, *,
     if label not in df.columns:
         raise KeyError(f"label column {label!r} not found; available: {df.columns}")
     strata = label if stratify else None
-    counts = _classes(df, strata)
-    rows = sum(counts.values())
+    classes, rows, _ = _classes(df, strata)
     if rows < MIN_ROWS:
         raise ValueError(f"too small to split: {rows} rows, need at least {MIN_ROWS}")
-    if None in counts:
+    if not classes.where("name IS NULL").isEmpty():
         raise ValueError(f"label column {label!r} has missing values")
-    parts = split_quotas(counts, test_share, val_share)
-    quotas = {n: [test, test + val] for n, (test, val) in parts.items()}
-    in_test, in_val = _at_most(df, key, strata, seed, method, quotas, counts)
-    return df.withColumn(name, F.when(in_test, "test").when(in_val, "val").otherwise("train"))
+    parts = split_quotas(classes, rows, test_share, val_share)
+    quotas = stage(parts.select("name", F.array(F.col("test"), F.col("test") + F.col("val")).alias("quotas")), "shares")
+    return _parted(df, key, strata, seed, method, quotas, [test_share, test_share + (1 - test_share) * val_share],
+                   ["test", "val", "train"], name)
 
 
 def split(df: DataFrame, key: str, label: str = settings.LABEL, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -130,7 +138,15 @@ def sample_condition(df: DataFrame, key: str, n: int, seed: int = settings.SEED,
     """True for exactly ``n`` randomly chosen rows (for all rows when there are fewer)."""
     if n <= 0:
         return F.lit(False)
-    return _at_most(df, key, None, seed, method, {_ALL: [n]}, _classes(df, None))[0]
+    quota = df.sparkSession.createDataFrame([(_ALL, [n])], "name string, quotas array<bigint>")
+    rows = df.count()
+    if n >= rows:
+        return F.lit(True)
+    border = _borders(df, key, None, seed, method, quota, [n / rows]).first()
+    last = border["at"][n - 1]
+    value = hash_order(column(key), seed, method)
+    tie = F.lit(True) if last["key"] is None else column(key) <= F.lit(last["key"])
+    return (value < F.lit(last["value"])) | ((value == F.lit(last["value"])) & tie)
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = settings.SEED, method: str = "xxhash64") -> DataFrame:
@@ -141,17 +157,13 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int = settings.SEED, meth
 def assign_folds(df: DataFrame, key: str, label: str | None, folds: int = settings.CV_FOLDS,
                  seed: int = settings.SEED, method: str = "xxhash64", name: str = "fold") -> DataFrame:
     """Adds 0..folds-1; within a class the fold sizes differ by at most one."""
-    counts = _classes(df, label)
-    if folds < 2 or min(counts.values()) < folds:
+    classes, _, least = _classes(df, label)
+    if folds < 2 or least < folds:
         raise ValueError(f"need at least {folds} rows of each class and two folds")
-    quotas = {}
-    for n, c in counts.items():
-        sizes = [c // folds + (i < c % folds) for i in range(folds)]
-        quotas[n] = [sum(sizes[: i + 1]) for i in range(folds - 1)]
-    fold = F.when(F.lit(False), F.lit(0))
-    for i, hit in enumerate(_at_most(df, key, label, seed, method, quotas, counts)):
-        fold = fold.when(hit, F.lit(i))
-    return df.withColumn(name, fold.otherwise(F.lit(folds - 1)))
+    size, larger = F.floor(F.col("n") / folds), F.col("n") % folds
+    ends = [(size * (i + 1) + F.least(F.lit(i + 1), larger)).cast("bigint") for i in range(folds - 1)]
+    return _parted(df, key, label, seed, method, classes.select("name", F.array(*ends).alias("quotas")),
+                   [(i + 1) / folds for i in range(folds - 1)], list(range(folds)), name)
 
 
 def split_summary(df: DataFrame, label: str, split_column: str = "split") -> DataFrame:

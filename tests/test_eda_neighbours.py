@@ -121,7 +121,7 @@ def brute_tau(x, y):
     return float((sx * sy).sum() / math.sqrt((sx != 0).sum() * (sy != 0).sum()))
 
 
-@pytest.mark.parametrize("limits", [{}, {"slice_rows": 7, "block_cells": 20}])
+@pytest.mark.parametrize("limits", [{}, {"slices": 7}])
 @pytest.mark.parametrize("method", ["pearson", "spearman", "kendall"])
 def test_correlation(spark, method, limits):
     data = columns()

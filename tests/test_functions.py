@@ -1,5 +1,6 @@
 import math
 import random
+from functools import partial
 
 import numpy as np
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from holdfast.functions import expressions as X
 from holdfast.functions.ordering import row_numbers, running_totals
+from holdfast.functions import selection
 from holdfast.functions.selection import exact_quantiles, order_statistics
 
 
@@ -84,18 +86,45 @@ def _skewed(n, seed):
     return [7.25 if i % 3 == 0 else float(rnd.choice([rnd.gauss(0, 50), rnd.randint(0, 9)])) for i in range(n)]
 
 
-@pytest.mark.parametrize("fetch", [3, 40, 100_000])
-def test_quantiles_by_narrowing_equal_numpy(spark, fetch):
-    data = _skewed(4000, fetch)
+@pytest.mark.parametrize("few, slices", [(10, 5), (100_000, None)])
+def test_quantiles_by_brackets_equal_numpy(spark, monkeypatch, few, slices):
+    monkeypatch.setattr(selection, "few_sketched", partial(selection.few_sketched, accuracy=500, reach=0.004, few=few))
+    data = _skewed(4000, 3)
     df = spark.createDataFrame([(v, None if i % 7 == 0 else -v, float("nan")) for i, v in enumerate(data)],
                                "a double, b double, c double").repartition(6)
     probs = [0.0, 0.1, 0.25, 0.333, 0.5, 0.75, 0.99, 1.0]
-    got = exact_quantiles(df, {c: F.col(c) for c in "abc"}, probs, small_rows=10, fetch_values=fetch)
+    got = exact_quantiles(df, {c: F.col(c) for c in "abc"}, probs, slices)
     assert np.allclose(got["a"], np.quantile(data, probs))
     assert np.allclose(got["b"], np.quantile([-v for i, v in enumerate(data) if i % 7], probs))
     assert got["c"] == [None] * len(probs)
 
 
+def test_quantiles_of_many_groups(spark):
+    """One group holds half of the rows, one value half of that group; others have few rows, or only nulls."""
+    rnd = random.Random(5)
+    rows = [("hot", 7.5 if i % 2 else rnd.gauss(0, 9)) for i in range(6000)]
+    rows += [(f"g{i}", float(rnd.randint(0, 50))) for i in range(1500) for _ in range(rnd.randint(1, 6))] + [("none", None)]
+    df = spark.createDataFrame(rows, "name string, value double").repartition(5)
+    probs = [0.25, 0.5, 0.9]
+    groups = {}
+    for g, v in rows:
+        groups.setdefault(g, []).append(v)
+    got = {r["name"]: (r["n"], r["quantiles"]) for r in selection.group_quantiles(df, probs, slices=6).collect()}
+    assert set(got) == set(groups) - {"none"}
+    for g, (n, q) in got.items():
+        assert n == len(groups[g]) and np.allclose(q, np.quantile(groups[g], probs))
+
+
+def test_a_sketch_that_misleads_is_made_good(spark):
+    """Brackets that lie far from the values they should be give the same positions."""
+    rows = spark.createDataFrame([("a", i) for i in range(500)] + [("b", i % 3) for i in range(300)], "name string, value long")
+    groups = spark.createDataFrame([("a", 500, [400, 410], [420, 430], [0, 250, 499]), ("b", 300, [2, 2], [2, None], [0, 99, 100, 299])],
+                                   "name string, n long, lows array<long>, highs array<long>, ranks array<long>")
+    got = {(r["name"], r["rank"]): (r["value"], r["below"], r["equal"]) for r in selection.positions(rows, groups, 2, 4).collect()}
+    assert got == {("a", 0): (0, 0, 1), ("a", 250): (250, 250, 1), ("a", 499): (499, 499, 1), ("b", 0): (0, 0, 100),
+                   ("b", 99): (0, 0, 100), ("b", 100): (1, 100, 100), ("b", 299): (2, 200, 100)}
+
+
 def test_quantiles_of_few_rows(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (None,), (10.0,)], "a double")
     assert exact_quantiles(df, {"a": F.col("a")}, [0.25, 0.5, 0.75])["a"] == [1.5, 2.0, 6.0]
@@ -107,7 +136,7 @@ def test_quantiles_of_few_rows(spark):
 def test_order_statistics_property(spark, data, draw):
     ranks = draw.draw(st.lists(st.integers(0, len(data) - 1), min_size=1, max_size=4))
     df = spark.createDataFrame([(v,) for v in data], "v long")
-    got = order_statistics(df, {"v": F.col("v")}, {"v": ranks}, {"v": len(data)}, fetch_values=2)
+    got = order_statistics(df, {"v": F.col("v")}, {"v": ranks}, {"v": len(data)}, slices=3)
     ordered = sorted(data)
     for r in ranks:
         spot = got[("v", r)]
@@ -123,17 +152,33 @@ def test_order_statistics_rejects_positions_outside(spark):
 def test_row_numbers_in_slices(spark):
     keys = [f"k{random.Random(1).random():.9f}-{i}" for i in range(500)]
     df = spark.createDataFrame([(k,) for k in keys], "k string").repartition(5)
-    got = {r["k"]: r["n"] for r in row_numbers(df, [F.asc("k")], "n", slice_rows=60).collect()}
+    got = {r["k"]: r["n"] for r in row_numbers(df, [F.asc("k")], "n", slices=9).collect()}
     assert got == {k: i + 1 for i, k in enumerate(sorted(keys))}
 
 
-@pytest.mark.parametrize("slice_rows", [37, 10_000])
-def test_running_totals_in_slices(spark, slice_rows):
+@pytest.mark.parametrize("slices", [11, None])
+def test_running_totals_in_slices(spark, slices):
     data = [(i, (i * 7919) % 101) for i in range(400)]
     df = spark.createDataFrame(data, "k long, v long").repartition(6)
-    got = running_totals(df, [F.desc("k")], {"t": "v"}, slice_rows).select("k", "t").collect()
+    got = running_totals(df, [F.desc("k")], {"t": "v"}, slices=slices).select("k", "t").collect()
     total, want = 0, {}
     for k, v in sorted(data, reverse=True):
         total += v
         want[k] = total
     assert {r["k"]: r["t"] for r in got} == want
+
+
+def test_running_totals_of_groups(spark):
+    """Groups that fill several slices, share one, or have no name."""
+    rnd = random.Random(3)
+    data = [(rnd.choice(["hot"] * 8 + ["a", "b", None]), k, rnd.randint(-5, 9)) for k in range(600)] + [("x", k, 1) for k in range(3)]
+    df = spark.createDataFrame(data, "g string, k long, v long").repartition(6)
+    got = running_totals(df, [F.asc("k")], {"t": "v", "u": "k"}, "g", slices=13)
+    assert got.columns == ["g", "k", "v", "t", "u"]
+    want, sums = set(), {}
+    for g, k, v in sorted(data, key=lambda r: r[1]):
+        t, u = sums.get(g, (0, 0))
+        sums[g] = t + v, u + k
+        want.add((g, k, v, *sums[g]))
+    assert {tuple(r) for r in got.collect()} == want
+    assert running_totals(df.limit(0), [F.asc("k")], {"t": "v"}, "g").count() == 0

@@ -53,10 +53,27 @@ def test_equal_hashes_are_parted_by_key(spark, monkeypatch):
     assert sorted(values(split.sample_rows(df, "k", 7), "k")) == list(range(7))
 
 
-def test_quotas_by_largest_remainder():
-    assert split.class_quotas({"0": 7, "1": 3}, 8) == {"0": 6, "1": 2}
-    assert split.class_quotas({"a": 5, "b": 5}, 5) == {"a": 3, "b": 2}
-    assert sum(split.class_quotas({"a": 11, "b": 7, "c": 3}, 10).values()) == 10
+def test_quotas_by_largest_remainder(spark):
+    def quotas(counts, size):
+        classes = spark.createDataFrame(list(counts.items()), "name string, n long")
+        return {r["name"]: r["q"] for r in split.shared_out(classes, "n", size, "q").collect()}
+
+    assert quotas({"0": 7, "1": 3}, 8) == {"0": 6, "1": 2}
+    assert quotas({"a": 5, "b": 5}, 5) == {"a": 3, "b": 2}
+    assert sum(quotas({"a": 11, "b": 7, "c": 3}, 10).values()) == 10
+
+
+def test_split_and_folds_of_many_classes(spark):
+    """More classes than fit one expression; one holds a third of the rows, most a few."""
+    df = spark.range(9000).select(F.col("id").alias("k"), F.when(F.col("id") % 3 == 0, "hot").otherwise(
+        F.concat(F.lit("c"), F.col("id") % 1400)).alias("y")).repartition(6)
+    rows = split.assign_split(df, "k", "y").collect()
+    assert Counter(r["split"] for r in rows) == {"test": 1800, "val": 900, "train": 6300}
+    n, test = Counter(r["y"] for r in rows), Counter(r["y"] for r in rows if r["split"] == "test")
+    assert len(n) > 1200 and all(abs(test[y] - 0.2 * c) <= 1 for y, c in n.items())
+    folds = Counter((r["y"], r["fold"]) for r in split.assign_folds(df, "k", "y", 3).collect())
+    assert all(max(folds[y, f] for f in range(3)) - min(folds[y, f] for f in range(3)) <= 1 for y in n)
+    assert sum(folds.values()) == 9000
 
 
 def test_sample(spark):
@@ -109,15 +126,13 @@ def brute_ap(y, s):
     return total / y.sum()
 
 
-@pytest.mark.parametrize("slice_rows", [4, 100_000])
+@pytest.mark.parametrize("slices", [9, None])
 @pytest.mark.parametrize("ties", [3, 20, 10_000])
-def test_auc_and_average_precision(spark, ties, slice_rows):
+def test_auc_and_average_precision(spark, ties, slices):
     y, s = scores(ties=ties)
-    if ties == 10_000:
-        slice_rows *= 10
     df = table(spark, y, s)
-    assert evaluate.roc_auc(df, "y", "s", slice_rows).first()[0] == pytest.approx(brute_auc(y, s))
-    assert evaluate.average_precision(df, "y", "s", slice_rows).first()[0] == pytest.approx(brute_ap(y, s))
+    assert evaluate.roc_auc(df, "y", "s", slices).first()[0] == pytest.approx(brute_auc(y, s))
+    assert evaluate.average_precision(df, "y", "s", slices).first()[0] == pytest.approx(brute_ap(y, s))
 
 
 def test_evaluate_row(spark):
