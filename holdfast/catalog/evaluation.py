@@ -78,6 +78,28 @@ def t1_sizes(spark, sf):
     return marked.groupBy("split").agg(F.count("*").alias("n_rows"))
 
 
+_LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
+@query("t1_split_by_part", "WITH items AS (SELECT DISTINCT l_partkey, concat_ws('-', " + ", ".join(_LINE)
+       + ") AS customer_id FROM lineitem),\n" + _split_sql("items", "l_partkey") + "\nSELECT customer_id AS line, split FROM marked")
+def t1_by_part(spark, sf):
+    lines = read_table(spark, sf, "lineitem").select("l_partkey", F.concat_ws("-", *[F.col(c).cast("string") for c in _LINE]).alias("line")).distinct()
+    return split.assign_split(lines, "line", "l_partkey", method="md5").select("line", "split")
+
+
+@query("t4_folds_by_customer", f"""WITH big AS (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(*) >= 3),
+  mine AS (SELECT o.* FROM orders o JOIN big USING (o_custkey))
+  SELECT o_orderkey, CAST(CASE WHEN rk <= r * (q + 1) THEN floor((rk - 1) / (q + 1))
+  ELSE r + floor((rk - 1 - r * (q + 1)) / q) END AS INTEGER) AS fold FROM (
+  SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY {_HASH.format(key="o_orderkey")}, o_orderkey)
+    AS rk, count(*) OVER (PARTITION BY o_custkey) // 3 AS q, count(*) OVER (PARTITION BY o_custkey) % 3 AS r FROM mine)""")
+def t4_by_customer(spark, sf):
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    big = orders.groupBy("o_custkey").count().where("count >= 3").select("o_custkey")
+    return split.assign_folds(orders.join(big, "o_custkey"), "o_orderkey", "o_custkey", 3, method="md5").select("o_orderkey", "fold")
+
+
 @query("t2_plain_split", on_base("SELECT customer_id, split FROM marked", _split_sql("base", "1")))
 def t2(spark, sf):
     return split.assign_split(customer_base(spark, sf), KEY, LABEL, stratify=False, method="md5").select(
@@ -498,6 +520,13 @@ def a4(spark, sf):
     return out.select("contract", *[fixed(F.col(f"`{p}`")).alias(p) for p in _PRIORITIES])
 
 
+@query("a4_rates_by_two", f"""SELECT l_partkey AS "row", l_linestatus AS "column", count(*) AS n,
+  {sql_fixed("avg(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) * 100")} AS rate_pct FROM lineitem GROUP BY 1, 2""")
+def a4_by_two(spark, sf):
+    lines = read_table(spark, sf, "lineitem").withColumn("returned", (F.col("l_returnflag") == "R").cast("int"))
+    return _rounded(eda.rates_by_two(lines, "l_partkey", "l_linestatus", "returned"), "rate_pct")
+
+
 def _histogram_sql(table: str, c: str) -> str:
     edge = "CASE WHEN i = 40 THEN hi ELSE lo + i * ((hi - lo) / 40) END"
     return f"""SELECT CAST(i AS INTEGER) AS bin, {sql_fixed("low", 3)} AS low, {sql_fixed("high", 3)} AS high,
@@ -523,11 +552,11 @@ def a5_lines(spark, sf):
     return _histogram(read_table(spark, sf, "lineitem"), "l_extendedprice")
 
 
-def _box_sql(table: str, c: str, by: str) -> str:
-    return f"""SELECT g.category, count(x) AS n, {sql_fixed("any_value(q1)", 3)} AS q1,
-  {sql_fixed("any_value(q2)", 3)} AS median, {sql_fixed("any_value(q3)", 3)} AS q3,
-  {sql_fixed("least(min(x) FILTER (x >= q1 - 1.5 * (q3 - q1)), any_value(q1))", 3)} AS whisker_low,
-  {sql_fixed("greatest(max(x) FILTER (x <= q3 + 1.5 * (q3 - q1)), any_value(q3))", 3)} AS whisker_high,
+def _box_sql(table: str, c: str, by: str, digits: int = 3) -> str:
+    return f"""SELECT g.category, count(x) AS n, {sql_fixed("any_value(q1)", digits)} AS q1,
+  {sql_fixed("any_value(q2)", digits)} AS median, {sql_fixed("any_value(q3)", digits)} AS q3,
+  {sql_fixed("least(min(x) FILTER (x >= q1 - 1.5 * (q3 - q1)), any_value(q1))", digits)} AS whisker_low,
+  {sql_fixed("greatest(max(x) FILTER (x <= q3 + 1.5 * (q3 - q1)), any_value(q3))", digits)} AS whisker_high,
   count(*) FILTER (x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS n_fliers
   FROM (SELECT {by} AS category, CAST({c} AS DOUBLE) AS x FROM {table}) t JOIN (SELECT {by} AS category,
   quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS q2,
@@ -535,9 +564,9 @@ def _box_sql(table: str, c: str, by: str) -> str:
   GROUP BY g.category"""
 
 
-def _box(df, name, by):
+def _box(df, name, by, digits=3):
     return eda.box_stats(df, name, by).withColumns(
-        {c: fixed(F.col(c), 3) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")})
+        {c: fixed(F.col(c), digits) for c in ("q1", "median", "q3", "whisker_low", "whisker_high")})
 
 
 @query("a6_box_stats", on_base(_box_sql("base", "total_charges", "churn")))
@@ -550,6 +579,11 @@ def a6_lines(spark, sf):
     return _box(read_table(spark, sf, "lineitem"), "l_extendedprice", "l_returnflag")
 
 
+@query("a6_box_stats_by_customer", _box_sql("orders", "o_totalprice", "o_custkey", 5))
+def a6_by_customer(spark, sf):
+    return _box(read_table(spark, sf, "orders"), "o_totalprice", "o_custkey", 5)
+
+
 def _density_sql(c: str, points: int, margin: float) -> str:
     return f"""density AS (SELECT category, CAST(i AS INTEGER) AS i, x, sum(exp(-0.5 * power((x - v) / (sd * power(n, -0.2)), 2)))
   / any_value(n * sd * power(n, -0.2) * sqrt(2 * pi())) AS density FROM (
@@ -625,6 +659,24 @@ def a9_kendall(spark, sf):
     return _rounded(correlation.correlation(customer_base(spark, sf), _CORR, "kendall"), "r")
 
 
+_LINE_NUMBERS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
+def _kendall_cells_sql(a: str, b: str) -> str:
+    """tau-b from the distinct pairs of values, each against each."""
+    if a == b:
+        return f"SELECT '{a}' AS x, '{b}' AS y, 1.0 AS r"
+    tau = "sum(p.w * q.w * sign(p.a - q.a) * sign(p.b - q.b)) / sqrt(sum(CASE WHEN p.a <> q.a THEN p.w * q.w END)" \
+        " * sum(CASE WHEN p.b <> q.b THEN p.w * q.w END))"
+    cells = f"SELECT CAST({a} AS DOUBLE) AS a, CAST({b} AS DOUBLE) AS b, CAST(count(*) AS DOUBLE) AS w FROM lineitem GROUP BY 1, 2"
+    return f"SELECT '{a}' AS x, '{b}' AS y, {sql_fixed(tau)} AS r FROM ({cells}) p, ({cells}) q"
+
+
+@query("a9_kendall_line_items", " UNION ALL ".join(_kendall_cells_sql(a, b) for a in _LINE_NUMBERS for b in _LINE_NUMBERS))
+def a9_kendall_lines(spark, sf):
+    return _rounded(correlation.correlation(read_table(spark, sf, "lineitem"), _LINE_NUMBERS, "kendall"), "r")
+
+
 @query("a10_label_correlation", on_base(" UNION ALL ".join(
     f"SELECT '{c}' AS x, {sql_fixed(f'corr({c}, churn)')} AS r FROM ranked" for c in NUMERIC), _KEPT, _RANKED))
 def a10(spark, sf):
