@@ -35,8 +35,10 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document comes as often as the mix takes it."""
-    mixed = mix(docs)
-    return mixed.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("_copy")).drop("_copy")
+    # The row travels as one column, so none of its names meets one of the mix.
+    packed = docs.select("doc_id", "source", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole_row"))
+    taken = mix(packed).select("whole_row", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy"))
+    return taken.select("whole_row.*")
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,7 +73,7 @@ def _lists(sets: list[np.ndarray]) -> pa.Array:
 
 
 def _summaries(words: int):
-    """Node, size and sketch of each text, and how many shingles of the sketch have to be in other texts."""
+    """Id and digest of each text as they came, its node, size and sketch, and how many shingles of the sketch have to be in other texts."""
     limit = np.uint64(int(SKETCH * (1 << 64)))
 
     def run(batches):
@@ -86,9 +86,9 @@ def _summaries(words: int):
                 low = [s[:np.searchsorted(s, limit)] for s in part]
                 needed = [least(len(s)) - (len(s) - len(t)) for s, t in zip(part, low)]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(a, step), pa.array([_node(s) for s in part], pa.int64()),
+                    [ids.slice(a, step), batch.column(2).slice(a, step), pa.array([_node(s) for s in part], pa.int64()),
                      pa.array([len(s) for s in part], pa.int64()), pa.array(needed, pa.int64()), _lists(low)],
-                    ["doc_id", "node", "n", "needed", "sketch"])
+                    ["doc_id", "digest", "node", "n", "needed", "sketch"])
 
     return run
 
@@ -241,18 +241,11 @@ def _links(entries: DataFrame, sets: DataFrame) -> DataFrame:
         rows = rows.join(hubs.select("entry", "id"), ["entry", "id"], "left_anti")
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of each row; the component is named by its smallest id.
-
-    A null or empty text has no shingles and no links; a text of fewer words
-    than a shingle is one shingle.  Repeated rows are equal texts, hence
-    linked.  Rows without an id take part, and get the smallest id of their
-    component, null if none of it has one.  Other columns are not read; an
-    empty table gives no rows.
-    """
+def _grouped(df: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
+    """``doc_id, digest, node, n, group, component_id`` of each row; ``group`` names the component, null without shingles."""
     docs = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), text_of(text).alias("text"))
-    schema = "doc_id long, node long, n long, needed long, sketch array<long>"
-    narrow = stage(docs.mapInArrow(_summaries(words), schema), "summaries")
+    schema = "doc_id long, digest long, node long, n long, needed long, sketch array<long>"
+    narrow = stage(docs.withColumn("digest", F.xxhash64("text")).mapInArrow(_summaries(words), schema), "summaries")
     tokens = narrow.select(F.explode("sketch").alias("token"), "doc_id")
     counted = tokens.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
     found = stage(tokens.join(stage(counted, "shared"), "token").groupBy("doc_id").agg(F.count("*").alias("c")), "counts")
@@ -260,7 +253,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
         "node IS NOT NULL AND coalesce(c, 0) >= needed").groupBy("node").agg(F.min("a.doc_id").alias("doc_id"))
     left = stage(left, "left")
 
-    marked = docs.withColumn("spot", _place(F.col("doc_id")))
+    marked = docs.select("doc_id", "text", _place(F.col("doc_id")).alias("spot"))
     sets = marked.mapInArrow(_sets(words, _filter(left)), "doc_id long, node long, tokens array<long>")
     sets = sets.alias("s").join(left.alias("l"), F.expr("s.node = l.node AND s.doc_id <=> l.doc_id")).select(
         "s.node", "tokens").dropDuplicates(["node"])
@@ -277,15 +270,45 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     roots = sets.select("node", "id").join(linked.withColumnRenamed("node", "id"), "id").select("node", "root")
     of_root = roots.join(smallest, "node").groupBy("root").agg(F.min("smallest").alias("of_root"))
     names = smallest.join(roots, "node", "left").join(of_root, "root", "left").select(
-        "node", F.coalesce("of_root", "smallest").alias("component_id"))
-    return narrow.join(names, "node", "left").select(
+        "node", F.coalesce(F.concat(F.lit("r"), "root"), F.concat(F.lit("n"), "node")).alias("group"),
+        F.coalesce("of_root", "smallest").alias("component_id"))
+    return narrow.select("doc_id", "digest", "node", "n").join(names, "node", "left")
+
+
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of each row; the component is named by its smallest id.
+
+    A null or empty text has no shingles and no links; a text of fewer words
+    than a shingle is one shingle.  Repeated rows are equal texts, hence
+    linked.  Rows without an id take part, and get the smallest id of their
+    component, null if none of it has one.  Other columns are not read; an
+    empty table gives no rows.
+    """
+    return _grouped(df, doc_id, text, words).select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def one_per_group(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """The rows of ``df`` that name their component, one where such a row is repeated; rows without an id stay."""
-    kept = near_duplicates(df, doc_id, text, words).where("doc_id = component_id").select(
-        F.col("doc_id").alias(free_name(df, "kept_id"))).distinct()
-    named = df.join(kept, F.col(f"`{doc_id}`") == F.col(kept.columns[0]), "left_semi").dropDuplicates([doc_id])
-    return named.unionByName(df.where(F.col(f"`{doc_id}`").isNull()))
+    """One row of each component: the one with the least id (rows without an id last), and of equal ids one text.
+
+    Rows with the same id and different texts are different documents, so no
+    component goes with an id that another component uses too.  Rows without any
+    shingle are alike in nothing and stay: one of each id and text, and all
+    without an id.
+    """
+    own, mark = free_name(df, "kept_id"), free_name(df, "kept_digest")
+    found = stage(_grouped(df, doc_id, text, words), "groups")
+    best = found.where("group IS NOT NULL").groupBy("group").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("best")).select("best.doc_id", "best.digest")
+    single = found.where("group IS NULL AND doc_id IS NOT NULL").select("doc_id", "digest")
+    kept = best.unionByName(single).distinct().select(F.col("doc_id").alias(own), F.col("digest").alias(mark))
+    marked = df.withColumn(mark + "_", F.xxhash64(text_of(text)))
+    bare = kept.where(F.col(own).isNull()).select(mark)
+    named = marked.join(kept.where(F.col(own).isNotNull()), (F.col(f"`{doc_id}`").cast("long") == F.col(own)) & (
+        F.col(mark + "_") == F.col(mark)), "left_semi").dropDuplicates([doc_id, mark + "_"])
+    # A component of rows without an id is known by the text that was chosen.
+    nameless = marked.where(F.col(f"`{doc_id}`").isNull())
+    chosen = nameless.join(bare, F.col(mark + "_") == F.col(mark), "left_semi").dropDuplicates([mark + "_"])
+    wordless = nameless.where(F.regexp_count(text_of(text), F.lit(r"[^\x20\x09-\x0D]")) == 0)
+    return named.unionByName(chosen).unionByName(wordless).drop(mark + "_")

@@ -374,6 +374,18 @@ def test_jaccard_join(spark, docs, none):
     assert len(kept) == len(set(kept)) and {0, 1, 2, 3, 5, 8, 9} <= set(kept) and not {4, 6, 7} & set(kept)
 
 
+def test_one_row_per_component(spark):
+    a = " ".join(f"a{i}" for i in range(60))
+    b = " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (1, b), (2, a), (3, b + " more"), (None, a), (None, "c " + a[3:]), (None, "only here " * 5), (None, "only here " * 5),
+            (5, ""), (6, None), (6, None), (None, ""), (None, None), (7, b), (8, "short"), (8, "other short")]
+    df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, kept_id int")
+    got = Counter((r["doc_id"], r["text"]) for r in jaccard_join.one_per_group(df).collect())
+    assert got == Counter([(1, a), (1, b), (None, "only here " * 5), (5, ""), (6, None), (None, ""), (None, None), (8, "short"),
+                           (8, "other short")])
+    assert jaccard_join.one_per_group(df.limit(0)).columns == df.columns
+
+
 def test_jaccard_join_in_families(spark, monkeypatch):
     rnd = random.Random(9)
     rows, common = [], [f"c{i}" for i in range(40)]

@@ -53,3 +53,32 @@ def test_copies_keep_their_text(spark):
     assert all(left[i] == "\n".join(_lines(i, 6)) for i, _ in own)
     assert [left[i] for i, _ in exact if i in left] == [exact[0][1]]
     assert sum("\n".join(_lines("near", 12)) in t for t in left.values()) == 1
+
+
+def test_odd_rows(spark):
+    """Nulls, repeated rows and ids, extra columns with names that the stages use; and no rows at all."""
+    text = "\n".join(_lines("odd", 6))
+    rows = [(i, "\n".join(_lines(i, 6)), "en", f"s{i % 3}", 1) for i in range(40)]
+    rows += [rows[3], (None, text, None, None, None), (None, text, None, None, None), (3, text + " once more", "en", "s1", 1), (50, None, "en", "s1", 1),
+             (51, "", None, "s2", 1), (52, "word " * 20_000, "en", "s0", 1), (53, " ".join("the word" + "".join(chr(97 + int(d)) for d in str(k)) if k % 9 else "the" for k in range(20_000)), "en", "s0", 1)]
+    wide = [(*r, "p", 1, 2.0, "q", "r", [1]) for r in rows]
+    docs = spark.createDataFrame(wide, "doc_id long, text string, lang string, source string, n_chars int, copies string, size int, "
+                                 "target double, unit string, whole_row string, ids array<int>")
+    for name, step in corpus_pipeline.STAGES:
+        before, docs = docs, stage(step(spark, docs, ""), name)
+        if name == "bpe":
+            break
+        assert docs.dtypes == before.dtypes
+        if name == "jaccard_join":
+            left = Counter((r["doc_id"], r["text"]) for r in docs.collect())
+            assert max(left.values()) == 1 and sum("odd" in t for _, t in left) == 1
+            assert {i for i, _ in left} >= set(range(40)) and left.keys() >= {(53, rows[-1][1])}
+        if name == "mixing":
+            assert docs.where("copies <> 'p' OR size <> 1 OR whole_row <> 'r'").count() == 0 and docs.count() > 0
+    library = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    want = Counter((r["doc_id"], tuple(library.encode(r["text"] or "", add_special_tokens=False).ids)) for r in before.collect())
+    assert Counter((r["doc_id"], tuple(r["ids"])) for r in docs.collect()) == want
+    none = before.limit(0)
+    for name, step in corpus_pipeline.STAGES:
+        none = stage(step(spark, none, ""), name)
+        assert none.count() == 0
