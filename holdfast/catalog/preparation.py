@@ -297,6 +297,32 @@ def i4(spark, sf):
     return out.select("customer_id", fixed(F.col("total_charges"), 3).alias("total_charges"))
 
 
+_GAPS = ["tenure", "monthly_charges", "total_charges"]
+
+
+def _gap_fill_sql(c: str) -> str:
+    both = [f"CASE WHEN r.{x} IS NOT NULL AND d.{x} IS NOT NULL THEN 1 ELSE 0 END" for x in _GAPS]
+    far = " + ".join(f"coalesce((r.{x} - d.{x}) * (r.{x} - d.{x}), 0)" for x in _GAPS)
+    return f"""f_{c} AS (SELECT customer_id, avg(y) AS fill FROM (SELECT r.customer_id, d.{c} AS y, row_number() OVER
+  (PARTITION BY r.customer_id ORDER BY ({far}) * (3.0 / ({" + ".join(both)})), d.{c}) AS k FROM gappy r, gappy d
+  WHERE r.{c} IS NULL AND d.{c} IS NOT NULL AND {" + ".join(both)} > 0) WHERE k <= 5 GROUP BY customer_id)"""
+
+
+@query("i4_knn_three_gaps", on_base(
+    "SELECT g.customer_id, " + ", ".join(sql_fixed(f"coalesce(g.{c}, f_{c}.fill, (SELECT avg({c}) FROM gappy))", 3) + f" AS {c}" for c in _GAPS)
+    + " FROM gappy g" + "".join(f" LEFT JOIN f_{c} ON f_{c}.customer_id = g.customer_id" for c in _GAPS),
+    """gappy AS (SELECT customer_id, CASE WHEN customer_id % 7 <> 0 THEN CAST(tenure AS DOUBLE) END AS tenure,
+  CASE WHEN customer_id % 11 <> 0 THEN monthly_charges END AS monthly_charges, total_charges FROM base)""",
+    *[_gap_fill_sql(c) for c in _GAPS]))
+def i4_three(spark, sf):
+    base = customer_base(spark, sf).select("customer_id", *NUMERIC)
+    key = F.col("customer_id")
+    gappy = base.withColumns({"tenure": F.when(key % 7 != 0, F.col("tenure").cast("double")),
+                              "monthly_charges": F.when(key % 11 != 0, F.col("monthly_charges"))})
+    out = impute.KnnImputer(_GAPS).fit_transform(gappy)
+    return out.select("customer_id", *[fixed(F.col(c), 3).alias(c) for c in _GAPS])
+
+
 @query("i5_handler", on_base(f"""SELECT customer_id, {sql_fixed("coalesce(total_charges, m)", 4)} AS total_charges,
   coalesce(gap, s) AS segment FROM (SELECT *, CASE WHEN tenure > 6 THEN segment END AS gap FROM base),
   (SELECT quantile_cont(total_charges, 0.5) AS m FROM base),

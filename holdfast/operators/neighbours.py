@@ -1,85 +1,36 @@
 """Exact nearest neighbours without pairing every row with every other.
 
-A small set of points travels to the query tasks as a checked-size broadcast.
-A larger one is cut into boxes by median splits of a bounded sample; each query
-first looks into its own box, which bounds its search radius, and then only
-into the boxes that this radius reaches.  Boxes with many queries are salted.
-Points have to be distinct, so equal rows never pile up in one box.
+*Boxes.*  Points are cut into slabs of their widest direction, box by box and
+round by round, until each box holds a bounded number of them.  Splits, sizes and
+bounds of the boxes are tables that meet the points by a join on the box, so
+there may be any number of boxes.
+
+*Search.*  Queries walk down the same tables.  In each round a box with enough
+points bounds how far the neighbours of a query can be, and boxes beyond that
+are left out.  The nearest box then gives the query's true radius, and only boxes
+that this radius reaches are searched.  Boxes with many queries are split.
+
+Points have to be distinct in their space, so equal rows never pile up in one box.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from holdfast.functions.expressions import column, number
+from holdfast.functions.expressions import column, missing, number
 from holdfast.session import stage
 
-BROADCAST_POINTS = 20_000
-BOX_POINTS = 5_000
-MAX_BOXES = 16_384
-BOX_SAMPLE = 16
-QUERY_CHUNK = 20_000
+#: Points of a box and queries of a task at most, and parts that a round cuts a box into.
+BOX_POINTS, QUERY_CHUNK, FAN = 5_000, 20_000, 16
 _DISTANCES = 4_000_000
 
 
-class Boxes:
-    """Median splits of a sample: which box a point is in, which boxes a ball reaches."""
-
-    def __init__(self, sample: np.ndarray, boxes: int):
-        self.dim, self.at, self.low_child, self.high_child, self.box = [], [], [], [], []
-        self.lows, self.highs = [], []
-        self.sample = sample
-        width = sample.shape[1]
-        self._grow(sample, max(1, len(sample) // max(boxes, 1)), np.full(width, -np.inf), np.full(width, np.inf))
-        self.lows, self.highs = np.array(self.lows), np.array(self.highs)
-        self.nodes = [np.array(x) for x in (self.dim, self.at, self.low_child, self.high_child, self.box)]
-
-    def _grow(self, rows: np.ndarray, enough: int, low: np.ndarray, high: np.ndarray) -> int:
-        node = len(self.dim)
-        for part in (self.dim, self.low_child, self.high_child, self.box):
-            part.append(-1)
-        self.at.append(0.0)
-        spread = rows.max(axis=0) - rows.min(axis=0) if len(rows) else np.zeros(len(low))
-        d = int(spread.argmax())
-        if len(rows) <= enough or spread[d] == 0:
-            self.box[node] = len(self.lows)
-            self.lows.append(low)
-            self.highs.append(high)
-            return node
-        cut = float(np.median(rows[:, d]))
-        if cut == rows[:, d].min():
-            cut = float(rows[rows[:, d] > cut, d].min())
-        under = rows[:, d] < cut
-        self.dim[node], self.at[node] = d, cut
-        upper, lower = high.copy(), low.copy()
-        upper[d], lower[d] = cut, cut
-        self.low_child[node] = self._grow(rows[under], enough, low, upper)
-        self.high_child[node] = self._grow(rows[~under], enough, lower, high)
-        return node
-
-    def locate(self, points: np.ndarray) -> np.ndarray:
-        dim, at, low_child, high_child, box = self.nodes
-        node = np.zeros(len(points), dtype=np.int64)
-        rows = np.arange(len(points))
-        while (inner := box[node] < 0).any():
-            n = node[inner]
-            under = points[rows[inner], dim[n]] < at[n]
-            node[inner] = np.where(under, low_child[n], high_child[n])
-        return box[node]
-
-    def reached(self, points: np.ndarray, radius2: np.ndarray) -> list[np.ndarray]:
-        out = []
-        for p, r2 in zip(points, radius2):
-            gap = np.maximum(np.maximum(self.lows - p, p - self.highs), 0.0)
-            # A hair wider than the radius, so rounding never hides a neighbour.
-            out.append(np.flatnonzero((gap**2).sum(axis=1) <= r2 * (1 + 1e-9)))
-        return out
-
-
 def _matrix(column: pd.Series, width: int) -> np.ndarray:
     return np.array(column.tolist(), dtype=float).reshape(len(column), width)
 
@@ -113,179 +64,200 @@ def _found(qids: pd.Series, queries: np.ndarray, points: np.ndarray, payload: li
     return pd.DataFrame(rows, columns=["qid", "distance2", "point", "payload"])
 
 
-def nearest(queries: DataFrame, points: DataFrame, width: int, k: int,
-            broadcast_points: int = BROADCAST_POINTS, box_points: int = BOX_POINTS,
-            query_chunk: int = QUERY_CHUNK) -> DataFrame:
+def _bounds(placed: DataFrame, width: int, fan: int) -> DataFrame:
+    """``box, n, lows, highs, dim, cuts`` of each box: its bounds, its widest direction and where to cut that."""
+    at = [F.col("point")[i] for i in range(width)]
+    shares = [i / fan for i in range(1, fan)]
+    stats = [a for i, x in enumerate(at) for a in (
+        F.min(x).alias(f"low{i}"), F.max(x).alias(f"high{i}"), F.avg(x).alias(f"mean{i}"),
+        F.percentile_approx(x, shares, 1000).alias(f"cuts{i}"))]
+    found = placed.groupBy("box").agg(F.count("*").alias("n"), *stats).select(
+        "box", "n", *[F.array(*[F.col(f"{c}{i}") for i in range(width)]).alias(c) for c in ("low", "high", "mean", "cuts")])
+    wide = F.transform(F.arrays_zip("low", "high"), lambda z: z["high"] - z["low"])
+    found = found.withColumn("dim", (F.array_position(wide, F.array_max(wide)) - 1).cast("int"))
+    low, high = F.get("low", F.col("dim")), F.get("high", F.col("dim"))
+    # The mean parts any box that is not a single point; rounding may put it on the upper end.
+    every = F.concat(F.get("cuts", F.col("dim")), F.array(F.get("mean", F.col("dim")), low))
+    cuts = F.array_sort(F.array_distinct(F.filter(every, lambda c: (c >= low) & (c < high))))
+    return found.select("box", "n", F.col("low").alias("lows"), F.col("high").alias("highs"), "dim", cuts.alias("cuts"))
+
+
+def _boxes(points: DataFrame, width: int, box_points: int, fan: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The points with their last box, and for each round ``box, parent, n, lows, highs, leaf``."""
+    open_ = stage(points.withColumn("box", F.concat("space", F.lit("/"))), "points")
+    done, rounds = [], []
+    parent = F.lit(None).cast("string")
+    while True:
+        found = stage(_bounds(open_, width, fan).withColumn("leaf", (F.col("n") <= box_points) | (F.size("cuts") == 0)), "boxes")
+        rounds.append(found.select("box", parent.alias("parent"), "n", "lows", "highs", "leaf"))
+        done.append(open_.join(found.where("leaf").select("box"), "box", "left_semi"))
+        if found.where("NOT leaf").isEmpty():
+            return reduce(DataFrame.unionByName, done), rounds
+        value = F.get("point", F.col("dim"))
+        child = F.size(F.filter("cuts", lambda c: c < value))
+        open_ = stage(open_.join(found.where("NOT leaf").select("box", "dim", "cuts"), "box").withColumn(
+            "box", F.concat("box", F.lit("."), child.cast("string"))).drop("dim", "cuts"), "points")
+        parent = F.regexp_replace("box", "[.][0-9]+$", "")
+
+
+def _distance_to(width: int, far: bool) -> Column:
+    """Squared distance from ``q`` to the nearest or to the farthest corner of a box."""
+    out: Column = F.lit(0.0)
+    for i in range(width):
+        below, above = F.col("lows")[i] - F.col("q")[i], F.col("q")[i] - F.col("highs")[i]
+        gap = F.greatest(F.abs(below), F.abs(above)) if far else F.greatest(below, above, F.lit(0.0))
+        out = out + gap * gap
+    return out
+
+
+#: A hair wider than the radius, so rounding never hides a neighbour.
+_HAIR = 1 + 1e-9
+
+
+def _reached(queries: DataFrame, rounds: list[DataFrame], width: int, k: int) -> DataFrame:
+    """Each query with the last boxes that can hold one of its neighbours: ``near2`` is how far the box is."""
+    front = queries.withColumn("parent", F.lit(None).cast("string"))
+    ended = []
+    for nth, boxes in enumerate(rounds):
+        if nth == 0:
+            met = front.drop("parent").join(boxes.drop("parent"), F.concat("space", F.lit("/")) == F.col("box"))
+        else:
+            met = front.join(boxes, "parent").drop("parent")
+        met = met.withColumns({"near2": _distance_to(width, False), "far2": _distance_to(width, True)})
+        # A box with enough points holds k neighbours at most as far as its farthest corner.
+        enough = F.min(F.when(F.col("n") >= k, F.col("far2"))).over(Window.partitionBy("query"))
+        limit = F.least("limit", F.coalesce(enough, F.lit(float("inf"))))
+        kept = stage(met.withColumn("limit", limit).where(F.col("near2") <= F.col("limit") * _HAIR).select(
+            "query", "qid", "space", "q", "limit", "box", "n", "near2", "leaf"), "front")
+        ended.append(kept.where("leaf").drop("leaf"))
+        front = kept.where("NOT leaf").select("query", "qid", "space", "q", "limit", F.col("box").alias("parent"))
+    return reduce(DataFrame.unionByName, ended)
+
+
+def nearest(queries: DataFrame, points: DataFrame, width: int, k: int, box_points: int = BOX_POINTS,
+            query_chunk: int = QUERY_CHUNK, fan: int = FAN) -> DataFrame:
     """The ``k`` closest ``points`` of every query.
 
     ``queries`` has ``qid`` and ``q``, ``points`` has ``point`` (distinct) and
     ``payload``; ``q``, ``point`` and ``payload`` are arrays of double.  Returns
-    (qid, distance2, point, payload), at most ``k`` rows per query.
+    (qid, distance2, point, payload), at most ``k`` rows per query.  Where both
+    have a text column ``space``, a query only sees points of its own space;
+    points are then distinct in each space, and all spaces are searched at once.
     """
-    schema = T.StructType([queries.schema["qid"], T.StructField("distance2", T.DoubleType()),
-                           points.schema["point"], points.schema["payload"]])
-    few = points.select("point", "payload").limit(broadcast_points + 1).toPandas()
-    if len(few) <= broadcast_points:
-        shipped = queries.sparkSession.sparkContext.broadcast((_matrix(few["point"], width), few["payload"].tolist()))
-
-        def search(batches):
-            matrix, payload = shipped.value
-            for batch in batches:
-                yield _found(batch["qid"], _matrix(batch["q"], width), matrix, payload, k)
-
-        return queries.select("qid", "q").mapInPandas(search, schema)
-    return _nearest_in_boxes(queries.select("qid", "q"), points.select("point", "payload"), width, k, box_points,
-                             query_chunk, schema)
-
-
-def _nearest_in_boxes(queries, points, width, k, box_points, query_chunk, schema):
-    spark = queries.sparkSession
-    points, queries = stage(points, "points"), stage(queries, "queries")
-    count = points.count()
-    boxes = min(MAX_BOXES, -(-count // box_points))
-    picked = points.select("point").orderBy(F.xxhash64("point")).limit(boxes * BOX_SAMPLE).toPandas()
-    tree = spark.sparkContext.broadcast(Boxes(_matrix(picked["point"], width), boxes))
-
-    def place(name):
-        def run(batches):
-            for b in batches:
-                yield b.assign(box=tree.value.locate(_matrix(b[name], width)).astype("int64"))
-        return run
-
-    placed_points = stage(points.mapInPandas(place("point"), T.StructType(points.schema.fields + [
-        T.StructField("box", T.LongType())])), "points")
-    placed = stage(queries.mapInPandas(place("q"), T.StructType(queries.schema.fields + [
-        T.StructField("box", T.LongType())])), "queries")
-    radius_schema = T.StructType(queries.schema.fields + [T.StructField("radius2", T.DoubleType())])
-
-    def own_box(_, q, p):
-        if not len(q):
-            return pd.DataFrame({"qid": [], "q": [], "radius2": []})
-        radius = np.full(len(q), np.inf)
-        if len(p) >= k:
-            matrix = _matrix(p["point"], width)
-            for i, _near, distance in _closest(_matrix(q["q"], width), matrix, np.zeros(len(p)), k):
-                radius[i] = distance[-1]
-        return q[["qid", "q"]].assign(radius2=radius)
-
-    bounded = stage(_by_box(placed, placed_points, query_chunk, own_box, radius_schema), "radius")
-
-    def spread(batches):
-        for b in batches:
-            q, radius = _matrix(b["q"], width), b["radius2"].to_numpy().copy()
-            alone = np.flatnonzero(np.isinf(radius))
-            if len(alone) and len(tree.value.sample) >= k:
-                # A box with too few points: the sample, part of the points, bounds the radius.
-                for i, _near, distance in _closest(q[alone], tree.value.sample, np.zeros(len(tree.value.sample)), k):
-                    radius[alone[i]] = distance[-1]
-            reach = tree.value.reached(q, radius)
-            repeat = [len(r) for r in reach]
-            yield pd.DataFrame({"qid": b["qid"].repeat(repeat), "q": b["q"].repeat(repeat),
-                                "box": np.concatenate(reach).astype("int64")})
-
-    sent = stage(bounded.mapInPandas(spread, placed.schema), "sent")
+    form = T.StructType([T.StructField("qid", T.LongType()), T.StructField("distance2", T.DoubleType()),
+                         points.schema["point"], points.schema["payload"]])
+    if "space" not in queries.columns:
+        queries, points = queries.withColumn("space", F.lit("")), points.withColumn("space", F.lit(""))
+    placed, rounds = _boxes(points.select("space", "point", "payload"), width, box_points, fan)
+    placed = stage(placed.select("box", "point", "payload"), "placed")
+    asked = stage(queries.select("qid", "space", "q").withColumns(
+        {"query": F.monotonically_increasing_id(), "limit": F.lit(float("inf"))}), "queries")
+    front = stage(_reached(asked, rounds, width, k), "front")
 
     def search(_, q, p):
         if not len(q) or not len(p):
-            return pd.DataFrame({f.name: [] for f in schema})
+            return pd.DataFrame({f.name: [] for f in form})
         return _found(q["qid"].reset_index(drop=True), _matrix(q["q"], width), _matrix(p["point"], width),
                       p["payload"].tolist(), k)
 
-    local = _by_box(sent, placed_points, query_chunk, search, schema)
+    # First the nearest box that has enough points: the k-th distance in there is the query's radius.
+    own = front.groupBy("query").agg(F.min(F.struct((F.col("n") < k).alias("few"), "near2", "box")).alias("own")).select(
+        "query", F.col("own.box").alias("box"), F.lit(True).alias("own"))
+    marked = stage(front.join(own, ["query", "box"], "left"), "front")
+    def searched(rows: DataFrame) -> DataFrame:
+        asked = rows.select(F.col("query").alias("qid"), "q", "box")
+        return _by_box(asked, placed, query_chunk, search, form).withColumnRenamed("qid", "query")
+
+    first = stage(searched(marked.where("own")), "first")
+    radius = first.groupBy("query").agg(F.count("*").alias("got"), F.max("distance2").alias("most")).select(
+        "query", F.when(F.col("got") >= k, F.col("most")).alias("radius"))
+    others = marked.where("own IS NULL").join(radius, "query", "left").where(
+        F.col("near2") <= F.coalesce("radius", F.lit(float("inf"))) * _HAIR)
     best = F.slice(F.array_sort(F.collect_list(F.struct("distance2", F.get("payload", F.lit(0)).alias("first"),
                                                         "point", "payload"))), 1, k)
     # One list entry per reached box and neighbour, so at most k times the boxes a query reaches.
-    merged = local.groupBy("qid").agg(best.alias("best"))
-    return merged.select("qid", F.explode("best").alias("b")).select("qid", "b.distance2", "b.point", "b.payload")
+    merged = first.unionByName(searched(others)).groupBy("query").agg(best.alias("best"))
+    return asked.select("query", "qid").join(merged, "query").select("qid", F.explode("best").alias("b")).select(
+        "qid", "b.distance2", "b.point", "b.payload")
 
 
 def _by_box(queries: DataFrame, points: DataFrame, query_chunk: int, fn, schema) -> DataFrame:
     """Cogroup by box; a box with many queries is split and its points repeated per part."""
     parts = queries.groupBy("box").agg(F.ceil(F.count("*") / query_chunk).cast("int").alias("parts"))
-    # One row per box, MAX_BOXES at most.
-    parts = F.broadcast(parts)
     q = queries.join(parts, "box").withColumn("part", F.pmod(F.xxhash64("qid"), F.col("parts")).cast("int"))
     p = points.join(parts, "box").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     return (q.drop("parts").groupBy("box", "part")
             .cogroup(p.drop("parts").groupBy("box", "part")).applyInPandas(fn, schema))
 
 
-def _mask(columns: list[Column]) -> Column:
-    mask = F.lit(0)
-    for i, c in enumerate(columns):
-        mask = mask + F.when(c.isNotNull(), F.lit(1 << i)).otherwise(F.lit(0))
-    return mask
-
-
 def _cells(df: DataFrame, names: list[str]) -> DataFrame:
-    """(cell, mask): the row's values over ``names`` and which of them are there."""
+    """(cell, mask): the row's values over ``names``, and for each of them 1 where it is there, else 0."""
     parts = [F.col(f"c{i}") for i in range(len(names))]
+    there = [F.when(c.isNull(), F.lit("0")).otherwise(F.lit("1")) for c in parts]
     return (df.select(*[number(df, n).alias(f"c{i}") for i, n in enumerate(names)])
-            .select(F.array(*parts).alias("cell"), _mask(parts).alias("mask")))
-
+            .select(F.array(*parts).alias("cell"), F.concat(*there).alias("mask")))
 
-def _masks(cells: DataFrame) -> list[int]:
-    return sorted(r["mask"] for r in cells.select("mask").distinct().collect())
 
-
-def _target_fills(receivers: DataFrame, receiver_masks: list[int], given: DataFrame, donor_masks: list[int],
-                  width: int, t: int, k: int, **limits) -> DataFrame | None:
-    """(receiver, fill) for column ``t``; None when no receiver shares a column with a donor.
-
-    Distances run over the columns both rows have, scaled up for the ones missing.
-    """
-    found = None
-    for rm, dm in [(r, d) for r in receiver_masks for d in donor_masks]:
-        shared = [i for i in range(width) if rm >> i & 1 and dm >> i & 1]
-        if not shared or rm >> t & 1 or not dm >> t & 1:
-            continue
-
-        def project(array, keep=shared):
-            return F.array(*[F.col(array)[i] for i in keep])
-
-        queries = receivers.where(F.col("mask") == rm).select(F.col("cell").alias("qid"), project("cell").alias("q"))
-        # Of the donors at one spot only the k smallest targets can matter.
-        spots = _smallest(given.where(F.col("mask") == dm)
-                          .select(project("cell").alias("point"), F.col("cell")[t].alias("y")), k)
-        near = nearest(queries, spots, len(shared), k, **limits).select(
-            "qid", (F.col("distance2") * (width / len(shared))).alias("d"), F.explode("payload").alias("y"))
-        found = near if found is None else found.unionByName(near)
-    if found is None:
-        return None
-    best = F.slice(F.array_sort(F.collect_list(F.struct("d", "y"))), 1, k)
-    # At most k spots with k targets per pair of missing patterns reach this list.
-    kept = found.groupBy("qid").agg(best.alias("b"))
-    mean = F.aggregate("b", F.lit(0.0), lambda a, x: a + x["y"]) / F.size("b")
-    return kept.select(F.col("qid").alias("receiver"), mean.alias("fill"))
+def _targets(rows: DataFrame, width: int, there: bool) -> DataFrame:
+    """One row for each column that a row has, or lacks."""
+    sign = "1" if there else "0"
+    which = F.filter(F.array(*[F.lit(i) for i in range(width)]), lambda i: F.substring("mask", i + 1, 1) == sign)
+    return rows.withColumn("t", F.explode(which))
 
 
 def _smallest(rows: DataFrame, k: int) -> DataFrame:
-    """(point, payload) with the k smallest ``y`` of each point, with bounded state per point."""
-    counted = rows.groupBy("point", "y").count()
+    """(space, point, payload) with the k smallest ``y`` of each point, with bounded state per point."""
+    counted = rows.groupBy("space", "point", "y").count()
     # Repeats of one target beyond k change nothing.
-    spread = counted.select("point", F.col("y"), F.explode(F.sequence(F.lit(1), F.least(
+    spread = counted.select("space", "point", F.col("y"), F.explode(F.sequence(F.lit(1), F.least(
         F.col("count").cast("int"), F.lit(k)))).alias("copy"))
-    w = Window.partitionBy("point").orderBy("y", "copy")
+    w = Window.partitionBy("space", "point").orderBy("y", "copy")
     top = spread.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
-    return top.groupBy("point").agg(F.array_sort(F.collect_list("y")).alias("payload"))
+    return top.groupBy("space", "point").agg(F.array_sort(F.collect_list("y")).alias("payload"))
 
 
 def knn_fill(df: DataFrame, donors: DataFrame, names: list[str], k: int, **limits) -> DataFrame:
     """Fill the gaps of each column with the mean of its k nearest donors.
 
-    Equal receivers are looked up once.  Rows without any distance stay missing.
+    Distances run over the columns both rows have, scaled up for the ones
+    missing.  A space is a target column with the columns that the receiver has
+    and those that the donor has; a value that either lacks is 0 on both sides.
+    So all targets and all patterns of gaps are one search, and only rows with a
+    gap are joined with what it finds.  Equal receivers are looked up once.
+    Rows without any distance stay missing.
     """
-    full = (1 << len(names)) - 1
-    receivers = stage(_cells(df, names).where(F.col("mask") != full).distinct(), "receivers")
-    receiver_masks = _masks(receivers)
-    given = _cells(donors, names)
-    donor_masks = _masks(given) if receiver_masks else []
-    order = df.columns
-    out = df.withColumn("_cell", F.array(*[number(df, n) for n in names]))
-    for t, n in enumerate(names):
-        fills = _target_fills(receivers, receiver_masks, given, donor_masks, len(names), t, k, **limits)
-        if fills is not None:
-            fills = fills.withColumnRenamed("fill", "_fill")
-            out = (out.join(fills, out["_cell"].eqNullSafe(fills["receiver"]), "left").drop("receiver")
-                   .withColumn(n, F.coalesce(number(out, n), F.col("_fill"))).drop("_fill"))
-    return out.select(*[column(c) for c in order])
+    width = len(names)
+    receivers = stage(_cells(df, names).where(F.col("mask").contains("0")).distinct(), "receivers")
+    patterns = _targets(receivers.select("mask").distinct(), width, False).withColumnRenamed("mask", "theirs")
+    given = stage(_cells(donors, names), "donors")
+    offers = _targets(given.select("mask").distinct(), width, True)
+
+    def shared(mine: str, other: str) -> tuple[Column, Column]:
+        """Which columns both rows have, and how many that are."""
+        both = F.array(*[(F.substring(mine, i + 1, 1) == "1") & (F.substring(other, i + 1, 1) == "1") for i in range(width)])
+        return both, F.size(F.filter(both, lambda b: b))
+
+    def projected(rows: DataFrame, receiver: str, donor: str) -> DataFrame:
+        both, n = shared(receiver, donor)
+        place = F.transform(F.arrays_zip(F.col("cell").alias("c"), both.alias("b")), lambda z: F.when(z["b"], z["c"]).otherwise(F.lit(0.0)))
+        return rows.withColumns({"place": place, "common": n, "space": F.concat_ws(":", "t", receiver, donor)}).where("common > 0")
+
+    spots = projected(_targets(given, width, True).join(patterns, "t"), "theirs", "mask").select(
+        "space", F.col("place").alias("point"), F.get("cell", F.col("t")).alias("y"))
+    asked = projected(_targets(receivers, width, False).join(offers.withColumnRenamed("mask", "theirs"), "t"), "mask", "theirs")
+    queries = asked.select(F.struct("cell", "t", "common", "space").alias("qid"), "space", F.col("place").alias("q"))
+    # Of the donors at one spot only the k smallest targets can matter.
+    near = nearest(queries, _smallest(spots, k), width, k, **limits).select(
+        "qid.cell", "qid.t", (F.col("distance2") * (F.lit(float(width)) / F.col("qid.common"))).alias("d"), F.explode("payload").alias("y"))
+    # At most k spots with k targets per donor pattern reach this list.
+    best = F.slice(F.array_sort(F.collect_list(F.struct("d", "y"))), 1, k)
+    mean = F.aggregate("b", F.lit(0.0), lambda a, x: a + x["y"]) / F.size("b")
+    fills = near.groupBy("cell", "t").agg(best.alias("b")).select("cell", "t", mean.alias("fill")).groupBy("cell").agg(
+        F.map_from_entries(F.collect_list(F.struct("t", "fill"))).alias("_fills"))
+    gap = reduce(lambda a, b: a | b, [missing(df, n) for n in names])
+    whole = {n: number(df, n) for n in names}
+    gaps = df.where(gap).withColumn("_cell", F.array(*whole.values()))
+    met = gaps.join(fills.withColumnRenamed("cell", "_receiver"), F.col("_cell").eqNullSafe(F.col("_receiver")), "left")
+    filled = met.withColumns({n: F.coalesce(c, F.element_at("_fills", F.lit(t))) for t, (n, c) in enumerate(whole.items())})
+    columns = [column(c) for c in df.columns]
+    return df.where(~gap).withColumns(whole).select(*columns).unionByName(filled.select(*columns))

@@ -27,7 +27,7 @@ def test_boxes_find_the_exact_neighbours(spark, kind):
     queries = rng.normal(2, 6, (80, 3))
     q = spark.createDataFrame([(i, [float(x) for x in row]) for i, row in enumerate(queries)],
                               "qid long, q array<double>")
-    near = nearest(q, points_frame(spark, points), 3, 5, broadcast_points=10, box_points=100, query_chunk=30)
+    near = nearest(q, points_frame(spark, points), 3, 5, box_points=40, query_chunk=30, fan=3)
     got = {}
     for r in near.collect():
         got.setdefault(r["qid"], []).append(r["distance2"])
@@ -56,7 +56,7 @@ def brute_knn(rows, t, k):
     return out
 
 
-@pytest.mark.parametrize("limits,gappy", [({}, 3), ({"broadcast_points": 5, "box_points": 40}, 1)])
+@pytest.mark.parametrize("limits,gappy", [({}, 3), ({"box_points": 10, "fan": 4}, 3)])
 def test_knn_fill(spark, limits, gappy):
     rng = np.random.default_rng(1)
     data = np.round(rng.normal(0, 4, (150, 3)), 1)
