@@ -429,6 +429,20 @@ def e1(spark, sf):
     return encode.OneHotEncoder(["contract", "internet_service"]).fit_transform(base)
 
 
+@query("e1_onehot_wide", """WITH codes AS (SELECT w, row_number() OVER (ORDER BY w) - 1 AS code, count(*) OVER () AS n FROM
+  (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS w FROM orders))
+  SELECT o_orderkey, CAST(n - 1 AS INTEGER) AS width, CASE WHEN code > 0 THEN CAST(code - 1 AS INTEGER) END AS place
+  FROM orders JOIN codes ON w = CAST(o_custkey AS VARCHAR)""")
+def e1_wide(spark, sf):
+    orders = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    out = encode.OneHotEncoder(["o_custkey"], output="vector").fit_transform(orders)
+    # A sparse vector shows as (width,[places],[values]).
+    shown = F.col("o_custkey_onehot").cast("string")
+    return out.select("o_orderkey", F.regexp_extract(shown, r"^\((\d+),", 1).cast("int").alias("width"),
+                      F.regexp_extract(shown, r"\[(\d*)\],\[(1\.0)?\]\)$", 1).try_cast("int").alias("place"))
+
+
+
 @query("e2_label_codes", on_base("""SELECT customer_id, a.code AS segment, n.code AS nation, p.code AS payment_method
   FROM base b
   JOIN (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT segment AS v FROM base)) a

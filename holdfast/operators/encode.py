@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import OneHotEncoder as MlOneHotEncoder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,12 +12,6 @@ from holdfast.functions.ordering import running_totals
 from holdfast.operators.base import FittedOperator, pick
 from holdfast.session import stage
 
-WIDE = 2000
-
-
-class TooManyCategories(ValueError):
-    """One column per category would not fit a table; use label or target encoding."""
-
 
 class UnseenCategory(ValueError):
     pass
@@ -36,58 +31,95 @@ def _counted_values(df: DataFrame, names: list[str]) -> DataFrame:
     return df.select(F.inline(pairs)).where(F.col("value").isNotNull()).groupBy("name", "value").count()
 
 
-class OneHotEncoder(FittedOperator):
-    """``column_category`` 0/1 columns in sorted order; unseen and missing give all 0."""
+def _coded(words: DataFrame) -> DataFrame:
+    """``name, word, code``: the position of each word among those of its name."""
+    numbered = running_totals(stage(words.withColumn("one", F.lit(1)), "words"), [F.asc("word")], {"upto": "one"}, "name")
+    return stage(numbered.select("name", "word", (F.col("upto") - 1).alias("code")), "codes")
+
+
+class _LookupEncoder(FittedOperator):
+    """Encoders whose state is a (name, word, ...) table of any size.
+
+    The table is written once at fit time and the lookup is a join: the planner
+    broadcasts a small table, and a hot category on the data side is split by
+    the skew join.
+    """
+
+    def look_up(self, df: DataFrame, name: str, word: Column, value: str) -> DataFrame:
+        words = self.tables["words"].where(F.col("name") == name).select(
+            F.col("word").alias("_word"), F.col(value).alias("_value"))
+        return df.withColumn("_text", word).join(words, F.col("_text") == F.col("_word"), "left")
+
+
+def _typed(text: str, kind: str):
+    if kind == "boolean":
+        return text == "true"
+    if kind in ("byte", "short", "integer", "long"):
+        return int(text)
+    return float(text) if kind in ("float", "double") else text
+
+
+class OneHotEncoder(_LookupEncoder):
+    """0/1 per category in sorted order; unseen and missing values give all 0.
+
+    ``output="columns"`` makes a ``column_category`` column of each category, so
+    the driver has to know them all.  ``output="vector"`` makes one sparse vector
+    ``column_onehot`` per column, from a table of categories that only executors
+    read; it may be of any width.  There the categories are in the order of their
+    texts.
+    """
 
     kind = "encode_onehot"
 
-    def __init__(self, columns: list[str], drop_first: bool = True):
-        super().__init__(columns=list(columns), drop_first=drop_first)
+    def __init__(self, columns: list[str], drop_first: bool = True, output: str = "columns"):
+        if output not in ("columns", "vector"):
+            raise ValueError(f"unknown output {output!r}; choose columns or vector")
+        super().__init__(columns=list(columns), drop_first=drop_first, output=output)
 
     def learn(self, df: DataFrame) -> dict:
         names = present(df, self.options["columns"])
         if not names:
             return {}
-        rows = _counted_values(df, names).select("name", "value").limit(WIDE + 1).collect()
-        if len(rows) > WIDE:
-            raise TooManyCategories(f"more than {WIDE} categories in {names}; use label or target encoding")
+        values = _counted_values(df, names).select("name", F.col("value").alias("word"))
+        if self.options["output"] == "vector":
+            self.tables = {"words": _coded(values)}
+            return {r["name"]: r["n"] for r in self.tables["words"].groupBy("name").agg(F.count("*").alias("n")).collect()}
         found: dict[str, list] = {n: [] for n in names}
-        for name, value in rows:
-            kind = df.schema[name].dataType.typeName()
-            found[name].append(value if kind == "string" else _typed(value, kind))
+        for name, word in values.collect():
+            found[name].append(_typed(word, df.schema[name].dataType.typeName()))
         return {n: sorted(v) for n, v in found.items()}
 
     def apply(self, df: DataFrame, state: dict) -> DataFrame:
+        if self.options["output"] == "vector":
+            return self._vectors(df, state)
         added, dropped = {}, []
         for name, categories in state.items():
             if name not in df.columns:
                 continue
             dropped.append(name)
             for category in categories[1:] if self.options["drop_first"] else categories:
-                hit = F.coalesce(column(name) == F.lit(category), F.lit(False))
-                added[f"{name}_{category}"] = hit.cast("int")
+                own = column(name).cast("string") if isinstance(category, str) else column(name)
+                added[f"{name}_{category}"] = F.coalesce(own == F.lit(category), F.lit(False)).cast("int")
         df = df.withColumns(added) if added else df
         return df.drop(*dropped)
 
-
-def _typed(text: str, kind: str):
-    if kind == "boolean":
-        return text == "true"
-    return int(text) if kind in ("byte", "short", "integer", "long") else float(text)
-
-
-class _LookupEncoder(FittedOperator):
-    """Encoders whose state is a (name, word, ...) table of any size.
-
-    The table is written once at fit time and the lookup is a join: the planner
-    broadcasts a small table, and a hot category on the data side is split by
-    the skew join.
-    """
-
-    def look_up(self, df: DataFrame, name: str, word: Column, value: str) -> DataFrame:
-        words = self.tables["words"].where(F.col("name") == name).select(
-            F.col("word").alias("_word"), F.col(value).alias("_value"))
-        return df.withColumn("_text", word).join(words, F.col("_text") == F.col("_word"), "left")
+    def _vectors(self, df: DataFrame, state: dict) -> DataFrame:
+        skipped = int(self.options["drop_first"])
+        for name, n in state.items():
+            if name not in df.columns:
+                continue
+            width = n - skipped
+            if width < 1:
+                df = df.drop(name)
+                continue
+            word = F.when(~missing(df, name), column(name).cast("string"))
+            df = self.look_up(df, name, word, "code")
+            # A value outside 0..width-1 stands for no category; the encoder gives it no entry.
+            place = F.coalesce(F.when(F.col("_value") >= skipped, F.col("_value") - skipped), F.lit(width)).cast("double")
+            df = df.withColumn("_place", place.alias("_place", metadata={"ml_attr": {"type": "nominal", "num_vals": width}}))
+            encoder = MlOneHotEncoder(inputCol="_place", outputCol=f"{name}_onehot", handleInvalid="keep", dropLast=True)
+            df = encoder.fit(df).transform(df).drop("_place", "_text", "_word", "_value", name)
+        return df
 
 
 class LabelEncoder(_LookupEncoder):
@@ -105,9 +137,7 @@ class LabelEncoder(_LookupEncoder):
         if not names:
             return {"columns": []}
         pairs = F.array(*[F.struct(F.lit(n).alias("name"), _text(df, n).alias("word")) for n in names])
-        words = stage(df.select(F.inline(pairs)).distinct(), "words")
-        numbered = running_totals(words.withColumn("one", F.lit(1)), [F.asc("word")], {"upto": "one"}, "name")
-        self.tables = {"words": stage(numbered.select("name", "word", (F.col("upto") - 1).alias("code")), "codes")}
+        self.tables = {"words": _coded(df.select(F.inline(pairs)).distinct())}
         return {"columns": names}
 
     def apply(self, df: DataFrame, state: dict) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,7 +25,7 @@ COLUMNS = {"featuresCol": "features", "labelCol": "_label"}
 
 
 def feature_columns(df: DataFrame, label: str = settings.LABEL, key: str = settings.ID) -> list[str]:
-    """Numeric columns without the label and the id; the label has to be there."""
+    """Numeric columns and one-hot vectors without the label and the id; the label has to be there."""
     if label not in df.columns:
         raise KeyError(f"label column {label!r} not found; available: {df.columns}")
     return serving_columns(df, label, key)
@@ -32,7 +33,8 @@ def feature_columns(df: DataFrame, label: str = settings.LABEL, key: str = setti
 
 def serving_columns(df: DataFrame, label: str = settings.LABEL, key: str = settings.ID) -> list[str]:
     return [f.name for f in df.schema.fields
-            if isinstance(f.dataType, T.NumericType) and f.name not in (label, key)]
+            if (isinstance(f.dataType, T.NumericType) or isinstance(f.dataType, VectorUDT) and f.name.endswith("_onehot"))
+            and f.name not in (label, key)]
 
 
 def aligned(df: DataFrame, wanted: list[str] | None, label: str = settings.LABEL, key: str = settings.ID) -> list[str]:

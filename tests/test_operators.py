@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from holdfast import settings
-from holdfast.operators import binning, encode, impute, outliers, quality, scale
+from holdfast.operators import binning, encode, impute, models, outliers, quality, scale
 from holdfast.operators.base import FittedOperator, NotFittedError
 from holdfast.operators.features import FEATURES, derive_features
 from tests.conftest import values
@@ -231,9 +231,23 @@ def test_onehot_of_numbers_sorts_by_value(spark):
     assert encode.OneHotEncoder(["n"], drop_first=False).fit_transform(df).columns == ["i", "n_9", "n_10", "n_100"]
 
 
-def test_onehot_refuses_a_column_per_customer(spark):
-    with pytest.raises(encode.TooManyCategories):
-        encode.OneHotEncoder(["id"]).fit(spark.range(encode.WIDE + 1))
+def test_onehot_of_dates(spark):
+    days = spark.sql("SELECT id, date_add(DATE'2024-01-01', CAST(id AS INT)) AS d FROM range(3)")
+    assert encode.OneHotEncoder(["d"]).fit_transform(days).columns == ["id", "d_2024-01-02", "d_2024-01-03"]
+
+
+def test_one_hot_vectors_of_any_width(spark):
+    df = spark.range(3000).select(F.col("id"), F.when(F.col("id") != 7, F.col("id") % 2500).alias("k"), (F.col("id") % 2).alias("y"))
+    fitted = encode.OneHotEncoder(["k"], output="vector").fit(df)
+    out = fitted.transform(df.unionByName(spark.sql("SELECT 9000L AS id, -1L AS k, 0L AS y")))
+    assert out.columns == ["id", "y", "k_onehot"] and models.feature_columns(out, "y", "id") == ["k_onehot"]
+    order = {w: i for i, w in enumerate(sorted({str(i % 2500) for i in range(3000) if i != 7}))}
+    for r in out.collect():
+        code = order.get(str(r["id"] % 2500)) if r["id"] not in (7, 9000) else None
+        v = r["k_onehot"]
+        assert v.size == len(order) - 1 and v.indices.tolist() == ([] if not code else [code - 1])
+    model = models.fit_model(out, "logistic_regression", ["k_onehot"], "y", {"max_iter": 3})
+    assert models.with_score(out, model).where("score BETWEEN 0 AND 1").count() == 3001
 
 
 def test_label_codes(spark):
