@@ -253,3 +253,86 @@ def n8(spark, sf):
     scoring.run_stream(kafka.decode_messages(stream, raw.schema), scoring.ModelScorer(store, LABEL, KEY), output,
                        scratch_path(spark, "progress"), numbered=False).awaitTermination()
     return scoring.read_scored(spark, output, _scored_schema(raw, numbered=False))
+
+
+def _agreement(scored, batch):
+    """Rows of a stream, and those whose score and prediction are the batch's."""
+    mine = scored.select(KEY, "churn_probability", "prediction")
+    theirs = batch.select(KEY, F.col("churn_probability").alias("p"), F.col("prediction").alias("q"))
+    same = (F.abs(F.col("churn_probability") - F.col("p")) < 1e-9) & (F.col("prediction") == F.col("q")) & F.col("p").between(0, 1) & (
+        F.col("q") == (F.col("p") >= 0.5).cast("int"))
+    return mine.join(theirs, KEY, "left").agg(F.count("*").alias("n_rows"), F.count_if(same).alias("n_same"))
+
+
+_ALL_SAME = on_raw("SELECT count(*) AS n_rows, count(*) AS n_same FROM customer360")
+
+
+def _batch(store, raw):
+    fitted, model, metadata = store.load()
+    return predict(raw, fitted, model, features=metadata["features"], label=LABEL, key=KEY)
+
+
+@query("n4_stream_equals_batch", _ALL_SAME)
+def n4_agreement(spark, sf):
+    raw, store = _published(spark, sf)
+    folder, output = scratch_path(spark, "arrivals"), scratch_path(spark, "scored")
+    raw.repartition(4, KEY).write.parquet(folder)
+    stream = scoring.file_stream(spark, folder, raw.schema)
+    scoring.run_stream(stream, scoring.ModelScorer(store, LABEL, KEY), output, scratch_path(spark, "progress")).awaitTermination()
+    return _agreement(scoring.read_scored(spark, output, _scored_schema(raw)), _batch(store, raw))
+
+
+@query("n8_messages_equal_batch", _ALL_SAME)
+def n8_agreement(spark, sf):
+    raw, store = _published(spark, sf)
+    folder, output = scratch_path(spark, "messages"), scratch_path(spark, "scored")
+    messages = kafka.encode_messages(raw, KEY)
+    messages.repartition(4, "key").write.parquet(folder)
+    stream = kafka.decode_messages(scoring.file_stream(spark, folder, messages.schema), raw.schema)
+    scoring.run_stream(stream, scoring.ModelScorer(store, LABEL, KEY), output, scratch_path(spark, "progress"),
+                       numbered=False).awaitTermination()
+    return _agreement(scoring.read_scored(spark, output, _scored_schema(raw, numbered=False)), _batch(store, raw))
+
+
+@query("n7_failed_batches", on_raw("""SELECT CASE WHEN total_charges = ' ' THEN 'failed' ELSE 'scored' END AS outcome,
+  count(*) AS rows_in, count(*) FILTER (total_charges <> ' ') AS rows_out, count(*) AS n_rows,
+  CASE WHEN total_charges = ' ' THEN 'CAST_INVALID_INPUT' END AS error_class FROM customer360 GROUP BY 1, 5"""))
+def n7(spark, sf):
+    raw = stage(customer360(spark, sf), "raw")
+    folder, output = scratch_path(spark, "arrivals"), scratch_path(spark, "scored")
+    blank = F.col("total_charges") == " "
+    for part in (raw.where(blank), raw.where(~blank)):
+        part.repartition(2).write.mode("append").parquet(folder)
+
+    def score(rows):
+        # Blank charges are no number, so their batches cannot be scored.
+        return rows.withColumn("churn_probability", F.least(F.col("total_charges").cast("double") / 1e9, F.lit(1.0)))
+
+    scoring.run_stream(scoring.file_stream(spark, folder, raw.schema), score, output, scratch_path(spark, "progress")).awaitTermination()
+    schema = T.StructType([T.StructField(KEY, raw.schema[KEY].dataType)])
+    kept = scoring.read_scored(spark, output, schema).agg(F.lit("scored").alias("outcome"), F.count("*").alias("n_rows")).unionByName(
+        scoring.read_failed(spark, output).agg(F.lit("failed").alias("outcome"), F.count("*").alias("n_rows")))
+    ledger = scoring.read_ledger(spark, output).groupBy("outcome", "error_class").agg(
+        F.sum("rows_in").alias("rows_in"), F.sum("rows_out").alias("rows_out"))
+    return ledger.join(kept, "outcome").select("outcome", "rows_in", "rows_out", "n_rows", "error_class")
+
+
+@query("n9_champion_change", on_raw("""SELECT CASE WHEN customer_id % 2 = 0 THEN 1 ELSE 2 END AS run, count(*) AS n_rows,
+  count(*) AS n_same FROM customer360 GROUP BY 1"""))
+def n9(spark, sf):
+    """A new champion is published between two runs of one stream; each run agrees with its own champion."""
+    raw, store = _published(spark, sf)
+    folder, output, progress = (scratch_path(spark, n) for n in ("arrivals", "scored", "progress"))
+    scorer, runs = scoring.ModelScorer(store, LABEL, KEY), []
+    for run in (1, 2):
+        if run == 2:
+            done = prepare(raw, preprocessor())
+            features = models.feature_columns(done.train, LABEL, KEY)
+            model = models.fit_model(done.train, "logistic_regression", features, LABEL, {"max_iter": 5})
+            store.publish(done.preprocessor, model, {"model_name": "logistic_regression", "features": features})
+        part = raw.where(F.col(KEY) % 2 == run - 1)
+        part.repartition(2, KEY).write.mode("append").parquet(folder)
+        scoring.run_stream(scoring.file_stream(spark, folder, raw.schema), scorer, output, progress).awaitTermination()
+        scored = scoring.read_scored(spark, output, _scored_schema(raw)).where(F.col(KEY) % 2 == run - 1)
+        runs.append(_agreement(scored, _batch(store, part)).withColumn("run", F.lit(run)))
+    return runs[0].unionByName(runs[1])

@@ -7,14 +7,11 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 from holdfast.plans.prepare import Preprocessor
 from holdfast.sources.files import opened
 
-_REGISTRY = "position long, version string, published_at timestamp"
-
 
 def write_json(spark: SparkSession, value: dict, path: str) -> None:
     text = json.dumps(value, default=str)
@@ -66,16 +63,52 @@ def load_model(path: str) -> PipelineModel:
 
 
 class ModelStore:
-    """Versioned champions; a version counts once its registry row is committed."""
+    """Versioned champions.
+
+    A version counts once its commit file is there.  Each position has one such
+    file, which is created only if it is absent, so of two publishers at the same
+    time one gets the next position.  Readers list the folder; no table is read.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def _registry(self) -> DataFrame:
+    def _commits(self, position: int | None = None):
+        """The file system, and the folder of the commits or one of them."""
+        name = "" if position is None else f"/{position:012d}"
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/commits{name}")
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def positions(self) -> list[int]:
+        """Positions with a commit, the newest first; a file that is still empty is none yet."""
+        fs, path = self._commits()
+        if not fs.exists(path):
+            return []
+        return sorted((int(f.getPath().getName()) for f in fs.listStatus(path) if f.getLen() > 0), reverse=True)
+
+    def version_at(self, position: int) -> str:
+        fs, path = self._commits(position)
+        stream = fs.open(path)
         try:
-            return self.spark.read.schema(_REGISTRY).parquet(f"{self.folder}/registry")
-        except AnalysisException:
-            return self.spark.createDataFrame([], _REGISTRY)
+            return self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+        finally:
+            stream.close()
+
+    def commit(self, version: str) -> int:
+        """Gives the version the next free position."""
+        position = max(self.positions(), default=0) + 1
+        while True:
+            fs, path = self._commits(position)
+            try:
+                out = fs.create(path, False)
+            except Exception:  # noqa: BLE001 - another publisher was first, or the folder cannot be written
+                if not fs.exists(path):
+                    raise
+                position += 1
+                continue
+            out.write(bytearray(version, "utf-8"))
+            out.close()
+            return position
 
     def publish(self, preprocessor: Preprocessor | None, model: PipelineModel, metadata: dict) -> str:
         version = uuid.uuid4().hex
@@ -84,15 +117,12 @@ class ModelStore:
         if preprocessor is not None:
             save_preprocessor(self.spark, preprocessor, f"{path}/preprocessor")
         save_metadata(self.spark, {**metadata, "has_preprocessor": preprocessor is not None}, f"{path}/metadata")
-        last = self._registry().agg(F.max("position")).first()[0] or 0
-        row = self.spark.createDataFrame([(last + 1, version)], "position long, version string")
-        row.withColumn("published_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(
-            f"{self.folder}/registry")
+        self.commit(version)
         return version
 
     def latest(self) -> str | None:
-        top = self._registry().orderBy(F.desc("position"), "version").limit(1).collect()
-        return top[0]["version"] if top else None
+        newest = self.positions()
+        return self.version_at(newest[0]) if newest else None
 
     def metadata(self, version: str | None = None) -> dict:
         version = version or self.latest()

@@ -264,7 +264,51 @@ def test_newer_model_is_picked_up_and_a_broken_one_is_not(spark, prepared, store
     second = own.publish(None, model, {"features": features})
     scorer.refresh()
     assert scorer.version == second and own.metadata()["has_preprocessor"] is False
-    broken = spark.createDataFrame([(99, "absent")], "position long, version string")
-    broken.withColumn("published_at", F.current_timestamp()).write.mode("append").parquet(f"{own.folder}/registry")
+    own.commit("absent")
     scorer.refresh()
     assert scorer.version == second
+
+
+def test_two_publishers_get_two_positions(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    stores = [artefacts.ModelStore(spark, str(tmp_path / "store")) for _ in range(2)]
+    assert stores[0].latest() is None
+    with ThreadPoolExecutor(2) as pool:
+        got = list(pool.map(lambda i: stores[i % 2].commit(f"v{i}"), range(12)))
+    assert sorted(got) == list(range(1, 13)) and stores[0].positions() == list(range(12, 0, -1))
+    assert {stores[1].version_at(p): p for p in range(1, 13)} == {f"v{i}": p for i, p in enumerate(got)}
+    # A commit that is still being written does not count.
+    fs, path = stores[0]._commits(13)
+    fs.create(path, False).close()
+    assert stores[1].latest() == stores[1].version_at(12)
+
+
+def test_a_repeated_batch_replaces_its_outcome(spark, tmp_path):
+    df = spark.range(6).select("id", (F.col("id") / 10).alias("churn_probability"))
+    out, failed = str(tmp_path / "out"), str(tmp_path / "failed")
+    schema = T.StructType([T.StructField("id", T.LongType())])
+
+    def broken(rows):
+        return rows.withColumn("x", F.raise_error(F.concat(F.lit("odd row "), F.col("id").cast("string"))).cast("int"))
+
+    scoring.batch_writer(lambda rows: rows, out, failed)(df, 0)
+    scoring.batch_writer(broken, out, failed)(df, 1)
+    assert {(r["batch_index"], r["outcome"], r["rows_in"], r["rows_out"], r["error_class"]) for r in scoring.read_ledger(spark, out).collect()} == {
+        (1, "scored", 6, 6, None), (2, "failed", 6, 0, "USER_RAISED_EXCEPTION")}
+    assert scoring.read_scored(spark, out, schema).count() == scoring.read_failed(spark, out, failed).count() == 6
+    # The failed batch is repeated and scored, the scored one fails: each row is in one place.
+    scoring.batch_writer(lambda rows: rows, out, failed)(df, 1)
+    scoring.batch_writer(broken, out, failed)(df, 0)
+    assert scoring.read_scored(spark, out, schema).count() == scoring.read_failed(spark, out, failed).count() == 6
+    assert {r["batch_index"] for r in scoring.read_failed(spark, out, failed).collect()} == {1}
+
+
+def test_errors_of_the_machines_end_the_query(spark, tmp_path):
+    def lost(rows):
+        raise OSError("No space left on device")
+
+    with pytest.raises(OSError):
+        scoring.batch_writer(lost, str(tmp_path / "out"), str(tmp_path / "failed"))(spark.range(3), 0)
+    assert scoring.error_class(RuntimeError("Job aborted: ExecutorLostFailure (executor 3 exited)")) is None
+    assert scoring.error_class(ValueError("bad row")) == "ValueError"
