@@ -15,8 +15,8 @@ from struct import pack
 
 import numpy as np
 
-#: Chunks that one worker remembers before it starts afresh; some 150 MB.
-MEMORY = 800_000
+#: Chunks of each kind that one worker remembers before it starts afresh; some 40 MB.
+MEMORY = 200_000
 #: Marks that make one piece when they follow a word.
 MARKS = ".,;:!?#*$%&|<>()"
 
