@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdfast import settings
@@ -15,7 +18,7 @@ from holdfast.functions.expressions import (
 from holdfast.operators import binning, encode, features, impute, outliers, quality, scale
 from holdfast.operators.models import aligned, feature_columns
 from holdfast.plans.score import scoring_rows
-from holdfast.sources import slices
+from holdfast.sources import files, slices
 from holdfast.sources.files import coerce_numbers, map_yes_no
 from holdfast.sources.tables import customer360, customer_base, read_table
 
@@ -468,6 +471,20 @@ def e3(spark, sf):
     return out.select("customer_id", *[fixed(F.col(c)).alias(c) for c in names])
 
 
+@query("e4_encoder_by_name", on_base(f"""SELECT 'label' AS method, customer_id, CAST(code AS DOUBLE) AS value FROM base JOIN
+  (SELECT v, row_number() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT contract AS v FROM base)) ON v = contract
+  UNION ALL SELECT 'onehot', customer_id, CASE WHEN contract = 'Two year' THEN 1.0 ELSE 0.0 END FROM base
+  UNION ALL SELECT 'target', customer_id, {sql_fixed("m")} FROM base JOIN
+  (SELECT contract AS v, avg(churn) AS m FROM base GROUP BY contract) ON v = contract"""))
+def e4(spark, sf):
+    base = customer_base(spark, sf).select("customer_id", "contract", "churn")
+    parts = []
+    for method, shown in (("label", "contract"), ("onehot", "contract_Two year"), ("target", "contract")):
+        out = encode.create_encoder(method, ["contract"], target="churn").fit_transform(base)
+        parts.append(out.select(F.lit(method).alias("method"), "customer_id", fixed(F.col(f"`{shown}`")).alias("value")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # ---- scaling ---------------------------------------------------------------------------
 
 def _scaled(spark, sf, name):
@@ -534,6 +551,19 @@ def b2(spark, sf):
         "customer_id", "total_charges_bin")
 
 
+@query("b4_enable_switch", on_base("""SELECT false AS enabled, CAST(NULL AS VARCHAR) AS bin, count(*) AS n FROM base UNION ALL
+  SELECT true, CASE WHEN total_charges IS NULL THEN 'nan' WHEN total_charges <= lo + (hi - lo) / 2 THEN 'low' ELSE 'high' END, count(*)
+  FROM base, (SELECT min(total_charges) AS lo, max(total_charges) AS hi FROM base) GROUP BY 2"""))
+def b4(spark, sf):
+    base = customer_base(spark, sf).select("customer_id", "total_charges")
+    parts = []
+    for enabled in (False, True):
+        out = binning.FeatureBinner([binning.BinConfig("total_charges", 2, "uniform", ["low", "high"])], enabled).fit_transform(base)
+        shown = F.col("total_charges_bin") if "total_charges_bin" in out.columns else F.lit(None).cast("string")
+        parts.append(out.groupBy(F.lit(enabled).alias("enabled"), shown.alias("bin")).agg(F.count("*").alias("n")))
+    return parts[0].unionByName(parts[1])
+
+
 def _interval(i: int) -> str:
     low = f"(e_tenure_{i} - 0.001)" if i == 0 else f"e_tenure_{i}"
     return f"'(' || CAST(round({low}, 3) AS VARCHAR) || ', ' || CAST(round(e_tenure_{i + 1}, 3) AS VARCHAR) || ']'"
@@ -546,3 +576,22 @@ def _interval(i: int) -> str:
 def b3(spark, sf):
     out = binning.FeatureBinner([binning.BinConfig("tenure", 4)]).fit_transform(customer_base(spark, sf))
     return out.select("customer_id", "tenure_bin")
+
+
+_ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderdate"]
+
+
+@query("p1_schema_check", """SELECT 'extra' AS status, name, n FROM (SELECT 'o_totalprice' AS name, count(o_totalprice) AS n FROM orders
+  UNION ALL SELECT 'o_orderpriority', count(o_orderpriority) FROM orders UNION ALL SELECT 'o_orderstatus', count(o_orderstatus) FROM orders)
+  UNION ALL SELECT 'missing', 'o_note', count(*) FROM orders""")
+def p1(spark, sf):
+    """Values in columns that nobody expects, and rows that lack an expected one."""
+    orders = read_table(spark, sf, "orders")
+    extra = files.check_columns(orders, _ORDER_COLUMNS)
+    rows = [orders.agg(F.count(c).alias("n")).select(F.lit("extra").alias("status"), F.lit(c).alias("name"), "n") for c in extra]
+    try:
+        files.check_columns(orders, [*_ORDER_COLUMNS, "o_note"])
+    except files.SchemaError as error:
+        lacking = str(error).split("'")[1]
+        rows.append(orders.agg(F.count("*").alias("n")).select(F.lit("missing").alias("status"), F.lit(lacking).alias("name"), "n"))
+    return reduce(DataFrame.unionByName, rows)

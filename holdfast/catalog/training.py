@@ -140,6 +140,20 @@ def m8(spark, sf):
     return out.groupBy("label").agg(F.count("*").alias("n"))
 
 
+@query("m6_estimator_by_name", on_base("""SELECT name, count(*) AS n_rows, count(*) AS n_in_range
+  FROM base, (VALUES ('decision_tree'), ('logistic_regression')) t(name)
+  WHERE tenure IS NOT NULL AND monthly_charges IS NOT NULL AND total_charges IS NOT NULL GROUP BY name"""))
+def m6(spark, sf):
+    """Estimators are known by name, blanks around it do not matter; every complete row gets a probability."""
+    rows = stage(customer_base(spark, sf).dropna(subset=NUMERIC).select(KEY, LABEL, *NUMERIC), "rows")
+    parts = []
+    for name in (" decision_tree ", "logistic_regression"):
+        model = models.fit_model(rows, name, NUMERIC, LABEL)
+        parts.append(models.with_score(rows, model).agg(
+            F.lit(name.strip()).alias("name"), F.count("*").alias("n_rows"), F.count_if(F.col("score").between(0, 1)).alias("n_in_range")))
+    return parts[0].unionByName(parts[1])
+
+
 @query("m9_parameter_search")
 def m9(spark, sf):
     parts = _prepared(spark, sf)
@@ -205,7 +219,8 @@ def n1(spark, sf):
     return predict(raw, fitted, model, features=metadata["features"], label=LABEL, key=KEY)
 
 
-@query("s7_champion_metadata")
+@query("s7_champion_metadata", on_base("""SELECT 'decision_tree' AS model_name,
+  CAST(16 + count(DISTINCT contract) - 1 + count(DISTINCT internet_service) - 1 AS INTEGER) AS n_features FROM base"""))
 def s7(spark, sf):
     _, store = _published(spark, sf)
     metadata = store.metadata()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import asdict, dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,25 +43,29 @@ def uniform_edges(low: float, high: float, bins: int) -> list[float]:
     return edges
 
 
-def _shorten(value: float, digits: int) -> float:
-    if value == 0 or not math.isfinite(value):
-        return value
-    fraction, whole = math.modf(value)
-    if whole == 0:
-        digits += -math.floor(math.log10(abs(fraction))) - 1
-    return round(value * 10.0**digits) / 10.0**digits
+def _shown(edge: float, digits: int) -> float:
+    """With so many decimals; zeros right behind the point of a number below 1 do not count."""
+    zeros = -math.floor(math.log10(abs(edge))) - 1 if 0 < abs(edge) < 1 else 0
+    return float(np.round(edge, digits + zeros))
 
 
 def interval_texts(edges: list[float]) -> list[str]:
-    """``(a, b]`` texts with as few decimals (3 or more) as keep the edges apart."""
-    digits = next((d for d in range(3, 20) if len({_shorten(e, d) for e in edges}) == len(edges)), 3)
-    short = [float(_shorten(e, digits)) for e in edges]
-    short[0] = short[0] - 10.0**-digits
-    return [f"({a}, {b}]" for a, b in zip(short, short[1:])]
+    """``(a, b]`` texts with as few digits (3 or more) as keep the edges apart.
+
+    The first bin holds its lower edge too, so that is shown one last digit lower.
+    """
+    for digits in range(3, 20):
+        shown = [_shown(e, digits) for e in edges]
+        if len(set(shown)) == len(edges):
+            break
+    else:
+        digits, shown = 3, [_shown(e, 3) for e in edges]
+    lows = [shown[0] - 10.0 ** -digits, *shown[1:-1]]
+    return [f"({low}, {high}]" for low, high in zip(lows, shown[1:])]
 
 
 class FeatureBinner(FittedOperator):
-    """Adds ``{column}_bin``; the source column stays."""
+    """Adds ``{column}_bin``; the source column stays.  The state has the edges and the label of each bin."""
 
     kind = "binning"
 
@@ -91,15 +96,10 @@ class FeatureBinner(FittedOperator):
                 if found[b.col][0] is not None:
                     at = dict(zip(steps, found[b.col]))
                     edges[b.col] = sorted({at[i / b.n_bins] for i in range(b.n_bins + 1)})
-        return edges
+        given = {b.col: b.labels or [] for b in usable}
+        return {c: {"edges": e, "labels": given[c][:len(e) - 1] if len(given[c]) >= len(e) - 1 else interval_texts(e)}
+                for c, e in edges.items()}
 
     def apply(self, df: DataFrame, state: dict) -> DataFrame:
-        added = {}
-        for b in self.bins:
-            if b.col not in df.columns or b.col not in state:
-                continue
-            edges = state[b.col]
-            n = len(edges) - 1
-            labels = b.labels[:n] if b.labels and len(b.labels) >= n else interval_texts(edges)
-            added[f"{b.col}_bin"] = cut(number(df, b.col), edges, labels)
-        return df.withColumns(added) if added else df
+        return df.withColumns({f"{c}_bin": cut(number(df, c), bins["edges"], bins["labels"])
+                               for c, bins in state.items() if c in df.columns})

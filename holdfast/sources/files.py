@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from holdfast import settings
 from holdfast.functions.expressions import column, is_text, present, to_number, yes_no
+from holdfast.operators.quality import quality_report
 
 FORMATS = ("csv", "parquet")
 
@@ -75,6 +76,13 @@ def ingest(spark: SparkSession, path: str, expected: list[str] = settings.EXPECT
     return map_yes_no(coerce_numbers(raw, numbers), binary)
 
 
+def ingest_with_report(spark: SparkSession, path: str, label: str = settings.LABEL, key: str = settings.ID,
+                       **options) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The ingested rows, and the quality report of this load: nulls, duplicates, label rate."""
+    df = ingest(spark, path, **options)
+    return df, quality_report(df, label, key)
+
+
 def write_splits(parts: dict[str, DataFrame], folder: str, file_format: str = "csv") -> None:
     """One table per split under ``folder``, and their schema as JSON text."""
     if file_format not in FORMATS:

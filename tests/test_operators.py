@@ -100,10 +100,9 @@ def test_nan_counts_as_missing(spark):
 
 
 def test_mode(spark):
-    data = ["A", "B", "C", "A", "B"] * 4
-    data[5] = data[15] = None
-    df = frame(spark, "label", data, "string")
-    assert column(impute.ModeImputer(["label"]).fit_transform(df), "label")[5] == "B"
+    df = frame(spark, "label", ["red", None, "tin", "red", "oak", "tin", "red", None], "string")
+    filled = column(impute.ModeImputer(["label"]).fit_transform(df), "label")
+    assert filled[1] == filled[7] == "red" and filled[4] == "oak"
     tie = frame(spark, "label", ["b", "a", None], "string")
     assert column(impute.ModeImputer(["label"]).fit_transform(tie), "label")[2] == "a"
     empty = frame(spark, "label", [None, None], "string")
@@ -212,17 +211,18 @@ def test_missing_inputs(spark, rows_of):
 
 # ---- encoding --------------------------------------------------------------------------------
 
-COLORS = ["Red", "Blue", "Green", "Red"]
+PLANS = ["trial", "basic", "gold", "gold", "trial", "trial"]
 
 
 def test_onehot(spark):
-    df = frame(spark, "color", COLORS, "string")
-    dropped = encode.OneHotEncoder(["color"]).fit_transform(df)
-    assert dropped.columns == ["i", "color_Green", "color_Red"]
-    assert column(dropped, "color_Green") == [0, 0, 1, 0] and column(dropped, "color_Red") == [1, 0, 0, 1]
-    full = encode.OneHotEncoder(["color"], drop_first=False).fit(df)
-    assert full.transform(df).columns == ["i", "color_Blue", "color_Green", "color_Red"]
-    unseen = full.transform(frame(spark, "color", ["Pink", None], "string"))
+    df = frame(spark, "plan", PLANS, "string")
+    dropped = encode.OneHotEncoder(["plan"]).fit_transform(df)
+    assert dropped.columns == ["i", "plan_gold", "plan_trial"]
+    assert column(dropped, "plan_gold") == [int(p == "gold") for p in PLANS]
+    assert column(dropped, "plan_trial") == [int(p == "trial") for p in PLANS]
+    full = encode.OneHotEncoder(["plan"], drop_first=False).fit(df)
+    assert full.transform(df).columns == ["i", "plan_basic", "plan_gold", "plan_trial"]
+    unseen = full.transform(frame(spark, "plan", ["silver", None], "string"))
     assert [tuple(r)[1:] for r in unseen.collect()] == [(0, 0, 0), (0, 0, 0)]
 
 
@@ -251,25 +251,25 @@ def test_one_hot_vectors_of_any_width(spark):
 
 
 def test_label_codes(spark):
-    df = frame(spark, "size", ["S", "M", "L", "S", None], "string")
-    fitted = encode.LabelEncoder(["size"]).fit(df)
-    assert column(fitted.transform(df), "size") == [3, 1, 0, 3, 2]
-    other = frame(spark, "size", ["XL"], "string")
+    df = frame(spark, "tier", ["t9", "t10", None, "t1", "t10", "t9"], "string")
+    fitted = encode.LabelEncoder(["tier"]).fit(df)
+    # In the order of texts; a missing one counts as "None".
+    assert column(fitted.transform(df), "tier") == [3, 2, 0, 1, 2, 3]
+    other = frame(spark, "tier", ["t2"], "string")
     with pytest.raises(Exception, match="unseen category"):
         fitted.transform(other).collect()
-    kept = encode.LabelEncoder(["size"], unseen="keep").fit(df)
-    assert column(kept.transform(other), "size") == [None]
+    kept = encode.LabelEncoder(["tier"], unseen="keep").fit(df)
+    assert column(kept.transform(other), "tier") == [None]
 
 
 def test_target_means(spark):
-    df = spark.createDataFrame(list(zip(range(5), ["NY", "LA", "NY", "SF", "LA"], [1, 0, 1, 0, 1])),
-                               "i int, city string, y int")
-    fitted = encode.TargetEncoder(["city"], "y").fit(df)
-    assert column(fitted.transform(df), "city") == [1.0, 0.5, 1.0, 0.0, 0.5]
-    other = frame(spark, "city", ["Chicago", None], "string")
-    assert column(fitted.transform(other), "city") == [0.6, 0.6]
+    df = spark.createDataFrame([(i, p, int(i in (1, 2, 5))) for i, p in enumerate(PLANS)], "i int, plan string, y int")
+    fitted = encode.TargetEncoder(["plan"], "y").fit(df)
+    assert column(fitted.transform(df), "plan") == pytest.approx([1 / 3, 1.0, 0.5, 0.5, 1 / 3, 1 / 3])
+    other = frame(spark, "plan", ["silver", None], "string")
+    assert column(fitted.transform(other), "plan") == [0.5, 0.5]
     with pytest.raises(ValueError):
-        encode.TargetEncoder(["city"]).fit(df)
+        encode.TargetEncoder(["plan"]).fit(df)
 
 
 def test_encoder_by_name(spark, raw_df):

@@ -156,3 +156,11 @@ def test_cut_between_null_keys_is_refused(spark):
     df = spark.createDataFrame([(1,), (None,), (None,)], "k long")
     with pytest.raises(ValueError, match="null in 2 rows"):
         first_rows(df, "k", 2)
+
+
+def test_each_load_has_a_quality_report(spark, raw_df, tmp_path):
+    raw_df.unionByName(raw_df.limit(1)).write.option("header", True).csv(str(tmp_path / "raw"))
+    df, report = files.ingest_with_report(spark, str(tmp_path / "raw"))
+    assert df.count() == 201 and set(report) == {"nulls", "duplicate_rows", "label", "duplicate_keys"}
+    assert report["duplicate_rows"].first()[0] == report["duplicate_keys"].first()[0] == 1
+    assert report["label"].first()["n_rows"] == 201
