@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +48,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def ship_package(spark: SparkSession) -> str:
+    """Sends this package to the Python workers of a cluster that does not have it installed; returns the name of the archive.
+
+    The driver serves the archive from a folder of its own, and Spark copies it
+    to each executor once.
+    """
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="holdfast-")) / "holdfast.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    return archive.name
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 

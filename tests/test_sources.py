@@ -164,3 +164,10 @@ def test_each_load_has_a_quality_report(spark, raw_df, tmp_path):
     assert df.count() == 201 and set(report) == {"nulls", "duplicate_rows", "label", "duplicate_keys"}
     assert report["duplicate_rows"].first()[0] == report["duplicate_keys"].first()[0] == 1
     assert report["label"].first()["n_rows"] == 201
+
+
+def test_the_package_travels_to_the_workers(spark):
+    from holdfast.session import ship_package
+
+    name = ship_package(spark)
+    assert any(f.endswith(name) for f in spark.sparkContext.listFiles)
