@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdfast import settings
@@ -20,7 +22,9 @@ from holdfast.operators.impute import MissingValueHandler
 from holdfast.operators.models import class_weights
 from holdfast.operators.outliers import OutlierHandler
 from holdfast.operators.scale import StandardScaler
+from holdfast.plans import report
 from holdfast.plans.prepare import Preprocessor, PrepareSettings, prepare
+from holdfast.session import scratch_path
 from holdfast.sources.tables import customer360, customer_base, read_table, score_table
 
 SCALED = [*NUMERIC, "service_adoption_score", "avg_monthly_charge_per_service", "charge_to_tenure_ratio"]
@@ -683,6 +687,32 @@ def a10(spark, sf):
     return _rounded(correlation.label_correlation(customer_base(spark, sf), NUMERIC, LABEL), "r")
 
 
+_EDGES = [float(e) for e in np.linspace(0.0, 1.0, 11)[1:-1]]
+_CHARTS_SQL = f"""SELECT 'roc' AS chart, {sql_fixed("fp / CAST(n AS DOUBLE)")} AS x, {sql_fixed("tp / CAST(p AS DOUBLE)")} AS y FROM curve
+UNION ALL SELECT 'pr', {sql_fixed("tp / CAST(p AS DOUBLE)")}, {sql_fixed("tp / CAST(tp + fp AS DOUBLE)")} FROM curve
+UNION ALL SELECT 'confusion', 2 * label + CASE WHEN score >= 0.5 THEN 1 ELSE 0 END, count(*) FROM scores GROUP BY 2
+UNION ALL SELECT 'calibration', {sql_fixed("avg(score)")}, {sql_fixed("avg(label)")} FROM scores
+  GROUP BY {" + ".join(f"CASE WHEN score > {e!r} THEN 1 ELSE 0 END" for e in _EDGES)}
+UNION ALL SELECT 'thresholds', {sql_fixed("t")}, {sql_fixed("coalesce(2 * tp / CAST(nullif(2 * tp + fp + fn, 0) AS DOUBLE), 0)")} FROM (
+  SELECT t, count(*) FILTER (score >= t AND label = 1) AS tp, count(*) FILTER (score >= t AND label = 0) AS fp,
+  count(*) FILTER (score < t AND label = 1) AS fn FROM scores, (SELECT unnest([{", ".join(repr(float(t)) for t in evaluate.chart_thresholds())}]) AS t)
+  GROUP BY t)"""
+
+
+@query("m14_chart_tables", on_curve(_CHARTS_SQL))
+def m14_charts(spark, sf):
+    """Written to a run folder with its manifest and read back."""
+    tables = report.chart_tables(score_table(spark, sf), "label", "score")
+    run = report.write_tables(spark, scratch_path(spark, "runs"), tables)
+    back, _ = report.read_tables(spark, run)
+    shown = {"roc": ("fpr", "tpr"), "pr": ("recall", "precision"), "calibration": ("mean_score", "positive_share"),
+             "thresholds": ("threshold", "f1")}
+    parts = [back[t].select(F.lit(t).alias("chart"), fixed(F.col(x)).alias("x"), fixed(F.col(y)).alias("y")) for t, (x, y) in shown.items()]
+    parts.append(back["confusion"].where("n > 0").select(F.lit("confusion").alias("chart"), fixed(2 * F.col("actual") + F.col("predicted")).alias("x"),
+                                                         fixed(F.col("n")).alias("y")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 # ---- business --------------------------------------------------------------------------------
 
 @query("a12_segment_profile", on_base(f"""SELECT segment, count(churn) AS n_customers,

@@ -27,6 +27,8 @@ class TrainingRun:
     model: PipelineModel
     features: list[str]
     metadata: dict
+    #: Label and score of the champion on the test rows.
+    scores: DataFrame
 
 
 def train_and_validate(train: DataFrame, val: DataFrame, task: Task, grid: dict | None = None,
@@ -80,4 +82,4 @@ def run_training(train: DataFrame, val: DataFrame, test: DataFrame, *, label: st
         "features": features,
         "trained_at": datetime.now(timezone.utc).isoformat(),
     }
-    return TrainingRun(results, winner["model_name"], model, features, metadata)
+    return TrainingRun(results, winner["model_name"], model, features, metadata, scored)

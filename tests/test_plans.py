@@ -10,6 +10,7 @@ from holdfast.operators.base import NotFittedError
 from holdfast.operators.encode import create_encoder
 from holdfast.operators.impute import MissingValueHandler
 from holdfast.operators.outliers import OutlierHandler
+from holdfast.plans import report
 from holdfast.plans import search
 from holdfast.plans.prepare import Preprocessor, PrepareSettings, prepare
 from holdfast.plans.score import predict, score_rows
@@ -173,6 +174,15 @@ def test_training_run(prepared, spark, tmp_path):
     assert run.metadata["test_metrics"]["threshold"] == run.metadata["optimal_threshold"]
     artefacts.save_metadata(spark, run.metadata, str(tmp_path / "m"))
     assert artefacts.load_metadata(spark, str(tmp_path / "m")) == json.loads(json.dumps(run.metadata))
+    own = artefacts.ModelStore(spark, str(tmp_path / "store"))
+    where = report.save_run(run, fitted, own, str(tmp_path / "runs"), LABEL)
+    tables, facts = report.read_tables(spark, where)
+    assert set(tables) == {"results", "roc", "pr", "confusion", "calibration", "thresholds", "importance"}
+    assert facts["version"] == own.latest() and own.metadata()["model_name"] == run.champion
+    n = run.scores.where("score IS NOT NULL").count()
+    assert tables["confusion"].agg(F.sum("n")).first()[0] == tables["calibration"].agg(F.sum("n")).first()[0] == n
+    with pytest.raises(FileNotFoundError):
+        report.read_tables(spark, str(tmp_path / "runs" / "unfinished"))
     with pytest.raises(ValueError):
         run_training(parts["train"], parts["val"], parts["test"], models=[])
     with pytest.raises(ValueError):
