@@ -149,10 +149,10 @@ def nearest(queries: DataFrame, points: DataFrame, width: int, k: int, box_point
     if "space" not in queries.columns:
         queries, points = queries.withColumn("space", F.lit("")), points.withColumn("space", F.lit(""))
     placed, rounds = _boxes(points.select("space", "point", "payload"), width, box_points, fan)
-    placed = stage(placed.select("box", "point", "payload"), "placed")
+    placed = placed.select("box", "point", "payload")
     asked = stage(queries.select("qid", "space", "q").withColumns(
         {"query": F.monotonically_increasing_id(), "limit": F.lit(float("inf"))}), "queries")
-    front = stage(_reached(asked, rounds, width, k), "front")
+    front = _reached(asked, rounds, width, k)
 
     def search(_, q, p):
         if not len(q) or not len(p):
@@ -163,7 +163,7 @@ def nearest(queries: DataFrame, points: DataFrame, width: int, k: int, box_point
     # First the nearest box that has enough points: the k-th distance in there is the query's radius.
     own = front.groupBy("query").agg(F.min(F.struct((F.col("n") < k).alias("few"), "near2", "box")).alias("own")).select(
         "query", F.col("own.box").alias("box"), F.lit(True).alias("own"))
-    marked = stage(front.join(own, ["query", "box"], "left"), "front")
+    marked = front.join(own, ["query", "box"], "left")
     def searched(rows: DataFrame) -> DataFrame:
         asked = rows.select(F.col("query").alias("qid"), "q", "box")
         return _by_box(asked, placed, query_chunk, search, form).withColumnRenamed("qid", "query")
