@@ -119,7 +119,9 @@ def group_quantiles(rows: DataFrame, probs: list[float], slices: int | None = No
     def quantile(p: float) -> Column:
         spot = F.lit(float(p)) * (F.col("n") - 1)
         low, high = F.floor(spot).cast("bigint"), F.ceil(spot).cast("bigint")
-        return F.element_at("at", low) + (F.element_at("at", high) - F.element_at("at", low)) * (spot - low)
+        a, b = F.element_at("at", low), F.element_at("at", high)
+        # Weights of both ends, which is how engines interpolate; equal ends stay as they are.
+        return F.when(a == b, a).otherwise((high - spot) * a + (spot - low) * b)
 
     return groups.select("name", "n").join(found, "name").select("name", "n", F.array(*map(quantile, probs)).alias("quantiles"))
 
@@ -190,6 +192,6 @@ def exact_quantiles(df: DataFrame, columns: dict[str, Column], probs: list[float
     found = {(r["name"], r["rank"]): r["value"] for r in _few_positions(stacked, groups, len(probs), slices)} if groups else {}
     out: dict[str, list[float | None]] = {n: [None] * len(probs) for n in names}
     for name, (_, at) in spots.items():
-        ends = [(found[name, math.floor(s)], found[name, math.ceil(s)], s - math.floor(s)) for s in at]
-        out[names[int(name)]] = [low + (high - low) * part for low, high, part in ends]
+        ends = [(found[name, math.floor(s)], found[name, math.ceil(s)], math.ceil(s) - s, s - math.floor(s)) for s in at]
+        out[names[int(name)]] = [a if a == b else v * a + w * b for a, b, v, w in ends]
     return out
