@@ -15,8 +15,8 @@ from struct import pack
 
 import numpy as np
 
-#: Chunks of each kind that one worker remembers before it starts afresh; some 40 MB.
-MEMORY = 200_000
+#: Chunks of each kind that one worker remembers before it starts afresh; some 80 MB.
+MEMORY = 400_000
 #: Marks that make one piece when they follow a word.
 MARKS = ".,;:!?#*$%&|<>()"
 
