@@ -32,6 +32,8 @@ LEAF, WINDOW = 32_768, 64
 
 #: Leaves that one task joins before it meets the rest of a text; encoded leaves that leave a task at a time.
 BLOCK, AT_ONCE = 64, 16
+#: Chunks of each kind that a worker remembers here, where several of them wait beside one another.
+REMEMBERED = 400_000
 
 #: Id, start and end of each token, one row a token; places are code points.
 Tokens = np.ndarray
@@ -113,7 +115,7 @@ ROUND_TRIP = "struct<n_tokens:long,ids:array<int>,decoded_sha256:string>"
 
 def encode_leaves(vocabulary: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with a ``leaf`` get its ``tokens``; a few leaves leave at a time, packed."""
-    c = codec(vocabulary)
+    c = codec(vocabulary, REMEMBERED)
     for rows in batches:
         for a in range(0, len(rows), AT_ONCE):
             part = rows.slice(a, AT_ONCE)
@@ -137,7 +139,7 @@ def encode_texts(df: DataFrame, vocabulary: str, text: str = "text", into: str =
 
     @F.arrow_udf(returns)
     def encode(texts: pa.Array) -> pa.Array:
-        c = codec(vocabulary)
+        c = codec(vocabulary, REMEMBERED)
         return pa.array([finish(c, np.frombuffer(c.encode(t.as_py()), c.dtype).tolist()) for t in texts], arrow)
 
     whole, key = text_of(text), free_name(df, "text_key")
@@ -151,7 +153,7 @@ def encode_texts(df: DataFrame, vocabulary: str, text: str = "text", into: str =
 
     def joined(rows: pd.DataFrame) -> tuple[str, Tokens]:
         rows = rows.sort_values("no")
-        return concatenate(codec(vocabulary).tokens, [
+        return concatenate(codec(vocabulary, REMEMBERED).tokens, [
             (t, unpacked(x)) for t, x in zip(rows["leaf"], rows["tokens"])])
 
     def join_block(rows: pd.DataFrame) -> pd.DataFrame:
@@ -161,7 +163,7 @@ def encode_texts(df: DataFrame, vocabulary: str, text: str = "text", into: str =
 
     def join_text(rows: pd.DataFrame) -> pd.DataFrame:
         ids = joined(rows)[1][:, 0].tolist()
-        return pd.DataFrame({"key": [rows["key"].iloc[0]], "out": [finish(codec(vocabulary), ids)]})
+        return pd.DataFrame({"key": [rows["key"].iloc[0]], "out": [finish(codec(vocabulary, REMEMBERED), ids)]})
 
     # Leaves of one text are dealt out to several tasks, so are blocks of them; the blocks meet at the text's key.
     form = "key string, no int, leaf string, tokens binary"
@@ -177,7 +179,7 @@ def decode_ids(df: DataFrame, vocabulary: str, ids: str = "ids", into: str = "de
 
     @F.arrow_udf("string")
     def decode(rows: pa.Array) -> pa.Array:
-        c = codec(vocabulary)
+        c = codec(vocabulary, REMEMBERED)
         return pa.array([None if (x := r.as_py()) is None else c.decode(x) for r in rows], pa.string())
 
     return df.withColumn(into, decode(F.col(f"`{ids}`")))

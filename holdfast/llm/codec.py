@@ -15,8 +15,8 @@ from struct import pack
 
 import numpy as np
 
-#: Chunks of each kind that one worker remembers before it starts afresh; some 80 MB.
-MEMORY = 400_000
+#: Chunks of each kind that one worker remembers before it starts afresh; some 150 MB.
+MEMORY = 800_000
 #: Marks that make one piece when they follow a word.
 MARKS = ".,;:!?#*$%&|<>()"
 
@@ -168,6 +168,6 @@ class Codec:
 
 
 @functools.cache
-def codec(path: str) -> Codec:
+def codec(path: str, memory: int = MEMORY) -> Codec:
     """One codec a worker process."""
-    return Codec(path)
+    return Codec(path, memory)
