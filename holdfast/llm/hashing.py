@@ -91,17 +91,19 @@ def words(texts: pa.Array, lower: bool, between: np.ndarray = _SPACE) -> Iterato
         yield first, _mixed((total[stops] - total[starts]) * down[starts]), np.searchsorted(starts, begin)
 
 
-def _folded(codes: np.ndarray, n: int, count: int) -> np.ndarray:
-    out = np.full(count, np.uint64(n), np.uint64)
-    for k in range(n):
-        out = (out ^ codes[k:k + count]) * np.uint64(_BASE)
+def folded(parts: list[np.ndarray], count: int) -> np.ndarray:
+    """One hash of ``count`` values each of several arrays."""
+    out = np.full(count, np.uint64(len(parts)), np.uint64)
+    for part in parts:
+        out = (out ^ part) * np.uint64(_BASE)
         out ^= out >> np.uint64(29)
     return _mixed(out)
 
 
 def grams(codes: np.ndarray, n: int) -> np.ndarray:
     """Hash of the ``n`` words from each word on, as long as there are so many."""
-    return _folded(codes, n, max(len(codes) - n + 1, 0))
+    count = max(len(codes) - n + 1, 0)
+    return folded([codes[k:k + count] for k in range(n)], count)
 
 
 def shingle_sets(texts: pa.Array, n: int = 5) -> Iterator[np.ndarray]:
