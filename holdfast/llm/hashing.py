@@ -95,7 +95,8 @@ def folded(parts: list[np.ndarray], count: int) -> np.ndarray:
     """One hash of ``count`` values each of several arrays."""
     out = np.full(count, np.uint64(len(parts)), np.uint64)
     for part in parts:
-        out = (out ^ part) * np.uint64(_BASE)
+        out ^= part
+        out *= np.uint64(_BASE)
         out ^= out >> np.uint64(29)
     return _mixed(out)
 
