@@ -10,6 +10,7 @@ from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -239,30 +240,127 @@ def test_passage_places():
     assert len(passages.common_places(word, word)) < 3 * len(word)
 
 
-@pytest.mark.parametrize("rate, least", [(0.0, 1.0), (0.05, 0.98), (0.08, 0.95), (0.12, 0.9)])
-def test_recall_of_passages(rate, least):
-    found = 0
-    for t in range(300):
-        rnd = np.random.default_rng(t)
-        a, b = (rnd.integers(0, 2 ** 63, 230).astype(np.uint64) for _ in range(2))
-        changed = rnd.random(60) < rate
-        b[30:90] = np.where(changed, b[30:90], a[80:140])
-        common = np.intersect1d(passages.seeds(a), passages.seeds(b))
-        links = sum(passages.OF_LONG if x & np.uint64(1) else passages.OF_RARE for x in common)
-        found += links >= passages.LINKS and any(x[0] < 140 and x[1] > 80 for x in passages.passages_of(a, b))
-    assert found >= least * 300
+def _changed(rate, times, seed):
+    """Pairs of documents with a passage of 60 words in common, a share of them changed in one."""
+    rows = []
+    for t in range(times):
+        rnd = random.Random(seed * 10_000 + t)
+        passage = _fresh(rnd, 60)
+        other = [w if rnd.random() >= rate else _fresh(rnd, 1)[0] for w in passage]
+        for k, part in enumerate((passage, other)):
+            rows.append((2 * t + k, " ".join([*_fresh(rnd, 40 + 30 * k), *part, *_fresh(rnd, 100)])))
+    return rows
+
+
+def test_recall_of_passages(spark):
+    # Share of changed words, and share of pairs found; beyond a quarter they differ too much for SIMILAR.
+    for rate, least in [(0.0, 1.0), (0.05, 0.98), (0.08, 0.97), (0.12, 0.93), (0.15, 0.93), (0.18, 0.85), (0.22, 0.62)]:
+        df = spark.createDataFrame(_changed(rate, 200, 3), "doc_id long, text string")
+        found = {(r["doc_id"], r["other_id"]) for r in passages.shared_passages(df).collect()}
+        assert found <= {(2 * t + 1, 2 * t) for t in range(200)}
+        assert len(found) >= least * 200, (rate, len(found))
+
+
+def test_passage_of_many_documents(spark):
+    rnd, rows = random.Random(14), []
+    inner = _fresh(rnd, 60)
+    # A passage of 50 words in every document, one of 60 around it in some, and neighbours that share 45 words only.
+    for i in range(300):
+        part = inner[:50] if i % 3 else inner
+        rows.append((i, " ".join([*_fresh(rnd, rnd.randrange(5, 40)), *(inner[3:48] if i % 50 == 7 else part), *_fresh(rnd, 9)])))
+    rows += [rows[20], (900, rows[20][1]), (901, rows[20][1].upper()), (None, rows[20][1]), (902, None), (903, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = passages.shared_passages(df.repartition(7)).collect()
+    places = {i: t.lower().split().index(inner[3]) for i, t in rows if i is not None and t}
+    root = {i: i for i in places}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for r in found:
+        x, y = r["doc_id"], r["other_id"]
+        if all(r[s] <= places[d] and places[d] + 40 <= r[e] for d, s, e in ((x, "start", "stop"), (y, "other_start", "other_stop"))):
+            root[find(x)] = find(y)
+    assert len({find(i) for i in places}) == 1 and len(found) < 8 * len(places)
+    assert {(r["doc_id"], r["other_id"]) for r in found if r["doc_id"] in (900, 901)} == {(900, 20), (901, 20)}
+
+
+def test_links_of_seeds(monkeypatch):
+    rnd = np.random.default_rng(15)
+    monkeypatch.setattr(passages, "HERE", 4)
+    seed, node = rnd.integers(0, 60, 900) ** 2 // 60, rnd.integers(0, 200, 900)
+    parts = [passages.linked_here(seed[k::3], node[k::3]) for k in range(3)]
+    key, text, other, worth = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((text, key))
+    columns = [c[order] for c in (key, text, other, worth)]
+    for size in (7, 10_000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c[i:i + size]) for c in columns], ["key", "node", "other", "worth"])
+                   for i in range(0, len(order), size)]
+        links = {(x["a"], x["b"]) for b in passages.link_rows(iter(batches)) for x in b.to_pylist()}
+        assert all(a < b for a, b in links)
+        if size == 7:
+            small = links
+    assert small == links
+    # Every seed's texts hang together by links between texts of that seed.
+    for s in set(seed.tolist()):
+        members = set(node[seed == s].tolist())
+        reached, todo = set(), [min(members)]
+        while todo:
+            x = todo.pop()
+            if x not in reached:
+                reached.add(x)
+                todo += [y for a, b in links for y in (a, b) if x in (a, b) and y in members]
+        assert reached == members
+
+
+def _chains_by_pairs(matches):
+    """The chains from the best predecessor among all earlier matches, each looked at."""
+    matches = sorted(set(matches))
+    score, before = [], []
+    for x, y in matches:
+        best = max(((min(score[m], passages.CARRY) + passages.GAP * (a + b), m) for m, (a, b) in enumerate(matches[:len(score)])
+                    if a < x and b < y), default=(-1e18, -1))
+        if best[0] - passages.GAP * (x + y) > 0:
+            score.append(passages.WORTH + score[best[1]] - passages.GAP * (x + y - sum(matches[best[1]])))
+            before.append(best[1])
+        else:
+            score.append(passages.WORTH)
+            before.append(-1)
+    used, out = set(), []
+    for end in sorted(range(len(matches)), key=lambda m: -score[m]):
+        chain = []
+        while end >= 0 and end not in used:
+            used.add(end)
+            chain.append(matches[end])
+            end = before[end]
+        if len(chain) >= passages.MATCHES:
+            out.append(chain[::-1])
+    return out
 
 
 def test_chains_equal_brute_force():
     rnd = random.Random(2)
-    for _ in range(40):
+    for _ in range(200):
         matches = sorted({(rnd.randrange(60), rnd.randrange(60)) for _ in range(rnd.randint(1, 40))})
-        for chain in passages.chains(matches):
-            assert all(a[0] < b[0] and a[1] < b[1] for a, b in zip(chain, chain[1:]))
+        assert list(passages.chains(matches)) == _chains_by_pairs(matches)
     straight = [(5 * i, 5 * i + 3) for i in range(20)]
     assert list(passages.chains(straight + [(50, 2), (3, 90)])) == [straight]
 
 
+def test_equal_runs():
+    rnd = random.Random(16)
+    for _ in range(30):
+        blocks = [np.array([rnd.randrange(1 << 60) for _ in range(rnd.randrange(20, 70))], np.uint64) for _ in range(4)]
+        a, b = (np.concatenate(rnd.choices(blocks, k=6)) for _ in range(2))
+        ga, gb = (passages.runs_of(passages.grams(x, passages.K)) for x in (a, b))
+        spans = passages.equal_runs(ga, gb)
+        assert all((a[s:e] == b[u:v]).all() and e - s >= passages.RUN for s, e, u, v in spans)
+        shared = {x + k for x in range(len(ga)) if ga[x] in gb for k in range(passages.RUN)}
+        assert {x for s, e, _, _ in spans for x in range(s, e)} == shared
+
+
 def test_line_dedup(spark, none):
     rows = [(i, "h" if i < 8 else None, f"own {i}\nfooter\n\nfooter" if i < 6 else f"own {i}") for i in range(12)] + [(99, "h", None)]
     df = spark.createDataFrame(rows, "page_id long, host string, text string")
@@ -278,9 +376,54 @@ def test_pages_of_empty_cells(spark):
     assert lines.first()["lines"] == ["first", "last"]
 
 
-def test_targets():
-    assert mixing.targets([10, 100, 100], [5, 2, 1]) == pytest.approx([20, 196.6666667, 98.3333333])
-    assert sum(mixing.targets([3, 1000, 7, 0], [5, 2, 1, 5])) == pytest.approx(1515)
+def test_pages_without_ends(spark):
+    texts = ["<script >x " * 20_000, "<!-- x <style> " * 20_000 + "--></STYLE>end", "<" * 100_000 + "a", "a < b <p>c > d<br", None,
+             "x<script>1</script>y<SCRIPT>2<script>3</Script>z<script>4", "<!-->a-->b<!-->c", "<\ue000script>k</script>l <\ue000 m>n",
+             "a<!-- <script> -->b</script>c<style>d", "<style>e</style ><style>f</style>g"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, html string")
+    got = {r["n"]: r["lines"] for r in df.select("n", line_dedup.html_lines().alias("lines")).collect()}
+    for n, t in enumerate(texts):
+        if n > 2:
+            plain = re.sub(r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", "", t or "")
+            assert got[n] == [x.strip(" ") for x in re.split(r"<[^>]*>|\n", plain) if x.strip(" ")], t
+    assert got[0] == ["x"] * 20_000 and got[1] == ["end"] and got[2] == ["<" * 100_000 + "a"]
+
+
+def _targets(sizes, weights, share=mixing.SHARE, most=mixing.MOST):
+    left, out = share * sum(sizes), [0.0] * len(sizes)
+    open_ = [i for i, s in enumerate(sizes) if s > 0]
+    while open_:
+        level = left / sum(weights[i % len(weights)] for i in open_)
+        full = [i for i in open_ if level * weights[i % len(weights)] > most * sizes[i]]
+        for i in full or open_:
+            out[i] = most * sizes[i] if full else level * weights[i % len(weights)]
+        left -= sum(out[i] for i in full)
+        open_ = [i for i in open_ if i not in full] if full else []
+    return out
+
+
+def test_targets(spark):
+    rnd = random.Random(17)
+    cases = [[10, 100, 100], [3, 1000, 7, 0], [0, 0], [5], [rnd.randrange(1, 10 ** rnd.randrange(1, 6)) for _ in range(50)]]
+    for sizes in cases:
+        df = spark.createDataFrame(list(enumerate(sizes)), "number long, words long")
+        got = [r["target"] for r in mixing.targets(df, mixing.WEIGHTS).orderBy("number").collect()]
+        assert got == pytest.approx(_targets(sizes, mixing.WEIGHTS))
+    assert _targets([10, 100, 100], [5, 2, 1]) == pytest.approx([20, 196.6666667, 98.3333333])
+
+
+def test_mix_of_twins(spark):
+    # Rows without an id, rows with the same, and copies: each source still comes near its target.
+    rows = [(None, "w w w", "a", "x", 1) for _ in range(3000)] + [(7, f"w{i % 2} w w", "b", "x", 2) for i in range(3000)]
+    rows += [(i, "w w w", "c", "x", 3) for i in range(3000)] + [(None, None, "c", "x", 4), (None, "", None, "x", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, unit string, nth int")
+    out = mixing.mix(df, block=64)
+    assert set(out.columns) == {*df.columns, "size", "source_size", "target", "copies"}
+    got = out.groupBy("source", "target").agg(F.sum(F.col("copies") * F.col("size")).alias("n"), F.max("copies").alias("most"),
+                                              F.count("*").alias("rows")).collect()
+    assert sum(r["rows"] for r in got) == len(rows)
+    for r in got:
+        assert r["most"] <= 2 and abs(r["n"] - r["target"]) <= 6
 
 
 def test_cube_keeps_both_totals():
