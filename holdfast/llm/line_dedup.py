@@ -25,10 +25,13 @@ SHARE, MIN_PAGES = 0.2, 5
 #: A page with more than this share of its text in frequent lines is a near copy rather than a page with boilerplate.
 COPY = 0.5
 
-#: Parts of a page that are not text, and what ends a line of text in HTML.
-HIDDEN = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
-#: One of them at a time: Java's expressions recurse once per repetition of a group.
-TAGS = r"<[^>]*>|\n"
+#: How parts of a page that are not text begin and end.
+PARTS = (("script\\b", "</script>"), ("style\\b", "</style>"), ("!--", "-->"))
+#: Those parts; what ends a line of text in HTML, one at a time: Java's expressions recurse once per repetition of a group.
+HIDDEN = "(?is)" + "|".join(f"<{begin}.*?{end}" for begin, end in PARTS)
+TAGS = "<(?!\ue000(?!\ue000))[^>]*>|\n"
+#: A character that, once behind "<", tells that nothing ends there; where a page has it, it is doubled meanwhile.
+MARK = "\ue000"
 
 
 def text_lines(text: str = "text") -> Column:
@@ -36,10 +39,43 @@ def text_lines(text: str = "text") -> Column:
     return F.split(text_of(text), "\n")
 
 
+def _named(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _marked_beyond(text: Column, begin: str, end: str) -> Column:
+    """Marks each ``<`` with ``begin`` after it that the last ``end`` comes before, so no search for its end is in vain."""
+
+    def mark(t: Column) -> Column:
+        def tail(head: Column) -> Column:
+            return F.concat(head, F.regexp_replace(F.substr(t, F.length(head) + 1), f"(?i)<(?={begin})", f"<{MARK}"))
+
+        return _named(F.regexp_extract(t, f"(?is)^(.*{end})?", 1), tail)
+
+    return _named(text, mark)
+
+
+def _doubled(text: Column) -> Column:
+    return F.replace(text, F.lit(f"<{MARK}"), F.lit(f"<{MARK}{MARK}"))
+
+
+def _plain(text: Column) -> Column:
+    return F.replace(text, F.lit(f"<{MARK}"), F.lit("<"))
+
+
 def html_lines(html: str = "html") -> Column:
-    """The pieces of text between tags, trimmed, empty ones left out."""
-    pieces = F.transform(F.split(F.regexp_replace(text_of(html), HIDDEN, ""), TAGS), lambda x: F.trim(x))
-    return F.array_remove(pieces, "")
+    """The pieces of text between tags, trimmed, empty ones left out; in time that grows with the page alone.
+
+    A script, style or comment without an end hides nothing, and a tag without one is text.
+    """
+    text = _doubled(text_of(html))
+    for begin, end in PARTS:
+        text = _marked_beyond(text, begin, end)
+    text = _doubled(_plain(F.regexp_replace(text, HIDDEN, "")))
+    # What is left of a tag after the last end of one is marked only where it is not doubled already.
+    pieces = F.split(_marked_beyond(text, f"(?!{MARK})", ">"), TAGS)
+    return F.array_remove(F.transform(pieces, lambda x: F.trim(_plain(x))), "")
 
 
 def host_of(url: str = "url") -> Column:
