@@ -18,6 +18,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from holdfast.functions.ordering import row_numbers, running_totals
 from holdfast.llm.text import free_name, text_of
 from holdfast.session import stage
 
@@ -31,18 +32,24 @@ def size_in_words(text: str = "text") -> Column:
     return F.regexp_count(text_of(text), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-def targets(sizes: list[float], weights: list[float], share: float = SHARE, most: float = MOST) -> list[float]:
-    """Words wanted of each source: by weight, at most ``most`` times its size, the excess shared again by weight."""
-    left, out = share * sum(sizes), [0.0] * len(sizes)
-    open_ = [i for i, s in enumerate(sizes) if s > 0]
-    while open_:
-        level = left / sum(weights[i] for i in open_)
-        full = [i for i in open_ if level * weights[i] > most * sizes[i]]
-        for i in full or open_:
-            out[i] = most * sizes[i] if full else level * weights[i]
-        left -= sum(out[i] for i in full)
-        open_ = [i for i in open_ if i not in full] if full else []
-    return out
+def targets(sources: DataFrame, weights: tuple[float, ...], share: float = SHARE, most: float = MOST) -> DataFrame:
+    """Adds ``target``, the words wanted of each source, to ``number, words``.
+
+    By weight, which goes by number; at most ``most`` times the words of the source, the excess shared again by weight.
+    The words per weight rise round by round, from sums with a row for each weight, until no further source is full.
+    """
+    place = F.pmod(F.col("number"), F.lit(len(weights))).cast("int")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), place + 1)
+    level, before = 0.0, None
+    while level != before:
+        full = F.lit(level) * weight > F.lit(float(most)) * F.col("words")
+        sums = sources.where("words > 0").groupBy(place.alias("place")).agg(
+            F.sum("words").alias("words"), F.sum(F.when(full, F.col("words"))).alias("full"), F.count_if(~full).alias("open")).collect()
+        open_ = sum(weights[r["place"]] * r["open"] for r in sums)
+        left = share * sum(r["words"] for r in sums) - most * sum(r["full"] or 0 for r in sums)
+        level, before = (left / open_ if open_ else level), level
+    wanted = F.least(F.lit(level) * weight, F.lit(float(most)) * F.col("words"))
+    return sources.withColumn("target", F.when(F.col("words") > 0, wanted).otherwise(0.0))
 
 
 def _direction(s: list[int]) -> tuple[float, ...]:
@@ -97,7 +104,7 @@ def fly(units: Iterable[tuple[int, int, float]], rnd: random.Random, land: bool)
     return done | dict(zip(ids, p))
 
 
-def _flight(seed: int, level: int, blocks: dict[int, int]):
+def _flight(seed: int, level: int):
     """One block through the flight phase; a source that is down to one block lands."""
 
     def flight(key, rows):
@@ -105,37 +112,35 @@ def _flight(seed: int, level: int, blocks: dict[int, int]):
         rows = rows.sort_values("unit", ignore_index=True)
         order = list(range(len(rows)))
         rnd.shuffle(order)
-        size, p, land = rows["size"].tolist(), rows["p"].tolist(), blocks[key[0]] == 1
+        size, p, land = rows["size"].tolist(), rows["p"].tolist(), bool(rows["land"].iloc[0])
         if land:
             # The smallest documents come last, so what has to land weighs little.
             order.sort(key=lambda i: -size[i])
         out = fly(((i, size[i], p[i]) for i in order), rnd, land)
-        return rows.assign(p=[out[i] for i in range(len(rows))])
+        return rows.assign(p=[out[i] for i in range(len(rows))]).drop(columns="land")
 
     return flight
 
 
-def sample(units: DataFrame, per_source: dict[int, int], seed: int = 0, block: int = BLOCK) -> DataFrame:
-    """``unit, copies`` (0 or 1) from ``unit, source, size, p``; ``per_source`` has the units of each source."""
-    spark = units.sparkSession
-    open_, parts, level = units, [], 0
-    if not per_source:
-        return spark.createDataFrame([], "unit string, copies int")
+def sample(units: DataFrame, per_source: DataFrame, seed: int = 0, block: int = BLOCK) -> DataFrame:
+    """``unit, copies`` (0 or 1) from ``unit, source, size, p``; ``per_source`` has ``source, n``, at least its units."""
+    open_, parts, level, table = units, [], 0, per_source
+    most = per_source.agg(F.max("n")).first()[0] or 0
     while True:
-        blocks = {k: -(-n // block) for k, n in per_source.items()}
-        table = spark.createDataFrame(list(blocks.items()), "source int, blocks int")
-        salt = F.pmod(F.xxhash64("unit", F.lit(seed), F.lit(level)), F.col("blocks").cast("long"))
-        salted = open_.join(F.broadcast(table) if len(blocks) <= 10_000 else table, "source").withColumn("salt", salt)
+        table = table.select("source", F.ceil(F.col("n") / block).alias("blocks"))
+        salt = F.pmod(F.xxhash64("unit", F.lit(seed), F.lit(level)), F.col("blocks"))
+        salted = open_.join(table, "source").select(*units.columns, salt.alias("salt"), (F.col("blocks") == 1).alias("land"))
         # Dealt by block, not by source alone, so the blocks of a hot source go to different tasks.
-        flown = salted.drop("blocks").repartition("source", "salt").groupBy("source", "salt").applyInPandas(
-            _flight(seed, level, blocks), "unit string, source int, size long, p double, salt long").drop("salt")
+        flown = salted.repartition("source", "salt").groupBy("source", "salt").applyInPandas(
+            _flight(seed, level), "unit string, source long, size long, p double, salt long").drop("salt")
         flown = stage(flown, "mix")
         settled = (F.col("p") < SETTLED) | (F.col("p") > 1 - SETTLED)
         parts.append(flown.where(settled))
-        # A block leaves two documents at most.
-        per_source = {k: 2 * n for k, n in blocks.items() if n > 1}
-        if not per_source:
+        most = -(-most // block)
+        if most <= 1:
             break
+        # A block leaves two documents at most.
+        table, most = table.where("blocks > 1").select("source", (2 * F.col("blocks")).alias("n")), 2 * most
         open_, level = flown.where(~settled), level + 1
     out = parts[0]
     for part in parts[1:]:
@@ -149,35 +154,43 @@ def mix(df: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str
     """Adds ``size``, ``source_size``, ``target`` (words of the row's source) and ``copies`` of the row in the mix.
 
     A null text has size 0 and is never taken; a null source is a source of its
-    own, the last.  Rows equal in id, source and size share one decision, so a
-    repeated row is taken like its twin.  Columns of the frame with the new
-    names are replaced, others pass through; an empty table stays empty.  The
-    driver sees one row per source.  Equal inputs give equal mixes.
+    own, the last.  Rows equal in id, source and text are twins: they are taken
+    as often as their number asks, some once more than others.  Columns of the
+    frame with the new names are replaced, others pass through; an empty table
+    stays empty.  The driver sees a few sums.  Equal inputs give equal mixes.
     """
     df = df.drop("size", "source_size", "target", "copies")
-    name, unit = free_name(df, "source_number"), free_name(df, "unit")
-    size = size_in_words(text)
-    src = F.col(f"`{source}`").cast("string")
-    key = F.to_json(F.struct(F.col(f"`{doc_id}`").alias("d"), src.alias("s"), F.col("size").alias("n")))
-    sized = df.withColumn("size", size).withColumn(unit, key)
-    narrow = stage(df.select(F.col(f"`{doc_id}`").alias("d"), src.alias("s"), size.alias("n")), "sizes")
-    rows = sorted(narrow.groupBy("s").agg(F.sum("n").alias("words"), F.count("*").alias("docs")).collect(),
-                  key=lambda r: (r["s"] is None, r["s"] or ""))
-    wanted = targets([r["words"] or 0 for r in rows], [weights[i % len(weights)] for i in range(len(rows))], share, most)
-    plan = [(i, r["s"], r["words"] or 0, t) for i, (r, t) in enumerate(zip(rows, wanted))]
-    table = df.sparkSession.createDataFrame(plan, "number int, s string, source_size long, target double")
-    times = F.when(F.col("source_size") > 0, F.least(F.lit(float(most)), F.col("target") / F.col("source_size"))).otherwise(0.0)
-    table = table.withColumn("times", times)
-    units = narrow.withColumn("unit", F.to_json(F.struct("d", "s", "n"))).groupBy("unit").agg(
-        F.first("s").alias("s"), (F.first("n") * F.count("*")).alias("size"))
-    open_ = units.join(F.broadcast(table) if len(plan) <= 10_000 else table, units["s"].eqNullSafe(table["s"])).select(
-        "unit", F.col("number").alias("source"), "size", (F.col("times") - F.floor("times")).alias("p")).where(
-        (F.col("p") > SETTLED) & (F.col("p") < 1 - SETTLED) & (F.col("size") > 0))
-    per_source = {i: r["docs"] for i, r in enumerate(rows) if r["docs"] and r["words"]}
-    drawn = sample(open_, per_source, seed, block).select(F.col("unit").alias(unit), F.col("copies").alias(name))
-    lookup = table.select(F.col("s").alias(free_name(sized, "mix_source")), "source_size", "target", "times")
-    out = sized.join(F.broadcast(lookup) if len(plan) <= 10_000 else lookup, src.eqNullSafe(F.col(lookup.columns[0])))
-    out = out.join(drawn, unit, "left")
-    whole = F.floor(F.col("times") + SETTLED).cast("int")
-    return out.withColumn("copies", F.when(F.col("size") > 0, whole + F.coalesce(F.col(name), F.lit(0))).otherwise(0)).drop(
-        name, unit, "times", lookup.columns[0])
+    names = [free_name(df, n) for n in ("unit", "mix_source", "mix_times", "mix_extra", "mix_more")]
+    unit, source_key, times, extra, more = names
+    src, digest = F.col(f"`{source}`").cast("string"), F.xxhash64(text_of(text))
+    key = [F.col(f"`{doc_id}`").alias("d"), src.alias("s"), digest.alias("h")]
+    sized = df.withColumn("size", size_in_words(text)).withColumn(unit, F.to_json(F.struct(*key)))
+    narrow = stage(df.select(*key, size_in_words(text).alias("n")), "sizes")
+    sources = narrow.groupBy("s").agg(F.sum("n").alias("words"), F.count("*").alias("docs"))
+    sources = row_numbers(sources, [F.col("s").isNull(), F.col("s")], "number").withColumn("number", F.col("number") - 1)
+    rate = F.when(F.col("words") > 0, F.least(F.lit(float(most)), F.col("target") / F.col("words"))).otherwise(0.0)
+    plan = stage(targets(stage(sources, "sources"), weights, share, most).withColumn("times", rate), "plan")
+    units = narrow.where("n > 0").groupBy("d", "s", "h", "n").agg(F.count("*").alias("twins"))
+    wanted = (F.col("times") - F.floor(F.col("times") + SETTLED)) * F.col("twins")
+    units = units.join(plan, units["s"].eqNullSafe(plan["s"])).select(
+        F.to_json(F.struct("d", units["s"], "h")).alias("unit"), F.col("number").alias("source"), F.col("n").alias("size"),
+        "twins", F.floor(wanted + SETTLED).alias("sure"), wanted.alias("wanted"))
+    units = stage(units.withColumn("p", F.greatest(F.col("wanted") - F.col("sure"), F.lit(0.0))), "units")
+    drawn = sample(units.where(F.col("p") > SETTLED).select("unit", "source", "size", "p"),
+                   plan.where("words > 0").select(F.col("number").alias("source"), F.col("docs").alias("n")), seed, block)
+    lookup = plan.select(F.col("s").alias(source_key), F.col("words").alias("source_size"), "target", F.col("times").alias(times))
+    rows = sized.join(lookup, src.eqNullSafe(F.col(source_key))).drop(source_key)
+    whole = F.floor(F.col(times) + SETTLED).cast("int")
+    copies = F.when(F.col("size") > 0, whole + F.coalesce(F.col(extra).cast("int"), F.lit(0))).otherwise(0)
+    # Twins are numbered, and the first of them are taken once more; there are none where ids are unique.
+    twins = units.where("twins > 1").join(drawn, "unit", "left").select(
+        F.col("unit").alias(unit), (F.col("sure") + F.coalesce("copies", F.lit(0))).alias(extra))
+    twins = stage(twins, "twins")
+    single = rows.join(twins.select(unit), unit, "left_anti").join(
+        drawn.select(F.col("unit").alias(unit), F.col("copies").alias(extra)), unit, "left")
+    some = rows.join(twins, unit).select(F.struct(*[F.col(f"`{c}`") for c in [*rows.columns, extra]]).alias("whole_row"))
+    some = stage(some.withColumns({"row": F.monotonically_increasing_id(), "nth": F.lit(1).cast("long")}), "twin_rows")
+    some = running_totals(some.withColumn("unit", F.col(f"whole_row.`{unit}`")), [F.col("row")], {"nth": "nth"}, by="unit")
+    once_more = (F.col("nth") <= F.col(f"whole_row.`{extra}`")).cast("int")
+    some = some.select("whole_row.*", once_more.alias(more)).drop(extra).withColumnRenamed(more, extra)
+    return single.unionByName(some).withColumn("copies", copies).drop(unit, times, extra)
