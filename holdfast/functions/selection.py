@@ -32,6 +32,8 @@ from holdfast.session import stage
 ACCURACY, REACH = 10_000, 0.0004
 #: Up to so many values a group needs no bracket; all of them are counted one by one.
 FEW = 10_000
+#: Up to so many groups their table is sent to all tasks, so the rows of a large group need not meet in one.
+SENT = 10_000
 
 
 @dataclass(frozen=True)
@@ -64,7 +66,12 @@ def _bracketed(found: DataFrame, shares: list[float], reach: float, few: int) ->
     return found.select("name", "n", F.array(*lows).alias("lows"), F.array(*highs).alias("highs"))
 
 
-def _counted(rows: DataFrame, groups: DataFrame, shares: int, slices: int | None) -> DataFrame:
+def sent_if_few(groups: DataFrame) -> DataFrame:
+    """A written table with a row per group, to be joined with the rows of all groups: sent to them unless it has many rows."""
+    return F.broadcast(groups) if groups.limit(SENT + 1).count() <= SENT else groups
+
+
+def _counted(rows: DataFrame, groups: DataFrame, shares: int, slices: int | None, few: bool = False) -> DataFrame:
     """``name, rank, value, below, equal``; the value is null where the rank lies outside its bracket."""
     value = F.col("value")
     low, high = ([F.col(c)[i] for i in range(shares)] for c in ("lows", "highs"))
@@ -72,7 +79,9 @@ def _counted(rows: DataFrame, groups: DataFrame, shares: int, slices: int | None
     stretch = reduce(lambda a, b: a + b, [F.coalesce((value > e).cast("int") + (value >= e).cast("int"), F.lit(0)) for e in [*low, *high]])
     # Open ends hold everything; the ends themselves are inside as well.
     inside = reduce(lambda a, b: a | b, [F.coalesce(value >= a, F.lit(True)) & F.coalesce(value <= b, F.lit(True)) for a, b in zip(low, high)])
-    met = rows.where("value IS NOT NULL").join(groups.select("name", "lows", "highs"), "name").select(
+    brackets = groups.select("name", "lows", "highs")
+    brackets = F.broadcast(brackets) if few else sent_if_few(brackets)
+    met = rows.where("value IS NOT NULL").join(brackets, "name").select(
         "name", stretch.alias("stretch"), F.when(inside, value).alias("value"))
     counts = stage(met.groupBy("name", "stretch", "value").agg(F.count("*").alias("equal")), "counts")
     summed = running_totals(counts, [F.col("stretch"), F.col("value")], {"upto": "equal"}, "name", slices)
@@ -98,7 +107,7 @@ def positions(rows: DataFrame, groups: DataFrame, shares: int, slices: int | Non
     found = stage(_counted(rows, groups.where(F.size("ranks") > 0), shares, slices), "positions")
     missed = found.where("value IS NULL").groupBy("name").agg(F.collect_list("rank").alias("ranks"))
     if not missed.isEmpty():
-        again = _counted(rows, _open(missed, rows.schema["value"].dataType.simpleString()), 1, slices)
+        again = _counted(rows, _open(stage(missed, "missed"), rows.schema["value"].dataType.simpleString()), 1, slices)
         found = stage(found.where("value IS NOT NULL").unionByName(again), "positions")
     return found
 
@@ -148,7 +157,7 @@ def _few_positions(stacked: DataFrame, groups: list[tuple], shares: int, slices:
     """The rows of ``positions`` for a handful of groups, whose sketches are on the driver."""
     kind = stacked.schema["value"].dataType.simpleString()
     schema = f"name string, lows array<{kind}>, highs array<{kind}>, ranks array<bigint>"
-    found = _counted(stacked, stacked.sparkSession.createDataFrame(groups, schema), shares, slices).collect()
+    found = _counted(stacked, stacked.sparkSession.createDataFrame(groups, schema), shares, slices, few=True).collect()
     missed = {r["name"] for r in found if r["value"] is None}
     if missed:
         again = [(name, [None], [None], ranks) for name, _, _, ranks in groups if name in missed]

@@ -182,3 +182,26 @@ def test_running_totals_of_groups(spark):
         want.add((g, k, v, *sums[g]))
     assert {tuple(r) for r in got.collect()} == want
     assert running_totals(df.limit(0), [F.asc("k")], {"t": "v"}, "g").count() == 0
+
+
+def test_rows_of_a_few_large_groups_do_not_meet_in_one_task(spark, monkeypatch):
+    plans, write = {}, selection.stage
+
+    def watched(df, name="stage", by=None):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(df, name, by)
+
+    monkeypatch.setattr(selection, "stage", watched)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(40).select((F.col("id") % 2).cast("string").alias("name"), F.col("id").cast("double").alias("value"))
+        assert exact_quantiles(df, {"a": F.col("value"), "b": -F.col("value")}, [0.5]) == {"a": [19.5], "b": [-19.5]}
+        assert "BroadcastHashJoin" in plans["counts"]
+        got = {r["name"]: r["quantiles"] for r in selection.group_quantiles(df, [0.5]).collect()}
+        assert got == {"0": [19.0], "1": [20.0]} and "BroadcastHashJoin" in plans["counts"]
+        # Many groups are met by the group instead.
+        monkeypatch.setattr(selection, "SENT", 1)
+        assert {r["name"]: r["quantiles"] for r in selection.group_quantiles(df, [0.5]).collect()} == got
+        assert "BroadcastHashJoin" not in plans["counts"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
