@@ -6,11 +6,12 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from holdfast.functions.expressions import column, label_text, missing, number
-from holdfast.functions.selection import exact_quantiles, group_quantiles
+from holdfast.functions.selection import exact_quantiles, group_quantiles, sent_if_few
 from holdfast.session import stage
 
 #: Parts of a group whose densities are added up by different tasks, and values that one step spreads over the grid.
@@ -23,6 +24,13 @@ def _grouped(df: DataFrame, name: str, by: str) -> DataFrame:
         column(by).alias("category"), column(by).cast("string").alias("name"), number(df, name).alias("value")).where("value IS NOT NULL")
 
 
+def _classes(rows: DataFrame, keys: list[str], sums: list[Column]) -> DataFrame:
+    """``keys``, ``category`` and the sums of each class; the least of texts would have Spark sort all rows, and a text is its own name."""
+    if rows.schema["category"].dataType == T.StringType():
+        return rows.groupBy(*keys).agg(*sums).withColumn("category", F.col("name"))
+    return rows.groupBy(*keys).agg(F.min("category").alias("category"), *sums)
+
+
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """(label_text, n, pct, imbalance_ratio): share of each class and majority to minority."""
     counts = df.groupBy(label_text(column(label)).alias("label_text")).count()
@@ -102,9 +110,9 @@ def box_stats(df: DataFrame, name: str, by: str, factor: float = 1.5) -> DataFra
         "name", q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"))
     x, reach = F.col("value"), factor * (F.col("q3") - F.col("q1"))
     low, high = F.col("q1") - reach, F.col("q3") + reach
-    found = rows.join(marks, "name").groupBy("name", "q1", "median", "q3").agg(
-        F.min("category").alias("category"), F.count("*").alias("n"), F.min(F.when(x >= low, x)).alias("low"),
-        F.max(F.when(x <= high, x)).alias("high"), F.count_if((x < low) | (x > high)).alias("n_fliers"))
+    found = _classes(rows.join(sent_if_few(stage(marks, "marks")), "name"), ["name", "q1", "median", "q3"], [
+        F.count("*").alias("n"), F.min(F.when(x >= low, x)).alias("low"),
+        F.max(F.when(x <= high, x)).alias("high"), F.count_if((x < low) | (x > high)).alias("n_fliers")])
     return found.select("category", "n", "q1", "median", "q3", F.least("low", "q1").alias("whisker_low"),
                         F.greatest("high", "q3").alias("whisker_high"), "n_fliers")
 
@@ -118,9 +126,9 @@ def kernel_density(df: DataFrame, name: str, by: str, points: int = 1000, margin
     the grid in a table and no task holds a class.
     """
     rows = _grouped(df, name, by)
-    stats = stage(rows.groupBy("name").agg(
-        F.min("category").alias("category"), F.count("*").alias("n"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("least"), F.max("value").alias("most")), "classes")
+    stats = stage(_classes(rows, ["name"], [
+        F.count("*").alias("n"), F.stddev_samp("value").alias("std"),
+        F.min("value").alias("least"), F.max("value").alias("most")]), "classes")
     flat = stats.where("std IS NULL OR std = 0").select("category").first()
     if flat is not None:
         raise ValueError(f"{name!r} does not vary within {by} = {flat[0]!r}")
@@ -130,7 +138,7 @@ def kernel_density(df: DataFrame, name: str, by: str, points: int = 1000, margin
                         (F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("width"))
     counts = rows.groupBy("name", "value").agg(F.count("*").alias("w"))
     part = F.pmod(F.xxhash64("value"), F.lit(PARTS)).cast("int")
-    placed = counts.join(grid.select("name", "first", "step", "width"), "name").withColumn("part", part)
+    placed = counts.join(sent_if_few(grid.select("name", "first", "step", "width")), "name").withColumn("part", part)
     dealt = placed.repartition("name", "part").sortWithinPartitions("name", "part").select(
         "name", "value", "w", "first", "step", "width")
 

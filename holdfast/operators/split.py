@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from holdfast import settings
 from holdfast.functions.expressions import column, hash_order
 from holdfast.functions.ordering import row_numbers, running_totals
-from holdfast.functions.selection import positions, sketched
+from holdfast.functions.selection import positions, sent_if_few, sketched
 from holdfast.session import stage
 
 MIN_ROWS = 10
@@ -76,7 +76,7 @@ def _parted(df: DataFrame, key: str, label: str | None, seed: int, method: str,
     """Adds the i-th of ``names`` where the i-th (rising) quota of the class is the first to hold the row, else the last name."""
     borders = _borders(df, key, label, seed, method, quotas, shares).select(
         F.col("name").alias("_class"), F.struct("n", "quotas", "at").alias("_border"))
-    met = df.join(borders, _name(label) == F.col("_class"), "left")
+    met = df.join(sent_if_few(stage(borders, "borders")), _name(label) == F.col("_class"), "left")
     value, b = hash_order(column(key), seed, method), F.col("_border")
     part = F.when(F.lit(False), F.lit(names[0]))
     for i, name in enumerate(names[:-1]):

@@ -168,6 +168,18 @@ def test_box_stats(spark):
     assert rows[1]["n"] == 3
 
 
+def test_box_stats_neither_sort_nor_gather_the_rows_of_a_class(spark):
+    df = spark.createDataFrame([(k, float(v)) for k in "ab" for v in range(5)], "y string, v double")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = eda.box_stats(df, "v", "y")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "SortMergeJoin" not in plan
+        assert sorted((r["category"], r["median"], r["n"]) for r in out.collect()) == [("a", 2.0, 5), ("b", 2.0, 5)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_kernel_density(spark):
     rng = np.random.default_rng(9)
     data = {"a": np.round(rng.normal(0, 1, 80), 1), "b": rng.normal(5, 2, 60)}
