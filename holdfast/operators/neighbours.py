@@ -5,10 +5,11 @@ round by round, until each box holds a bounded number of them.  Splits, sizes an
 bounds of the boxes are tables that meet the points by a join on the box, so
 there may be any number of boxes.
 
-*Search.*  Queries walk down the same tables.  In each round a box with enough
-points bounds how far the neighbours of a query can be, and boxes beyond that
-are left out.  The nearest box then gives the query's true radius, and only boxes
-that this radius reaches are searched.  Boxes with many queries are split.
+*Search.*  Queries walk down the same tables, first each to one near box with
+enough points, which gives the query's true radius.  Then they walk down all
+boxes that this radius reaches, and only those are searched.  A query without a
+radius takes what the farthest corners of boxes with enough points tell of it.
+Boxes with many queries are split.
 
 Points have to be distinct in their space, so equal rows never pile up in one box.
 """
@@ -100,37 +101,64 @@ def _boxes(points: DataFrame, width: int, box_points: int, fan: int) -> tuple[Da
         parent = F.regexp_replace("box", "[.][0-9]+$", "")
 
 
+#: From so many directions on distances are loops: written out they would be a method too long to be compiled.
+_WRITTEN_OUT = 8
+
+
 def _distance_to(width: int, far: bool) -> Column:
     """Squared distance from ``q`` to the nearest or to the farthest corner of a box."""
-    out: Column = F.lit(0.0)
-    for i in range(width):
-        below, above = F.col("lows")[i] - F.col("q")[i], F.col("q")[i] - F.col("highs")[i]
-        gap = F.greatest(F.abs(below), F.abs(above)) if far else F.greatest(below, above, F.lit(0.0))
-        out = out + gap * gap
-    return out
+    def gap(q: Column, low: Column, high: Column) -> Column:
+        below, above = low - q, q - high
+        return F.greatest(F.abs(below), F.abs(above)) if far else F.greatest(below, above, F.lit(0.0))
+
+    if width > _WRITTEN_OUT:
+        gaps = F.transform(F.arrays_zip("q", "lows", "highs"), lambda z: gap(z["q"], z["lows"], z["highs"]))
+        return F.aggregate(gaps, F.lit(0.0), lambda out, g: out + g * g)
+    gaps = [gap(F.col("q")[i], F.col("lows")[i], F.col("highs")[i]) for i in range(width)]
+    return reduce(lambda out, g: out + g * g, gaps, F.lit(0.0))
 
 
 #: A hair wider than the radius, so rounding never hides a neighbour.
 _HAIR = 1 + 1e-9
 
 
+def _children(rounds: list[DataFrame]) -> list[DataFrame]:
+    """The boxes of each round under the box they are met by; the first ones, which have no parent, under themselves."""
+    return [boxes.withColumn("parent", F.col("parent" if nth else "box")) for nth, boxes in enumerate(rounds)]
+
+
+def _own(queries: DataFrame, rounds: list[DataFrame], width: int, k: int) -> DataFrame:
+    """``query, q, box``: one last box near each query, if possible with ``k`` points."""
+    front = queries.select("query", "q", F.concat("space", F.lit("/")).alias("parent"))
+    ended = []
+    for nth, parts in enumerate(_children(rounds)):
+        # A box is known by its number under its parent, as only whole numbers are summed up without a sort.
+        number_ = F.substring_index("box", ".", -1).cast("int") if nth else F.lit(0)
+        met = front.join(parts, "parent").withColumn("near2", _distance_to(width, False)).where(F.col("near2") <= float("inf"))
+        next_ = met.groupBy("query").agg(F.min_by(
+            2 * number_ + F.col("leaf").cast("int"), F.when(F.col("n") >= k, F.col("near2")).otherwise(float("inf"))).alias("code"))
+        box = F.concat("parent", F.lit("."), F.shiftright("code", 1).cast("string")) if nth else F.col("parent")
+        kept = stage(front.join(next_, "query").select("query", "q", box.alias("box"), (F.col("code") % 2 == 1).alias("leaf")), "own")
+        ended.append(kept.where("leaf").drop("leaf"))
+        front = kept.where("NOT leaf").select("query", "q", F.col("box").alias("parent"))
+    return reduce(DataFrame.unionByName, ended)
+
+
 def _reached(queries: DataFrame, rounds: list[DataFrame], width: int, k: int) -> DataFrame:
-    """Each query with the last boxes that can hold one of its neighbours: ``near2`` is how far the box is."""
-    front = queries.withColumn("parent", F.lit(None).cast("string"))
+    """``query, q, box``: each query with the last boxes within its ``limit``; null: with those that can hold one of its neighbours."""
+    front = queries.select("query", "q", F.col("limit").isNotNull().alias("known"), F.coalesce("limit", F.lit(float("inf"))).alias(
+        "limit"), F.concat("space", F.lit("/")).alias("parent"))
     ended = []
-    for nth, boxes in enumerate(rounds):
-        if nth == 0:
-            met = front.drop("parent").join(boxes.drop("parent"), F.concat("space", F.lit("/")) == F.col("box"))
-        else:
-            met = front.join(boxes, "parent").drop("parent")
-        met = met.withColumns({"near2": _distance_to(width, False), "far2": _distance_to(width, True)})
+    for parts in _children(rounds):
         # A box with enough points holds k neighbours at most as far as its farthest corner.
-        enough = F.min(F.when(F.col("n") >= k, F.col("far2"))).over(Window.partitionBy("query"))
-        limit = F.least("limit", F.coalesce(enough, F.lit(float("inf"))))
-        kept = stage(met.withColumn("limit", limit).where(F.col("near2") <= F.col("limit") * _HAIR).select(
-            "query", "qid", "space", "q", "limit", "box", "n", "near2", "leaf"), "front")
-        ended.append(kept.where("leaf").drop("leaf"))
-        front = kept.where("NOT leaf").select("query", "qid", "space", "q", "limit", F.col("box").alias("parent"))
+        enough = front.where("NOT known").join(parts.where(F.col("n") >= k), "parent").groupBy("query").agg(
+            F.min(_distance_to(width, True)).alias("enough"))
+        # A query meets its boxes when its limit is known, so boxes out of reach are never sent on.
+        limited = front.join(enough, "query", "left").withColumn("limit", F.least("limit", F.coalesce("enough", F.lit(float("inf")))))
+        met = limited.join(parts, "parent").where(_distance_to(width, False) <= F.col("limit") * _HAIR)
+        kept = stage(met.select("query", "q", "known", "limit", "box", "leaf"), "front")
+        ended.append(kept.where("leaf").select("query", "q", "box"))
+        front = kept.where("NOT leaf").select("query", "q", "known", "limit", F.col("box").alias("parent"))
     return reduce(DataFrame.unionByName, ended)
 
 
@@ -150,9 +178,7 @@ def nearest(queries: DataFrame, points: DataFrame, width: int, k: int, box_point
         queries, points = queries.withColumn("space", F.lit("")), points.withColumn("space", F.lit(""))
     placed, rounds = _boxes(points.select("space", "point", "payload"), width, box_points, fan)
     placed = placed.select("box", "point", "payload")
-    asked = stage(queries.select("qid", "space", "q").withColumns(
-        {"query": F.monotonically_increasing_id(), "limit": F.lit(float("inf"))}), "queries")
-    front = _reached(asked, rounds, width, k)
+    asked = stage(queries.select("qid", "space", "q").withColumn("query", F.monotonically_increasing_id()), "queries")
 
     def search(_, q, p):
         if not len(q) or not len(p):
@@ -160,19 +186,17 @@ def nearest(queries: DataFrame, points: DataFrame, width: int, k: int, box_point
         return _found(q["qid"].reset_index(drop=True), _matrix(q["q"], width), _matrix(p["point"], width),
                       p["payload"].tolist(), k)
 
-    # First the nearest box that has enough points: the k-th distance in there is the query's radius.
-    own = front.groupBy("query").agg(F.min(F.struct((F.col("n") < k).alias("few"), "near2", "box")).alias("own")).select(
-        "query", F.col("own.box").alias("box"), F.lit(True).alias("own"))
-    marked = front.join(own, ["query", "box"], "left")
     def searched(rows: DataFrame) -> DataFrame:
         asked = rows.select(F.col("query").alias("qid"), "q", "box")
         return _by_box(asked, placed, query_chunk, search, form).withColumnRenamed("qid", "query")
 
-    first = stage(searched(marked.where("own")), "first")
+    # First a near box that has enough points: the k-th distance in there is the query's radius.
+    own = _own(asked, rounds, width, k)
+    first = stage(searched(own), "first")
     radius = first.groupBy("query").agg(F.count("*").alias("got"), F.max("distance2").alias("most")).select(
-        "query", F.when(F.col("got") >= k, F.col("most")).alias("radius"))
-    others = marked.where("own IS NULL").join(radius, "query", "left").where(
-        F.col("near2") <= F.coalesce("radius", F.lit(float("inf"))) * _HAIR)
+        "query", F.when(F.col("got") >= k, F.col("most")).alias("limit"))
+    front = _reached(asked.join(radius, "query", "left"), rounds, width, k)
+    others = front.join(own.select("query", "box"), ["query", "box"], "left_anti")
     best = F.slice(F.array_sort(F.collect_list(F.struct("distance2", F.get("payload", F.lit(0)).alias("first"),
                                                         "point", "payload"))), 1, k)
     # One list entry per reached box and neighbour, so at most k times the boxes a query reaches.

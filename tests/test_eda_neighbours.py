@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from holdfast.operators import correlation, eda
+from holdfast.operators import correlation, eda, neighbours
 from holdfast.operators.neighbours import knn_fill, nearest
 from holdfast.operators.oversample import oversample
 from holdfast.operators.segments import cluster_rows
@@ -36,6 +36,27 @@ def test_boxes_find_the_exact_neighbours(spark, kind):
         assert np.allclose(sorted(got[i]), want)
 
 
+def test_queries_go_only_to_boxes_within_their_radius(spark, monkeypatch):
+    points = np.random.default_rng(3).random((600, 10))
+    q = spark.createDataFrame([(i, [float(v) for v in p]) for i, p in enumerate(points)], "qid long, q array<double>")
+    sent, write = [], neighbours.stage
+
+    def watched(df, name="stage", by=None):
+        out = write(df, name, by)
+        if name == "front":
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(neighbours, "stage", watched)
+    # Each query is a point, so its radius for one neighbour is 0.
+    near = nearest(q, points_frame(spark, points), 10, 1, box_points=40, fan=4).collect()
+    assert len(near) == 600 and all(r["distance2"] == 0 and r["point"] == points[r["qid"]].tolist() for r in near)
+    assert max(sent) == 600
+    near = nearest(q.where("qid < 20"), points_frame(spark, points), 10, 5, box_points=40, fan=4)
+    got = {r["qid"]: r["ds"] for r in near.groupBy("qid").agg(F.sort_array(F.collect_list("distance2")).alias("ds")).collect()}
+    assert all(np.allclose(got[i], np.sort(((points - points[i]) ** 2).sum(axis=1))[:5]) for i in range(20))
+
+
 def brute_knn(rows, t, k):
     """Mean target of the k nearest donors over shared columns, ties to the smaller target."""
     data = np.array(rows, dtype=float)
