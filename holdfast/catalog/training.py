@@ -133,8 +133,8 @@ def m5(spark, sf):
   (SELECT CASE WHEN tenure > 60 THEN 1 ELSE 0 END AS h FROM base WHERE tenure IS NOT NULL AND total_charges IS NOT NULL)
   GROUP BY h LIMIT 1) AS n FROM (VALUES (0), (1)) t(high)"""))
 def m8(spark, sf):
-    base = customer_base(spark, sf).dropna(subset=NUMERIC).select(
-        KEY, (F.col("tenure") > 60).cast("int").alias("label"), "monthly_charges", "total_charges")
+    base = stage(customer_base(spark, sf).dropna(subset=NUMERIC).select(
+        KEY, (F.col("tenure") > 60).cast("int").alias("label"), "monthly_charges", "total_charges"), "base")
     scaled = StandardScaler(["monthly_charges", "total_charges"]).fit_transform(base)
     out = oversample(scaled, KEY, "label", ["monthly_charges", "total_charges"])
     return out.groupBy("label").agg(F.count("*").alias("n"))

@@ -37,10 +37,11 @@ def oversample(df: DataFrame, key: str, label: str, features: list[str], neighbo
     A synthetic row is base + u * (neighbour - base) with a seeded u in [0, 1);
     its key is null.
     """
-    counts = {r[0]: r[1] for r in df.groupBy(column(label)).count().collect()}
+    # Written once: each class scans its rows several times.
+    out = stage(df.select(column(key).alias(key), column(label).alias(label),
+                          *[column(f).cast("double").alias(f) for f in features]), "rows")
+    counts = {r[0]: r[1] for r in out.groupBy(column(label)).count().collect()}
     largest = max(counts.values())
-    out = df.select(column(key).alias(key), column(label).alias(label),
-                    *[column(f).cast("double").alias(f) for f in features])
     result = out
     for value, n in sorted(counts.items()):
         needed = largest - n
