@@ -18,6 +18,7 @@ from holdfast.functions.expressions import (
 from holdfast.operators import binning, encode, features, impute, outliers, quality, scale
 from holdfast.operators.models import aligned, feature_columns
 from holdfast.plans.score import scoring_rows
+from holdfast.session import stage
 from holdfast.sources import files, slices
 from holdfast.sources.files import coerce_numbers, map_yes_no
 from holdfast.sources.tables import customer360, customer_base, read_table
@@ -295,7 +296,7 @@ def i3(spark, sf):
     FROM base r, base d WHERE r.total_charges IS NULL AND d.total_charges IS NOT NULL AND r.tenure IS NOT NULL) WHERE k <= 5 GROUP BY customer_id
   ) k USING (customer_id), (SELECT avg(total_charges) AS m FROM base) m"""))
 def i4(spark, sf):
-    base = customer_base(spark, sf).select("customer_id", *NUMERIC)
+    base = stage(customer_base(spark, sf).select("customer_id", *NUMERIC), "base")
     out = impute.KnnImputer(NUMERIC).fit_transform(base)
     return out.select("customer_id", fixed(F.col("total_charges"), 3).alias("total_charges"))
 
@@ -318,7 +319,7 @@ def _gap_fill_sql(c: str) -> str:
   CASE WHEN customer_id % 11 <> 0 THEN monthly_charges END AS monthly_charges, total_charges FROM base)""",
     *[_gap_fill_sql(c) for c in _GAPS]))
 def i4_three(spark, sf):
-    base = customer_base(spark, sf).select("customer_id", *NUMERIC)
+    base = stage(customer_base(spark, sf).select("customer_id", *NUMERIC), "base")
     key = F.col("customer_id")
     gappy = base.withColumns({"tenure": F.when(key % 7 != 0, F.col("tenure").cast("double")),
                               "monthly_charges": F.when(key % 11 != 0, F.col("monthly_charges"))})
