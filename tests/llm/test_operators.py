@@ -553,3 +553,12 @@ def test_hashes_do_not_depend_on_neighbours():
     alone = [next(iter(shingle_sets(pa.array([t], pa.string())))) for t in texts]
     assert all((x == y).all() for x, y in zip(together, alone))
     assert set(together[0].tolist()) <= set(together[4].tolist()) and [len(s) for s in together] == [2, 0, 1, 0, 3]
+
+
+def test_lines_of_pages_are_taken_out_once(spark, tmp_path):
+    rows = [(i, f"http://a.org/{i}", f"<p>all</p><p>only {i}</p>") for i in range(6)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    from holdfast.llm.queries import op5
+    out = op5(spark, str(tmp_path))
+    assert "html" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {(r["n_lines"], r["n_dropped_lines"]) for r in out.collect()} == {(2, 1)}
