@@ -126,6 +126,23 @@ def test_oversampling_many_equal_rows(spark):
         oversample(df.where("k > 3"), "k", "y", ["a"], 5)
 
 
+def derived(spark, n=60):
+    """Customers by an expression that a plan shows, to see whether they are derived again."""
+    rows = spark.createDataFrame([(i, float(i % 71), float(i * 7 % 31), float(i * 5 % 43)) for i in range(n)],
+                                 "customer_id long, tenure double, monthly_charges double, total_charges double")
+    return rows.where(F.sha2(F.col("customer_id").cast("string"), 256) != "")
+
+
+def test_oversampling_and_fill_derive_their_rows_once(spark, monkeypatch):
+    from holdfast.catalog import QUERIES, preparation, training  # noqa: F401
+    for module in (preparation, training):
+        monkeypatch.setattr(module, "customer_base", lambda spark, sf: derived(spark, 200))
+    for name, rows in (("m8_oversampled_classes", 2), ("i4_knn_three_gaps", 200)):
+        out = QUERIES[name](spark, "")
+        assert "sha2" not in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == rows
+
+
 # ---- correlation --------------------------------------------------------------------------
 
 def columns(n=300, seed=2):
