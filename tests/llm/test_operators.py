@@ -315,6 +315,61 @@ def test_links_of_seeds(monkeypatch):
         assert reached == members
 
 
+def test_members_of_seeds(monkeypatch):
+    rnd = np.random.default_rng(17)
+    monkeypatch.setattr(passages, "HERE", 4)
+    seed, node = rnd.integers(0, 60, 900) ** 2 // 60, rnd.integers(0, 200, 900)
+    place = seed * 1000 + node
+    parts = [passages.linked_here(seed[k::3], node[k::3], place[k::3]) for k in range(3)]
+    key, text, other, worth = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((text, key))
+    columns = [c[order] for c in (key, text, other, worth)]
+    texts = {s: set(node[seed == s].tolist()) for s in set(seed.tolist()) if s % 2}
+    for size in (7, 10_000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c[i:i + size]) for c in columns], ["key", "node", "other", "worth"])
+                   for i in range(0, len(order), size)]
+        rows = [x for b in passages.link_rows(iter(batches), members=True) for x in b.to_pylist() if x["worth"] < 0]
+        assert {(x["a"], x["b"]) for x in rows} == {(s, n) for s, t in texts.items() if len(t) > 1 for n in t}
+        assert all(-1 - x["worth"] == x["a"] * 1000 + x["b"] for x in rows)
+
+
+def test_classes_of_passages(spark):
+    rnd, rows = random.Random(18), []
+    # Every pair of these documents is to have a class in common if it has 50 words in a row in common.
+    blocks = [_fresh(rnd, rnd.randrange(15, 80)) for _ in range(25)]
+    for i in range(60):
+        rows.append((i, " ".join(w for b in rnd.choices(blocks, k=4) for w in [*b, *_fresh(rnd, rnd.randrange(3))])))
+    rows += [(100, rows[7][1].upper()), (7, rows[7][1]), (101, " ".join(_fresh(rnd, 200))), (102, None), (None, rows[3][1])]
+    rows += [(200, " ".join([*_fresh(rnd, 9), *blocks[0], *_fresh(rnd, 60)])) for _ in range(2)]
+    alone = _fresh(rnd, 70)
+    rows += [(300, " ".join([*_fresh(rnd, k), *alone])) for k in (5, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = passages.passage_classes(df.repartition(5)).collect()
+    words = {}
+    for d, t in rows:
+        if d is not None and t and d not in (200, 300):
+            words[d] = t.lower().split()
+    runs = {d: {tuple(t[k:k + 50]) for k in range(len(t) - 49)} for d, t in words.items()}
+    wanted = {(a, b) for a in runs for b in runs if a < b and runs[a] & runs[b]}
+    of, at = {}, {}
+    for r in found:
+        of.setdefault(r["doc_id"], set()).add(r["class_id"])
+        at.setdefault(r["class_id"], []).append(r)
+    assert len(wanted) > 300
+    # The first of equal texts has the classes of their text.
+    first = {100: 7}
+    assert all(of[first.get(a, a)] & of[first.get(b, b)] for a, b in wanted if {a, b} != {7, 100}) and of[7] & of[100]
+    assert 300 not in of and 101 not in of and 102 not in of
+    for r in found:
+        if r["doc_id"] in words and r["other_id"] is None and r["n_members"] > 2:
+            # A class has its words in all its texts.
+            run = words[r["doc_id"]][r["start"]:r["stop"]]
+            assert all(" ".join(run[k:k + 40]) in " ".join(words[x["doc_id"]]) for x in at[r["class_id"]] if x["doc_id"] in words
+                       for k in (0, len(run) - 40))
+    kept = {tuple(r[:7]) for r in found if r["other_id"] is not None}
+    assert kept == {tuple(r) for r in passages.shared_passages(df).collect()}
+
+
 def _chains_by_pairs(matches):
     """The chains from the best predecessor among all earlier matches, each looked at."""
     matches = sorted(set(matches))
