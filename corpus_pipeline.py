@@ -43,7 +43,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document of the mix, and a digest of the text that they decode to."""
-    coded = encode_texts(docs, vocabulary("word_bpe_49k.json"), into="out", finish=round_trip, returns=ROUND_TRIP)
+    coded = encode_texts(docs, vocabulary("word_bpe_49k.json"), into="out", finish=round_trip, returns=ROUND_TRIP, keep=False)
     return coded.select("doc_id", "lang", "source", "out.n_tokens", "out.ids", "out.decoded_sha256")
 
 

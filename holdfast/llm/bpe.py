@@ -124,23 +124,28 @@ def encode_leaves(vocabulary: str, batches: Iterator[pa.RecordBatch]) -> Iterato
 
 
 def encode_texts(df: DataFrame, vocabulary: str, text: str = "text", into: str = "ids", finish: Finish = ids_of,
-                 returns: str = "array<int>", leaf: int = LEAF) -> DataFrame:
+                 returns: str = "array<int>", leaf: int = LEAF, keep: bool = True) -> DataFrame:
     """Adds the ids of each text under ``into``, or what ``finish(codec, ids)`` makes of them (of type ``returns``).
 
     ``vocabulary`` is the path of a ``tokenizers`` file that every executor can
     open.  A null text counts as empty and has no ids.  Texts of any length are
     encoded whole; equal long texts are encoded once, and repeated rows get the
     same ids each.  Empty tables stay empty; other columns pass through, one
-    that is named ``into`` is replaced.
+    that is named ``into`` is replaced.  Workers ``keep`` the chunks they remember
+    for their next task, or give the memory back to the steps that follow.
     """
     df = df.drop(into)
     kind = T._parse_datatype_string(returns)
     arrow = to_arrow_type(kind)
 
     @F.arrow_udf(returns)
-    def encode(texts: pa.Array) -> pa.Array:
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         c = codec(vocabulary, REMEMBERED)
-        return pa.array([finish(c, np.frombuffer(c.encode(t.as_py()), c.dtype).tolist()) for t in texts], arrow)
+        for texts in batches:
+            yield pa.array([finish(c, np.frombuffer(c.encode(t.as_py()), c.dtype).tolist()) for t in texts], arrow)
+        if not keep:
+            c.forget()
+            pa.default_memory_pool().release_unused()
 
     whole, key = text_of(text), free_name(df, "text_key")
     long = F.length(whole) > leaf

@@ -148,6 +148,11 @@ class Codec:
         first, *rest = BEFORE_WORD.split(text) if blanks else text.split(" ")
         return self.chunks[first] + b"".join(map(self.spaced.__getitem__, rest))
 
+    def forget(self) -> None:
+        """Drops the remembered chunks; they come back as texts need them."""
+        for memory in (self.pieces, self.chunks, self.spaced) if self.cut else ():
+            memory.clear()
+
     def decode(self, ids: list[int]) -> str:
         """The text as the library's decode() gives it, special tokens included."""
         if self.decoder is None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+import shutil
 import zlib
 from collections import Counter, defaultdict
 from hashlib import sha256
@@ -333,6 +334,22 @@ def test_members_of_seeds(monkeypatch):
         assert all(-1 - x["worth"] == x["a"] * 1000 + x["b"] for x in rows)
 
 
+def test_workers_give_back_what_they_remember(spark, tmp_path):
+    # A vocabulary file of its own, so no other test has filled a codec of it.
+    path = str(shutil.copy(WORD, tmp_path / "words.json"))
+    df = spark.range(400, numPartitions=8).select(F.concat_ws(" ", *[F.concat(F.lit("w"), F.col("id") * k) for k in range(1, 9)]).alias("text"))
+
+    def remembered(batches):
+        for batch in batches:
+            c = bpe.codec(path, bpe.REMEMBERED)
+            yield pa.RecordBatch.from_arrays([pa.array([len(c.chunks) + len(c.pieces)] * len(batch))], ["n"])
+
+    given = sorted(map(tuple, bpe.encode_texts(df, path, keep=False).collect()))
+    left = df.mapInArrow(remembered, "n long").agg(F.max("n")).first()[0]
+    assert given == sorted(map(tuple, bpe.encode_texts(df, path).collect())) and len(given) == 400
+    assert left == 0
+
+
 def test_classes_of_passages(spark):
     rnd, rows = random.Random(18), []
     # Every pair of these documents is to have a class in common if it has 50 words in a row in common.
