@@ -20,9 +20,11 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from holdfast.functions.expressions import column, missing, number
 from holdfast.session import stage
@@ -32,55 +34,83 @@ BOX_POINTS, QUERY_CHUNK, FAN = 5_000, 20_000, 16
 _DISTANCES = 4_000_000
 
 
-def _matrix(column: pd.Series, width: int) -> np.ndarray:
-    return np.array(column.tolist(), dtype=float).reshape(len(column), width)
+def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), width)
 
 
-def _closest(queries: np.ndarray, points: np.ndarray, first: np.ndarray, k: int):
-    """Per query the positions and squared distances of its k closest points.
+def _closest(queries: np.ndarray, points: np.ndarray, first: np.ndarray, k: int, limit: np.ndarray):
+    """Positions of queries and of their k closest points, and the squared distances, block by block.
 
-    Ties are broken by the first payload entry.
+    Points beyond a query's ``limit`` do not count; one that is not a number is none.
+    Ties are broken by the first payload entry, then by the place of the point.
+    A product of matrices leaves out what is farther than it can be wrong by; the rest is measured exactly.
     """
     step = max(1, _DISTANCES // max(len(points), 1))
-    for start in range(0, len(queries), step):
-        block = queries[start:start + step]
-        distance = np.zeros((len(block), len(points)))
-        for d in range(points.shape[1]):
-            distance += (block[:, d, None] - points[None, :, d]) ** 2
-        for i, row in enumerate(distance):
-            if len(row) > k:
-                limit = np.partition(row, k - 1)[k - 1]
-                near = np.flatnonzero(row <= limit)
-            else:
-                near = np.arange(len(row))
-            near = near[np.lexsort((first[near], row[near]))][:k]
-            yield start + i, near, row[near]
-
-
-def _found(qids: pd.Series, queries: np.ndarray, points: np.ndarray, payload: list, k: int) -> pd.DataFrame:
-    first = np.array([p[0] if len(p) else 0.0 for p in payload], dtype=float)
-    rows = []
-    for i, near, distance in _closest(queries, points, first, k):
-        rows += [(qids.iat[i], d, points[j].tolist(), payload[j]) for j, d in zip(near, distance)]
-    return pd.DataFrame(rows, columns=["qid", "distance2", "point", "payload"])
-
-
-def _bounds(placed: DataFrame, width: int, fan: int) -> DataFrame:
-    """``box, n, lows, highs, dim, cuts`` of each box: its bounds, its widest direction and where to cut that."""
+    with np.errstate(all="ignore"):
+        centre = points.mean(axis=0)
+        near = points - centre
+        squares = (near ** 2).sum(axis=1)
+        for start in range(0, len(queries), step):
+            block, most = queries[start:start + step], limit[start:start + step]
+            moved = block - centre
+            own = (moved ** 2).sum(axis=1)
+            wrong = 8 * (points.shape[1] + 4) * np.finfo(float).eps * (np.sqrt(own) + np.sqrt(squares.max())) ** 2
+            rough = moved @ (-2 * near.T)
+            rough += squares
+            reach = most - own
+            free = np.flatnonzero(np.isnan(most))
+            if len(free):
+                reach[free] = np.partition(rough[free], k - 1, axis=1)[:, k - 1] if len(points) > k else np.inf
+            # What cannot be compared is measured as well.
+            i, j = np.nonzero(~(rough > (reach + 2 * wrong)[:, None]))
+            distance = np.zeros(len(i))
+            for d in range(points.shape[1]):
+                distance += (block[i, d] - points[j, d]) ** 2
+            inside = ~(distance > most[i]) & ~(np.isnan(distance) & ~np.isnan(most[i]))
+            i, j, distance = i[inside], j[inside], distance[inside]
+            order = np.lexsort((j, first[j], distance, i))
+            i, j, distance = i[order], j[order], distance[order]
+            kept = np.arange(len(i)) - np.searchsorted(i, i) < k
+            yield start + i[kept], j[kept], distance[kept]
+
+
+def _found(q: pa.Table, p: pa.Table, width: int, k: int, form: pa.Schema) -> pa.Table:
+    """The k closest points of a box for each of its queries."""
+    if not len(q) or not len(p):
+        return form.empty_table()
+    points, payload = _matrix(p["point"], width), p["payload"].combine_chunks()
+    size = payload.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    first = np.zeros(len(p))
+    first[size > 0] = payload.flatten().to_numpy(zero_copy_only=False)[(np.cumsum(size) - size)[size > 0]]
+    # Equal distances are told apart in the same way wherever the rows come from.
+    place = np.lexsort(points.T[::-1])
+    limit = q["limit"].to_numpy().astype(float)
+    found = [*_closest(_matrix(q["q"], width), points[place], first[place], k, limit)]
+    i, j, distance = (np.concatenate(c) for c in zip(*found))
+    j = pa.array(place[j])
+    return pa.Table.from_arrays([q["query"].take(pa.array(i)), pa.array(distance), p["point"].take(j), p["payload"].take(j)], form.names).cast(form)
+
+
+def _bounds(placed: DataFrame, width: int) -> DataFrame:
+    """``box, n, lows, highs, dim, low, high, mean`` of each box: its bounds, its widest direction and what is known of that."""
     at = [F.col("point")[i] for i in range(width)]
-    shares = [i / fan for i in range(1, fan)]
-    stats = [a for i, x in enumerate(at) for a in (
-        F.min(x).alias(f"low{i}"), F.max(x).alias(f"high{i}"), F.avg(x).alias(f"mean{i}"),
-        F.percentile_approx(x, shares, 1000).alias(f"cuts{i}"))]
+    stats = [a for i, x in enumerate(at) for a in (F.min(x).alias(f"low{i}"), F.max(x).alias(f"high{i}"), F.avg(x).alias(f"mean{i}"))]
     found = placed.groupBy("box").agg(F.count("*").alias("n"), *stats).select(
-        "box", "n", *[F.array(*[F.col(f"{c}{i}") for i in range(width)]).alias(c) for c in ("low", "high", "mean", "cuts")])
-    wide = F.transform(F.arrays_zip("low", "high"), lambda z: z["high"] - z["low"])
+        "box", "n", *[F.array(*[F.col(f"{c}{i}") for i in range(width)]).alias(f"{c}s") for c in ("low", "high", "mean")])
+    wide = F.transform(F.arrays_zip("lows", "highs"), lambda z: z["highs"] - z["lows"])
     found = found.withColumn("dim", (F.array_position(wide, F.array_max(wide)) - 1).cast("int"))
-    low, high = F.get("low", F.col("dim")), F.get("high", F.col("dim"))
+    return found.select("box", "n", "lows", "highs", "dim", *[F.get(f"{c}s", F.col("dim")).alias(c) for c in ("low", "high", "mean")])
+
+
+def _cuts(placed: DataFrame, found: DataFrame, fan: int) -> DataFrame:
+    """``box, dim, cuts``: where to cut each of the boxes ``found`` along its widest direction."""
+    value = F.get("point", F.col("dim"))
+    shares = [i / fan for i in range(1, fan)]
+    cuts = placed.join(found.select("box", "dim"), "box").groupBy("box").agg(F.percentile_approx(value, shares, 1000).alias("cuts"))
     # The mean parts any box that is not a single point; rounding may put it on the upper end.
-    every = F.concat(F.get("cuts", F.col("dim")), F.array(F.get("mean", F.col("dim")), low))
-    cuts = F.array_sort(F.array_distinct(F.filter(every, lambda c: (c >= low) & (c < high))))
-    return found.select("box", "n", F.col("low").alias("lows"), F.col("high").alias("highs"), "dim", cuts.alias("cuts"))
+    every = F.concat("cuts", F.array("mean", "low"))
+    return found.join(cuts, "box").select("box", "dim", F.array_sort(F.array_distinct(
+        F.filter(every, lambda c: (c >= F.col("low")) & (c < F.col("high"))))).alias("cuts"))
 
 
 def _boxes(points: DataFrame, width: int, box_points: int, fan: int) -> tuple[DataFrame, list[DataFrame]]:
@@ -89,19 +119,21 @@ def _boxes(points: DataFrame, width: int, box_points: int, fan: int) -> tuple[Da
     done, rounds = [], []
     parent = F.lit(None).cast("string")
     while True:
-        found = stage(_bounds(open_, width, fan).withColumn("leaf", (F.col("n") <= box_points) | (F.size("cuts") == 0)), "boxes")
+        found = stage(_bounds(open_, width).withColumn("leaf", (F.col("n") <= box_points) | ~F.coalesce(
+            F.col("low") < F.col("high"), F.lit(False))), "boxes")
         rounds.append(found.select("box", parent.alias("parent"), "n", "lows", "highs", "leaf"))
         done.append(open_.join(found.where("leaf").select("box"), "box", "left_semi"))
         if found.where("NOT leaf").isEmpty():
             return reduce(DataFrame.unionByName, done), rounds
         value = F.get("point", F.col("dim"))
         child = F.size(F.filter("cuts", lambda c: c < value))
-        open_ = stage(open_.join(found.where("NOT leaf").select("box", "dim", "cuts"), "box").withColumn(
+        cuts = stage(_cuts(open_, found.where("NOT leaf"), fan), "cuts")
+        open_ = stage(open_.join(cuts, "box").withColumn(
             "box", F.concat("box", F.lit("."), child.cast("string"))).drop("dim", "cuts"), "points")
         parent = F.regexp_replace("box", "[.][0-9]+$", "")
 
 
-#: From so many directions on distances are loops: written out they would be a method too long to be compiled.
+#: From so many directions on distances are sums of arrays: written out they would be a method too long to be compiled.
 _WRITTEN_OUT = 8
 
 
@@ -111,9 +143,18 @@ def _distance_to(width: int, far: bool) -> Column:
         below, above = low - q, q - high
         return F.greatest(F.abs(below), F.abs(above)) if far else F.greatest(below, above, F.lit(0.0))
 
+    def summed(*columns: pd.Series) -> pd.Series:
+        if not len(columns[0]):
+            return pd.Series([], dtype=float)
+        q, low, high = (np.concatenate(c.to_numpy()).reshape(-1, width) for c in columns)
+        with np.errstate(all="ignore"):
+            below, above = low - q, q - high
+            gaps = np.maximum(np.abs(below), np.abs(above)) if far else np.maximum(np.maximum(below, above), 0.0)
+            return pd.Series((gaps ** 2).sum(axis=1))
+
     if width > _WRITTEN_OUT:
-        gaps = F.transform(F.arrays_zip("q", "lows", "highs"), lambda z: gap(z["q"], z["lows"], z["highs"]))
-        return F.aggregate(gaps, F.lit(0.0), lambda out, g: out + g * g)
+        # Said to change, so that it is worked out once where it is used twice.
+        return F.pandas_udf(summed, "double").asNondeterministic()("q", "lows", "highs")
     gaps = [gap(F.col("q")[i], F.col("lows")[i], F.col("highs")[i]) for i in range(width)]
     return reduce(lambda out, g: out + g * g, gaps, F.lit(0.0))
 
@@ -145,20 +186,20 @@ def _own(queries: DataFrame, rounds: list[DataFrame], width: int, k: int) -> Dat
 
 
 def _reached(queries: DataFrame, rounds: list[DataFrame], width: int, k: int) -> DataFrame:
-    """``query, q, box``: each query with the last boxes within its ``limit``; null: with those that can hold one of its neighbours."""
-    front = queries.select("query", "q", F.col("limit").isNotNull().alias("known"), F.coalesce("limit", F.lit(float("inf"))).alias(
-        "limit"), F.concat("space", F.lit("/")).alias("parent"))
+    """``query, q, radius, box``: each query with the last boxes within its ``radius``; null: with those that can hold one of its neighbours."""
+    front = queries.select("query", "q", "radius", F.coalesce("radius", F.lit(float("inf"))).alias("limit"), F.concat(
+        "space", F.lit("/")).alias("parent"))
     ended = []
     for parts in _children(rounds):
         # A box with enough points holds k neighbours at most as far as its farthest corner.
-        enough = front.where("NOT known").join(parts.where(F.col("n") >= k), "parent").groupBy("query").agg(
-            F.min(_distance_to(width, True)).alias("enough"))
+        enough = front.where("radius IS NULL").join(parts.where(F.col("n") >= k), "parent").withColumn(
+            "far2", _distance_to(width, True)).groupBy("query").agg(F.min("far2").alias("enough"))
         # A query meets its boxes when its limit is known, so boxes out of reach are never sent on.
         limited = front.join(enough, "query", "left").withColumn("limit", F.least("limit", F.coalesce("enough", F.lit(float("inf")))))
         met = limited.join(parts, "parent").where(_distance_to(width, False) <= F.col("limit") * _HAIR)
-        kept = stage(met.select("query", "q", "known", "limit", "box", "leaf"), "front")
-        ended.append(kept.where("leaf").select("query", "q", "box"))
-        front = kept.where("NOT leaf").select("query", "q", "known", "limit", F.col("box").alias("parent"))
+        kept = stage(met.select("query", "q", "radius", "limit", "box", "leaf"), "front")
+        ended.append(kept.where("leaf").select("query", "q", "radius", "box"))
+        front = kept.where("NOT leaf").select("query", "q", "radius", "limit", F.col("box").alias("parent"))
     return reduce(DataFrame.unionByName, ended)
 
 
@@ -172,31 +213,27 @@ def nearest(queries: DataFrame, points: DataFrame, width: int, k: int, box_point
     have a text column ``space``, a query only sees points of its own space;
     points are then distinct in each space, and all spaces are searched at once.
     """
-    form = T.StructType([T.StructField("qid", T.LongType()), T.StructField("distance2", T.DoubleType()),
-                         points.schema["point"], points.schema["payload"]])
+    form = T.StructType([T.StructField("query", T.LongType()), T.StructField("distance2", T.DoubleType()),
+                         *[T.StructField(c, T.ArrayType(T.DoubleType())) for c in ("point", "payload")]])
+    table = to_arrow_schema(form)
     if "space" not in queries.columns:
         queries, points = queries.withColumn("space", F.lit("")), points.withColumn("space", F.lit(""))
     placed, rounds = _boxes(points.select("space", "point", "payload"), width, box_points, fan)
     placed = placed.select("box", "point", "payload")
-    asked = stage(queries.select("qid", "space", "q").withColumn("query", F.monotonically_increasing_id()), "queries")
-
-    def search(_, q, p):
-        if not len(q) or not len(p):
-            return pd.DataFrame({f.name: [] for f in form})
-        return _found(q["qid"].reset_index(drop=True), _matrix(q["q"], width), _matrix(p["point"], width),
-                      p["payload"].tolist(), k)
+    # Few queries are work for many tasks, however little room they take.
+    tasks = max(int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions")), queries.sparkSession.sparkContext.defaultParallelism)
+    asked = stage(queries.select("qid", "space", "q").repartition(tasks).withColumn("query", F.monotonically_increasing_id()), "queries")
 
     def searched(rows: DataFrame) -> DataFrame:
-        asked = rows.select(F.col("query").alias("qid"), "q", "box")
-        return _by_box(asked, placed, query_chunk, search, form).withColumnRenamed("qid", "query")
+        return _by_box(rows, placed, query_chunk, lambda q, p: _found(q, p, width, k, table), form)
 
     # First a near box that has enough points: the k-th distance in there is the query's radius.
     own = _own(asked, rounds, width, k)
-    first = stage(searched(own), "first")
+    first = stage(searched(own.withColumn("limit", F.lit(None).cast("double"))), "first")
     radius = first.groupBy("query").agg(F.count("*").alias("got"), F.max("distance2").alias("most")).select(
-        "query", F.when(F.col("got") >= k, F.col("most")).alias("limit"))
+        "query", F.when(F.col("got") >= k, F.col("most")).alias("radius"))
     front = _reached(asked.join(radius, "query", "left"), rounds, width, k)
-    others = front.join(own.select("query", "box"), ["query", "box"], "left_anti")
+    others = front.withColumnRenamed("radius", "limit").join(own.select("query", "box"), ["query", "box"], "left_anti")
     best = F.slice(F.array_sort(F.collect_list(F.struct("distance2", F.get("payload", F.lit(0)).alias("first"),
                                                         "point", "payload"))), 1, k)
     # One list entry per reached box and neighbour, so at most k times the boxes a query reaches.
@@ -208,10 +245,10 @@ def nearest(queries: DataFrame, points: DataFrame, width: int, k: int, box_point
 def _by_box(queries: DataFrame, points: DataFrame, query_chunk: int, fn, schema) -> DataFrame:
     """Cogroup by box; a box with many queries is split and its points repeated per part."""
     parts = queries.groupBy("box").agg(F.ceil(F.count("*") / query_chunk).cast("int").alias("parts"))
-    q = queries.join(parts, "box").withColumn("part", F.pmod(F.xxhash64("qid"), F.col("parts")).cast("int"))
+    q = queries.join(parts, "box").withColumn("part", F.pmod(F.xxhash64("query"), F.col("parts")).cast("int"))
     p = points.join(parts, "box").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     return (q.drop("parts").groupBy("box", "part")
-            .cogroup(p.drop("parts").groupBy("box", "part")).applyInPandas(fn, schema))
+            .cogroup(p.drop("parts").groupBy("box", "part")).applyInArrow(fn, schema))
 
 
 def _cells(df: DataFrame, names: list[str]) -> DataFrame:

@@ -12,15 +12,16 @@ from holdfast.operators.split import sample_condition
 from holdfast.session import stage
 
 
-def neighbour_pool(rows: DataFrame, width: int, k: int, **limits) -> DataFrame:
-    """(v, pool): the k nearest other rows of each distinct vector ``v``.
+def neighbour_pool(rows: DataFrame, width: int, k: int, asked: DataFrame | None = None, **limits) -> DataFrame:
+    """(v, pool): the k nearest other rows of each distinct vector ``v``, or of those that are ``asked`` for.
 
     Equal rows are one point with a count: ``m`` copies are neighbours of each
     other at distance 0, however many there are.
     """
     spots = rows.groupBy("v").agg(F.count("*").cast("double").alias("m"))
     spots = stage(spots, "spots")
-    near = nearest(spots.select(F.col("v").alias("qid"), F.col("v").alias("q")),
+    asked = spots if asked is None else asked.select("v").distinct()
+    near = nearest(asked.select(F.col("v").alias("qid"), F.col("v").alias("q")),
                    spots.select(F.col("v").alias("point"), F.array("m").alias("payload")), width, k + 1, **limits)
     copies = F.get("payload", F.lit(0)).cast("bigint") - F.when(F.col("point") == F.col("qid"), 1).otherwise(0)
     repeated = (near.withColumn("copies", F.least(copies, F.lit(k))).where(F.col("copies") > 0)
@@ -50,9 +51,10 @@ def oversample(df: DataFrame, key: str, label: str, features: list[str], neighbo
         if n <= neighbours:
             raise ValueError(f"class {value!r} has {n} rows, need more than {neighbours} neighbours")
         rows = out.where(column(label) == F.lit(value)).select(column(key).alias("k"), F.array(*features).alias("v"))
-        pool = neighbour_pool(rows, len(features), neighbours, **limits)
         extra = sample_condition(rows, "k", needed % n, seed).cast("int") if needed % n else F.lit(0)
         draws = rows.withColumn("draws", extra + F.lit(needed // n)).where(F.col("draws") > 0)
+        # Only rows that are drawn are ever moved towards a neighbour.
+        pool = neighbour_pool(rows, len(features), neighbours, draws if needed < n else None, **limits)
         drawn = draws.select("k", "v", F.explode(F.sequence(F.lit(1), F.col("draws").cast("int"))).alias("draw"))
         pick = F.pmod(F.xxhash64(F.lit(seed), F.lit("pick"), "k", "draw"), F.lit(neighbours)).cast("int")
         gap = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("gap"), "k", "draw"), 11) / F.lit(float(2**53))

@@ -57,6 +57,23 @@ def test_queries_go_only_to_boxes_within_their_radius(spark, monkeypatch):
     assert all(np.allclose(got[i], np.sort(((points - points[i]) ** 2).sum(axis=1))[:5]) for i in range(20))
 
 
+def test_products_of_matrices_leave_out_no_neighbour():
+    rng = np.random.default_rng(5)
+    for shift, limited in ((0.0, False), (1e7, False), (1e7, True), (1e200, False)):
+        # Lattices have many equal distances; far from zero a product of matrices tells them apart wrongly.
+        points = np.unique(rng.integers(0, 4, (400, 9)) * 0.1 + shift, axis=0)
+        queries, first = points[rng.integers(0, len(points), 60)], rng.integers(0, 3, len(points)).astype(float)
+        exact = np.zeros((len(queries), len(points)))
+        with np.errstate(over="ignore"):
+            for d in range(9):
+                exact += (queries[:, d, None] - points[None, :, d]) ** 2
+        limit = np.sort(exact, axis=1)[:, 3] if limited else np.full(len(queries), np.nan)
+        got = [np.concatenate(c) for c in zip(*neighbours._closest(queries, points, first, 6, limit))]
+        for i, row in enumerate(exact):
+            order = [j for j in np.lexsort((np.arange(len(points)), first, row)) if not limited or row[j] <= limit[i]][:6]
+            assert got[1][got[0] == i].tolist() == order and got[2][got[0] == i].tolist() == row[order].tolist()
+
+
 def brute_knn(rows, t, k):
     """Mean target of the k nearest donors over shared columns, ties to the smaller target."""
     data = np.array(rows, dtype=float)
@@ -116,6 +133,24 @@ def test_oversampling(spark):
     assert sorted(map(str, again.collect())) == sorted(map(str, out.collect()))
 
 
+def test_only_drawn_rows_ask_for_neighbours(spark, monkeypatch):
+    from holdfast.operators import oversample as module
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame([(i, int(i < 100), float(a), float(b)) for i, (a, b) in enumerate(rng.random((220, 2)))],
+                               "k long, y int, a double, b double")
+    asked, search = [], module.nearest
+
+    def watched(queries, *others, **limits):
+        asked.append(queries.count())
+        return search(queries, *others, **limits)
+
+    monkeypatch.setattr(module, "nearest", watched)
+    made = oversample(df, "k", "y", ["a", "b"], 5).where("k IS NULL").collect()
+    # 120 rows against 100: 20 are drawn, each once.
+    assert len(made) == 20 and asked == [20]
+    assert len(oversample(df.where("y = 0 OR k < 50"), "k", "y", ["a", "b"], 5).where("k IS NULL").collect()) == 70 and asked == [20, 50]
+
+
 def test_oversampling_many_equal_rows(spark):
     rows = [(i, 1, 1.0) for i in range(8)] + [(8, 1, 5.0)] + [(100 + i, 0, float(i)) for i in range(40)]
     df = spark.createDataFrame(rows, "k long, y int, a double")
