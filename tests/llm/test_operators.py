@@ -387,6 +387,40 @@ def test_classes_of_passages(spark):
     assert kept == {tuple(r) for r in passages.shared_passages(df).collect()}
 
 
+def test_every_pair_of_texts(spark):
+    rnd = random.Random(20)
+    # Seeds of two to forty texts; short ones are even.
+    of = {2 * k: set(rnd.sample(range(50), rnd.choice([2, 2, 3, 4, 5, 9, 40]))) for k in range(60)}
+    short = spark.createDataFrame([(s, n) for s, texts in of.items() for n in texts], "seed long, node long")
+    worth = {s: passages.OF_RARE if len(t) <= passages.FIRST else 1 for s, t in of.items()}
+    wanted = {(a, b) for a in range(50) for b in range(a + 1, 50) if sum(worth[s] for s, t in of.items() if {a, b} <= t) >= passages.LINKS}
+    assert 50 < len(wanted) < 1200
+    assert sorted(map(tuple, passages.every_pair(short).collect())) == sorted(wanted)
+
+
+def test_fuzzy_passage_of_many_documents(spark):
+    rnd, rows = random.Random(21), []
+    base = _fresh(rnd, 60)
+    for i in range(60):
+        # No 40 words in a row are the same in two documents.
+        copy = [_fresh(rnd, 1)[0] if k in (20, 40) or rnd.random() < 0.08 else w for k, w in enumerate(base)]
+        rows.append((i, " ".join([*_fresh(rnd, 30), *copy, *_fresh(rnd, 30)])))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = passages.passage_classes(df.repartition(5)).collect()
+    of = {}
+    for r in found:
+        of.setdefault(r["doc_id"], set()).add(r["class_id"])
+    codes = [c for _, c, _ in passages.words(pa.array([t for _, t in rows]), lower=True)][0].reshape(60, 120)
+    seeds = [set(passages.seeds(c).tolist()) for c in codes]
+    texts = {s: sum(s in x for x in seeds) for x in seeds for s in x}
+    wanted = {(a, b) for a in range(60) for b in range(a) if sum(passages.OF_RARE if texts[s] <= passages.FIRST else 1 for s in seeds[a] & seeds[b] if s % 2 == 0)
+              >= passages.LINKS and passages.passages_of(codes[a], codes[b])}
+    # Links alone have a row for some of them only.
+    assert len({(r["doc_id"], r["other_id"]) for r in passages.shared_passages(df).collect()} & wanted) < len(wanted) / 2
+    assert len(wanted) > 500 and all(of[a] & of[b] for a, b in wanted)
+    assert all(r["n_members"] == 2 and r["stop"] - r["start"] >= 50 for r in found)
+
+
 def _chains_by_pairs(matches):
     """The chains from the best predecessor among all earlier matches, each looked at."""
     matches = sorted(set(matches))
