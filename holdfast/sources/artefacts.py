@@ -99,17 +99,17 @@ class ModelStore:
         position = max(self.positions(), default=0) + 1
         while True:
             fs, path = self._commits(position)
+            # A local file system looks first and creates then, so two may pass; a new file there is made in one step.
+            local = fs.getUri().getScheme() == "file"
+            if local:
+                fs.mkdirs(path.getParent())
+                if not self.spark._jvm.java.io.File(path.toUri().getPath()).createNewFile():
+                    position += 1
+                    continue
             try:
-                # A local file system looks first and creates then, so two may pass; a new file there is made in one step.
-                local = fs.getUri().getScheme() == "file"
-                if local:
-                    fs.mkdirs(path.getParent())
-                    if not self.spark._jvm.java.io.File(path.toUri().getPath()).createNewFile():
-                        position += 1
-                        continue
                 out = fs.create(path, local)
             except Exception:  # noqa: BLE001 - another publisher was first, or the folder cannot be written
-                if not fs.exists(path):
+                if local or not fs.exists(path):
                     raise
                 position += 1
                 continue
